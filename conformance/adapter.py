@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from isobar.operators.bronze import newest_per_key
 from isobar.operators.silver import clean
-from isobar.schemas import RAW_KEY, SILVER_SCHEMA, conform
+from isobar.schemas import PROVIDER_B_FIELDS, RAW_KEY, SILVER_SCHEMA, conform
+from isobar.sources.landing import read_provider_a, read_provider_b
 from isobar.sources.sinks import rebalanced
 from isobar.workspace import shared_folder
 
@@ -82,28 +83,81 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw row per date, city and source: the first in load order."""
     order = [F.asc(c) for c in LOAD_ORDER]
     return newest_per_key(raw_rows(spark, sf_dir), order, RAW_KEY).drop(*LOAD_ORDER)
 
 
-_SILVER_FOLDERS: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
+    """A table written once per application to the shared folder and read from there."""
+    application = spark.sparkContext.applicationId
+    key = (application, sf_dir, name)
+    if key not in _STORED:
+        folder = f"{shared_folder(spark)}/{application}/{name}-{len(_STORED)}"
+        _STORED[key] = write(folder)
+    return _STORED[key]
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored raw table, as the bronze job leaves it."""
+
+    def write(folder: str) -> DataFrame:
+        deduplicated(spark, sf_dir).write.mode("overwrite").parquet(folder)
+        return spark.read.parquet(folder)
+
+    return _stored(spark, sf_dir, "raw", write)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver, written once per application to the shared folder and read from there.
+    """The stored silver table, from which the gold and serving queries start."""
 
-    The gold and serving queries start from a stored silver table, as the jobs do.
-    """
-    application = spark.sparkContext.applicationId
-    known = (application, sf_dir)
-    if known not in _SILVER_FOLDERS:
-        folder = f"{shared_folder(spark)}/{application}/silver-{len(_SILVER_FOLDERS)}"
+    def write(folder: str) -> DataFrame:
         table = clean(raw(spark, sf_dir), as_of=F.lit("2025-01-01 00:00:00").cast("timestamp"))
         rebalanced(table, "year").write.mode("overwrite").partitionBy("year").parquet(folder)
-        _SILVER_FOLDERS[known] = folder
-    return conform(spark.read.schema(SILVER_SCHEMA).parquet(_SILVER_FOLDERS[known]), SILVER_SCHEMA)
+        return conform(spark.read.schema(SILVER_SCHEMA).parquet(folder), SILVER_SCHEMA)
+
+    return _stored(spark, sf_dir, "silver", write)
+
+
+def landed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provider A's rows landed as JSON lines and read back through the file source."""
+
+    def write(folder: str) -> DataFrame:
+        rows = raw_rows(spark, sf_dir).filter(F.col("source") == "aemet")
+        provider_a_text(rows).write.mode("overwrite").json(folder)
+        return read_provider_a(spark, folder, multi_line=False)
+
+    return _stored(spark, sf_dir, "provider-a", write)
+
+
+def landed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provider B's rows landed as one ``{"data": [...]}`` line per record and read back.
+
+    Every fiftieth part's row carries a pressure that is no number.
+    """
+
+    def write(folder: str) -> DataFrame:
+        rows = raw_rows(spark, sf_dir).filter(F.col("source") == "meteostat")
+        pressure = F.when(F.col("l_partkey") % 50 == 0, "n/a").otherwise(F.col("pres").cast("string"))
+        fields = [F.col(c) if c != "pres" else pressure.alias("pres") for c in PROVIDER_B_FIELDS]
+        rows.select(F.array(F.struct(*fields)).alias("data"), "station").write.mode("overwrite").json(folder)
+        return read_provider_b(spark, folder, multi_line=False)
+
+    return _stored(spark, sf_dir, "provider-b", write)
+
+
+def station_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City and region of every station."""
+    return (
+        read(spark, sf_dir, "supplier")
+        .join(read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("s_name").alias("station"), F.col("n_name").alias("city"), F.col("r_name").alias("region"))
+    )
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,22 +193,24 @@ def station_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def provider_a_text(rows: DataFrame) -> DataFrame:
-    """Raw rows as provider A would send them: text, decimal comma, ``Ip`` for no rain figure."""
+    """Raw rows as provider A would send them: text, decimal comma, ``Ip`` for no rain figure.
+
+    One part number in fifty has no number for tmax, another one no valid date.
+    """
 
     def text(column: str) -> Column:
-        return F.regexp_replace(F.col(column).cast("string"), r"\.", ",")
+        return F.replace(F.col(column).cast("string"), F.lit("."), F.lit(","))
 
+    kind = F.col("l_partkey") % 50
     return rows.select(
-        F.date_format("date", "yyyy-MM-dd").alias("fecha"),
+        F.when(kind == 1, "2024/13/01").otherwise(F.col("date").cast("string")).alias("fecha"),
         text("tavg").alias("tmed"),
         text("tmin").alias("tmin"),
-        text("tmax").alias("tmax"),
+        F.when(kind == 0, "abc").otherwise(text("tmax")).alias("tmax"),
         F.coalesce(text("prcp"), F.lit("Ip")).alias("prec"),
         text("wdir").alias("dir"),
         text("wspd").alias("velmedia"),
         text("wpgt").alias("racha"),
-        text("rhum").alias("hrMedia"),
+        F.coalesce(text("rhum"), F.lit("null")).alias("hrMedia"),
         "station",
-        "city",
-        "region",
     )

@@ -28,6 +28,10 @@ def case(rules, default) -> str:
     return f"CASE {arms} ELSE {q(default)} END"
 
 
+def comma(column: str) -> str:
+    return f"REPLACE(CAST({column} AS VARCHAR), '.', ',')"
+
+
 def days(test: str) -> str:
     return f"COUNT(*) FILTER (WHERE {test})"
 
@@ -366,7 +370,7 @@ _RANGES = """SELECT s_name AS station, DATE '1995-01-01' + CAST(s_suppkey % 700
 
 
 def statements() -> dict[str, str]:
-    normalised = "date, tavg, tmin, tmax, prcp, wdir, wspd, wpgt, rhum, station, city, region"
+    normalised = "date, tavg, tmin, tmax, prcp, wdir, wspd, wpgt, rhum, station, source, city, region"
     return {
         # ---- bronze
         "bronze_union_sources": answer(
@@ -386,15 +390,18 @@ SELECT {RAW_COLUMNS} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, city,
             """SELECT raw.* EXCLUDE (lat, lon), c.lat, c.lon FROM raw LEFT JOIN cities AS c ON raw.city = c.city""",
             "raw", "cities",
         ),
-        "provider_a_normalize": answer(f"SELECT {normalised} FROM raw_rows WHERE source = 'aemet'", "raw_rows"),
+        "provider_a_normalize": answer(
+            f"SELECT {normalised} FROM raw_rows WHERE source = 'aemet' AND l_partkey % 50 > 1", "raw_rows"
+        ),
         "provider_a_rejects": answer(
-            """SELECT city, COUNT(*) FILTER (WHERE l_partkey % 50 > 1) AS good_rows,
-  COUNT(*) FILTER (WHERE l_partkey % 50 <= 1) AS rejected_rows FROM raw_rows WHERE source = 'aemet' GROUP BY city""",
+            f"""SELECT CASE WHEN l_partkey % 50 = 1 THEN '2024/13/01' ELSE CAST(date AS VARCHAR) END AS fecha,
+  {comma('tavg')} AS tmed, {comma('tmin')} AS tmin, CASE WHEN l_partkey % 50 = 0 THEN 'abc' ELSE {comma('tmax')} END AS tmax,
+  COALESCE({comma('prcp')}, 'Ip') AS prec, {comma('wdir')} AS dir, {comma('wspd')} AS velmedia, {comma('wpgt')} AS racha,
+  COALESCE({comma('rhum')}, 'null') AS "hrMedia" FROM raw_rows WHERE source = 'aemet' AND l_partkey % 50 <= 1""",
             "raw_rows",
         ),
         "provider_b_normalize": answer(
-            "SELECT date, tavg, tmin, tmax, prcp, wdir, wspd, wpgt, pres, snow, tsun, rhum, station, city, region "
-            "FROM raw_rows WHERE source = 'meteostat' AND l_partkey % 50 <> 0",
+            f"SELECT {normalised}, pres, snow, tsun FROM raw_rows WHERE source = 'meteostat' AND l_partkey % 50 <> 0",
             "raw_rows",
         ),
         "dms_to_decimal": answer(f"SELECT station, {r('lat', 6)} AS lat, {r('lon', 6)} AS lon FROM stations", "stations"),

@@ -16,7 +16,6 @@ from isobar.operators.backfill import backfill_windows
 from isobar.operators.filters import Filters, apply_filters
 from isobar.operators.nearest import nearest_station
 from isobar.plans import charts, gold, maps, quality
-from isobar.schemas import MEASURES, RAW_SCHEMA
 from isobar.sources import catalog, logs
 
 from . import adapter as A
@@ -80,7 +79,7 @@ def _(spark, d):
 
 @query("bronze_dedup_pk")
 def _(spark, d):
-    return A.raw(spark, d)
+    return A.deduplicated(spark, d)
 
 
 @query("bronze_upsert")
@@ -99,43 +98,20 @@ def _(spark, d):
 
 @query("provider_a_normalize")
 def _(spark, d):
-    text = A.provider_a_text(A.raw_rows(spark, d).filter(F.col("source") == "aemet"))
-    return bronze.normalise_provider_a(text)[0]
+    good, _rejected = bronze.normalise_provider_a(A.landed_a(spark, d))
+    return bronze.with_lineage(good, "aemet", A.station_places(spark, d))
 
 
 @query("provider_a_rejects")
 def _(spark, d):
-    rows = A.raw_rows(spark, d).filter(F.col("source") == "aemet")
-    kind = F.col("l_partkey") % 50
-    text = A.provider_a_text(rows.withColumn("region", kind.cast("string")))
-    broken = text.withColumns(
-        {
-            "tmax": F.when(F.col("region") == "0", "abc").otherwise(F.col("tmax")),
-            "fecha": F.when(F.col("region") == "1", "2024/13/01").otherwise(F.col("fecha")),
-            "hrMedia": F.when(F.col("region") == "0", F.col("hrMedia")).otherwise(F.coalesce("hrMedia", F.lit("null"))),
-        }
-    )
-    # carry the city through the reject side, whose columns are the provider's own
-    good, _rejected = bronze.normalise_provider_a(broken)
-    counted = broken.groupBy("city").agg(F.count("*").alias("all_rows"))
-    kept = good.groupBy("city").agg(F.count("*").alias("good_rows"))
-    return counted.join(kept, "city", "left").select(
-        "city",
-        F.coalesce("good_rows", F.lit(0)).alias("good_rows"),
-        (F.col("all_rows") - F.coalesce("good_rows", F.lit(0))).alias("rejected_rows"),
-    )
+    _good, rejected = bronze.normalise_provider_a(A.landed_a(spark, d))
+    return rejected
 
 
 @query("provider_b_normalize")
 def _(spark, d):
-    rows = A.raw_rows(spark, d).filter(F.col("source") == "meteostat")
-    text = rows.select(
-        F.col("date").cast("string").alias("date"),
-        *[F.col(m).cast("string").alias(m) for m in MEASURES if m != "pres"],
-        F.when(F.col("l_partkey") % 50 == 0, "n/a").otherwise(F.col("pres").cast("string")).alias("pres"),
-        "station", "city", "region",
-    )
-    return bronze.normalise_provider_b(text)[0]
+    good, _rejected = bronze.normalise_provider_b(A.landed_b(spark, d))
+    return bronze.with_lineage(good, "meteostat", A.station_places(spark, d))
 
 
 @query("dms_to_decimal")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.bronze import station_coordinates
@@ -17,11 +17,23 @@ from .sources.config import load_settings
 from .sources.landing import read_station_inventory
 
 
+def nearest_of_cities(spark: SparkSession, inventory_path: str, cities: DataFrame) -> DataFrame:
+    """Station, city and region, each city taking its nearest inventory station."""
+    places = cities.select(
+        F.col("name").alias("city"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "region"
+    )
+    inventory = station_coordinates(read_station_inventory(spark, inventory_path))
+    return nearest_station(places, inventory).join(places.select("city", "region"), "city")
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="isobar", description=__doc__)
     parser.add_argument("--layers", nargs="*", default=list(jobs.LAYERS), choices=jobs.LAYERS)
     parser.add_argument("--landing", help="folder with provider=a, provider=b and stations.json")
     parser.add_argument("--config", help="YAML or JSON file with cities, start_date, end_date")
+    parser.add_argument(
+        "--station-cities", help="JSON lines with station, city, region; else cities get their nearest station"
+    )
     parser.add_argument("--clean", action="store_true", help="drop all layers first")
     args = parser.parse_args()
 
@@ -31,11 +43,10 @@ def main() -> None:
         if not args.landing:
             parser.error("--landing is needed for the bronze layer")
         landing = {"aemet": f"{args.landing}/provider=a", "meteostat": f"{args.landing}/provider=b"}
-        inventory = station_coordinates(read_station_inventory(spark, f"{args.landing}/stations.json"))
-        places = cities.select(
-            F.col("name").alias("city"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "region"
-        )
-        stations = nearest_station(places, inventory).join(places.select("city", "region"), "city")
+        if args.station_cities:
+            stations = spark.read.schema("station string, city string, region string").json(args.station_cities)
+        else:
+            stations = nearest_of_cities(spark, f"{args.landing}/stations.json", cities)
     jobs.run(spark, args.layers, landing, cities, stations, args.clean).show(100, truncate=False)
 
 

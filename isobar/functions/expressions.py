@@ -19,18 +19,20 @@ def first_match(rules, default) -> Column:
 
 # ---- parsing -------------------------------------------------------------------------
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-
-
 def number_text(value: Column) -> Column:
-    """Text with a decimal comma or point to double; "no value" texts become NULL (F1)."""
-    pointed = F.regexp_replace(value, ",", ".")
-    return F.when(pointed.rlike(_NUMBER), pointed.try_cast("double"))
+    """Text with a decimal comma or point to double; "no value" texts become NULL (F1).
+
+    A number ends in a digit or point and has no ``x``: casts alone would also take the
+    JVM's ``12d`` and ``0x1p3``.
+    """
+    last = F.substring(F.rtrim(value), -1, 1)
+    plain = (last.between("0", "9") | (last == ".")) & (F.instr(F.lower(value), "x") == 0)
+    return F.when(plain, F.replace(value, F.lit(","), F.lit(".")).try_cast("double"))
 
 
 def is_bad_number(value: Column) -> Column:
     """True where a text holds neither a number nor a "no value" text."""
-    return value.isNotNull() & ~value.isin(*V.NO_VALUE_TEXTS) & number_text(value).isNull()
+    return number_text(value).isNull() & value.isNotNull() & ~value.isin(*V.NO_VALUE_TEXTS)
 
 
 def iso_date(value: Column) -> Column:

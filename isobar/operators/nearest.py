@@ -6,59 +6,46 @@ down, a city keeps a cell only while the cell's nearest possible distance does n
 the smallest farthest distance among the city's cells - the rest cannot hold its nearest
 station.  Exact distances are computed in the finest cells that survive.
 
-Sizes: at most 45 top cells, at most 256 children per cell, and per finest cell (40
+Sizes: at most 45 top cells under one root, at most 256 children per cell, and per finest cell (40
 arc-seconds) at most about 1,700 distinct positions, since provider positions are whole
 arc-seconds and stations at one position are folded into the first of them beforehand.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELL_DEGREES = 45.0
+TOP_DEGREES = 45.0
 SPLIT = 16
 LEVELS = 4
 # Bounds and distances are both rounded doubles; keep cells that tie within this margin.
 MARGIN = 1e-9
 
-_BOX = ("south", "north", "west", "east")
-
-
-def _grid(value: Column, origin: float) -> Column:
-    return F.floor((value + origin) / (CELL_DEGREES / SPLIT ** (LEVELS - 1))).cast("long")
-
-
-def _cells(finer: DataFrame) -> DataFrame:
-    """Cells one level up: their box and the boxes of their children."""
-    return finer.groupBy(
-        F.floor(F.col("x") / SPLIT).alias("px"), F.floor(F.col("y") / SPLIT).alias("py")
-    ).agg(
-        F.min("south").alias("south"),
-        F.max("north").alias("north"),
-        F.min("west").alias("west"),
-        F.max("east").alias("east"),
-        F.collect_list(F.struct("x", "y", *_BOX)).alias("children"),
-    ).withColumnsRenamed({"px": "x", "py": "y"})
-
-
-def _outside(value: str, low: str, high: str) -> Column:
-    return F.greatest(F.col(low) - F.col(value), F.lit(0.0), F.col(value) - F.col(high))
-
-
-def _farthest(value: str, low: str, high: str) -> Column:
-    return F.greatest(F.col(value) - F.col(low), F.col(high) - F.col(value))
-
-
-def _length(dlat: Column, dlon: Column) -> Column:
-    return F.sqrt(dlat * dlat + dlon * dlon)
-
-
-def _prune(candidates: DataFrame, city: str) -> DataFrame:
-    near = _length(_outside("lat", "south", "north"), _outside("lon", "west", "east"))
-    far = _length(_farthest("lat", "south", "north"), _farthest("lon", "west", "east"))
-    within = F.min(far).over(Window.partitionBy(city))
-    return candidates.withColumn("_within", within).filter(near <= F.col("_within") + MARGIN).drop("_within")
+_FINEST_DEGREES = TOP_DEGREES / SPLIT ** (LEVELS - 1)
+_NEAR = """sqrt(power(greatest(south - lat, 0D, lat - north), 2) + power(greatest(west - lon, 0D, lon - east), 2))"""
+_FAR = """sqrt(power(greatest(lat - south, north - lat), 2) + power(greatest(lon - west, east - lon), 2))"""
+
+
+def _nodes(points: DataFrame) -> DataFrame:
+    """Every cell (level, x, y) with its child cells and their boxes; the root is level -1."""
+    levels = [
+        f"struct({k} AS level, x div {SPLIT ** (LEVELS - 1 - k)} AS cx, y div {SPLIT ** (LEVELS - 1 - k)} AS cy)"
+        for k in range(LEVELS)
+    ]
+    cells = (
+        points.selectExpr("slat", "slon", f"inline(array({', '.join(levels)}))")
+        .groupBy("level", "cx", "cy")
+        .agg(
+            F.min("slat").alias("south"),
+            F.max("slat").alias("north"),
+            F.min("slon").alias("west"),
+            F.max("slon").alias("east"),
+        )
+    )
+    child = F.struct(F.col("cx").alias("x"), F.col("cy").alias("y"), "south", "north", "west", "east")
+    parent = ["level - 1 AS level", f"cx div {SPLIT} AS x", f"cy div {SPLIT} AS y"]
+    return cells.groupBy(*[F.expr(p) for p in parent]).agg(F.collect_list(child).alias("children"))
 
 
 def nearest_station(cities: DataFrame, stations: DataFrame, city: str = "city") -> DataFrame:
@@ -71,32 +58,28 @@ def nearest_station(cities: DataFrame, stations: DataFrame, city: str = "city")
         stations.na.drop(subset=["lat", "lon"])
         .groupBy(F.col("lat").alias("slat"), F.col("lon").alias("slon"))
         .agg(F.min(F.struct("pos", "station")).alias("first"))
-        .withColumns({"x": _grid(F.col("slon"), 180.0), "y": _grid(F.col("slat"), 90.0)})
-    )
-    finest = points.groupBy("x", "y").agg(
-        F.min("slat").alias("south"),
-        F.max("slat").alias("north"),
-        F.min("slon").alias("west"),
-        F.max("slon").alias("east"),
+        .selectExpr(
+            "*",
+            f"floor((slon + 180D) / {_FINEST_DEGREES!r}D) AS x",
+            f"floor((slat + 90D) / {_FINEST_DEGREES!r}D) AS y",
+        )
     )
-    upper = [_cells(finest)]
-    for _ in range(LEVELS - 2):
-        upper.append(_cells(upper[-1]))
-    top = upper[-1].agg(F.collect_list(F.struct("x", "y", *_BOX)).alias("top")).scalar()
-
-    located = cities.select(city, "lat", "lon").na.drop()
-    candidates = _prune(located.select("*", F.inline(top)), city)
-    for level in reversed(upper):
-        children = level.select("x", "y", "children")
-        expanded = candidates.drop(*_BOX).join(children, ["x", "y"]).select(city, "lat", "lon", F.inline("children"))
-        candidates = _prune(expanded, city)
-
-    distance = _length(F.col("lat") - F.col("slat"), F.col("lon") - F.col("slon"))
-    best = F.min(F.struct(distance.alias("distance"), F.col("first.pos"), F.col("first.station")))
+    nodes = _nodes(points)
+    candidates = cities.select(city, "lat", "lon").na.drop().selectExpr("*", "0L AS x", "0L AS y")
+    for level in range(-1, LEVELS - 1):
+        children = nodes.filter(F.col("level") == level).select("x", "y", "children")
+        candidates = (
+            candidates.join(children, ["x", "y"])
+            .select(city, "lat", "lon", F.inline("children"))
+            .selectExpr("*", f"{_NEAR} AS near", f"min({_FAR}) OVER (PARTITION BY `{city}`) AS within")
+            .filter(f"near <= within + {MARGIN!r}D")
+            .select(city, "lat", "lon", "x", "y")
+        )
+    distance = F.expr("sqrt((lat - slat) * (lat - slat) + (lon - slon) * (lon - slon))")
+    best = F.min(F.struct(distance.alias("distance"), "first.pos", "first.station"))
     return (
-        candidates.drop(*_BOX)
-        .join(points, ["x", "y"])
+        candidates.join(points, ["x", "y"])
         .groupBy(city)
         .agg(best.alias("best"))
-        .select(city, F.col("best.station").alias("station"), F.col("best.distance").alias("distance"))
+        .select(city, "best.station", "best.distance")
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import values as V
-from ..workspace import materialise
 from .filters import Filters, apply_filters
 from .ranking import number_rows
 
@@ -57,7 +56,6 @@ def page(df: DataFrame, table_key: str, number: int = 1, size: int = 50, filters
     skip = (number - 1) * size
     if skip + size <= top_k_depth:
         return kept.orderBy(*order).offset(skip).limit(size)
-    kept = materialise(kept)
     numbered = number_rows(kept, kept.count(), order, "_position")
     return numbered.filter(F.col("_position").between(skip + 1, skip + size)).drop("_position").orderBy(*order)
 

@@ -49,37 +49,37 @@ def _store(spark: SparkSession, build: Callable[[], DataFrame], name: str, parti
 
 
 def load_bronze(spark: SparkSession, landing: dict[str, str], cities: DataFrame, stations: DataFrame) -> DataFrame:
-    """Read all sources, upsert into the newest raw version, publish with coordinates (G1, K3).
+    """Stage all sources, upsert into the newest raw version, publish with coordinates (G1, K3).
 
-    ``landing`` maps a source to its folder; ``stations`` has station, city, region.  A
-    source that cannot be read is reported and the others are loaded.
+    ``landing`` maps a source to its folder; ``stations`` has station, city, region.  Each
+    source is parsed once, into a staging table of its own; one that fails is reported and
+    the others are loaded.
     """
-    loaded: dict[str, DataFrame] = {}
+    existing_version = catalog.newest_raw_version(spark)
+    version = sinks.new_raw_version()
+    staging = version + catalog.STAGING_SUFFIX
 
-    def read(source: str) -> Callable[[], int]:
-        def step() -> int:
-            reader, normalise = NORMALISERS[source]
-            good, _ = normalise(reader(spark, landing[source]))
-            # typed() would fill lat/lon with NULL; they are attached when published
-            rows = typed(with_lineage(good, source, stations))
-            loaded[source] = rows
-            return rows.count()
+    def stage(source: str) -> DataFrame:
+        reader, normalise = NORMALISERS[source]
+        good, _ = normalise(reader(spark, landing[source]))
+        return typed(with_lineage(good, source, stations))
 
-        return step
-
-    report = run_steps(spark, {source: read(source) for source in landing})
+    report = run_steps(
+        spark, {source: _store(spark, lambda s=source: stage(s), f"{staging}.{source}") for source in landing}
+    )
 
     def publish() -> int:
-        if not loaded:
+        staged = sorted(catalog.tables(spark, staging))
+        if not staged:
             raise ValueError("no source could be read")
-        incoming = union_all([loaded[s] for s in sorted(loaded)])
-        newest = catalog.newest_raw_version(spark)
-        existing = spark.table(f"{newest}.{catalog.RAW_TABLE}") if newest else incoming.limit(0)
-        version = sinks.write_raw_version(upsert(existing, incoming))
+        incoming = union_all([spark.table(f"{staging}.{source}") for source in staged])
+        existing = spark.table(f"{existing_version}.{catalog.RAW_TABLE}") if existing_version else incoming.limit(0)
+        sinks.write_raw_version(upsert(existing, incoming), version)
         raw = spark.table(f"{version}.{catalog.RAW_TABLE}")
-        return _store(
-            spark, lambda: attach_city_coordinates(raw, cities), f"{catalog.RAW_DATABASE}.{catalog.RAW_TABLE}"
-        )()
+        published = f"{catalog.RAW_DATABASE}.{catalog.RAW_TABLE}"
+        rows = _store(spark, lambda: attach_city_coordinates(raw, cities), published)()
+        sinks.drop_layers(spark, [staging])
+        return rows
 
     return report.unionByName(run_steps(spark, {"weather_raw.weather_data": publish}))
 

@@ -53,29 +53,36 @@ def null_counts(df: DataFrame, columns: tuple[str, ...] = EXTREME_MEASURES) -> D
     return counted.unpivot([], present, "column_name", "null_rows")
 
 
-def calendar_grid(df: DataFrame) -> DataFrame:
+def _seen(df: DataFrame) -> DataFrame:
+    return df.select(*CALENDAR_KEY).distinct()
+
+
+def calendar_grid(seen: DataFrame) -> DataFrame:
     """Every city with every year and month that occurs anywhere.
 
     Years and months are short lists (calendar values), unrolled on the distinct cities.
     """
-    years = df.agg(F.collect_set("year")).scalar()
-    months = df.agg(F.collect_set("month")).scalar()
-    cities = df.select("city").na.drop().distinct()
+    years = seen.agg(F.collect_set("year")).scalar()
+    months = seen.agg(F.collect_set("month")).scalar()
+    cities = seen.select("city").na.drop().distinct()
     return cities.withColumn("year", F.explode(years)).withColumn("month", F.explode(months))
 
 
 def missing_months(df: DataFrame) -> DataFrame:
-    """Grid entries without any row."""
-    return calendar_grid(df).join(df.select(*CALENDAR_KEY).distinct(), list(CALENDAR_KEY), "left_anti")
+    """Grid entries without any row.
+
+    Lists, grid and comparison all start from the same distinct keys, whose shuffle
+    Spark computes once.
+    """
+    seen = _seen(df)
+    return calendar_grid(seen).join(seen, list(CALENDAR_KEY), "left_anti")
 
 
 def missing_detail(df: DataFrame, columns: tuple[str, ...] = EXTREME_MEASURES) -> DataFrame:
-    """The missing grid entries with their (empty) measures, and present rows lacking one."""
+    """The missing grid entries with their measures, of which at least one is NULL."""
     key = list(CALENDAR_KEY)
-    detail = calendar_grid(df).join(df.select(*key, *columns), key, "left")
-    return detail.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])).join(
-        missing_months(df), key, "left_semi"
-    )
+    detail = missing_months(df).join(df.select(*key, *columns), key, "left")
+    return detail.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
 
 
 def first_rows(df: DataFrame, source: str, rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -1,6 +1,7 @@
-"""Landed provider files: ``.../provider=a/station=<id>/*.json``.
+"""Landed provider files.
 
-The station id is not part of a record; it is the partition folder's name.  A
+The providers' records do not carry the station id.  Land them as
+``<folder>/station=<id>/*.json``, or add a ``station`` field while landing.  A
 pretty-printed JSON array needs ``multi_line=True`` and is then read one file per
 task; JSON lines are splittable and the better landing format.
 """
@@ -14,17 +15,17 @@ from pyspark.sql import types as T
 from ..schemas import PROVIDER_A_SCHEMA, PROVIDER_B_SCHEMA, STATION_SCHEMA
 
 
-def _with_station(schema: T.StructType) -> T.StructType:
+def with_station(schema: T.StructType) -> T.StructType:
     # naming the partition column in the schema keeps ids such as 0016A or 08181 text
     return T.StructType([*schema.fields, T.StructField("station", T.StringType())])
 
 
 def read_provider_a(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
-    return spark.read.schema(_with_station(PROVIDER_A_SCHEMA)).option("multiLine", multi_line).json(folder)
+    return spark.read.schema(with_station(PROVIDER_A_SCHEMA)).option("multiLine", multi_line).json(folder)
 
 
 def read_provider_b(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
-    landed = spark.read.schema(_with_station(PROVIDER_B_SCHEMA)).option("multiLine", multi_line).json(folder)
+    landed = spark.read.schema(with_station(PROVIDER_B_SCHEMA)).option("multiLine", multi_line).json(folder)
     return unnest_provider_b(landed)
 
 

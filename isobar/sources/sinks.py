@@ -24,10 +24,15 @@ def rebalanced(df: DataFrame, partition_by: str | None) -> DataFrame:
     return df.hint("rebalance", partition_by) if partition_by else df
 
 
+def new_raw_version() -> str:
+    """Name of a load version; later loads get higher names."""
+    return catalog.VERSION_PREFIX + datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+
+
 def write_raw_version(df: DataFrame, version: str | None = None) -> str:
     """Write a load as a new version; the version being read is never overwritten (K4)."""
     spark = df.sparkSession
-    version = version or catalog.VERSION_PREFIX + datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    version = version or new_raw_version()
     if version in catalog.databases(spark):
         raise ValueError(f"load version {version} exists already")
     replace_table(df, f"{version}.{catalog.RAW_TABLE}")

@@ -12,12 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.bronze import normalise_provider_a, typed, upsert, with_lineage
 from ..schemas import PROVIDER_A_SCHEMA
 from ..sources import catalog, sinks
-from ..sources.landing import _with_station
+from ..sources.landing import with_station
 
 
 def provider_a_stream(spark: SparkSession, folder: str, stations: DataFrame) -> DataFrame:
     """Typed raw rows of provider A from JSON-lines files as they land."""
-    landed = spark.readStream.schema(_with_station(PROVIDER_A_SCHEMA)).json(folder)
+    landed = spark.readStream.schema(with_station(PROVIDER_A_SCHEMA)).json(folder)
     good, _ = normalise_provider_a(landed)
     return typed(with_lineage(good, "aemet", stations))
 
