@@ -48,6 +48,15 @@ def _nodes(points: DataFrame) -> DataFrame:
     return cells.groupBy(*[F.expr(p) for p in parent]).agg(F.collect_list(child).alias("children"))
 
 
+def _closest(candidates: DataFrame, city: str) -> DataFrame:
+    """The candidate cells that can still hold a city's nearest station."""
+    return (
+        candidates.selectExpr("*", f"{_NEAR} AS near", f"min({_FAR}) OVER (PARTITION BY `{city}`) AS within")
+        .filter(f"near <= within + {MARGIN!r}D")
+        .select(city, "lat", "lon", "x", "y")
+    )
+
+
 def nearest_station(cities: DataFrame, stations: DataFrame, city: str = "city") -> DataFrame:
     """Station id and distance for each row of ``cities`` (columns ``city``, lat, lon).
 
@@ -65,16 +74,14 @@ def nearest_station(cities: DataFrame, stations: DataFrame, city: str = "city")
         )
     )
     nodes = _nodes(points)
-    candidates = cities.select(city, "lat", "lon").na.drop().selectExpr("*", "0L AS x", "0L AS y")
-    for level in range(-1, LEVELS - 1):
-        children = nodes.filter(F.col("level") == level).select("x", "y", "children")
-        candidates = (
-            candidates.join(children, ["x", "y"])
-            .select(city, "lat", "lon", F.inline("children"))
-            .selectExpr("*", f"{_NEAR} AS near", f"min({_FAR}) OVER (PARTITION BY `{city}`) AS within")
-            .filter(f"near <= within + {MARGIN!r}D")
-            .select(city, "lat", "lon", "x", "y")
-        )
+    # the one root row is a value, not a join side
+    children = nodes.filter(F.col("level") == -1).select("children").scalar()
+    located = cities.select(city, "lat", "lon").na.drop()
+    candidates = _closest(located.select(city, "lat", "lon", F.inline(children)), city)
+    for level in range(LEVELS - 1):
+        below = nodes.filter(F.col("level") == level).select("x", "y", "children")
+        expanded = candidates.join(below, ["x", "y"]).select(city, "lat", "lon", F.inline("children"))
+        candidates = _closest(expanded, city)
     distance = F.expr("sqrt((lat - slat) * (lat - slat) + (lon - slon) * (lon - slon))")
     best = F.min(F.struct(distance.alias("distance"), "first.pos", "first.station"))
     return (

@@ -129,10 +129,10 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
     values = df.select(F.col(column).alias("v")).na.drop()
     edges = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
     low, width = edges["lo"], edges["hi"] - edges["lo"]
-    place = F.least(F.floor(F.try_divide(F.col("v") - low, width) * bins), F.lit(bins - 1))
+    place = F.coalesce(F.floor(F.try_divide(F.col("v") - low, width) * bins), F.lit(0))
     # the bin number travels with constant edges, so they can be grouping columns
     binned = values.select(
-        F.coalesce(place, F.lit(0)).cast("int").alias("bin"), low.alias("lo"), (width / bins).alias("step")
+        F.least(place, F.lit(bins - 1)).cast("int").alias("bin"), low.alias("lo"), (width / bins).alias("step")
     )
     return (
         binned.groupBy("bin", "lo", "step")
