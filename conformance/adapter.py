@@ -7,13 +7,18 @@ numbers, so sums are exact in any order.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isobar.functions.expressions import first_match
 from isobar.operators.bronze import newest_per_key
 from isobar.operators.silver import clean
 from isobar.schemas import PROVIDER_B_FIELDS, RAW_KEY, SILVER_SCHEMA, conform
 from isobar.sources.landing import read_provider_a, read_provider_b
+from isobar.sources.logs import read_logs
 from isobar.sources.sinks import rebalanced
 from isobar.workspace import shared_folder
 
@@ -89,49 +94,53 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_per_key(raw_rows(spark, sf_dir), order, RAW_KEY).drop(*LOAD_ORDER)
 
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_FOLDERS: dict[tuple[str, str, str], str] = {}
+_FRAMES: dict[tuple[SparkSession, str, str], DataFrame] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
+def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None],
+            load: Callable[[str], DataFrame]) -> DataFrame:
     """A table written once per application to the shared folder and read from there."""
     application = spark.sparkContext.applicationId
     key = (application, sf_dir, name)
-    if key not in _STORED:
-        folder = f"{shared_folder(spark)}/{application}/{name}-{len(_STORED)}"
-        _STORED[key] = write(folder)
-    return _STORED[key]
+    if key not in _FOLDERS:
+        folder = f"{shared_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
+        write(folder)
+        _FOLDERS[key] = folder
+    frame = (spark, sf_dir, name)
+    if frame not in _FRAMES:
+        _FRAMES[frame] = load(_FOLDERS[key])
+    return _FRAMES[frame]
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored raw table, as the bronze job leaves it."""
-
-    def write(folder: str) -> DataFrame:
-        deduplicated(spark, sf_dir).write.mode("overwrite").parquet(folder)
-        return spark.read.parquet(folder)
-
-    return _stored(spark, sf_dir, "raw", write)
+    return _stored(
+        spark, sf_dir, "raw", lambda folder: deduplicated(spark, sf_dir).write.parquet(folder), spark.read.parquet
+    )
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored silver table, from which the gold and serving queries start."""
 
-    def write(folder: str) -> DataFrame:
+    def write(folder: str) -> None:
         table = clean(raw(spark, sf_dir), as_of=F.lit("2025-01-01 00:00:00").cast("timestamp"))
-        rebalanced(table, "year").write.mode("overwrite").partitionBy("year").parquet(folder)
+        rebalanced(table, "year").write.partitionBy("year").parquet(folder)
+
+    def load(folder: str) -> DataFrame:
         return conform(spark.read.schema(SILVER_SCHEMA).parquet(folder), SILVER_SCHEMA)
 
-    return _stored(spark, sf_dir, "silver", write)
+    return _stored(spark, sf_dir, "silver", write, load)
 
 
 def landed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provider A's rows landed as JSON lines and read back through the file source."""
 
-    def write(folder: str) -> DataFrame:
+    def write(folder: str) -> None:
         rows = raw_rows(spark, sf_dir).filter(F.col("source") == "aemet")
-        provider_a_text(rows).write.mode("overwrite").json(folder)
-        return read_provider_a(spark, folder, multi_line=False)
+        provider_a_text(rows).write.json(folder)
 
-    return _stored(spark, sf_dir, "provider-a", write)
+    return _stored(spark, sf_dir, "provider-a", write, lambda f: read_provider_a(spark, f, multi_line=False))
 
 
 def landed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,14 +149,36 @@ def landed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every fiftieth part's row carries a pressure that is no number.
     """
 
-    def write(folder: str) -> DataFrame:
+    def write(folder: str) -> None:
         rows = raw_rows(spark, sf_dir).filter(F.col("source") == "meteostat")
         pressure = F.when(F.col("l_partkey") % 50 == 0, "n/a").otherwise(F.col("pres").cast("string"))
         fields = [F.col(c) if c != "pres" else pressure.alias("pres") for c in PROVIDER_B_FIELDS]
-        rows.select(F.array(F.struct(*fields)).alias("data"), "station").write.mode("overwrite").json(folder)
-        return read_provider_b(spark, folder, multi_line=False)
+        rows.select(F.array(F.struct(*fields)).alias("data"), "station").write.json(folder)
+
+    return _stored(spark, sf_dir, "provider-b", write, lambda f: read_provider_b(spark, f, multi_line=False))
+
+
+def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events written as a log file and read back as records.
+
+    ERROR and DEBUG lines carry function and line number, as job logs do.
+    """
 
-    return _stored(spark, sf_dir, "provider-b", write)
+    def by_event(names: dict[str, str], otherwise: str) -> Column:
+        return first_match([(F.col("event_type") == k, F.lit(v)) for k, v in names.items()], otherwise)
+
+    def write(folder: str) -> None:
+        level = by_event({"error": "ERROR", "view": "DEBUG"}, "INFO")
+        tag = by_event({"error": "ERROR", "view": "CACHE", "click": "DB", "signup": "START"}, "SUCCESS")
+        where = F.when(level.isin("ERROR", "DEBUG"), F.lit("run_step       :12   | ")).otherwise("")
+        line = F.concat(
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" | "), F.rpad(level, 8, " "),
+            F.lit(" | data_manager         | "), where, F.lit("["), tag,
+            F.lit("] consulta: t (5 filas) | Context: "), "props",
+        )
+        read(spark, sf_dir, "events").select(line.alias("value")).write.text(folder)
+
+    return _stored(spark, sf_dir, "logs", write, lambda folder: read_logs(spark, folder))
 
 
 def station_places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from isobar.operators.backfill import backfill_windows
 from isobar.operators.filters import Filters, apply_filters
 from isobar.operators.nearest import nearest_station
 from isobar.plans import charts, gold, maps, quality
-from isobar.sources import catalog, logs
+from isobar.sources import catalog
 
 from . import adapter as A
 
@@ -334,27 +334,10 @@ def _(spark, d):
     )
 
 
-def _by_event(values: dict[str, str], otherwise: str) -> Column:
-    return X.first_match([(F.col("event_type") == k, F.lit(v)) for k, v in values.items()], otherwise)
-
-
-def log_lines(spark: SparkSession, d: str) -> DataFrame:
-    """The events written as log lines, ERROR and DEBUG lines with function and line number."""
-    level = _by_event({"error": "ERROR", "view": "DEBUG"}, "INFO")
-    tag = _by_event({"error": "ERROR", "view": "CACHE", "click": "DB", "signup": "START"}, "SUCCESS")
-    where = F.when(level.isin("ERROR", "DEBUG"), F.lit("run_step       :12   | ")).otherwise("")
-    line = F.concat(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" | "), F.rpad(level, 8, " "),
-        F.lit(" | data_manager         | "), where, F.lit("["), tag, F.lit("] consulta: t (5 filas) | Context: "), "props",
-    )
-    return A.read(spark, d, "events").select(line.alias("value"))
-
-
 @query("audit_log_tags")
 def _(spark, d):
-    records = logs.parse_lines(log_lines(spark, d))
+    records = A.log_records(spark, d)
     total = F.sum(F.col("context")["k"].cast("long")).alias("context_total")
-    context = records.groupBy(F.to_date("logged_at").alias("day"), "level", "tag").agg(
+    return records.groupBy(F.to_date("logged_at").alias("day"), "level", "tag").agg(
         F.count("*").alias("records"), total
     )
-    return context

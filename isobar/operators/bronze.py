@@ -85,15 +85,22 @@ def newest_per_key(rows: DataFrame, order: list[Column], keys: list[str] = RAW_K
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str] = RAW_KEY) -> DataFrame:
     """Rows of both loads, the incoming row winning on equal keys (K4).
 
-    Two incoming rows with one key are decided by their values, so a repeated run
-    gives the same table.
+    ``date`` is one of the keys, so only months that occur in ``incoming`` can change:
+    the rest of ``existing`` is passed on without a shuffle.  Two incoming rows with one
+    key are decided by their values, so a repeated run gives the same table.
     """
-    both = existing.withColumn("_load", F.lit(0)).unionByName(
-        incoming.withColumn("_load", F.lit(1)), allowMissingColumns=True
+    month = F.coalesce(F.trunc("date", "month"), F.lit("0001-01-01").cast("date"))
+    # a list of calendar months, short for any history
+    touched = F.array_contains(incoming.agg(F.collect_set(month)).scalar(), month)
+    both = (
+        existing.filter(touched)
+        .withColumn("_load", F.lit(0))
+        .unionByName(incoming.withColumn("_load", F.lit(1)), allowMissingColumns=True)
     )
     rest = [c for c in both.columns if c not in keys and c != "_load"]
     order = [F.desc("_load"), *[F.asc_nulls_last(c) for c in rest]]
-    return newest_per_key(both, order, keys).drop("_load")
+    merged = newest_per_key(both, order, keys).drop("_load")
+    return existing.filter(~touched).unionByName(merged, allowMissingColumns=True)
 
 
 def attach_city_coordinates(rows: DataFrame, cities: DataFrame) -> DataFrame:

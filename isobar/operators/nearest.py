@@ -43,9 +43,10 @@ def _nodes(points: DataFrame) -> DataFrame:
             F.max("slon").alias("east"),
         )
     )
-    child = F.struct(F.col("cx").alias("x"), F.col("cy").alias("y"), "south", "north", "west", "east")
+    child = F.struct("level", F.col("cx").alias("x"), F.col("cy").alias("y"), "south", "north", "west", "east")
     parent = ["level - 1 AS level", f"cx div {SPLIT} AS x", f"cy div {SPLIT} AS y"]
-    return cells.groupBy(*[F.expr(p) for p in parent]).agg(F.collect_list(child).alias("children"))
+    grouped = cells.withColumn("child", child).groupBy(*[F.expr(p) for p in parent])
+    return grouped.agg(F.collect_list("child").alias("children"))
 
 
 def _closest(candidates: DataFrame, city: str) -> DataFrame:
@@ -53,7 +54,7 @@ def _closest(candidates: DataFrame, city: str) -> DataFrame:
     return (
         candidates.selectExpr("*", f"{_NEAR} AS near", f"min({_FAR}) OVER (PARTITION BY `{city}`) AS within")
         .filter(f"near <= within + {MARGIN!r}D")
-        .select(city, "lat", "lon", "x", "y")
+        .select(city, "lat", "lon", "level", "x", "y")
     )
 
 
@@ -78,9 +79,9 @@ def nearest_station(cities: DataFrame, stations: DataFrame, city: str = "city")
     children = nodes.filter(F.col("level") == -1).select("children").scalar()
     located = cities.select(city, "lat", "lon").na.drop()
     candidates = _closest(located.select(city, "lat", "lon", F.inline(children)), city)
-    for level in range(LEVELS - 1):
-        below = nodes.filter(F.col("level") == level).select("x", "y", "children")
-        expanded = candidates.join(below, ["x", "y"]).select(city, "lat", "lon", F.inline("children"))
+    for _ in range(LEVELS - 1):
+        # every level joins the same table, which is computed and exchanged once
+        expanded = candidates.join(nodes, ["level", "x", "y"]).select(city, "lat", "lon", F.inline("children"))
         candidates = _closest(expanded, city)
     distance = F.expr("sqrt((lat - slat) * (lat - slat) + (lon - slon) * (lon - slon))")
     best = F.min(F.struct(distance.alias("distance"), "first.pos", "first.station"))

@@ -28,8 +28,9 @@ TABLE_KEYS = {
     "comparison": ("city", "region", "station", "lat", "lon"),
 }
 
-# A page up to this depth is a bounded top-k; deeper pages number the rows in ranges.
-TOP_K_DEPTH = 50_000
+# A page up to this depth is a top-k, which gathers that many rows of every task in one;
+# deeper pages number the rows in ranges.
+TOP_K_DEPTH = 5_000
 
 
 def sort_columns(table_key: str, df: DataFrame) -> list[str]:
@@ -106,5 +107,6 @@ def display(df: DataFrame) -> DataFrame:
 
     table = df.select(*[cell(name, label) for name, label in shown.items()])
     dated = {"year", "month"} <= shown.keys()
-    order = ["year", "month", "city"] if dated else ["city"]
+    # the columns after the city only split long runs of one city among the sort's tasks
+    order = [*(["year", "month"] if dated else []), "city", "station", "date", "source"]
     return table.orderBy(*[F.asc_nulls_last(f"`{shown[c]}`") for c in order if c in shown])

@@ -243,6 +243,7 @@ DEFAULT_ORDER = {
 
 
 def in_default_order(df: DataFrame, table: str) -> DataFrame:
-    """A gold table sorted for reading (L1)."""
+    """A gold table sorted for reading (L1); equal rows follow by place and source."""
     order = [F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in DEFAULT_ORDER.get(table, [])]
-    return df.orderBy(*order) if order else df
+    ties = [F.asc_nulls_last(c) for c in ("city", "station", "source") if c in df.columns]
+    return df.orderBy(*order, *ties) if order else df

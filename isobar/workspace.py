@@ -1,4 +1,4 @@
-"""The shared folder for checkpoints and intermediate tables.
+"""The shared folder for intermediate tables.
 
 The cluster names it in ``spark.checkpoint.dir``.  Only a local session without that
 setting (tests, a laptop) falls back to a folder of its own.
@@ -7,6 +7,7 @@ setting (tests, a laptop) falls back to a folder of its own.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,12 +20,17 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="isobar-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder once and read it from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and read it from there.
+
+    Lineage ends at the written table, which outlives lost executors; readers take only
+    the columns they need.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

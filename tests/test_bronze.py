@@ -106,6 +106,20 @@ def test_upsert_decides_equal_keys_in_one_load_the_same_way(spark):
     assert keyed(bronze.upsert(empty, raw(spark, new))) == keyed(bronze.upsert(empty, raw(spark, new[::-1])))
 
 
+def test_upsert_leaves_untouched_months_alone(spark):
+    days = "date date, city string, source string, tavg double"
+    old = [(date(2021, m, 1), "A", "aemet", float(m)) for m in range(1, 6)] + [(None, "A", "aemet", 0.0)]
+    new = [(date(2021, 2, 1), "A", "aemet", 20.0), (date(2021, 2, 2), "A", "aemet", 21.0), (None, "A", "aemet", 9.0)]
+    existing, incoming = [bronze.typed(spark.createDataFrame(rows, days)) for rows in (old, new)]
+    got = {str(r.date): r.tavg for r in bronze.upsert(existing, incoming).collect()}
+    assert got == {
+        "2021-01-01": 1.0, "2021-02-01": 20.0, "2021-02-02": 21.0, "2021-03-01": 3.0, "2021-04-01": 4.0,
+        "2021-05-01": 5.0, "None": 9.0,
+    }
+    assert bronze.upsert(existing, incoming).count() == 7
+    assert bronze.upsert(existing, incoming.limit(0)).count() == 6
+
+
 def test_nan_becomes_null(spark):
     assert keyed(raw(spark, [(1, "A", "aemet", float("nan"))])) == [(1, "A", "aemet", None)]
 
@@ -176,4 +190,4 @@ def test_silver_drops_incomplete_rows_and_types_columns(spark):
 def test_materialise_uses_the_named_folder(spark):
     df = materialise(spark.range(5))
     assert df.count() == 5
-    assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
+    assert all(spark.conf.get("spark.checkpoint.dir") in path for path in df.inputFiles())
