@@ -68,7 +68,9 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     def set_up() -> None:
-        for store in (adapter.raw, adapter.silver, adapter.landed_a, adapter.landed_b, adapter.log_records):
+        for store in (
+            adapter.raw, adapter.silver, adapter.two_loads, adapter.landed_a, adapter.landed_b, adapter.log_records
+        ):
             store(spark, sf_dir)
 
     setup = round(seconds(set_up), 4)

@@ -133,6 +133,21 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "silver", write, load)
 
 
+def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """An older stored load (line numbers 1 to 3) and a newer one (from 4), each keyed."""
+
+    def write(part: Column) -> Callable[[str], None]:
+        order = [F.asc(c) for c in LOAD_ORDER]
+        rows = raw_rows(spark, sf_dir).filter(part)
+        return lambda folder: newest_per_key(rows, order).drop(*LOAD_ORDER).write.parquet(folder)
+
+    late = F.col("l_linenumber") >= 4
+    return (
+        _stored(spark, sf_dir, "load-1", write(~late), spark.read.parquet),
+        _stored(spark, sf_dir, "load-2", write(late), spark.read.parquet),
+    )
+
+
 def landed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provider A's rows landed as JSON lines and read back through the file source."""
 

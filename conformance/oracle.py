@@ -486,7 +486,7 @@ ORDER BY city, year LIMIT 50""",
         "page_metadata": answer(
             """SELECT CAST(3 AS BIGINT) AS current_page, (n + 49) // 50 AS total_pages, n AS total_items,
   CAST(50 AS BIGINT) AS items_per_page, 3 < (n + 49) // 50 AS has_next, TRUE AS has_prev,
-  CASE WHEN n > 100 THEN 101 ELSE 0 END AS start_item, CASE WHEN n > 100 THEN LEAST(150, n) ELSE 0 END AS end_item
+  CAST(CASE WHEN n > 100 THEN 101 ELSE 0 END AS BIGINT) AS start_item, CASE WHEN n > 100 THEN LEAST(150, n) ELSE 0 END AS end_item
 FROM (SELECT COUNT(*) AS n FROM summary WHERE region = 'AFRICA') AS c""",
             "summary",
         ),

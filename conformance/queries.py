@@ -84,11 +84,7 @@ def _(spark, d):
 
 @query("bronze_upsert")
 def _(spark, d):
-    rows = A.raw_rows(spark, d)
-    late = F.col("l_linenumber") >= 4
-    order = [F.asc(c) for c in A.LOAD_ORDER]
-    parts = [bronze.newest_per_key(rows.filter(p), order).drop(*A.LOAD_ORDER) for p in (~late, late)]
-    return bronze.upsert(*parts)
+    return bronze.upsert(*A.two_loads(spark, d))
 
 
 @query("bronze_coord_enrich")

@@ -87,7 +87,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str] = RAW_KEY)
 
     ``date`` is one of the keys, so only months that occur in ``incoming`` can change:
     the rest of ``existing`` is passed on without a shuffle.  Two incoming rows with one
-    key are decided by their values, so a repeated run gives the same table.
+    key are decided by their values, so a repeated run gives the same table.  Both sides
+    are read twice: pass stored tables.
     """
     month = F.coalesce(F.trunc("date", "month"), F.lit("0001-01-01").cast("date"))
     # a list of calendar months, short for any history

@@ -1,14 +1,15 @@
 """Nearest station of every city, by Euclidean distance in degrees.
 
-No city meets every station.  Stations are boxed in a grid of four levels, each cell
-split 16 x 16; a cell is known by the bounding box of its stations.  From the top level
+No city meets every station.  Stations are boxed in a grid of three levels, each cell
+split 32 x 32; a cell is known by the bounding box of its stations.  From the top level
 down, a city keeps a cell only while the cell's nearest possible distance does not exceed
 the smallest farthest distance among the city's cells - the rest cannot hold its nearest
 station.  Exact distances are computed in the finest cells that survive.
 
-Sizes: at most 45 top cells under one root, at most 256 children per cell, and per finest cell (40
-arc-seconds) at most about 1,700 distinct positions, since provider positions are whole
-arc-seconds and stations at one position are folded into the first of them beforehand.
+Sizes: at most 45 top cells under one root, at most 1,024 children per cell, and per
+finest cell (158 arc-seconds) at most about 25,000 distinct positions, since provider
+positions are whole arc-seconds and stations at one position are folded into the first
+of them beforehand.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOP_DEGREES = 45.0
-SPLIT = 16
-LEVELS = 4
+SPLIT = 32
+LEVELS = 3
 # Bounds and distances are both rounded doubles; keep cells that tie within this margin.
 MARGIN = 1e-9
 
