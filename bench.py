@@ -39,6 +39,7 @@ HEADLINE = [
     "gold_climate_comparison",
     "gold_min_precipitation",
     "gold_max_precipitation",
+    "gold_layer_from_months",
     "page_summary",
     "kpis",
     "temp_histogram",

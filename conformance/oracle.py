@@ -92,6 +92,12 @@ def _ranks() -> str:
 
 _SHARES = ", ".join(f"{r(f'{n} * 100.0e0 / total_days')} AS pct_{n}" for n in ("hot_days", "cold_days", "rainy_days", "windy_days"))
 
+def _season_top(months: str, direction: str) -> str:
+    return f"""SELECT city, {r('SUM(precip_mm)')} AS insight_precip, mm AS month
+FROM (SELECT *, strftime(date, '%m') AS mm FROM silver) AS x WHERE CAST(mm AS INTEGER) IN ({months})
+GROUP BY city, mm ORDER BY insight_precip {direction} NULLS LAST, city, month LIMIT 5"""
+
+
 # name -> (relations it needs, SELECT)
 RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_rows": (
@@ -196,6 +202,8 @@ FROM silver WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY city, region, sta
         f"""SELECT *, {case(_CLIMATE_RULES, V.COLDEST_CLASS)} AS climate_classification, {_ranks()}, {_SHARES},
   CAST({case(_COMFORT_RULES, V.LOWEST_COMFORT)} AS INTEGER) AS climate_comfort_score FROM profile""",
     ),
+    "wettest_summer": (("silver",), _season_top("6, 7, 8", "DESC")),
+    "driest_winter": (("silver",), _season_top("12, 1, 2", "ASC")),
     "places": (
         ("silver",),
         "SELECT city, MIN(lat) AS lat, MIN(lon) AS lon FROM silver WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY city",
@@ -303,15 +311,6 @@ def _season_radar() -> str:
     )
 
 
-def _season_top(months: str, direction: str) -> str:
-    return answer(
-        f"""SELECT city, {r('SUM(precip_mm)')} AS insight_precip, mm AS month
-FROM (SELECT *, strftime(date, '%m') AS mm FROM silver) AS x WHERE CAST(mm AS INTEGER) IN ({months})
-GROUP BY city, mm ORDER BY insight_precip {direction} NULLS LAST, city, month LIMIT 5""",
-        "silver",
-    )
-
-
 _CAPITAL = "UPPER(SUBSTR(s.city, 1, 1)) || LOWER(SUBSTR(s.city, 2))"
 
 
@@ -437,8 +436,21 @@ FROM (SELECT *, UNNEST(generate_series(0, CASE WHEN apart <= 6 THEN 0 ELSE apart
         "gold_weather_alerts": answer("SELECT * FROM alerts", "alerts"),
         "gold_climate_comparison": answer("SELECT * FROM comparison", "comparison"),
         "gold_climate_comparison_by_range": answer("SELECT * FROM comparison", "comparison"),
-        "gold_min_precipitation": _season_top("6, 7, 8", "DESC"),
-        "gold_max_precipitation": _season_top("12, 1, 2", "ASC"),
+        "gold_layer_from_months": answer(
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, {r(f'SUM({measure})', 6)} AS total FROM {relation}"
+                for name, relation, measure in (
+                    ("city_yearly_summary", "summary", "days"), ("climate_profiles", "profiles", "yearly_precip"),
+                    ("city_extreme_days", "extreme", "total_precip_month"), ("monthly_stats", "monthly", "total_precip"),
+                    ("weather_trends", "trends", "total_precip"), ("seasonal_analysis", "seasonal", "temp_75th_percentile"),
+                    ("min_precipitation", "wettest_summer", "insight_precip"),
+                    ("max_precipitation", "driest_winter", "insight_precip"),
+                )
+            ),
+            "summary", "profiles", "extreme", "monthly", "trends", "seasonal", "wettest_summer", "driest_winter",
+        ),
+        "gold_min_precipitation": answer("SELECT * FROM wettest_summer", "wettest_summer"),
+        "gold_max_precipitation": answer("SELECT * FROM driest_winter", "driest_winter"),
         # ---- serving
         "filter_options": answer(
             """SELECT 'years' AS option, year AS value FROM summary UNION SELECT 'months', LPAD(CAST(month AS VARCHAR), 2, '0')

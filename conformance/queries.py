@@ -17,6 +17,7 @@ from isobar.operators.filters import Filters, apply_filters
 from isobar.operators.nearest import nearest_station
 from isobar.plans import charts, gold, maps, quality
 from isobar.sources import catalog
+from isobar.workspace import materialise
 
 from . import adapter as A
 
@@ -177,6 +178,24 @@ def _(spark, d):
     return gold.climate_comparison(A.silver(spark, d), one_task_rows=0)
 
 
+@query("gold_layer_from_months")
+def _(spark, d):
+    # the tables of the one-pass gold build, counted and summed next to each other
+    months = materialise(gold.station_months(A.silver(spark, d)))
+    parts = [
+        gold.GOLD_TABLES[name](months, gold.MONTHLY).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("row_count"), F.sum(measure).alias("total")
+        )
+        for name, measure in (
+            ("city_yearly_summary", "days"), ("climate_profiles", "yearly_precip"),
+            ("city_extreme_days", "total_precip_month"), ("monthly_stats", "total_precip"),
+            ("weather_trends", "total_precip"), ("seasonal_analysis", "temp_75th_percentile"),
+            ("min_precipitation", "insight_precip"), ("max_precipitation", "insight_precip"),
+        )
+    ]
+    return bronze.union_all([p.withColumn("total", F.round(F.col("total").cast("double"), 6)) for p in parts])
+
+
 # ---- serving reads ---------------------------------------------------------------------
 
 QUERIES["filter_options"] = lambda spark, d: charts.filter_options(summary(spark, d))

@@ -110,3 +110,10 @@ def display(df: DataFrame) -> DataFrame:
     # the columns after the city only split long runs of one city among the sort's tasks
     order = [*(["year", "month"] if dated else []), "city", "station", "date", "source"]
     return table.orderBy(*[F.asc_nulls_last(f"`{shown[c]}`") for c in order if c in shown])
+
+
+def table_view(df: DataFrame, table_key: str, number: int = 1, size: int = 50, filters: Filters | None = None,
+               sort_by: str | None = None, ascending: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The labelled page and its metadata (V6)."""
+    rows = page(df, table_key, number, size, filters, sort_by, ascending)
+    return display(rows), page_metadata(df, number, size, filters)

@@ -31,97 +31,186 @@ def _rounded(aggregate: Column, digits: int, name: str) -> Column:
     return F.round(aggregate, digits).alias(name)
 
 
-def _day_counts(*names: str) -> list[Column]:
-    """Days per class (A9); a day without the measure is in no class."""
-    tests = {
+def _day_tests() -> dict[str, Column]:
+    """The day classes (A9); a day without the measure is in no class."""
+    return {
         "hot_days": F.col("temp_max_c") > V.HOT_DAY_ABOVE,
         "cold_days": F.col("temp_min_c") < V.COLD_DAY_BELOW,
         "rainy_days": F.col("precip_mm") > V.RAINY_DAY_ABOVE,
         "windy_days": F.col("wind_avg_kmh") > V.WINDY_DAY_ABOVE,
         "humid_days": F.col("humidity_percent") > V.HUMID_DAY_ABOVE,
     }
-    return [F.count_if(tests[name]).alias(name) for name in names]
 
 
-def city_yearly_summary(silver: DataFrame) -> DataFrame:
+class Daily:
+    """Aggregates over silver rows."""
+
+    def with_month(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("month", F.month("date"))
+
+    def rows(self) -> Column:
+        return F.count("*")
+
+    def mean(self, measure: str) -> Column:
+        return F.avg(measure)
+
+    def total(self, measure: str) -> Column:
+        return F.sum(measure)
+
+    def highest(self, measure: str) -> Column:
+        return F.max(measure)
+
+    def lowest(self, measure: str) -> Column:
+        return F.min(measure)
+
+    def days(self, name: str) -> Column:
+        return F.count_if(_day_tests()[name])
+
+    def deviation(self) -> Column:
+        return F.stddev_samp("temp_avg_c")
+
+    def quartiles(self) -> Column:
+        return F.percentile("temp_avg_c", [0.75, 0.25])
+
+
+class Monthly:
+    """The same aggregates over ``station_months`` rows, re-summed by any coarser key.
+
+    Deviation and quartiles hold for the station month itself only.
+    """
+
+    def with_month(self, df: DataFrame) -> DataFrame:
+        return df
+
+    def rows(self) -> Column:
+        return F.sum("rows")
+
+    def mean(self, measure: str) -> Column:
+        return F.try_divide(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n"))
+
+    def total(self, measure: str) -> Column:
+        return F.sum(f"{measure}_sum")
+
+    def highest(self, measure: str) -> Column:
+        return F.max(f"{measure}_max")
+
+    def lowest(self, measure: str) -> Column:
+        return F.min(f"{measure}_min")
+
+    def days(self, name: str) -> Column:
+        return F.sum(name)
+
+    def deviation(self) -> Column:
+        return F.any_value("deviation")
+
+    def quartiles(self) -> Column:
+        return F.any_value("quartiles")
+
+
+DAILY, MONTHLY = Daily(), Monthly()
+AVERAGED = (
+    "temp_avg_c", "precip_mm", "humidity_percent", "wind_avg_kmh", "pressure_hpa", "sunshine_min", "snow_depth_cm",
+    "lat", "lon",
+)
+
+
+def station_months(silver: DataFrame) -> DataFrame:
+    """Everything the tables by month, year or city need, per station and month.
+
+    Built once, it replaces one pass over silver for each table of ``FROM_MONTHS``.
+    """
+    return DAILY.with_month(silver).groupBy(*STATION_MONTH).agg(
+        DAILY.rows().alias("rows"),
+        *[F.sum(m).alias(f"{m}_sum") for m in AVERAGED],
+        *[F.count(m).alias(f"{m}_n") for m in AVERAGED],
+        F.max("temp_max_c").alias("temp_max_c_max"),
+        F.min("temp_min_c").alias("temp_min_c_min"),
+        *[DAILY.days(name).alias(name) for name in _day_tests()],
+        DAILY.deviation().alias("deviation"),
+        DAILY.quartiles().alias("quartiles"),
+    )
+
+
+def city_yearly_summary(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFrame:
     """Monthly means, extremes and totals per station (A1); the grain is the month."""
-    by_month = silver.withColumn("month", F.month("date")).groupBy(*STATION_MONTH)
-    return by_month.agg(
-        F.count("*").alias("days"),
-        _rounded(F.avg("temp_avg_c"), 2, "avg_temp"),
-        _rounded(F.max("temp_max_c"), 2, "max_temp"),
-        _rounded(F.min("temp_min_c"), 2, "min_temp"),
-        _rounded(F.sum("precip_mm"), 2, "total_precip"),
-        _rounded(F.sum("sunshine_min"), 2, "total_sunshine"),
-        _rounded(F.avg("humidity_percent"), 2, "avg_humidity"),
-        _rounded(F.avg("lat"), 6, "lat"),
-        _rounded(F.avg("lon"), 6, "lon"),
+    return use.with_month(silver).groupBy(*STATION_MONTH).agg(
+        use.rows().alias("days"),
+        _rounded(use.mean("temp_avg_c"), 2, "avg_temp"),
+        _rounded(use.highest("temp_max_c"), 2, "max_temp"),
+        _rounded(use.lowest("temp_min_c"), 2, "min_temp"),
+        _rounded(use.total("precip_mm"), 2, "total_precip"),
+        _rounded(use.total("sunshine_min"), 2, "total_sunshine"),
+        _rounded(use.mean("humidity_percent"), 2, "avg_humidity"),
+        _rounded(use.mean("lat"), 6, "lat"),
+        _rounded(use.mean("lon"), 6, "lon"),
     )
 
 
-def climate_profiles(silver: DataFrame) -> DataFrame:
+def climate_profiles(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFrame:
     """One profile per city (A2); ``yearly_precip`` is the total over all years."""
     return silver.groupBy("city").agg(
-        _rounded(F.avg("temp_avg_c"), 1, "avg_temp"),
-        F.max("temp_max_c").alias("record_high"),
-        F.min("temp_min_c").alias("record_low"),
-        F.sum("precip_mm").alias("yearly_precip"),
-        F.avg("sunshine_min").alias("avg_sunshine"),
-        _rounded(F.avg("humidity_percent"), 1, "avg_humidity"),
+        _rounded(use.mean("temp_avg_c"), 1, "avg_temp"),
+        use.highest("temp_max_c").alias("record_high"),
+        use.lowest("temp_min_c").alias("record_low"),
+        use.total("precip_mm").alias("yearly_precip"),
+        use.mean("sunshine_min").alias("avg_sunshine"),
+        _rounded(use.mean("humidity_percent"), 1, "avg_humidity"),
     )
 
 
-def city_extreme_days(silver: DataFrame) -> DataFrame:
+def city_extreme_days(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFrame:
     """Monthly extremes per station (A3)."""
-    by_month = silver.withColumn("month", F.month("date")).groupBy(*STATION_MONTH)
-    return by_month.agg(
-        _rounded(F.max("temp_max_c"), 2, "max_temp_month"),
-        _rounded(F.min("temp_min_c"), 2, "min_temp_month"),
-        _rounded(F.sum("precip_mm"), 2, "total_precip_month"),
+    return use.with_month(silver).groupBy(*STATION_MONTH).agg(
+        _rounded(use.highest("temp_max_c"), 2, "max_temp_month"),
+        _rounded(use.lowest("temp_min_c"), 2, "min_temp_month"),
+        _rounded(use.total("precip_mm"), 2, "total_precip_month"),
     )
 
 
-def monthly_stats(silver: DataFrame) -> DataFrame:
+def _month_as_text() -> Column:
+    return F.lpad(F.col("month").cast("string"), 2, "0")
+
+
+def monthly_stats(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFrame:
     """Monthly figures per city; year and month are text (A4)."""
-    by_month = silver.withColumn("month", X.month_text(F.col("date"))).groupBy("city", "year", "month")
+    by_month = use.with_month(silver).groupBy("city", "year", _month_as_text().alias("month"))
     return by_month.agg(
-        _rounded(F.avg("temp_avg_c"), 2, "avg_temp"),
-        F.sum("precip_mm").alias("total_precip"),
-        F.avg("sunshine_min").alias("avg_sunshine"),
-        F.avg("snow_depth_cm").alias("avg_snow_depth"),
+        _rounded(use.mean("temp_avg_c"), 2, "avg_temp"),
+        use.total("precip_mm").alias("total_precip"),
+        use.mean("sunshine_min").alias("avg_sunshine"),
+        use.mean("snow_depth_cm").alias("avg_snow_depth"),
     )
 
 
-def weather_trends(silver: DataFrame) -> DataFrame:
+def weather_trends(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFrame:
     """Yearly figures per city (A5)."""
     return silver.groupBy("city", "year").agg(
-        _rounded(F.avg("temp_avg_c"), 2, "avg_temp"), F.sum("precip_mm").alias("total_precip")
+        _rounded(use.mean("temp_avg_c"), 2, "avg_temp"), use.total("precip_mm").alias("total_precip")
     )
 
 
-def seasonal_analysis(silver: DataFrame) -> DataFrame:
+def seasonal_analysis(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFrame:
     """Monthly distribution figures per station, with the season.
 
     The exact percentiles hold one group's distinct temperatures in memory: a city, year
     and month has at most 31 days per source, by the key of the raw table.
     """
-    dated = silver.na.drop(subset=["temp_avg_c", "date"]).withColumns(
-        {"year": F.year("date").cast("long"), "month": F.month("date").cast("long")}
-    )
-    grouped = dated.groupBy(*STATION_MONTH).agg(
-        F.avg("temp_avg_c").alias("avg_temp_season"),
-        F.max("temp_max_c").alias("max_temp_season"),
-        F.min("temp_min_c").alias("min_temp_season"),
-        F.sum("precip_mm").alias("total_precip_season"),
-        F.avg("humidity_percent").alias("avg_humidity_season"),
-        F.avg("wind_avg_kmh").alias("avg_wind_season"),
-        F.avg("pressure_hpa").alias("avg_pressure_season"),
-        F.sum("sunshine_min").alias("total_sunshine_season"),
-        F.avg("snow_depth_cm").alias("avg_snow_season"),
-        F.count("*").alias("total_days"),
-        *_day_counts("hot_days", "cold_days", "rainy_days", "windy_days", "humid_days"),
-        F.stddev_samp("temp_avg_c").alias("temp_variability"),
-        F.percentile("temp_avg_c", [0.75, 0.25]).alias("_quartiles"),
+    if use is DAILY:
+        silver = silver.na.drop(subset=["temp_avg_c", "date"]).withColumn("year", F.year("date"))
+    grouped = use.with_month(silver).groupBy(*STATION_MONTH).agg(
+        use.mean("temp_avg_c").alias("avg_temp_season"),
+        use.highest("temp_max_c").alias("max_temp_season"),
+        use.lowest("temp_min_c").alias("min_temp_season"),
+        use.total("precip_mm").alias("total_precip_season"),
+        use.mean("humidity_percent").alias("avg_humidity_season"),
+        use.mean("wind_avg_kmh").alias("avg_wind_season"),
+        use.mean("pressure_hpa").alias("avg_pressure_season"),
+        use.total("sunshine_min").alias("total_sunshine_season"),
+        use.mean("snow_depth_cm").alias("avg_snow_season"),
+        use.rows().alias("total_days"),
+        *[use.days(name).alias(name) for name in _day_tests()],
+        use.deviation().alias("temp_variability"),
+        use.quartiles().alias("_quartiles"),
     )
     finished = grouped.withColumns(
         {
@@ -172,7 +261,7 @@ def station_profile(silver: DataFrame) -> DataFrame:
         F.avg("pressure_hpa").alias("avg_pressure_city"),
         F.sum("sunshine_min").alias("total_sunshine_city"),
         F.count("*").alias("total_days"),
-        *_day_counts("hot_days", "cold_days", "rainy_days", "windy_days"),
+        *[DAILY.days(name).alias(name) for name in ("hot_days", "cold_days", "rainy_days", "windy_days")],
     )
 
 
@@ -194,34 +283,34 @@ def climate_comparison(silver: DataFrame, one_task_rows: int = ONE_TASK_ROWS) ->
     return conform(finished, GOLD_SCHEMAS["climate_comparison"])
 
 
-def _season_precipitation(silver: DataFrame, season: str) -> DataFrame:
-    in_season = silver.filter(F.month("date").isin(*V.SEASON_MONTHS[season]))
+def _season_precipitation(silver: DataFrame, season: str, use: Daily | Monthly) -> DataFrame:
+    in_season = use.with_month(silver).filter(F.col("month").isin(*V.SEASON_MONTHS[season]))
     return (
-        in_season.groupBy("city", X.month_text(F.col("date")).alias("month"))
-        .agg(_rounded(F.sum("precip_mm"), 2, "insight_precip"))
+        in_season.groupBy("city", _month_as_text().alias("month"))
+        .agg(_rounded(use.total("precip_mm"), 2, "insight_precip"))
         .select("city", "insight_precip", "month")
     )
 
 
-def min_precipitation(silver: DataFrame) -> DataFrame:
+def min_precipitation(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFrame:
     """The five largest summer totals (A8, L2); the table is named for the season's dryness."""
     return (
-        _season_precipitation(silver, "Verano")
+        _season_precipitation(silver, "Verano", use)
         .orderBy(F.desc_nulls_last("insight_precip"), "city", "month")
         .limit(INSIGHT_ROWS)
     )
 
 
-def max_precipitation(silver: DataFrame) -> DataFrame:
+def max_precipitation(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFrame:
     """The five smallest winter totals (A8, L2); the table is named for the season's wetness."""
     return (
-        _season_precipitation(silver, "Invierno")
+        _season_precipitation(silver, "Invierno", use)
         .orderBy(F.asc_nulls_last("insight_precip"), "city", "month")
         .limit(INSIGHT_ROWS)
     )
 
 
-GOLD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
+GOLD_TABLES: dict[str, Callable[..., DataFrame]] = {
     "city_yearly_summary": city_yearly_summary,
     "climate_profiles": climate_profiles,
     "city_extreme_days": city_extreme_days,
@@ -234,6 +323,12 @@ GOLD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "max_precipitation": max_precipitation,
 }
 
+# Tables that can be built from station_months with MONTHLY instead of from silver.
+FROM_MONTHS = (
+    "city_yearly_summary", "climate_profiles", "city_extreme_days", "monthly_stats", "weather_trends",
+    "seasonal_analysis", "min_precipitation", "max_precipitation",
+)
+
 # Reading order of the tables that have one (L1); NULL metrics last.
 DEFAULT_ORDER = {
     "climate_comparison": [("region", True), ("avg_temp_city", False)],

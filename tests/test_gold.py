@@ -32,6 +32,24 @@ def test_monthly_summary(spark):
     assert (row["total_precip"], row["avg_humidity"]) == (51.0, 71.67)
 
 
+@pytest.mark.parametrize("name", gold.FROM_MONTHS)
+def test_tables_from_station_months_equal_those_from_silver(spark, name):
+    rng = random.Random(9)
+    rows = [
+        {"date": date(2020 + i % 2, 1 + i % 12, 1 + i % 28), "city": f"c{i % 3}", "station": f"S{i % 5}",
+         "temp_avg_c": rng.randint(-20, 80) / 2, "temp_max_c": float(rng.randint(20, 45)), "temp_min_c": float(rng.randint(-9, 9)),
+         "precip_mm": rng.choice([None, 0.0, 12.5, 40.0]), "humidity_percent": rng.choice([None, 50.0, 90.0]),
+         "snow_depth_cm": rng.choice([None, None, 3.0]), "lat": rng.choice([None, 36.5, 37.0])}
+        for i in range(400)
+    ]
+    df = silver(spark, *rows)
+    direct, shared = gold.GOLD_TABLES[name](df), gold.GOLD_TABLES[name](gold.station_months(df), gold.MONTHLY)
+    assert types(direct) == types(shared)
+    rounded = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in direct.dtypes]
+    assert direct.select(rounded).exceptAll(shared.select(rounded)).count() == 0
+    assert direct.count() == shared.count()
+
+
 def test_two_sources_count_as_two_days(spark):
     df = silver(spark, {"source": "aemet"}, {"source": "meteostat"})
     assert one(gold.city_yearly_summary(df))["days"] == 2

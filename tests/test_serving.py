@@ -121,6 +121,11 @@ def test_display(spark, summary, base):
     assert tuple(paging.display(rounded).first()) == ("A", 7.23456, 1.23)
 
 
+def test_table_view(summary):
+    rows, about = paging.table_view(summary, "summary", 2, 10, Filters(region="Cataluña"), sort_by="city")
+    assert rows.count() == 10 and one(about)["total_items"] == 24 and "Ciudad" in rows.columns
+
+
 def test_kpis(spark, summary):
     row = one(charts.kpis(summary))
     assert row["avg_temp"] == pytest.approx(57 / 4)
