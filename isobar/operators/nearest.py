@@ -28,14 +28,14 @@ _NEAR = """sqrt(power(greatest(south - lat, 0D, lat - north), 2) + power(greates
 _FAR = """sqrt(power(greatest(lat - south, north - lat), 2) + power(greatest(lon - west, east - lon), 2))"""
 
 
-def _nodes(points: DataFrame) -> DataFrame:
+def _nodes(gridded: DataFrame) -> DataFrame:
     """Every cell (level, x, y) with its child cells and their boxes; the root is level -1."""
     levels = [
         f"struct({k} AS level, x div {SPLIT ** (LEVELS - 1 - k)} AS cx, y div {SPLIT ** (LEVELS - 1 - k)} AS cy)"
         for k in range(LEVELS)
     ]
     cells = (
-        points.selectExpr("slat", "slon", f"inline(array({', '.join(levels)}))")
+        gridded.selectExpr("slat", "slon", f"inline(array({', '.join(levels)}))")
         .groupBy("level", "cx", "cy")
         .agg(
             F.min("slat").alias("south"),
@@ -65,17 +65,16 @@ def nearest_station(cities: DataFrame, stations: DataFrame, city: str = "city")
     ``stations`` has station, lat, lon, pos; rows without a position are left out.  On
     equal distances the smallest ``pos`` wins.
     """
-    points = (
-        stations.na.drop(subset=["lat", "lon"])
-        .groupBy(F.col("lat").alias("slat"), F.col("lon").alias("slon"))
-        .agg(F.min(F.struct("pos", "station")).alias("first"))
-        .selectExpr(
-            "*",
-            f"floor((slon + 180D) / {_FINEST_DEGREES!r}D) AS x",
-            f"floor((slat + 90D) / {_FINEST_DEGREES!r}D) AS y",
-        )
+    gridded = stations.na.drop(subset=["lat", "lon"]).selectExpr(
+        "station",
+        "pos",
+        "lat AS slat",
+        "lon AS slon",
+        f"floor((lon + 180D) / {_FINEST_DEGREES!r}D) AS x",
+        f"floor((lat + 90D) / {_FINEST_DEGREES!r}D) AS y",
     )
-    nodes = _nodes(points)
+    points = gridded.groupBy("x", "y", "slat", "slon").agg(F.min(F.struct("pos", "station")).alias("first"))
+    nodes = _nodes(gridded)
     # the one root row is a value, not a join side
     children = nodes.filter(F.col("level") == -1).select("children").scalar()
     located = cities.select(city, "lat", "lon").na.drop()

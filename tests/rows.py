@@ -1,5 +1,7 @@
 """Small hand-made inputs."""
 
+import contextlib
+import io
 from datetime import date, datetime
 
 from isobar.schemas import SILVER_SCHEMA
@@ -31,3 +33,10 @@ def types(df_or_schema):
     """Names and types without nullability."""
     schema = getattr(df_or_schema, "schema", df_or_schema)
     return [(f.name, f.dataType) for f in schema]
+
+
+def plan(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()

@@ -1,32 +1,15 @@
 """What the physical plans must and must not contain."""
 
-import contextlib
-import io
-
-import pytest
 from pyspark.sql import functions as F
 
-from conformance.queries import QUERIES
 from conformance import adapter
 from isobar.operators import paging
 from isobar.operators.filters import Filters, apply_filters
 from isobar.plans import gold
 
-SMALL = "/root/testdata/sf0.001"
-
+from rows import plan
 
-def plan(df) -> str:
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_cross_join(spark, name):
-    text = plan(QUERIES[name](spark, SMALL))
-    for word in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert word not in text, (name, word)
+SMALL = "/root/testdata/sf0.001"
 
 
 def test_duplicates_are_cut_before_the_shuffle(spark):
