@@ -60,7 +60,7 @@ def _closest(candidates: DataFrame, city: str) -> DataFrame:
 
 
 def nearest_station(cities: DataFrame, stations: DataFrame, city: str = "city") -> DataFrame:
-    """Station id and distance for each row of ``cities`` (columns ``city``, lat, lon).
+    """Station id and distance for each city; ``cities`` has one row per ``city``, lat, lon.
 
     ``stations`` has station, lat, lon, pos; rows without a position are left out.  On
     equal distances the smallest ``pos`` wins.

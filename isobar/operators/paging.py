@@ -30,7 +30,7 @@ TABLE_KEYS = {
 
 # A page up to this depth is a top-k, which gathers that many rows of every task in one;
 # deeper pages number the rows in ranges.
-TOP_K_DEPTH = 5_000
+TOP_K_DEPTH = 2_000
 
 
 def sort_columns(table_key: str, df: DataFrame) -> list[str]:

@@ -10,7 +10,7 @@ from isobar.operators.silver import clean
 from isobar.schemas import RAW_SCHEMA, SILVER_SCHEMA
 from isobar.sources.config import load_settings
 from isobar.sources.landing import read_provider_a, read_provider_b, read_station_inventory
-from isobar.workspace import materialise
+from isobar.workspace import materialise, shared_folder
 
 from rows import types
 
@@ -191,3 +191,24 @@ def test_materialise_uses_the_named_folder(spark):
     df = materialise(spark.range(5))
     assert df.count() == 5
     assert all(spark.conf.get("spark.checkpoint.dir") in path for path in df.inputFiles())
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
