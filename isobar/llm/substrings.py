@@ -32,9 +32,9 @@ from isobar.workspace import materialise
 from . import text as X
 
 GRAM = 3
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 #: Buckets for each shuffle partition, and frequent grams that are looked for, also for each.
-BUCKETS, FREQUENT = 4, 20
+BUCKETS, FREQUENT = 1, 20
 MARK = "doc_id long, text_hash long, start int, count int"
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD))
 _TOP = np.uint64(1) << np.uint64(63)
@@ -169,8 +169,8 @@ def _super_kmers(window: int, buckets: int, frequent: np.ndarray):
             place = start - found.bounds[doc]
             order_of = _document_order(chunk)
             # equal strings: the first stays, the others repeat it whole
-            h = X.hashes(found.vocabulary)[found.codes]
-            sums = np.add.reduceat(_mixed(h[X.gather(start, sizes)] + X.spread(sizes).astype(np.uint64) * _A), np.cumsum(sizes) - sizes)
+            running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(X.hashes(found.vocabulary)[found.codes]))])
+            sums = running[start + sizes] - running[start] ^ least[start]
             order = np.lexsort((place, order_of[doc], sizes, sums))
             repeats = np.zeros(len(order), bool)
             a, b = order[:-1], order[1:]
@@ -190,9 +190,14 @@ def _super_kmers(window: int, buckets: int, frequent: np.ndarray):
                     docs, number = np.unique(doc[own], return_inverse=True)
                     listed = [names[0][docs], names[1][docs], names[2][docs], X.narrow(number), X.narrow(place[own])]
                     if sign > 0:
-                        used, codes = np.unique(found.codes[X.gather(start[own], sizes[own])], return_inverse=True)
+                        codes = found.codes[X.gather(start[own], sizes[own])]
+                        times = np.bincount(codes, minlength=len(found.vocabulary))
+                        used = np.flatnonzero(times)
+                        used = used[np.argsort(-times[used], kind="stable")]  # frequent words get short codes
+                        times[used] = np.arange(len(used))
+                        codes = times[codes].astype(np.uint32)
                         vocabulary = X.joined([found.vocabulary[c] for c in used.tolist()])
-                        listed += [X.narrow(sizes[own]), X.narrow(codes), *vocabulary]
+                        listed += [X.narrow(sizes[own]), (codes & np.uint32(255)).astype(np.uint8), X.narrow(codes >> np.uint32(8)), *vocabulary]
                     else:
                         listed += [X.narrow(windows[own])]
                     out_bucket.append(int(bucket[own[0]]) if sign > 0 else -1 - int(bucket[own[0]]))
@@ -204,10 +209,11 @@ def _super_kmers(window: int, buckets: int, frequent: np.ndarray):
 
 def _window_keys(codes: np.ndarray, heads: np.ndarray, window: int) -> np.ndarray:
     """A hash of the ``window`` codes from each of ``heads`` on."""
-    words = _mixed((codes.astype(np.uint64) + np.uint64(1)) * _A)
+    words = _mixed((np.arange(codes.max() + 1 if len(codes) else 0).astype(np.uint64) + np.uint64(1)) * _A)
     key = np.zeros(len(heads), np.uint64)
     for i in range(window):
-        key = key * _B + words[heads + i]
+        key *= _B
+        key += words[codes[heads + i]]
     return _mixed(key)
 
 
@@ -222,9 +228,9 @@ def repeated_windows(codes: np.ndarray, start: np.ndarray, windows: np.ndarray,
     Super-k-mer i has ``windows[i]`` windows from ``codes[start[i]]`` on; it stands at ``place[i]``
     of the document that comes ``order[i]``-th.
     """
-    by = np.lexsort((place, order))
-    heads, number = X.gather(start[by], windows[by]), np.repeat(by, windows[by])
-    places = X.gather(place[by], windows[by])
+    by = np.lexsort((place, order)).astype(np.int32)
+    heads, number = X.gather(start[by].astype(np.int32), windows[by]).astype(np.int32), np.repeat(by, windows[by])
+    places = X.gather(place[by].astype(np.int32), windows[by]).astype(np.int32)
     keys = _window_keys(codes, heads, window)
     for exact in (False, True):
         sorted_ = np.argsort(keys, kind="stable")
@@ -259,14 +265,13 @@ def _judged(window: int):
         first_doc = np.cumsum([0, *(len(p[0]) for p in parts)])
         doc = np.concatenate([p[3].astype(np.int64) + d for p, d in zip(parts, first_doc)])
         place, sizes = (np.concatenate([p[i].astype(np.int64) for p in parts]) for i in (4, 5))
-        numbers: dict[bytes, int] = {}
-        codes = []
-        for p in parts:
-            own = np.fromiter((numbers.setdefault(w, len(numbers)) for w in X.parted(p[7], p[8])), np.int64, len(p[8]))
-            codes.append(own[p[6]])
+        lengths = np.concatenate([p[9] for p in parts]).astype(np.int64)
+        listed, _ = X.distinct(np.concatenate([p[8] for p in parts]), np.cumsum(lengths) - lengths, int(lengths.sum()))
+        first_word = np.cumsum([0, *(len(p[9]) for p in parts)])
+        codes = np.concatenate([listed[w + p[6] + (p[7].astype(np.int64) << 8)] for p, w in zip(parts, first_word)])
         order = _ranks(~null.astype(bool), ids, hashes)
         start = np.cumsum(sizes) - sizes
-        kmer, at = repeated_windows(np.concatenate(codes), start, sizes - window + 1, order[doc], place, window)
+        kmer, at = repeated_windows(codes, start, sizes - window + 1, order[doc], place, window)
         if not len(kmer):
             return None
         by = np.lexsort((at, kmer))

@@ -122,19 +122,23 @@ def hashes(vocabulary: list[bytes]) -> np.ndarray:
 def spread(counts: np.ndarray) -> np.ndarray:
     """0, 1, .., c - 1 for each count c, one after another."""
     ends = np.cumsum(counts)
-    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+    out = np.arange(ends[-1] if len(ends) else 0)
+    out -= np.repeat(ends - counts, counts)
+    return out
 
 
 def gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The positions start, start + 1, .. of each span, one after another."""
-    return np.repeat(starts, counts) + spread(counts)
+    out = spread(counts)
+    out += np.repeat(starts, counts)
+    return out
 
 
 def pack(*arrays: np.ndarray) -> bytes:
     """One compressed byte string that holds the arrays."""
     heads = np.array([[ord(a.dtype.kind), a.dtype.itemsize, a.size] for a in arrays], "<i8")
     body = b"".join([np.array([len(arrays)], "<i8").tobytes(), heads.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
-    return zstandard.ZstdCompressor(level=1).compress(body)
+    return zstandard.ZstdCompressor(level=3).compress(body)
 
 
 def unpack(packed: bytes) -> list[np.ndarray]:
