@@ -7,11 +7,12 @@ after each step a pair is dropped when the posterior probability that its simila
 the threshold is below ``MISS``.  Pairs that are left are confirmed on their full sets.
 
 No group emits its pairs.  Each member of a band's group is first compared with the group's
-least member only.  Confirmed links make components, and a second pass compares only those
-members of a group that are still in different components: the members of its largest
-component against the others, and the others among themselves, in tiles of bounded size
-inside the tasks.  A group of thousands of near copies is one component by then.  So every
-candidate pair is either compared or already connected.
+centre only.  Pairs that are left connect documents, and only members of a group that are not
+connected yet are compared further: those of its largest part against the others, and the others
+among themselves, in tiles of bounded size inside the tasks, which give fewer links than they
+have members.  So every candidate pair is compared or already connected, and similar documents
+end in one cluster.  Inside the clusters, far smaller than the corpus, the same two steps are
+taken with the full sets: centres first, then whatever confirmed links have not connected.
 
 With similarity s, a pair shares no band with probability (1 - s**ROWS)**BANDS: below 7e-7 at 0.8.
 
@@ -27,7 +28,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.workspace import materialise
@@ -36,7 +37,7 @@ from . import text as X
 
 BANDS, ROWS = 36, 5
 HASHES = BANDS * ROWS
-STEP, MISS = 20, 1e-7
+STEP, MISS = 20, 1e-6
 #: Members of a tile's side.
 TILE = 256
 _rng = np.random.default_rng(20240229)
@@ -156,23 +157,43 @@ def _pruned(least: np.ndarray):
     return prune
 
 
-def _tile_pairs(least: np.ndarray):
-    """Pairs of different components in each tile that no step drops; rows come sorted by tile.
+def _tile_links(least: np.ndarray, percent: int | None):
+    """Links across components in each tile; rows come sorted by tile.
 
-    A tile has members of side 0 (all of one component) and side 1; side 1 is also compared
-    with itself where ``inner`` says so, to do that once.
+    Sides 0 and 1 of a tile are compared, and 1 and 2; side 1 also with itself where ``inner``
+    says so.  With ``percent`` a link is a pair confirmed on the full sets, and pairs that links
+    have connected are left out.  Without, links are estimates that keep connected what no step
+    drops; either way a tile gives fewer links than it has members.
     """
 
+    def compared(left: list[dict], right: list[dict], roots: dict[int, int]) -> Iterator[tuple[int, int]]:
+        def root(x: int) -> int:
+            while roots.setdefault(x, x) != x:
+                roots[x] = x = roots.setdefault(roots[x], roots[x])
+            return x
+
+        ca, cb = (np.array([r["component"] for r in x]) for x in (left, right))
+        i, j = np.nonzero((ca[:, None] != cb[None, :]) & (np.triu(np.ones((len(ca), len(cb)), bool), 1) if left is right else True))
+        sa, sb = (np.frombuffer(b"".join(r["signature"] for r in x), np.uint8).reshape(-1, HASHES) for x in (left, right))
+        for k in range(0, len(i), 4096):
+            at = survivors(sa[i[k : k + 4096]], sb[j[k : k + 4096]], least) + k
+            for x, y in zip(i[at].tolist(), j[at].tolist()):
+                a, b = left[x], right[y]
+                ends = (a["component"], b["component"]) if percent else (a["node"], b["node"])
+                ra, rb = root(ends[0]), root(ends[1])
+                if ra != rb and (not percent or _similar(a["hashes"], b["hashes"], percent)):
+                    roots[ra] = rb
+                    yield a["node"], b["node"]
+
     def close(rows: list[dict]) -> Iterator[tuple[int, int]]:
-        sides = [[r for r in rows if r["side"] == k] for k in (0, 1, 2)]
+        sides, roots = [[r for r in rows if r["side"] == k] for k in (0, 1, 2)], {}
         for left, right in ((0, 1), (1, 2)):
-            a, b = sides[left], sides[right]
-            if a and b:
-                yield from _compared(a, b, least)
-        if sides[1] and not sides[2] and sides[1][0]["inner"]:
-            yield from _compared(sides[1], sides[1], least)
+            if sides[left] and sides[right]:
+                yield from compared(sides[left], sides[right], roots)
+        if sides[1] and sides[1][0]["inner"]:
+            yield from compared(sides[1], sides[1], roots)
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, rows = None, []
         for batch in batches:
             found = []
@@ -181,25 +202,69 @@ def _tile_pairs(least: np.ndarray):
                     found += close(rows)
                     tile, rows = row["tile"], []
                 rows.append(row)
-            yield _pair_batch(found)
-        yield _pair_batch(list(close(rows)))
+            yield _link_batch(found)
+        yield _link_batch(list(close(rows)))
 
-    return pairs
+    return links
 
 
-def _pair_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+def _link_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*found) if found else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _compared(left: list[dict], right: list[dict], least: np.ndarray) -> Iterator[tuple[int, int]]:
-    a, b = (np.array([r["node"] for r in x]) for x in (left, right))
-    ca, cb = (np.array([r["component"] for r in x]) for x in (left, right))
-    i, j = np.nonzero((ca[:, None] != cb[None, :]) & ((a[:, None] < b[None, :]) if left is right else True))
-    sa, sb = (np.frombuffer(b"".join(r["signature"] for r in x), np.uint8).reshape(-1, HASHES) for x in (left, right))
-    for k in range(0, len(i), 4096):
-        at = survivors(sa[i[k : k + 4096]], sb[j[k : k + 4096]], least) + k
-        yield from zip(np.minimum(a[i[at]], b[j[at]]).tolist(), np.maximum(a[i[at]], b[j[at]]).tolist())
+def _similar(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two sorted sets of hashes share at least ``percent`` of their union."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(a) > len(b):
+        a, b = b, a
+    if 100 * len(a) < percent * len(b):
+        return False
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def tiled(members: DataFrame, group: list[str]) -> DataFrame:
+    """Members (node, component) of each group in tiles that meet every two components.
+
+    A group with one component gives nothing.  Its largest component is cut into blocks, and so
+    are the others together; each block of the first meets each of the others, and the others
+    meet among themselves.  A member is copied once per block that it meets.
+    """
+    parts = members.groupBy(*group, "component").agg(F.count("*").alias("n"))
+    groups = (
+        parts.groupBy(*group)
+        .agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("parts"))
+        .where("parts > 1")
+        .select(
+            *group,
+            F.col("main.component").alias("main"),
+            F.ceil(F.col("main.n") / TILE).cast("int").alias("main_blocks"),
+            F.ceil((F.col("n") - F.col("main.n")) / TILE).cast("int").alias("blocks"),
+        )
+    )
+    is_main = F.col("component") == F.col("main")
+    own = F.pmod(F.hash("node"), F.when(is_main, F.col("main_blocks")).otherwise(F.col("blocks")))
+    placed = members.join(groups, group).withColumn("own", own)
+
+    def tile(x: Column, y: Column, side: Column, inner: Column) -> Column:
+        return F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), side.cast("int").alias("side"), inner.alias("inner"))
+
+    def upto(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    # tile (m, i): block m of the main component against block i of the others, and in (0, i) also
+    # block i against itself; tile (-1 - i, j): blocks i < j of the others
+    across = F.transform(upto("blocks"), lambda i: tile(F.col("own"), i, F.lit(0), F.lit(False)))
+    to_main = F.transform(upto("main_blocks"), lambda m: tile(m, F.col("own"), F.lit(1), m == 0))
+    among = F.transform(
+        F.filter(upto("blocks"), lambda j: j != F.col("own")),
+        lambda j: tile(-1 - F.least(F.col("own"), j), F.greatest(F.col("own"), j), F.when(F.col("own") < j, 1).otherwise(2), F.lit(False)),
+    )
+    tiles = F.when(is_main, across).otherwise(F.concat(to_main, among))
+    return placed.select(*group, "node", "component", F.inline(tiles)).select(
+        F.concat_ws(":", *group, "x", "y").alias("tile"), "node", "component", "side", "inner"
+    )
 
 
 def _sets(size: int):
@@ -218,13 +283,7 @@ def _sets(size: int):
 def _confirmed(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for x, y in zip(batch["set_a"], batch["set_b"]):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-                kept.append(100 * both >= percent * (len(a) + len(b) - both))
+            kept = [_similar(x.as_py(), y.as_py(), percent) for x, y in zip(batch["set_a"], batch["set_b"])]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     return confirm
@@ -269,64 +328,53 @@ class _Search:
             F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature"), F.first("bands").alias("bands")
         )
         self.classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()))
-        self.members = self.classes.select("node", F.posexplode("bands").alias("band", "key"))
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are similar enough."""
-        pairs = materialise(pairs.distinct())
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = materialise(wanted.join(self.classes.select("node", "doc_id", "digest"), "node"))
-        texts = self.texts.withColumnRenamed("doc_id", "own_id")
-        same = F.col("own_id").eqNullSafe(F.col("doc_id"))
-        sets = texts.join(wanted, same).select("node", "digest", "text").mapInArrow(_sets(self.size), "node long, hashes binary")
-        sets = materialise(sets.dropDuplicates(["node"]))
-        a, b = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"set_{c}")) for c in "ab")
-        full = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-        return materialise(full.mapInArrow(_confirmed(self.percent), "a long, b long"))
+        members = self.classes.select("node", F.posexplode("bands").alias("band", "key"))
+        groups = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+        self.shared = materialise(members.join(groups, ["band", "key"]))
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """The shingle hashes of some classes, in the shared folder.
+
+        The wanted classes grow with the corpus, so the join is planned for many at any size.
+        """
+        wanted = materialise(nodes.join(self.classes.select("node", "doc_id", "digest"), "node"))
+        texts = self.texts.withColumnRenamed("doc_id", "own_id").hint("merge")
+        found = texts.join(wanted, F.col("own_id").eqNullSafe(F.col("doc_id"))).select("node", "digest", "text")
+        return materialise(found.mapInArrow(_sets(self.size), "node long, hashes binary").dropDuplicates(["node"]))
 
     def star_pairs(self) -> DataFrame:
-        """Each member of a band's group with the least member."""
-        groups = self.members.groupBy("band", "key").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a != most")
-        pairs = self.members.join(groups, ["band", "key"]).where("node != a").select("a", F.col("node").alias("b")).distinct()
+        """Each member of a band's group with the group's centre.
+
+        The centre is the member whose bands are shared most: of near copies of one text, the
+        text itself, which copies resemble more than each other.
+        """
+        shared = self.shared.groupBy("node").agg(F.sum("n").alias("score"))
+        scored = self.shared.join(shared, "node")
+        centres = scored.groupBy("band", "key").agg(F.max(F.struct("score", "node"))["node"].alias("a"))
+        pairs = self.shared.join(centres, ["band", "key"]).where("node != a")
+        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         sig_a, sig_b = (self.classes.select(F.col("node").alias(c), F.col("signature").alias(f"sig_{c}")) for c in "ab")
         both = pairs.join(sig_a, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b")
         return both.mapInArrow(_pruned(self.least), "a long, b long")
 
-    def tile_pairs(self, labels: DataFrame) -> DataFrame:
-        """Pairs of different components in one group."""
-        named = self.members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        parts = named.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-        groups = (
-            parts.groupBy("band", "key")
-            .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"), F.count("*").alias("parts"))
-            .where("parts > 1")
-            .withColumn("main_blocks", F.ceil(F.col("n_main") / TILE))
-            .withColumn("blocks", F.ceil((F.col("n") - F.col("n_main")) / TILE))
-            .drop("parts", "n")
-        )
-        mixed = named.join(groups, ["band", "key"])
-        is_main = F.col("component") == F.col("main")
-        own = F.when(is_main, F.pmod(F.hash("node"), F.col("main_blocks"))).otherwise(F.pmod(F.hash("node"), F.col("blocks")))
-        # tile (m, i): block m of the main component against block i of the others; tile (-1 - i, j): others i < j
-        across = F.transform(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")), lambda i: F.struct(F.col("own").alias("x"), i.alias("y"), F.lit(0).alias("side"), F.lit(False).alias("inner")))
-        to_main = F.transform(F.sequence(F.lit(0), (F.col("main_blocks") - 1).cast("int")), lambda m: F.struct(m.alias("x"), F.col("own").alias("y"), F.lit(1).alias("side"), (m == 0).alias("inner")))
-        among = F.filter(
-            F.transform(
-                F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")),
-                lambda j: F.struct((-1 - F.least(F.col("own"), j)).alias("x"), F.greatest(F.col("own"), j).alias("y"), F.when(F.col("own") < j, 1).otherwise(2).alias("side"), F.lit(False).alias("inner")),
-            ),
-            lambda t: t["y"] != -1 - t["x"],
-        )
-        tiles = F.when(is_main, across).otherwise(F.concat(to_main, among))
-        placed = mixed.withColumn("own", own.cast("int")).select("band", "key", "node", "component", F.inline(tiles))
-        tile = F.concat_ws(":", "band", "key", "x", "y").alias("tile")
-        signed = placed.select(tile, "node", "component", "side", "inner").join(self.classes.select("node", "signature"), "node")
-        rows = signed.repartition("tile").sortWithinPartitions("tile")
-        return rows.select("tile", "node", "component", "side", "inner", "signature").mapInArrow(_tile_pairs(self.least), "a long, b long")
+    def met(self, members: DataFrame, labels: DataFrame, group: list[str], known: DataFrame, percent: int | None) -> DataFrame:
+        """Links between members of one group that ``labels`` has in different components."""
+        named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        rows = tiled(named, group).join(known, "node").repartition("tile").sortWithinPartitions("tile")
+        return materialise(rows.mapInArrow(_tile_links(self.least, percent), "a long, b long"))
 
     def labels(self) -> DataFrame:
-        first = self.confirmed(self.star_pairs())
-        second = self.confirmed(self.tile_pairs(components(first)))
+        """Candidates first: pairs that no step drops connect nodes to clusters.  Then each
+        cluster's members are confirmed with their full sets, again centre first."""
+        signatures = self.classes.select("node", "signature")
+        star = materialise(self.star_pairs())
+        more = self.met(self.shared.select("band", "key", "node"), components(star), ["band", "key"], signatures, None)
+        clusters = materialise(components(star.union(more)).withColumnRenamed("component", "cluster"))
+        sets = self.sets(clusters.select("node"))
+        a, b = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"set_{c}")) for c in "ab")
+        full = star.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
+        first = materialise(full.mapInArrow(_confirmed(self.percent), "a long, b long"))
+        second = self.met(clusters, components(first), ["cluster"], sets.join(signatures, "node"), self.percent)
         return components(first.union(second))
 
 
