@@ -7,11 +7,12 @@ back to the blocks that asked.  All that moves are packed lists: a word costs on
 block it occurs in, however often, and a hot word is spread over its blocks.
 
 Blocks are written to the shared folder before they are used, as their make-up depends on the
-order of rows.
+order of rows.  The files are bucketed by block, so joining the answers moves only the answers.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.workspace import materialise
+from isobar.workspace import shared_folder
 
 from . import text as X
 
@@ -79,9 +80,17 @@ def blocks_of(
     buckets: int | None,
 ) -> DataFrame:
     """One row per block: its documents, what ``body`` packs of their words, and its words by bucket."""
-    buckets = buckets or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = docs.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 2 * partitions
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return materialise(texts.mapInArrow(_make(cut, body, buckets, block_bytes), BLOCK))
+    made = texts.mapInArrow(_make(cut, body, buckets, block_bytes), BLOCK)
+    name = f"blocks_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
+    made.write.bucketBy(partitions, "block").option("path", path).saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
+    return stored
 
 
 def by_bucket(blocks: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Python only cuts texts into words by the public pattern and numbers the distinct ones.  Each
 distinct word of the corpus reaches one bucket (see ``blocks``), where Spark higher-order
-functions merge its bytes, looking ranks up in a map that is a literal of the plan, and decode
-by putting the literal pieces of the ids together.
+functions merge its bytes, looking ranks up in a map that is a literal of the plan.  The ids go
+back to the blocks, and decoding puts the binary pieces of a document's ids together.
 
 A byte is written as the character of the same number (ISO-8859-1), so a piece is a short
 string.  The rank map is cut into cells by crc32, as Spark searches a map from end to end.
@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +29,8 @@ from pyspark.sql import functions as F
 from . import blocks as B
 from . import text as X
 
+#: Smaller than elsewhere, for the lists of words that Python holds.
+BLOCK_BYTES = 4 << 20
 CELLS = 1 << 15
 NO_RANK = 2**31 - 1
 #: What the pattern calls white space (Unicode's White_Space), for an engine that has a wider \s.
@@ -54,11 +55,7 @@ class Ranks:
         for piece, rank in ranks.items():
             name = piece.decode("latin-1")
             cells[zlib.crc32(name.encode()) % CELLS][name] = rank
-        pieces = [""] * (max(ranks.values(), default=0) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece.decode("latin-1")
         self.cells = _literal(cells, "array<map<string,int>>")
-        self.pieces = _literal(pieces, "array<string>")
 
     def of(self, piece: Column) -> Column:
         cell = F.get(self.cells, (F.crc32(piece) % CELLS).cast("int"))
@@ -79,13 +76,18 @@ class Ranks:
             """``at``: where the pair begins, from 1."""
 
             def with_piece(new: Column) -> Column:
-                left = F.when(at > 1, F.array(self.of(F.concat(F.get(pieces, at - 2), new)))).otherwise(F.slice(ranks, 1, 0))
-                right = F.when(at < F.size(ranks), F.array(self.of(F.concat(new, F.get(pieces, at + 1))))).otherwise(F.slice(ranks, 1, 0))
                 size = F.size(pieces)
-                return state(
-                    F.flatten(F.array(F.slice(pieces, 1, at - 1), F.array(new), F.slice(pieces, at + 2, size))),
-                    F.flatten(F.array(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(ranks, at + 2, size))),
+                shorter = F.transform(
+                    F.slice(pieces, 1, size - 1), lambda x, i: F.when(i < at - 1, x).when(i == at - 1, new).otherwise(F.get(pieces, i + 1))
+                )
+                reranked = F.transform(
+                    F.slice(ranks, 1, size - 2),
+                    lambda x, i: F.when(i < at - 2, x)
+                    .when(i == at - 2, self.of(F.concat(F.get(pieces, i), new)))
+                    .when(i == at - 1, self.of(F.concat(new, F.get(pieces, at + 1))))
+                    .otherwise(F.get(ranks, i + 1)),
                 )
+                return state(shorter, reranked)
 
             return _let(F.concat(F.get(pieces, at - 1), F.get(pieces, at)), with_piece)
 
@@ -104,10 +106,6 @@ class Ranks:
         whole = self.of(word)
         return F.when(whole < NO_RANK, F.array(whole)).otherwise(_let(F.split(word, ""), folded))
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes of ids, their pieces put together."""
-        return F.encode(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""), "ISO-8859-1")
-
 
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once."""
@@ -123,9 +121,19 @@ def _cut(pattern: str):
 
     def cut(data: np.ndarray, places: np.ndarray) -> X.Words:
         find, pieces, numbers = word_pattern(pattern).findall, X.segments(data, places), {}
-        parts = [[numbers.setdefault(w, len(numbers)) for w in find(s.decode())] for s in pieces.vocabulary]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        codes = np.fromiter((c for p in parts for c in p), np.int64, int(sizes.sum()))
+        codes, sizes = [], []
+        for piece in pieces.vocabulary:
+            # most pieces are a blank and ASCII letters, or those and a mark: one or two words
+            letters = piece[1:] if piece[:1] == b" " else piece
+            if letters.isalpha():
+                own = (piece.decode(),)
+            elif letters[:-1].isalpha() and letters[-1:] in (b".", b","):
+                own = (piece[:-1].decode(), letters[-1:].decode())
+            else:
+                own = find(piece.decode())
+            codes += [numbers.setdefault(w, len(numbers)) for w in own]
+            sizes.append(len(own))
+        codes, sizes = np.array(codes, np.int64), np.array(sizes, np.int64)
         each = sizes[pieces.codes]
         bounds = np.concatenate([[0], np.cumsum(each)])[pieces.bounds]
         sequence = codes[X.gather((np.cumsum(sizes) - sizes)[pieces.codes], each)]
@@ -176,48 +184,53 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each block's answer: ids and bytes of the words it asked for."""
+    """Each block's answer: the ids of the words it asked for."""
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
-            ids, decoded = row["ids"].flatten(), row["decoded"].flatten()
-            id_ends, byte_ends = ids.offsets.to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(pc.binary_length(decoded).to_numpy())])
-            id_flat, byte_flat = ids.flatten().to_numpy(), np.frombuffer(b"".join(decoded.to_pylist()), np.uint8)
-            id_ends = id_ends - id_ends[0]
+            ids = row["ids"].flatten()
+            ends = ids.offsets.to_numpy().astype(np.int64)
+            flat, starts, counts = ids.flatten().to_numpy(), ends[:-1] - ends[0], np.diff(ends)
             out = []
             for x in row["asked"].to_pylist()[0]:
-                places = X.unpack(x["places"])[0].astype(np.int64)
-                sizes, lengths = np.diff(id_ends)[places], np.diff(byte_ends)[places]
-                own = id_flat[X.gather(id_ends[places], sizes)], byte_flat[X.gather(byte_ends[places], lengths)]
-                answer = X.pack(X.narrow(sizes), X.narrow(own[0]), X.narrow(lengths), own[1])
+                places = X.unpack(x["places"])[0]
+                own = flat[X.gather(starts[places], counts[places])]
+                answer = X.pack(X.narrow(counts[places]), (own & 255).astype(np.uint8), X.narrow(own >> 8))
                 out.append({"block": x["block"], "first": x["first"], "answer": answer})
             yield pa.RecordBatch.from_pylist(
                 out, schema=pa.schema([("block", pa.int64()), ("first", pa.int32()), ("answer", pa.binary())])
             )
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            written, pieces, counted = [], [], [np.zeros(0, np.int64)]
-            for x in row["answers"].to_pylist()[0] or []:
-                sizes, ids, lengths, data = X.unpack(x["answer"])
-                numbers, edges = list(map(str, ids.tolist())), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).tolist()
-                written += [" ".join(numbers[a:b]) for a, b in zip(edges[:-1], edges[1:])]
-                pieces += X.parted(data, lengths.astype(np.int64))
-                counted.append(sizes.astype(np.int64))
-            bounds, sequence = _words_of(row["body"].to_pylist()[0])
-            total = np.concatenate([[0], np.cumsum(np.concatenate(counted)[sequence])])[bounds]
-            ids_sha, bytes_sha = [], []
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                own = sequence[a:b].tolist()
-                ids_sha.append(hashlib.sha256(" ".join([written[c] for c in own]).encode()).hexdigest())
-                bytes_sha.append(hashlib.sha256(b"".join([pieces[c] for c in own])).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [row["doc_ids"].flatten(), pa.array(np.diff(total), pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+def _documents(piece_of: dict[int, bytes]):
+    """Digests of each document: its ids, and the pieces of its ids put together."""
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                written, decoded, counted = [], [], [np.zeros(0, np.int64)]
+                for x in row["answers"].to_pylist()[0] or []:
+                    counts, low, high = X.unpack(x["answer"])
+                    ids = (low.astype(np.int64) + (high.astype(np.int64) << 8)).tolist()
+                    numbers, pieces = list(map(str, ids)), list(map(piece_of.__getitem__, ids))
+                    edges = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).tolist()
+                    written += [" ".join(numbers[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+                    decoded += [b"".join(pieces[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+                    counted.append(counts.astype(np.int64))
+                bounds, sequence = _words_of(row["body"].to_pylist()[0])
+                total = np.concatenate([[0], np.cumsum(np.concatenate(counted)[sequence])])[bounds]
+                ids_sha, bytes_sha = [], []
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    own = sequence[a:b].tolist()
+                    ids_sha.append(hashlib.sha256(" ".join([written[c] for c in own]).encode()).hexdigest())
+                    bytes_sha.append(hashlib.sha256(b"".join([decoded[c] for c in own])).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [row["doc_ids"].flatten(), pa.array(np.diff(total), pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string())],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    return documents
 
 
 def encode_decode(
@@ -226,16 +239,16 @@ def encode_decode(
     pattern: str,
     id_column: str = "doc_id",
     text_column: str = "text",
-    block_bytes: int = B.BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES,
     buckets: int | None = None,
 ) -> DataFrame:
     """Per row: doc_id, n_tokens, and digests of the ids and of the bytes decoded from them."""
-    table = Ranks(read_ranks(ranks_path))
+    ranks = read_ranks(ranks_path)
+    table = Ranks(ranks)
     blocks = B.blocks_of(docs, id_column, text_column, _cut(pattern), _sequence, block_bytes, buckets)
     distinct = B.by_bucket(blocks).mapInArrow(_distinct, "words array<string>, asked array<struct<block: long, first: int, places: binary>>")
     encoded = distinct.select("asked", F.transform("words", table.encode).alias("ids"))
-    decoded = encoded.select("asked", "ids", F.transform("ids", table.decode).alias("decoded"))
-    answers = decoded.mapInArrow(_routed, "block long, first int, answer binary")
+    answers = encoded.mapInArrow(_routed, "block long, first int, answer binary")
     return B.answered(blocks, answers, "doc_ids", "body").mapInArrow(
-        _documents, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        _documents({rank: piece for piece, rank in ranks.items()}), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
