@@ -21,8 +21,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     The verdict is a filter on each row, so repeated rows share one and rows need no ids.
     """
-    verdict = rules.judged(docs.withColumn("doc_id", F.struct(*docs.columns))).where("kept")
-    return verdict.select(*(F.col("doc_id")[c].alias(c) for c in docs.columns))
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("text"))
+    verdict = rules.judged(whole, id_column="doc")
+    # a filter would be pushed below the counts and repeat them in every rule
+    kept = verdict.select(F.explode(F.when(F.col("kept"), F.array("doc_id"))).alias("doc"))
+    return kept.select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
