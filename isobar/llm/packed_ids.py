@@ -167,10 +167,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the store: doc_id, start (ids before it), n_tokens, ids (little-endian 32-bit)."""
     blocks = spark.read.schema(STORE).parquet(path)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
+    # as many rows as shards, a setting of the writer
     base = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
         "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
     )
-    return blocks.join(base, "shard").mapInArrow(_documents, "doc_id long, start long, n_tokens long, ids binary")
+    return blocks.join(F.broadcast(base), "shard").mapInArrow(_documents, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def checksums(documents: DataFrame) -> DataFrame:
