@@ -38,7 +38,7 @@ ROUNDS, PRICED = 4000, 160
 #: How fast the price of a covered length falls.
 RATE = 1.0
 #: How much dearer, at first, a piece of full length is than one of none.
-SHORT = 0.2
+SHORT = 1.0
 
 Plan = list[tuple[tuple[tuple[int, int], ...], int]]  # ((length, times), ..), sequences
 
