@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from . import text as X
 
 #: Pieces whose ids a worker remembers (about 30 bytes each); beyond it the memory starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 
 
 class Encoder:

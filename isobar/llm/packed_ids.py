@@ -27,6 +27,8 @@ from .encode import Encoder
 
 #: Ids after which a block is closed.
 BLOCK_IDS = 1 << 16
+#: Bytes of text encoded at once.
+ENCODED_BYTES = 4 << 20
 STORE = "shard int, block int, first long, n_ids long, bits int, payload binary, doc_ids array<long>, sizes array<long>"
 _STORE_ARROW = pa.schema(
     [
@@ -68,7 +70,7 @@ def unpack_ids(payload: bytes, bits: int, first: int, count: int) -> np.ndarray:
 def _encoded(tokenizer: str, end_id: int, bits: int, bounds: list[int]):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, edges = Encoder.of(tokenizer, False), np.array(bounds, np.int64)
-        for chunk in X.chunks(batches, "text"):
+        for chunk in X.chunks(batches, "text", ENCODED_BYTES):
             ids, ends = encoder.encode(*X.flat(chunk["text"]))
             packed = [pack_ids(np.append(ids[a:b], end_id), bits) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             shards = np.searchsorted(edges, chunk["doc_id"].fill_null(0).to_numpy(), "left").astype(np.int32)
