@@ -216,7 +216,7 @@ def test_packing_is_near_the_bound():
     assert (used == counts).all()
     # neither the tokens nor the pieces longer than half a sequence fit in fewer
     bound = max(-(-int((counts * np.arange(513)).sum()) // 512), int(counts[257:].sum()))
-    assert sum(m for _, m in plan) <= bound * 1.001 + 1
+    assert sum(m for _, m in plan) <= bound * 1.002 + 1
 
 
 def test_pages(spark):
