@@ -28,7 +28,7 @@ from .encode import Encoder
 #: Ids after which a block is closed.
 BLOCK_IDS = 1 << 16
 #: Bytes of text encoded at once.
-ENCODED_BYTES = 4 << 20
+ENCODED_BYTES = 6 << 20
 STORE = "shard int, block int, first long, n_ids long, bits int, payload binary, doc_ids array<long>, sizes array<long>"
 _STORE_ARROW = pa.schema(
     [
