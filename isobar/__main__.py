@@ -10,7 +10,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.bronze import station_coordinates
+from .operators.bronze import station_coordinates, union_all
 from .operators.nearest import nearest_station
 from .plans import jobs
 from .sources.config import load_settings
@@ -32,8 +32,9 @@ def main() -> None:
     parser.add_argument("--landing", help="folder with provider=a, provider=b and stations.json")
     parser.add_argument("--config", help="YAML or JSON file with cities, start_date, end_date")
     parser.add_argument(
-        "--station-cities", help="JSON lines with station, city, region; else cities get their nearest station"
+        "--station-cities", help="JSON lines with source, station, city, region; else cities get their nearest stations"
     )
+    parser.add_argument("--inventory-b", help="station inventory of provider B, whose stations have ids of their own")
     parser.add_argument("--clean", action="store_true", help="drop all layers first")
     args = parser.parse_args()
 
@@ -44,9 +45,15 @@ def main() -> None:
             parser.error("--landing is needed for the bronze layer")
         landing = {"aemet": f"{args.landing}/provider=a", "meteostat": f"{args.landing}/provider=b"}
         if args.station_cities:
-            stations = spark.read.schema("station string, city string, region string").json(args.station_cities)
+            schema = "source string, station string, city string, region string"
+            stations = spark.read.schema(schema).json(args.station_cities)
         else:
-            stations = nearest_of_cities(spark, f"{args.landing}/stations.json", cities)
+            # without an inventory of provider B its rows are reported as of unknown stations
+            inventories = {"aemet": f"{args.landing}/stations.json", "meteostat": args.inventory_b}
+            stations = union_all([
+                nearest_of_cities(spark, path, cities).withColumn("source", F.lit(source))
+                for source, path in inventories.items() if path
+            ])
     jobs.run(spark, args.layers, landing, cities, stations, args.clean).show(100, truncate=False)
 
 

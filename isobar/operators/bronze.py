@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expressions import dms_to_decimal, is_bad_number, iso_date, number_text
 from ..schemas import MEASURES, RAW_KEY, RAW_SCHEMA, conform
@@ -23,52 +24,138 @@ PROVIDER_A_FIELDS = {
 }
 
 
+#: Why a landed row is not loaded.
+CORRUPT, BAD_DATE, BAD_NUMBER, UNKNOWN_STATION = "corrupt record", "bad date", "bad number", "unknown station"
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """All rows of all frames, matched by column name (O1, O2)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _split_rejects(rows: DataFrame, bad: Column, fields: list[str]) -> tuple[DataFrame, DataFrame]:
-    bad = F.coalesce(bad, F.lit(False))
-    return rows.filter(~bad), rows.filter(bad).select(*fields)
+def _judged(rows: DataFrame, date: Column, bad: Column, values: dict[str, Column], fields: list[str]) -> DataFrame:
+    """Typed rows in one pass, each with the reason it is rejected for and then its record as text."""
+    corrupt = F.col("corrupt") if "corrupt" in rows.columns else F.lit(None).cast("string")
+    reason = (
+        F.when(corrupt.isNotNull(), CORRUPT).when(date.isNull(), BAD_DATE).when(F.coalesce(bad, F.lit(False)), BAD_NUMBER)
+    )
+    record = F.when(reason.isNotNull(), F.coalesce(corrupt, F.to_json(F.struct(*fields))))
+    passed = [c for c in rows.columns if c in ("station", "city", "region", "file")]
+    return rows.select(
+        date.alias("date"), *[v.alias(m) for m, v in values.items()], *passed,
+        reason.alias("reason"), record.alias("record"), F.struct(*fields).alias("_landed"),
+    )
 
 
-def normalise_provider_a(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Text rows of provider A as typed raw rows, and the rejected rows.
+def _any(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
 
-    A row is rejected when its date or any of its numbers does not parse.
+
+def judge_provider_a(rows: DataFrame) -> DataFrame:
+    """Text rows of provider A as typed rows with ``reason`` and ``record`` of rejected ones.
+
+    A row is rejected when its record, its date or any of its numbers does not parse.
     """
-    bad = reduce(lambda a, b: a | b, [is_bad_number(F.col(c)) for c in PROVIDER_A_FIELDS.values()])
-    bad = iso_date(F.col("fecha")).isNull() | bad
-    good, rejected = _split_rejects(rows, bad, ["fecha", *PROVIDER_A_FIELDS.values()])
-    renamed = [number_text(F.col(field)).alias(measure) for measure, field in PROVIDER_A_FIELDS.items()]
-    passed = [c for c in rows.columns if c in ("station", "city", "region")]
-    return good.select(iso_date(F.col("fecha")).alias("date"), *renamed, *passed), rejected
+    values = {measure: number_text(F.col(field)) for measure, field in PROVIDER_A_FIELDS.items()}
+    fields = list(PROVIDER_A_FIELDS.values())
+    return _judged(rows, iso_date(F.col("fecha")), _any([is_bad_number(F.col(c)) for c in fields]), values, ["fecha", *fields])
 
 
-def normalise_provider_b(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of provider B checked one by one, and the rejected rows."""
+def judge_provider_b(rows: DataFrame) -> DataFrame:
+    """Rows of provider B checked one by one, as for provider A."""
     texts = {m: F.col(m).cast("string") for m in MEASURES if m in rows.columns}
     parsed = {m: t.try_cast("double") for m, t in texts.items()}
-    bad = reduce(lambda a, b: a | b, [t.isNotNull() & parsed[m].isNull() for m, t in texts.items()])
-    date = iso_date(F.col("date").cast("string"))
-    good, rejected = _split_rejects(rows, date.isNull() | bad, ["date", *texts])
-    passed = [c for c in rows.columns if c in ("station", "city", "region")]
-    return good.select(date.alias("date"), *[p.alias(m) for m, p in parsed.items()], *passed), rejected
+    bad = _any([t.isNotNull() & parsed[m].isNull() for m, t in texts.items()])
+    return _judged(rows, iso_date(F.col("date").cast("string")), bad, parsed, ["date", *texts])
+
+
+def _split(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    extra = [c for c in ("station", "file") if c in judged.columns]
+    good = judged.filter(F.col("reason").isNull()).drop("reason", "record", "_landed", "file")
+    return good, judged.filter(F.col("reason").isNotNull()).select("_landed.*", *extra, "reason")
+
+
+def normalise_provider_a(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed raw rows of provider A, and the rejected rows with station, file and reason."""
+    return _split(judge_provider_a(rows))
+
+
+def normalise_provider_b(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed raw rows of provider B, and the rejected rows with station, file and reason."""
+    return _split(judge_provider_b(rows))
 
 
 def with_lineage(rows: DataFrame, source: str, stations: DataFrame | None = None) -> DataFrame:
-    """Tag rows with their source and, by station, their city and region."""
+    """Tag rows with their source and, by station, their city and region.
+
+    Rows of a station that ``stations`` lacks have no city: keep them out of the keyed tables
+    (``staged``).  ``stations`` may have a column ``source``, as each provider has stations of
+    its own; null there means any.  A station of several cities gives each of them its rows.
+    Pass a stored table, so that its size decides whether the rows are shuffled at all.
+    """
     tagged = rows.withColumn("source", F.lit(source))
     if stations is None:
         return tagged
+    if "source" in stations.columns:
+        stations = stations.filter(F.coalesce("source", F.lit(source)) == source)
     return tagged.drop("city", "region").join(stations.select("station", "city", "region"), "station", "left")
 
 
-def typed(rows: DataFrame) -> DataFrame:
-    """Raw schema with NaN measures turned into NULL."""
+def staged(judged: DataFrame, source: str, stations: DataFrame | None = None) -> DataFrame:
+    """Every landed row of a source, typed, with the reason of those that cannot be loaded.
+
+    Besides what the judging step rejects, these are the rows without a city: a city is part of
+    the key, and rows of all unknown stations would count as one city's.
+    """
+    rows = with_lineage(judged.drop("_landed"), source, stations)
+    extra = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in ("file", "record")}
+    rows = rows.withColumns(extra) if "city" in rows.columns else rows.withColumns({**extra, "city": F.lit(None).cast("string")})
+    reason = F.coalesce("reason", F.when(F.col("city").isNull(), UNKNOWN_STATION)).alias("reason")
+    record = F.coalesce("record", F.when(F.col("city").isNull(), F.to_json(F.struct("date", *MEASURES)))).alias("record")
+    clean = typed(rows.withColumns({m: F.lit(None).cast("double") for m in MEASURES if m not in rows.columns}), "file", "reason", "record")
+    return clean.withColumns({"reason": reason, "record": record})
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The staged rows that can be loaded."""
+    return conform(rows.filter(F.col("reason").isNull()), RAW_SCHEMA)
+
+
+def rejects(rows: DataFrame) -> DataFrame:
+    """The staged rows that cannot be loaded: source, station, file, reason and record."""
+    return rows.filter(F.col("reason").isNotNull()).select("source", "station", "file", "reason", "record")
+
+
+def load_report(rows: DataFrame) -> DataFrame:
+    """What became of the staged rows of each source; read = kept + merged + rejected + unmatched.
+
+    Merged rows share date, city and source with a kept one.
+    """
+    keyed = rows.groupBy("source", "date", "city", F.col("reason").alias("why")).agg(F.count("*").alias("n"))
+    loaded, unknown = F.col("why").isNull(), F.col("why").eqNullSafe(UNKNOWN_STATION)
+    count = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+    return keyed.groupBy("source").agg(
+        F.sum("n").alias("read_rows"),
+        F.count_if(loaded).alias("kept_rows"),
+        (count(loaded) - F.count_if(loaded)).alias("merged_rows"),
+        count(~loaded & ~unknown).alias("rejected_rows"),
+        count(unknown).alias("unmatched_rows"),
+    )
+
+
+def city_report(rows: DataFrame) -> DataFrame:
+    """Loaded days of each source and city, for the count of cities a load reached."""
+    loaded = rows.filter(F.col("reason").isNull())
+    return loaded.groupBy("source", "city").agg(
+        F.count("*").alias("loaded_rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day")
+    )
+
+
+def typed(rows: DataFrame, *texts: str) -> DataFrame:
+    """Raw schema, and the named text columns, with NaN measures turned into NULL."""
     clean = {m: F.nullif(F.col(m), F.lit(float("nan"))) for m in [*MEASURES, "lat", "lon"]}
-    return conform(rows, RAW_SCHEMA).withColumns(clean)
+    schema = T.StructType([*RAW_SCHEMA.fields, *[T.StructField(t, T.StringType()) for t in texts]])
+    return conform(rows, schema).withColumns(clean)
 
 
 def newest_per_key(rows: DataFrame, order: list[Column], keys: list[str] = RAW_KEY) -> DataFrame:
@@ -105,10 +192,14 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str] = RAW_KEY)
 
 
 def attach_city_coordinates(rows: DataFrame, cities: DataFrame) -> DataFrame:
-    """Replace lat/lon by the city's; rows of unknown cities get NULL."""
-    lookup = cities.select(
-        F.col("name").alias("city"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon")
-    )
+    """Replace lat/lon by the city's; rows of unknown cities get NULL.
+
+    Of entries with one name the first counts: the smallest ``pos`` if ``cities`` has that
+    column, else the smallest position on the map.
+    """
+    place = F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    order = F.struct("pos", place) if "pos" in cities.columns else place
+    lookup = cities.groupBy(F.col("name").alias("city")).agg(F.min_by(place, order).alias("place")).select("city", "place.*")
     return rows.drop("lat", "lon").join(lookup, "city", "left")
 
 

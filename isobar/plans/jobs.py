@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.bronze import (
-    attach_city_coordinates, normalise_provider_a, normalise_provider_b, typed, union_all, upsert, with_lineage,
+    accepted, attach_city_coordinates, city_report, judge_provider_a, judge_provider_b, load_report, rejects, staged,
+    union_all, upsert,
 )
 from ..operators.silver import clean, snapshot
 from ..schemas import SILVER_SCHEMA, conform
@@ -23,9 +24,10 @@ REPORT = "name string, status string, row_count bigint, seconds double, error st
 LAYERS = ("bronze", "silver", "gold")
 SILVER_TABLE = "silver.weather_cleaned"
 SNAPSHOT_TABLE = "snapshots.weather_cleaned_snapshot"
-NORMALISERS = {
-    "aemet": (read_provider_a, normalise_provider_a),
-    "meteostat": (read_provider_b, normalise_provider_b),
+REJECTS_TABLE, REPORT_TABLE, CITIES_TABLE = "load_rejects", "load_report", "load_cities"
+PROVIDERS = {
+    "aemet": (read_provider_a, judge_provider_a),
+    "meteostat": (read_provider_b, judge_provider_b),
 }
 
 
@@ -53,33 +55,39 @@ def _store(spark: SparkSession, build: Callable[[], DataFrame], name: str, parti
 def load_bronze(spark: SparkSession, landing: dict[str, str], cities: DataFrame, stations: DataFrame) -> DataFrame:
     """Stage all sources, upsert into the newest raw version, publish with coordinates (G1, K3).
 
-    ``landing`` maps a source to its folder; ``stations`` has station, city, region.  Each
-    source is parsed once, into a staging table of its own; one that fails is reported and
-    the others are loaded.
+    ``landing`` maps a source to its folder; ``stations`` has station, city, region and, if
+    providers number their stations apart, source.  Each source is parsed once, into a staging
+    table of its own; one that fails is reported and the others are loaded.
+
+    Rows that cannot be loaded go to the version's ``load_rejects``; ``load_report`` accounts
+    for every row that was read, and ``load_cities`` for the cities the load reached.
     """
+    stations = materialise(stations)
     existing_version = catalog.newest_raw_version(spark)
     version = sinks.new_raw_version()
     staging = version + catalog.STAGING_SUFFIX
 
     def stage(source: str) -> DataFrame:
-        reader, normalise = NORMALISERS[source]
-        good, _ = normalise(reader(spark, landing[source]))
-        return typed(with_lineage(good, source, stations))
+        reader, judge = PROVIDERS[source]
+        return staged(judge(reader(spark, landing[source])), source, stations)
 
     report = run_steps(
         spark, {source: _store(spark, lambda s=source: stage(s), f"{staging}.{source}") for source in landing}
     )
 
     def publish() -> int:
-        staged = sorted(catalog.tables(spark, staging))
-        if not staged:
+        sources = sorted(catalog.tables(spark, staging))
+        if not sources:
             raise ValueError("no source could be read")
-        incoming = union_all([spark.table(f"{staging}.{source}") for source in staged])
+        landed = union_all([spark.table(f"{staging}.{source}") for source in sources])
+        incoming = accepted(landed)
         existing = spark.table(f"{existing_version}.{catalog.RAW_TABLE}") if existing_version else incoming.limit(0)
         sinks.write_raw_version(upsert(existing, incoming), version)
         raw = spark.table(f"{version}.{catalog.RAW_TABLE}")
         published = f"{catalog.RAW_DATABASE}.{catalog.RAW_TABLE}"
         rows = _store(spark, lambda: attach_city_coordinates(raw, cities), published)()
+        for name, table in ((REJECTS_TABLE, rejects), (REPORT_TABLE, load_report), (CITIES_TABLE, city_report)):
+            sinks.replace_table(table(landed), f"{version}.{name}")
         sinks.drop_layers(spark, [staging])
         return rows
 

@@ -33,6 +33,7 @@ def load_settings(spark: SparkSession, path: str | None = None) -> Settings:
         (c["name"], float(c["latitude"]), float(c["longitude"]), float(c["elevation"]), c["region"])
         for c in parsed["cities"]
     ]
+    rows = list({row[0]: row for row in reversed(rows)}.values())[::-1]  # the first entry of a name counts
     return Settings(
         spark.createDataFrame(rows, CITY_SCHEMA), str(parsed["start_date"]), str(parsed["end_date"])
     )

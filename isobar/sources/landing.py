@@ -4,6 +4,9 @@ The providers' records do not carry the station id.  Land them as
 ``<folder>/station=<id>/*.json``, or add a ``station`` field while landing.  A
 pretty-printed JSON array needs ``multi_line=True`` and is then read one file per
 task; JSON lines are splittable and the better landing format.
+
+The readers add ``station``, ``file`` and ``corrupt``: the text of a record that does not parse.
+Such a record is one row with nothing else, for the normalising step to reject.
 """
 
 from __future__ import annotations
@@ -17,26 +20,39 @@ from ..schemas import PROVIDER_A_SCHEMA, PROVIDER_B_SCHEMA, STATION_SCHEMA
 
 def with_station(schema: T.StructType) -> T.StructType:
     # naming the partition column in the schema keeps ids such as 0016A or 08181 text
-    return T.StructType([*schema.fields, T.StructField("station", T.StringType())])
+    return T.StructType([*schema.fields, T.StructField("station", T.StringType()), T.StructField("corrupt", T.StringType())])
+
+
+def _read(spark: SparkSession, schema: T.StructType, folder: str, multi_line: bool) -> DataFrame:
+    reader = spark.read.schema(with_station(schema)).option("multiLine", multi_line)
+    landed = reader.option("columnNameOfCorruptRecord", "corrupt").json(folder)
+    return landed.withColumn("file", F.col("_metadata.file_path"))
 
 
 def read_provider_a(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
-    return spark.read.schema(with_station(PROVIDER_A_SCHEMA)).option("multiLine", multi_line).json(folder)
+    return _read(spark, PROVIDER_A_SCHEMA, folder, multi_line)
 
 
 def read_provider_b(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
-    landed = spark.read.schema(with_station(PROVIDER_B_SCHEMA)).option("multiLine", multi_line).json(folder)
-    return unnest_provider_b(landed)
+    return unnest_provider_b(_read(spark, PROVIDER_B_SCHEMA, folder, multi_line))
 
 
 def unnest_provider_b(landed: DataFrame) -> DataFrame:
-    return landed.select("station", F.explode("data").alias("row")).select("row.*", "station")
+    """One row per observation; a record that does not parse, or has no data field, stays one row.
+
+    An empty ``data`` list is a provider's answer of no observations and gives no row.
+    """
+    rest = [c for c in landed.columns if c != "data"]
+    broken = F.when(F.col("data").isNull(), F.array(F.lit(None).cast(landed.schema["data"].dataType.elementType)))
+    return landed.select(*rest, F.explode(F.coalesce("data", broken)).alias("row")).select("row.*", *rest)
 
 
 def read_station_inventory(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Stations with their position in the file order, which decides ties.
+    """Stations with their position in the files by name, which decides ties.
 
-    ``pos`` follows file order because row ids grow with partition and row number.
+    Row ids alone follow the order in which Spark reads the files, the largest first; inside a
+    block of a file they grow with the rows.
     """
     stations = spark.read.schema(STATION_SCHEMA).option("multiLine", multi_line).json(path)
-    return stations.withColumn("pos", F.monotonically_increasing_id())
+    block = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start")]
+    return stations.withColumn("pos", F.struct(*block, F.monotonically_increasing_id().alias("row")))

@@ -7,27 +7,37 @@ the same table, since the upsert is idempotent and each batch writes its own ver
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.bronze import normalise_provider_a, typed, upsert, with_lineage
+from ..operators.bronze import accepted, judge_provider_a, rejects, staged, upsert
+from ..plans.jobs import REJECTS_TABLE
 from ..schemas import PROVIDER_A_SCHEMA
 from ..sources import catalog, sinks
 from ..sources.landing import with_station
+from ..workspace import materialise
 
 
 def provider_a_stream(spark: SparkSession, folder: str, stations: DataFrame) -> DataFrame:
-    """Typed raw rows of provider A from JSON-lines files as they land."""
-    landed = spark.readStream.schema(with_station(PROVIDER_A_SCHEMA)).json(folder)
-    good, _ = normalise_provider_a(landed)
-    return typed(with_lineage(good, "aemet", stations))
+    """Staged rows of provider A from JSON-lines files as they land."""
+    reader = spark.readStream.schema(with_station(PROVIDER_A_SCHEMA)).option("columnNameOfCorruptRecord", "corrupt")
+    landed = reader.json(folder).withColumn("file", F.col("_metadata.file_path"))
+    return staged(judge_provider_a(landed), "aemet", stations)
 
 
 def store_batch(rows: DataFrame, batch_id: int) -> None:
-    """Upsert one micro-batch into the newest raw version, as a new version (K4)."""
+    """Upsert one micro-batch into the newest raw version, as a new version (K4).
+
+    The batch is stored first, as the upsert reads it twice; rows that cannot be loaded are
+    stored beside the version.
+    """
     spark = rows.sparkSession
+    stored = materialise(rows)
+    incoming = accepted(stored)
     newest = catalog.newest_raw_version(spark)
-    existing = spark.table(f"{newest}.{catalog.RAW_TABLE}") if newest else rows.limit(0)
-    sinks.write_raw_version(upsert(existing, rows))
+    existing = spark.table(f"{newest}.{catalog.RAW_TABLE}") if newest else incoming.limit(0)
+    version = sinks.write_raw_version(upsert(existing, incoming))
+    sinks.replace_table(rejects(stored), f"{version}.{REJECTS_TABLE}")
 
 
 def ingest(stream: DataFrame, checkpoint: str) -> StreamingQuery:

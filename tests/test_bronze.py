@@ -84,6 +84,24 @@ def test_station_inventory_first_entry_counts(spark, tmp_path):
     assert sorted((r.station, r.lat, r.lon) for r in placed.collect()) == [("A", 1.0, -2.0), ("Z", None, None)]
 
 
+def test_inventory_order_is_that_of_the_files(spark, tmp_path):
+    entry = {"latitud": "010000N", "longitud": "020000W"}
+    (tmp_path / "0.json").write_text(json.dumps([{"indicativo": i, **entry} for i in ("A", "B")]))
+    (tmp_path / "1.json").write_text(json.dumps([{"indicativo": f"C{i:03d}", **entry} for i in range(300)]))
+    rows = read_station_inventory(spark, str(tmp_path)).orderBy("pos").collect()
+    assert [r.indicativo for r in rows] == ["A", "B", *[f"C{i:03d}" for i in range(300)]]
+
+
+def test_a_repeated_city_keeps_its_rows_single(spark):
+    rows = spark.createDataFrame([("Vic", 1), ("Vic", 2)], "city string, n int")
+    cities = spark.createDataFrame(
+        [(1, "Vic", 9.0, 9.0), (0, "Vic", 1.0, 2.0)], "pos int, name string, latitude double, longitude double"
+    )
+    for table, want in ((cities, (1.0, 2.0)), (cities.drop("pos"), (1.0, 2.0))):
+        got = bronze.attach_city_coordinates(rows, table).collect()
+        assert sorted((r.n, r.lat, r.lon) for r in got) == [(1, *want), (2, *want)]
+
+
 def test_union_by_name_fills_missing_columns(spark):
     a = spark.createDataFrame([(1, 2)], "x int, y int")
     b = spark.createDataFrame([(3, 4)], "y int, z int")

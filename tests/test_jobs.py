@@ -96,6 +96,39 @@ def test_end_to_end(spark, tmp_path, stations, clean_catalog):
     }
 
 
+def test_no_row_is_lost_without_a_record(spark, tmp_path, clean_catalog):
+    stations = spark.createDataFrame(
+        [("aemet", "A1", "Sevilla", "Andalucia"), ("meteostat", "A1", "Vic", "Cataluña"), (None, "B2", "Vic", "Cataluña")],
+        "source string, station string, city string, region string",
+    )
+    land_a(tmp_path, "A1", [(1, 1), (1, 2), (1, 2)], 10)
+    bad = [{"fecha": "2021-01-03", "tmed": "abc"}, {"fecha": "2021/01/04", "tmed": "1"}]
+    (tmp_path / "provider=a" / "station=A1" / "bad.json").write_text(json.dumps(bad))
+    for station in ("A1", "B2", "X8", "X9"):
+        land_b(tmp_path, station, [(1, 1), (1, 2), (1, 3)], 5.0)
+    (tmp_path / "provider=b" / "station=B2" / "cut.json").write_text('{"data": [{"date": "2021-01-01", "tavg": 1.0')
+    (tmp_path / "provider=b" / "station=B2" / "none.json").write_text('{"data": []}')
+    report = jobs.load_bronze(spark, landing(tmp_path), load_settings(spark).cities, stations)
+    assert set(statuses(report).values()) == {"ok"}, report.collect()
+    version = catalog.newest_raw_version(spark)
+    found = {r.source: r.asDict() for r in spark.table(f"{version}.load_report").collect()}
+    assert found == {
+        "aemet": {"source": "aemet", "read_rows": 5, "kept_rows": 2, "merged_rows": 1, "rejected_rows": 2, "unmatched_rows": 0},
+        "meteostat": {"source": "meteostat", "read_rows": 13, "kept_rows": 3, "merged_rows": 3, "rejected_rows": 1, "unmatched_rows": 6},
+    }
+    raw = spark.table("weather_raw.weather_data")
+    assert raw.count() == 5 and raw.filter("city is null").count() == 0
+    kept_away = spark.table(f"{version}.load_rejects").collect()
+    assert sorted((r.source, r.station, r.reason) for r in kept_away) == sorted(
+        [("aemet", "A1", "bad date"), ("aemet", "A1", "bad number"), ("meteostat", "B2", "corrupt record")]
+        + [("meteostat", s, "unknown station") for s in ("X8", "X9") for _ in range(3)]
+    )
+    assert all(r.file.endswith(".json") and r.record for r in kept_away)
+    assert {(r.source, r.city, r.loaded_rows) for r in spark.table(f"{version}.load_cities").collect()} == {
+        ("aemet", "Sevilla", 3), ("meteostat", "Vic", 6),
+    }
+
+
 def test_a_failing_source_is_reported_and_the_rest_loads(spark, tmp_path, stations, clean_catalog):
     land_a(tmp_path, "A1", [(1, 1)], 10)
     report = jobs.load_bronze(spark, landing(tmp_path), load_settings(spark).cities, stations)
