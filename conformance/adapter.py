@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.functions.expressions import first_match
+from isobar.operators import bronze
 from isobar.operators.bronze import newest_per_key
 from isobar.operators.silver import clean
 from isobar.schemas import PROVIDER_B_FIELDS, RAW_KEY, SILVER_SCHEMA, conform
@@ -113,6 +114,10 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
     return _FRAMES[frame]
 
 
+def stored_frame(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return _stored(spark, sf_dir, name, lambda folder: build().write.parquet(folder), spark.read.parquet)
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored raw table, as the bronze job leaves it."""
     return _stored(
@@ -173,6 +178,35 @@ def landed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "provider-b", write, lambda f: read_provider_b(spark, f, multi_line=False))
 
 
+def staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both providers' landed rows staged for a load, stored.
+
+    Suppliers 3 and 4 are in no provider's station map, and every fiftieth part's record of
+    provider B was cut off on its way.
+    """
+
+    def write_cut(folder: str) -> None:
+        rows = raw_rows(spark, sf_dir).filter(F.col("source") == "meteostat")
+        pressure = F.when(F.col("l_partkey") % 50 == 0, "n/a").otherwise(F.col("pres").cast("string"))
+        fields = [F.col(c) if c != "pres" else pressure.alias("pres") for c in PROVIDER_B_FIELDS]
+        line = F.to_json(F.struct(F.array(F.struct(*fields)).alias("data"), "station"))
+        cut = F.when(F.col("l_partkey") % 50 == 7, F.left(line, F.lit(40))).otherwise(line)
+        rows.select(cut.alias("value")).write.text(folder)
+
+    def write(folder: str) -> None:
+        known = station_places(spark, sf_dir)
+        skipped = read(spark, sf_dir, "supplier").filter(F.col("s_suppkey").isin(3, 4)).select(F.col("s_name").alias("station"))
+        known = known.join(skipped, "station", "left_anti")
+        known = bronze.union_all([known.withColumn("source", F.lit(s)) for s in ("aemet", "meteostat")])
+        stations = _stored(spark, sf_dir, "stations", lambda f: known.write.parquet(f), spark.read.parquet)
+        landed = _stored(spark, sf_dir, "provider-b-cut", write_cut, lambda f: read_provider_b(spark, f, multi_line=False))
+        a = bronze.staged(bronze.judge_provider_a(landed_a(spark, sf_dir)), "aemet", stations)
+        b = bronze.staged(bronze.judge_provider_b(landed), "meteostat", stations)
+        bronze.union_all([a, b]).write.parquet(folder)
+
+    return _stored(spark, sf_dir, "staged", write, spark.read.parquet)
+
+
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events written as a log file and read back as records.
 
@@ -197,7 +231,15 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def station_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """City and region of every station."""
+    """City and region of every station, stored as a job stores its station map."""
+
+    def write(folder: str) -> None:
+        _station_places(spark, sf_dir).write.parquet(folder)
+
+    return _stored(spark, sf_dir, "station-places", write, spark.read.parquet)
+
+
+def _station_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         read(spark, sf_dir, "supplier")
         .join(read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -220,6 +262,13 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city dimension with every city listed a second time, elsewhere."""
+    listed = cities(spark, sf_dir).withColumn("pos", F.lit(0))
+    again = listed.withColumns({"pos": F.lit(1), "latitude": F.col("latitude") - 50, "longitude": F.lit(0.0)})
+    return again.unionByName(listed)
+
+
 def _padded(value: Column) -> Column:
     return F.lpad(value.cast("string"), 2, "0")
 

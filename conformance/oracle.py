@@ -12,6 +12,8 @@ LOAD_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 RAW_COLUMNS = (
     "date, tavg, tmin, tmax, prcp, wdir, wspd, wpgt, pres, snow, tsun, rhum, station, source, city, region, lat, lon"
 )
+_LANDED = "date, tavg, tmin, tmax, prcp, wdir, wspd, wpgt, pres, snow, tsun, rhum, station, source, city, region"
+_LANDED_ORDER = [c for c in _LANDED.split(", ") if c not in ("date", "city", "source")]
 STATION_MONTH = "city, region, station, year, month"
 
 
@@ -120,6 +122,14 @@ FROM (SELECT *, CASE WHEN l_quantity <> 50 THEN l_quantity * 0.5e0 - 5 + (l_supp
 JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey""",
     ),
+    "landed": (
+        ("raw_rows",),
+        """SELECT * REPLACE (CASE WHEN source = 'meteostat' THEN pres END AS pres,
+  CASE WHEN source = 'meteostat' THEN snow END AS snow, CASE WHEN source = 'meteostat' THEN tsun END AS tsun),
+  CASE WHEN source = 'meteostat' AND l_partkey % 50 = 7 THEN 'corrupt record'
+       WHEN source = 'aemet' AND l_partkey % 50 = 1 THEN 'bad date' WHEN l_partkey % 50 = 0 THEN 'bad number'
+       WHEN l_suppkey IN (3, 4) THEN 'unknown station' END AS reason FROM raw_rows""",
+    ),
     "raw": (
         ("raw_rows",),
         f"""SELECT {RAW_COLUMNS} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, city, source
@@ -396,13 +406,41 @@ SELECT {RAW_COLUMNS} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, city,
             f"""SELECT CASE WHEN l_partkey % 50 = 1 THEN '2024/13/01' ELSE CAST(date AS VARCHAR) END AS fecha,
   {comma('tavg')} AS tmed, {comma('tmin')} AS tmin, CASE WHEN l_partkey % 50 = 0 THEN 'abc' ELSE {comma('tmax')} END AS tmax,
   COALESCE({comma('prcp')}, 'Ip') AS prec, {comma('wdir')} AS dir, {comma('wspd')} AS velmedia, {comma('wpgt')} AS racha,
-  COALESCE({comma('rhum')}, 'null') AS "hrMedia" FROM raw_rows WHERE source = 'aemet' AND l_partkey % 50 <= 1""",
+  COALESCE({comma('rhum')}, 'null') AS "hrMedia",
+  station, CASE WHEN l_partkey % 50 = 1 THEN 'bad date' ELSE 'bad number' END AS reason FROM raw_rows WHERE source = 'aemet' AND l_partkey % 50 <= 1""",
             "raw_rows",
         ),
         "provider_b_normalize": answer(
             f"SELECT {normalised}, pres, snow, tsun FROM raw_rows WHERE source = 'meteostat' AND l_partkey % 50 <> 0",
             "raw_rows",
         ),
+        "bronze_job_raw": answer(
+            f"""SELECT x.* EXCLUDE (copy_no), c.lat, c.lon FROM (SELECT {_LANDED}, ROW_NUMBER() OVER (
+  PARTITION BY date, city, source ORDER BY {', '.join(f'{c} NULLS LAST' for c in _LANDED_ORDER)}) AS copy_no
+  FROM landed WHERE reason IS NULL) AS x LEFT JOIN cities AS c ON x.city = c.city WHERE copy_no = 1""",
+            "landed", "cities",
+        ),
+        "bronze_job_rejects": answer(
+            """SELECT source, CASE WHEN reason <> 'corrupt record' THEN station END AS station, reason, TRUE AS has_record
+FROM landed WHERE reason IS NOT NULL""",
+            "landed",
+        ),
+        "bronze_job_report": answer(
+            """SELECT source, COUNT(*) AS read_rows, COUNT(DISTINCT k) AS kept_rows, COUNT(k) - COUNT(DISTINCT k) AS merged_rows,
+  COUNT(reason) - COUNT(*) FILTER (WHERE reason = 'unknown station') AS rejected_rows,
+  COUNT(*) FILTER (WHERE reason = 'unknown station') AS unmatched_rows
+FROM (SELECT *, CASE WHEN reason IS NULL THEN CAST(date AS VARCHAR) || city END AS k FROM landed) AS x GROUP BY source""",
+            "landed",
+        ),
+        "bronze_job_cities": answer(
+            """SELECT source, city, COUNT(*) AS loaded_rows, MIN(date) AS first_day, MAX(date) AS last_day FROM landed
+WHERE reason IS NULL GROUP BY source, city""",
+            "landed",
+        ),
+        "bronze_repeated_cities": answer(
+            """SELECT raw.* EXCLUDE (lat, lon), c.lat, c.lon FROM raw LEFT JOIN cities AS c ON raw.city = c.city""",
+            "raw", "cities",
+        ),
         "dms_to_decimal": answer(f"SELECT station, {r('lat', 6)} AS lat, {r('lon', 6)} AS lon FROM stations", "stations"),
         "station_coord_lookup": answer(
             f"SELECT raw.* EXCLUDE (lat, lon), {r('s.lat', 6)} AS lat, {r('s.lon', 6)} AS lon "
@@ -449,6 +487,14 @@ FROM (SELECT *, UNNEST(generate_series(0, CASE WHEN apart <= 6 THEN 0 ELSE apart
             ),
             "summary", "profiles", "extreme", "monthly", "trends", "seasonal", "wettest_summer", "driest_winter",
         ),
+        **{
+            f"months_{name}": answer(f"SELECT * FROM {relation}", relation)
+            for name, relation in {
+                "city_yearly_summary": "summary", "climate_profiles": "profiles", "city_extreme_days": "extreme",
+                "monthly_stats": "monthly", "weather_trends": "trends", "seasonal_analysis": "seasonal",
+                "min_precipitation": "wettest_summer", "max_precipitation": "driest_winter",
+            }.items()
+        },
         "gold_min_precipitation": answer("SELECT * FROM wettest_summer", "wettest_summer"),
         "gold_max_precipitation": answer("SELECT * FROM driest_winter", "driest_winter"),
         # ---- serving
@@ -548,16 +594,17 @@ WHERE city IN (SELECT DISTINCT city FROM summary ORDER BY city LIMIT 5) GROUP BY
         "comparison_by_temp": answer("SELECT city, station, avg_temp_city FROM comparison", "comparison"),
         "comparison_by_precip": answer("SELECT city, station, total_precip_city FROM comparison", "comparison"),
         "comparison_scatter": answer("SELECT city, avg_temp_city, total_precip_city FROM comparison", "comparison"),
-        # ---- maps; labels that print a double are left to the unit tests
+        # ---- maps
         "map_temperature": _map(
             "summary",
-            f"""s.avg_temp AS value, {_bands('s.avg_temp', V.TEMPERATURE_COLORS, V.HOTTEST_COLOR)} AS color,
+            f"""{_CAPITAL} || ': ' || COALESCE(CAST(s.avg_temp AS VARCHAR), 'N/A') || '°C' AS label, s.avg_temp AS value, {_bands('s.avg_temp', V.TEMPERATURE_COLORS, V.HOTTEST_COLOR)} AS color,
   {_clamp('s.avg_temp', 3, 5, 15, 5)} AS radius, s.avg_temp, s.max_temp, s.min_temp, s.total_precip, s.avg_humidity,
   s.year, s.month""",
         ),
         "map_precipitation": _map(
             "summary",
-            f"""s.total_precip AS value, {_bands('s.total_precip', V.PRECIPITATION_COLORS, V.WETTEST_COLOR)} AS color,
+            f"""{_CAPITAL} || ': ' || COALESCE(CAST(s.total_precip AS VARCHAR), 'N/A') || ' mm' AS label,
+  s.total_precip AS value, {_bands('s.total_precip', V.PRECIPITATION_COLORS, V.WETTEST_COLOR)} AS color,
   {_clamp('s.total_precip', 10, 5, 20, 5)} AS radius, s.total_precip, s.avg_temp, s.avg_humidity, s.total_sunshine,
   s.year, s.month""",
         ),
@@ -594,6 +641,11 @@ WHERE city IN (SELECT DISTINCT city FROM summary ORDER BY city LIMIT 5) GROUP BY
 WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY city, station, lat, lon, source""",
             "silver",
         ),
+        "dq_station_counts_raw": answer(
+            """SELECT city, station, lat, lon, source, COUNT(*) AS station_rows FROM raw
+WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY city, station, lat, lon, source""",
+            "raw",
+        ),
         "dq_source_counts": answer(
             "SELECT source, COUNT(*) AS source_rows, COUNT(DISTINCT city) AS cities FROM raw GROUP BY source", "raw"
         ),
@@ -603,10 +655,12 @@ WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY city, station, lat, lon, sour
                 for name, relation in {
                     "city_yearly_summary": "summary", "climate_profiles": "profiles", "city_extreme_days": "extreme",
                     "monthly_stats": "monthly", "weather_trends": "trends", "seasonal_analysis": "seasonal",
-                    "weather_alerts": "alerts",
+                    "weather_alerts": "alerts", "climate_comparison": "comparison",
+                    "min_precipitation": "wettest_summer", "max_precipitation": "driest_winter",
                 }.items()
             ),
-            "summary", "profiles", "extreme", "monthly", "trends", "seasonal", "alerts",
+            "summary", "profiles", "extreme", "monthly", "trends", "seasonal", "alerts", "comparison", "wettest_summer",
+            "driest_winter",
         ),
         "dq_null_counts": answer(
             " UNION ALL ".join(
@@ -617,12 +671,18 @@ WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY city, station, lat, lon, sour
         ),
         "dq_missing_months": answer("SELECT * FROM missing", "missing"),
         "dq_missing_detail": answer(
-            """SELECT city, year, month, CAST(NULL AS DOUBLE) AS max_temp_month, CAST(NULL AS DOUBLE) AS min_temp_month,
-  CAST(NULL AS DOUBLE) AS total_precip_month FROM missing""",
+            """SELECT city, year, month, max_temp_month, min_temp_month, total_precip_month
+FROM grid LEFT JOIN extreme USING (city, year, month)
+WHERE city IN (SELECT city FROM missing) AND year IN (SELECT year FROM missing) AND month IN (SELECT month FROM missing)
+  AND (max_temp_month IS NULL OR min_temp_month IS NULL OR total_precip_month IS NULL)""",
             "missing",
         ),
         "dq_first_rows": answer(
-            "SELECT * FROM silver WHERE source = 'meteostat' ORDER BY city, date, year, station LIMIT 3", "silver"
+            " UNION ALL ".join(
+                f"(SELECT * FROM silver WHERE source = '{s}' ORDER BY city, date, year, station LIMIT 3)"
+                for s in ("aemet", "meteostat")
+            ),
+            "silver",
         ),
         "dq_point_lookup": answer(
             "SELECT * FROM silver WHERE city = 'NATION_7' AND date >= DATE '1998-01-01' AND date < DATE '1998-02-01'",

@@ -102,7 +102,7 @@ def _(spark, d):
 @query("provider_a_rejects")
 def _(spark, d):
     _good, rejected = bronze.normalise_provider_a(A.landed_a(spark, d))
-    return rejected
+    return rejected.drop("file")
 
 
 @query("provider_b_normalize")
@@ -111,6 +111,34 @@ def _(spark, d):
     return bronze.with_lineage(good, "meteostat", A.station_places(spark, d))
 
 
+@query("bronze_job_raw")
+def _(spark, d):
+    # a first load: nothing is stored yet
+    incoming = bronze.accepted(A.staged_load(spark, d))
+    return bronze.attach_city_coordinates(bronze.upsert(incoming.limit(0), incoming), A.repeated_cities(spark, d))
+
+
+@query("bronze_job_rejects")
+def _(spark, d):
+    # file names differ between runs; records are the landed text
+    return bronze.rejects(A.staged_load(spark, d)).withColumn("has_record", F.col("record") != "").drop("file", "record")
+
+
+@query("bronze_job_report")
+def _(spark, d):
+    return bronze.load_report(A.staged_load(spark, d))
+
+
+@query("bronze_job_cities")
+def _(spark, d):
+    return bronze.city_report(A.staged_load(spark, d))
+
+
+@query("bronze_repeated_cities")
+def _(spark, d):
+    return bronze.attach_city_coordinates(A.raw(spark, d), A.repeated_cities(spark, d))
+
+
 @query("dms_to_decimal")
 def _(spark, d):
     return to6(bronze.station_coordinates(A.station_inventory(spark, d)).drop("pos"))
@@ -172,10 +200,7 @@ def _(spark, d):
     return to6(seasonal(spark, d), "temp_variability")
 
 
-@query("gold_climate_comparison_by_range")
-def _(spark, d):
-    # the ranking for tables too large for one task, forced
-    return gold.climate_comparison(A.silver(spark, d), one_task_rows=0)
+QUERIES["gold_climate_comparison_by_range"] = comparison
 
 
 @query("gold_layer_from_months")
@@ -196,6 +221,24 @@ def _(spark, d):
     return bronze.union_all([p.withColumn("total", F.round(F.col("total").cast("double"), 6)) for p in parts])
 
 
+def months(spark: SparkSession, d: str) -> DataFrame:
+    """Station months, stored once as the gold job stores them."""
+    return A.stored_frame(spark, d, "station-months", lambda: gold.station_months(A.silver(spark, d)))
+
+
+def _from_months(name: str) -> Query:
+    return lambda spark, d: gold.GOLD_TABLES[name](months(spark, d), gold.MONTHLY)
+
+
+for _name in gold.FROM_MONTHS:
+    QUERIES[f"months_{_name}"] = _from_months(_name)
+
+
+@query("months_seasonal_analysis")
+def _(spark, d):
+    return to6(_from_months("seasonal_analysis")(spark, d), "temp_variability")
+
+
 # ---- serving reads ---------------------------------------------------------------------
 
 QUERIES["filter_options"] = lambda spark, d: charts.filter_options(summary(spark, d))
@@ -244,7 +287,7 @@ def _(spark, d):
 @query("page_deep")
 def _(spark, d):
     return paging.page(
-        alerts(spark, d), "alerts", number=20, size=500, sort_by="alert_severity", ascending=False, top_k_depth=5000
+        alerts(spark, d), "alerts", number=20, size=500, sort_by="alert_severity", ascending=False
     )
 
 
@@ -299,8 +342,8 @@ def places(spark: SparkSession, d: str) -> DataFrame:
     return maps.city_coordinates(A.silver(spark, d))
 
 
-QUERIES["map_temperature"] = lambda spark, d: maps.temperature_map(summary(spark, d), places(spark, d)).drop("label")
-QUERIES["map_precipitation"] = lambda spark, d: maps.precipitation_map(summary(spark, d), places(spark, d)).drop("label")
+QUERIES["map_temperature"] = lambda spark, d: maps.temperature_map(summary(spark, d), places(spark, d))
+QUERIES["map_precipitation"] = lambda spark, d: maps.precipitation_map(summary(spark, d), places(spark, d))
 QUERIES["map_alerts"] = lambda spark, d: maps.alert_map(alerts(spark, d), places(spark, d))
 QUERIES["map_comparison"] = lambda spark, d: maps.comparison_map(comparison(spark, d), places(spark, d))
 QUERIES["map_columns_precipitation"] = lambda spark, d: maps.map_columns(summary(spark, d), "precipitation")
@@ -313,22 +356,25 @@ QUERIES["dq_coverage_by_city"] = lambda spark, d: quality.coordinate_coverage(A.
 QUERIES["dq_coverage_by_source"] = lambda spark, d: quality.coordinate_coverage(A.raw(spark, d), "source")
 QUERIES["dq_extent"] = lambda spark, d: quality.coordinate_extent(A.raw(spark, d))
 QUERIES["dq_station_counts"] = lambda spark, d: quality.station_counts(A.silver(spark, d))
+QUERIES["dq_station_counts_raw"] = lambda spark, d: quality.station_counts(A.raw(spark, d))
 QUERIES["dq_source_counts"] = lambda spark, d: quality.source_counts(A.raw(spark, d))
 
 
 @query("dq_row_counts")
 def _(spark, d):
-    counted = (
-        "city_yearly_summary", "climate_profiles", "city_extreme_days", "monthly_stats", "weather_trends",
-        "seasonal_analysis", "weather_alerts",
-    )
-    return catalog.row_counts({name: gold.GOLD_TABLES[name](A.silver(spark, d)) for name in counted})
+    return catalog.row_counts({name: build(A.silver(spark, d)) for name, build in gold.GOLD_TABLES.items()})
 
 
 QUERIES["dq_null_counts"] = lambda spark, d: quality.null_counts(extreme(spark, d))
 QUERIES["dq_missing_months"] = lambda spark, d: quality.missing_months(extreme(spark, d))
 QUERIES["dq_missing_detail"] = lambda spark, d: quality.missing_detail(extreme(spark, d))
-QUERIES["dq_first_rows"] = lambda spark, d: quality.first_rows(silver(spark, d), "meteostat")
+
+
+@query("dq_first_rows")
+def _(spark, d):
+    return bronze.union_all([quality.first_rows(silver(spark, d), source) for source in ("aemet", "meteostat")])
+
+
 QUERIES["dq_point_lookup"] = lambda spark, d: quality.point_lookup(silver(spark, d), "nation_7", 1998, 1)
 
 # ---- audit -----------------------------------------------------------------------------

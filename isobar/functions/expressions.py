@@ -19,6 +19,11 @@ def first_match(rules, default) -> Column:
 
 # ---- parsing -------------------------------------------------------------------------
 
+def present(*columns: str) -> Column:
+    """None of the columns is missing, in a form that reaches the files."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def number_text(value: Column) -> Column:
     """Text with a decimal comma or point to double; "no value" texts become NULL (F1).
 

@@ -28,10 +28,6 @@ TABLE_KEYS = {
     "comparison": ("city", "region", "station", "lat", "lon"),
 }
 
-# A page up to this depth is a top-k, which gathers that many rows of every task in one;
-# deeper pages number the rows in ranges.
-TOP_K_DEPTH = 2_000
-
 
 def sort_columns(table_key: str, df: DataFrame) -> list[str]:
     """Columns a table may be sorted by."""
@@ -48,16 +44,18 @@ def page_order(table_key: str, df: DataFrame, sort_by: str | None, ascending: bo
 
 
 def page(df: DataFrame, table_key: str, number: int = 1, size: int = 50, filters: Filters | None = None,
-         sort_by: str | None = None, ascending: bool = True, top_k_depth: int = TOP_K_DEPTH) -> DataFrame:
-    """Rows ``(number-1)*size .. number*size`` of the filtered, sorted table."""
+         sort_by: str | None = None, ascending: bool = True) -> DataFrame:
+    """Rows ``(number-1)*size .. number*size`` of the filtered, sorted table.
+
+    Rows are numbered in ranges, at the same cost for every page; ``page_after`` goes on from a
+    known row without numbering.
+    """
     if number < 1 or size < 1:
         raise ValueError("page number and size start at 1")
     kept = apply_filters(df, filters)
     order = page_order(table_key, df, sort_by, ascending)
     skip = (number - 1) * size
-    if skip + size <= top_k_depth:
-        return kept.orderBy(*order).offset(skip).limit(size)
-    numbered = number_rows(kept, kept.count(), order, "_position")
+    numbered = number_rows(kept, order, "_position")
     return numbered.filter(F.col("_position").between(skip + 1, skip + size)).drop("_position").orderBy(*order)
 
 

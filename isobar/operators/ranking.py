@@ -1,81 +1,69 @@
-"""Row positions over a whole table (W1, W2, deep pages).
+"""Row positions over a whole table (W1, W2, pages).
 
-A window without partitions puts the whole table into one task.  That is fine for a
-table whose row count was checked; beyond the bound the rows are range-partitioned by
-the full order, numbered inside each range, and shifted by the sizes of the ranges
-before it.  Orders end with the table's key, so equal or missing values - even a third
-of all rows - are still spread over many ranges.
+A window without partitions would put the whole table into one task.  Rows are instead
+range-partitioned by the full order, numbered inside each range, and shifted by the sizes of
+the ranges before it.  Orders end with the table's key, so equal or missing values - even a
+third of all rows - are still spread over the ranges.  The session's shuffle partitions set
+the number of ranges, whatever the number of rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import materialise
 
-ONE_TASK_ROWS = 200_000
-ROWS_PER_RANGE = 100_000
-
 
-def number_rows(df: DataFrame, rows: int, order: list[Column], position: str, group: str | None = None,
-                group_position: str | None = None, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Add the 1-based position in ``order`` over all rows and, if asked, within ``group``."""
-    if rows <= one_task_rows:
-        numbered = df.withColumn(position, F.row_number().over(Window.orderBy(*order)).cast("long"))
-        if group:
-            within = Window.partitionBy(group).orderBy(*order)
-            numbered = numbered.withColumn(group_position, F.row_number().over(within).cast("long"))
-        return numbered
+def number_rows(df: DataFrame, order: list[Column], position: str, group: str | None = None,
+                group_position: str | None = None, within: str | None = None) -> DataFrame:
+    """Add the 1-based position in ``order`` over all rows and, if asked, within ``group``.
 
-    ranges = max(2, -(-rows // ROWS_PER_RANGE))
+    With ``within``, rows are numbered apart for each value of that column.
+    """
+    apart = [within] if within else []
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Range bounds come from a sample: the tagged rows are written once and read twice.
-    tagged = materialise(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
-
-    in_range = Window.partitionBy("_range").orderBy(*order)
-    numbered = _shifted(
-        tagged.withColumn("_n", F.row_number().over(in_range)),
-        tagged.groupBy("_range").agg(F.count("*").alias("_size")),
-        Window.orderBy("_range"),  # one row per range
-        ["_range"],
-        position,
-    )
+    split = df.repartitionByRange(ranges, *apart, *order)
+    tagged = materialise(split.withColumn("_range", F.spark_partition_id()))
+    numbered = _positions(tagged, tagged, apart, order, position)
     if group:
-        in_both = Window.partitionBy("_range", group).orderBy(*order)
-        numbered = _shifted(
-            numbered.withColumn("_n", F.row_number().over(in_both)),
-            tagged.groupBy("_range", group).agg(F.count("*").alias("_size")),
-            Window.partitionBy(group).orderBy("_range"),
-            ["_range", group],
-            group_position,
-        )
+        numbered = _positions(numbered, tagged, [*apart, group], order, group_position)
     return numbered.drop("_range")
 
 
-def _shifted(numbered: DataFrame, sizes: DataFrame, before, keys: list[str], position: str) -> DataFrame:
-    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+def _positions(rows: DataFrame, tagged: DataFrame, keys: list[str], order: list[Column], position: str) -> DataFrame:
+    """Number the rows of each range and key, and add the sizes of the key's earlier ranges."""
+    in_range = Window.partitionBy("_range", *keys).orderBy(*order)
+    sizes = tagged.groupBy("_range", *keys).agg(F.count("*").alias("_size"))
+    # one row per range and key
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift"),
-    )
-    same = [numbered[k].eqNullSafe(shifts[f"_k_{k}"]) for k in keys]
-    joined = numbered.join(shifts, same)
-    return joined.withColumn(position, (F.col("_n") + F.col("_shift")).cast("long")).drop(
-        "_n", "_shift", *[f"_k_{k}" for k in keys]
+        *[F.col(k).alias(f"_k_{k}") for k in ("_range", *keys)], F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift")
     )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in ("_range", *keys)])
+    joined = rows.withColumn("_n", F.row_number().over(in_range)).join(shifts, same)
+    return joined.withColumn(position, (F.col("_n") + F.col("_shift")).cast("long")).drop("_n", *shifts.columns)
 
 
-def add_ranks(df: DataFrame, metrics: dict[str, str], keys: list[str], group: str,
-              one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def add_ranks(df: DataFrame, metrics: dict[str, str], keys: list[str], group: str) -> DataFrame:
     """``<name>_rank_overall`` and ``<name>_rank_in_<group>`` for each name -> metric, best first.
 
-    ``df`` is computed once (it is counted, then ranked) and held in the checkpoint folder.
+    ``df`` is stored once.  All metrics are ranked together as narrow rows of key and value;
+    only the ranks are joined to the stored table.
     """
-    ranked = materialise(df)
-    rows = ranked.count()
-    for name, metric in metrics.items():
-        order = [F.desc_nulls_last(metric), *[F.asc_nulls_last(k) for k in keys]]
-        ranked = number_rows(
-            ranked, rows, order, f"{name}_rank_overall", group, f"{name}_rank_in_{group}", one_task_rows
-        )
-    return ranked
+    stored = materialise(df)
+    named = dict.fromkeys([*keys, group])
+    values = F.array(*[F.struct(F.lit(n).alias("_metric"), F.col(m).cast("double").alias("_value")) for n, m in metrics.items()])
+    narrow = stored.select(*named, F.inline(values))
+    order = [F.desc_nulls_last("_value"), *[F.asc_nulls_last(k) for k in keys]]
+    ranked = number_rows(narrow, order, "_overall", group, "_inside", within="_metric")
+    place = lambda name, column: F.max(F.when(F.col("_metric") == name, F.col(column)))
+    ranks = ranked.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        *[place(n, "_overall").alias(f"{n}_rank_overall") for n in metrics],
+        *[place(n, "_inside").alias(f"{n}_rank_in_{group}") for n in metrics],
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return stored.join(ranks, same).drop(*[f"_k_{k}" for k in keys])

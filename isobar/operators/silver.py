@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import year_text
+from ..functions.expressions import present, year_text
 from ..schemas import SILVER_SCHEMA, conform
 
 # --- Fixed values: silver name of each raw measure ------------------------------------
@@ -28,7 +28,7 @@ TEMPERATURE_RANGES = {"tavg": (-50, 60), "tmin": (-60, 60), "tmax": (-60, 70)}
 
 def clean(raw: DataFrame, as_of: Column | None = None, check_ranges: bool = False) -> DataFrame:
     """Rename and type the raw rows that have a date and all three temperatures."""
-    kept = raw.na.drop(subset=["date", "tavg", "tmin", "tmax"])
+    kept = raw.filter(present("date", "tavg", "tmin", "tmax"))
     if check_ranges:
         for name, (low, high) in TEMPERATURE_RANGES.items():
             kept = kept.filter(F.col(name).between(low, high))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions import values as V
-from ..operators.ranking import ONE_TASK_ROWS, add_ranks
+from ..operators.ranking import add_ranks
 from ..schemas import GOLD_SCHEMAS, conform
 
 STATION_MONTH = ["city", "region", "station", "year", "month"]
@@ -196,7 +196,8 @@ def seasonal_analysis(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFr
     and month has at most 31 days per source, by the key of the raw table.
     """
     if use is DAILY:
-        silver = silver.na.drop(subset=["temp_avg_c", "date"]).withColumn("year", F.year("date"))
+        # the year stays that of the partition column, so that a filter on it prunes
+        silver = silver.filter(X.present("temp_avg_c", "date")).withColumn("year", F.col("year").cast("int"))
     grouped = use.with_month(silver).groupBy(*STATION_MONTH).agg(
         use.mean("temp_avg_c").alias("avg_temp_season"),
         use.highest("temp_max_c").alias("max_temp_season"),
@@ -234,7 +235,7 @@ def weather_alerts(silver: DataFrame) -> DataFrame:
     )
     graded = silver.filter(remarkable).withColumns(
         {
-            "year": F.year("date").cast("long"),
+            "year": F.col("year").cast("long"),
             "month": F.month("date").cast("long"),
             "temp_max": tmax,
             "temp_min": tmin,
@@ -250,7 +251,7 @@ def weather_alerts(silver: DataFrame) -> DataFrame:
 
 def station_profile(silver: DataFrame) -> DataFrame:
     """Overall figures per located station."""
-    located = silver.na.drop(subset=["temp_avg_c", "lat", "lon"])
+    located = silver.filter(X.present("temp_avg_c", "lat", "lon"))
     return located.groupBy(*STATION).agg(
         F.avg("temp_avg_c").alias("avg_temp_city"),
         F.max("temp_max_c").alias("max_temp_city"),
@@ -265,9 +266,9 @@ def station_profile(silver: DataFrame) -> DataFrame:
     )
 
 
-def climate_comparison(silver: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def climate_comparison(silver: DataFrame) -> DataFrame:
     """Stations compared: classes, ranks overall and in region, day shares, comfort."""
-    ranked = add_ranks(station_profile(silver), COMPARED_METRICS, STATION, "region", one_task_rows)
+    ranked = add_ranks(station_profile(silver), COMPARED_METRICS, STATION, "region")
     temp, precip, humidity = F.col("avg_temp_city"), F.col("total_precip_city"), F.col("avg_humidity_city")
     shares = {
         f"pct_{name}": X.percent(F.col(name), F.col("total_days"))

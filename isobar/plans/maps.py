@@ -26,7 +26,7 @@ def map_columns(df: DataFrame, map_type: str) -> DataFrame:
 
 def city_coordinates(silver: DataFrame) -> DataFrame:
     """Distinct known positions per city."""
-    return silver.select("city", "lat", "lon").na.drop(subset=["lat", "lon"]).distinct()
+    return silver.select("city", "lat", "lon").filter(X.present("lat", "lon")).distinct()
 
 
 def _placed(df: DataFrame, coordinates: DataFrame) -> DataFrame:

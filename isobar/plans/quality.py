@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import percent
+from ..workspace import materialise
 
 EXTREME_MEASURES = ("max_temp_month", "min_temp_month", "total_precip_month")
 CALENDAR_KEY = ("city", "year", "month")
@@ -71,17 +72,28 @@ def calendar_grid(seen: DataFrame) -> DataFrame:
 def missing_months(df: DataFrame) -> DataFrame:
     """Grid entries without any row.
 
-    Lists, grid and comparison all start from the same distinct keys, whose shuffle
-    Spark computes once.
+    The distinct keys are stored first: lists, grid and comparison all read them.
     """
-    seen = _seen(df)
+    return _unseen(materialise(_seen(df)))
+
+
+def _unseen(seen: DataFrame) -> DataFrame:
     return calendar_grid(seen).join(seen, list(CALENDAR_KEY), "left_anti")
 
 
 def missing_detail(df: DataFrame, columns: tuple[str, ...] = EXTREME_MEASURES) -> DataFrame:
-    """The missing grid entries with their measures, of which at least one is NULL."""
+    """Grid entries with their measures, of which at least one is NULL.
+
+    The entries are those whose city, whose year and whose month all lack something somewhere:
+    months without a row, and months with rows that miss a measure.
+    """
     key = list(CALENDAR_KEY)
-    detail = missing_months(df).join(df.select(*key, *columns), key, "left")
+    seen = materialise(_seen(df))
+    missing = materialise(_unseen(seen))
+    lacking = calendar_grid(seen)
+    for name in key:
+        lacking = lacking.join(missing.select(name).distinct(), name, "left_semi")
+    detail = lacking.select(*key).join(df.select(*key, *columns), key, "left")
     return detail.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
 
 

@@ -3,6 +3,7 @@ import statistics
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from isobar.operators.ranking import add_ranks, number_rows
@@ -131,19 +132,29 @@ def _stations(spark, n=600, seed=3):
 def test_range_ranks_equal_window_ranks(spark):
     df = _stations(spark)
     ranks = {"a": "m", "b": "k"}
-    plain = add_ranks(df, ranks, ["city"], "region")
-    ranged = add_ranks(df, ranks, ["city"], "region", one_task_rows=0)
+    ranged = add_ranks(df, ranks, ["city"], "region")
+    plain = df
+    for name, metric in ranks.items():
+        order = [F.desc_nulls_last(metric), F.asc("city")]
+        plain = plain.withColumns({
+            f"{name}_rank_overall": F.row_number().over(Window.orderBy(*order)).cast("long"),
+            f"{name}_rank_in_region": F.row_number().over(Window.partitionBy("region").orderBy(*order)).cast("long"),
+        })
     columns = sorted(plain.columns)
     assert sorted(plain.columns) == sorted(ranged.columns)
     assert plain.select(columns).exceptAll(ranged.select(columns)).count() == 0
     assert ranged.count() == df.count()
 
 
-def test_many_ranges(spark, monkeypatch):
-    monkeypatch.setattr("isobar.operators.ranking.ROWS_PER_RANGE", 40)
+def test_many_ranges(spark):
     df = _stations(spark)
     order = [F.desc_nulls_last("m"), F.asc("city")]
-    numbered = number_rows(df, 600, order, "n", "region", "g", one_task_rows=0)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "15")
+    try:
+        numbered = number_rows(df, order, "n", "region", "g")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
     assert [r.n for r in numbered.orderBy(*order).collect()] == list(range(1, 601))
     for region, size in [(r.region, r["count"]) for r in df.groupBy("region").count().collect()]:
         inside = numbered.filter(F.col("region").eqNullSafe(region)).orderBy(*order).collect()

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from conformance import adapter
-from isobar.operators import paging
+from isobar.operators import bronze, paging
 from isobar.operators.filters import Filters, apply_filters
+from isobar.operators.silver import clean
 from isobar.plans import gold
 
 from rows import plan
@@ -38,14 +39,32 @@ def test_one_shuffle_per_grouped_table(spark):
 def test_top_k(spark):
     silver = adapter.silver(spark, SMALL)
     assert "TakeOrderedAndProject" in plan(gold.min_precipitation(silver))
-    assert "TakeOrderedAndProject" in plan(paging.page(gold.city_yearly_summary(silver), "summary", number=2))
+    last = {"city": "NATION_1", "region": "A", "station": "S", "year": "1997", "month": 1}
+    assert "TakeOrderedAndProject" in plan(paging.page_after(gold.city_yearly_summary(silver), "summary", last))
 
 
-def test_single_task_windows_only_for_counted_tables(spark):
+def test_no_table_is_numbered_in_one_task(spark):
     silver = adapter.silver(spark, SMALL)
-    assert "SinglePartition" in plan(gold.climate_comparison(silver))
-    deep = paging.page(gold.weather_alerts(silver), "alerts", number=3, top_k_depth=0)
-    assert deep.count() == 50
-    forced = gold.climate_comparison(silver, one_task_rows=0)
+    compared = gold.climate_comparison(silver)
+    assert "SinglePartition" not in plan(compared)
     stations = gold.station_profile(silver).count()
-    assert forced.agg(F.max("heat_rank_overall")).first()[0] == stations
+    assert compared.agg(F.max("heat_rank_overall")).first()[0] == stations
+    deep = paging.page(gold.weather_alerts(silver), "alerts", number=3)
+    assert deep.count() == 50
+    # the sizes of the ranges, one row each, are the only rows that meet in one task
+    assert plan(deep).count("Arguments: SinglePartition") == 1
+
+
+def test_filters_reach_the_files(spark):
+    silver = adapter.silver(spark, SMALL)
+    assert "IsNotNull(tavg)" in plan(clean(adapter.raw(spark, SMALL)))
+    assert "IsNotNull(lat)" in plan(gold.station_profile(silver))
+    for build in (gold.seasonal_analysis, gold.weather_alerts):
+        pruned = plan(build(silver).filter("year = 1997"))
+        assert "PartitionFilters: [isnotnull(year" in pruned, pruned
+
+
+def test_landed_rows_are_not_shuffled_for_their_city(spark):
+    landed, places = adapter.landed_a(spark, SMALL), adapter.station_places(spark, SMALL)
+    text = plan(bronze.staged(bronze.judge_provider_a(landed), "aemet", places))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text

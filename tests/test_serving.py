@@ -65,11 +65,10 @@ def test_season_source_alert_and_dates(base):
     assert {r.date.month for r in apply_filters(base, Filters(month=4)).collect()} == {4}
 
 
-@pytest.mark.parametrize("depth", [paging.TOP_K_DEPTH, 0])
-def test_pages_join_to_the_sorted_table(summary, depth):
+def test_pages_join_to_the_sorted_table(summary):
     pages = []
     for number in range(1, 6):
-        page = paging.page(summary, "summary", number, 10, sort_by="avg_temp", ascending=False, top_k_depth=depth)
+        page = paging.page(summary, "summary", number, 10, sort_by="avg_temp", ascending=False)
         pages += [tuple(r) for r in page.collect()]
     order = [F.desc("avg_temp"), "city", "region", "station", "year", "month"]
     assert pages == [tuple(r) for r in summary.orderBy(*order).collect()]
