@@ -32,6 +32,8 @@ from . import text as X
 #: Smaller than elsewhere, for the lists of words that Python holds.
 BLOCK_BYTES = 4 << 20
 CELLS = 1 << 15
+#: Words that Spark holds in one row; a bucket has as many rows as it needs.
+ROW_WORDS = 4096
 NO_RANK = 2**31 - 1
 #: What the pattern calls white space (Unicode's White_Space), for an engine that has a wider \s.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -162,37 +164,47 @@ def _words_of(body: bytes) -> tuple[np.ndarray, np.ndarray]:
 _ASKED = pa.list_(pa.struct([("block", pa.int64()), ("first", pa.int32()), ("places", pa.binary())]))
 
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per bucket: its distinct words, and which of them each block asked for."""
-    bucket, known, asked = None, {}, []
+def _distinct(row_words: int):
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A bucket's distinct words in rows of ``row_words``; the last says which of all each block asked for."""
+        bucket, known, asked = None, {}, []
 
-    def close() -> pa.RecordBatch:
-        listed = [w.decode("latin-1") for w in known]
-        return pa.RecordBatch.from_arrays([pa.array([listed], pa.list_(pa.string())), pa.array([asked], _ASKED)], names=["words", "asked"])
+        def close() -> pa.RecordBatch:
+            listed = [w.decode("latin-1") for w in known]
+            parts = [listed[i : i + row_words] for i in range(0, len(listed), row_words)]
+            asks = [None] * (len(parts) - 1) + [asked]
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.list_(pa.string())), pa.array(asks, _ASKED)], names=["words", "asked"])
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["bucket"] != bucket:
-                if known:
-                    yield close()
-                bucket, known, asked = row["bucket"], {}, []
-            listed = X.parted(*X.unpack(row["words"]))
-            places = np.fromiter((known.setdefault(w, len(known)) for w in listed), np.int64, len(listed))
-            asked.append({"block": row["block"], "first": row["first"], "places": X.pack(X.narrow(places))})
-    if known:
-        yield close()
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket:
+                    if known:
+                        yield close()
+                    bucket, known, asked = row["bucket"], {}, []
+                listed = X.parted(*X.unpack(row["words"]))
+                places = np.fromiter((known.setdefault(w, len(known)) for w in listed), np.int64, len(listed))
+                asked.append({"block": row["block"], "first": row["first"], "places": X.pack(X.narrow(places))})
+        if known:
+            yield close()
+
+    return distinct
 
 
 def _routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each block's answer: the ids of the words it asked for."""
+    """Each block's answer: the ids of the words it asked for; rows come in the order of ``_distinct``."""
+    parts = []
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
             ids = row["ids"].flatten()
-            ends = ids.offsets.to_numpy().astype(np.int64)
-            flat, starts, counts = ids.flatten().to_numpy(), ends[:-1] - ends[0], np.diff(ends)
-            out = []
-            for x in row["asked"].to_pylist()[0]:
+            parts.append((ids.flatten().to_numpy().astype(np.uint32), np.diff(ids.offsets.to_numpy()).astype(np.int64)))
+            asked = row["asked"].to_pylist()[0]
+            if asked is None:
+                continue
+            flat, counts = (np.concatenate(each) for each in zip(*parts))
+            starts, out = np.cumsum(counts) - counts, []
+            parts = []
+            for x in asked:
                 places = X.unpack(x["places"])[0]
                 own = flat[X.gather(starts[places], counts[places])]
                 answer = X.pack(X.narrow(counts[places]), (own & 255).astype(np.uint8), X.narrow(own >> 8))
@@ -241,12 +253,13 @@ def encode_decode(
     text_column: str = "text",
     block_bytes: int = BLOCK_BYTES,
     buckets: int | None = None,
+    row_words: int = ROW_WORDS,
 ) -> DataFrame:
     """Per row: doc_id, n_tokens, and digests of the ids and of the bytes decoded from them."""
     ranks = read_ranks(ranks_path)
     table = Ranks(ranks)
     blocks = B.blocks_of(docs, id_column, text_column, _cut(pattern), _sequence, block_bytes, buckets)
-    distinct = B.by_bucket(blocks).mapInArrow(_distinct, "words array<string>, asked array<struct<block: long, first: int, places: binary>>")
+    distinct = B.by_bucket(blocks).mapInArrow(_distinct(row_words), "words array<string>, asked array<struct<block: long, first: int, places: binary>>")
     encoded = distinct.select("asked", F.transform("words", table.encode).alias("ids"))
     answers = encoded.mapInArrow(_routed, "block long, first int, answer binary")
     return B.answered(blocks, answers, "doc_ids", "body").mapInArrow(

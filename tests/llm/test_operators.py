@@ -237,6 +237,8 @@ def test_byte_bpe(docs, empty):
         ids = own.encode_ordinary(t or "")
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert rows(bpe.encode_decode(docs, path, public_tokenizers.PATTERN)) == sorted(want, key=repr)
+    many_rows = bpe.encode_decode(docs, path, public_tokenizers.PATTERN, block_bytes=2000, buckets=2, row_words=7)
+    assert rows(many_rows) == sorted(want, key=repr)
     assert rows(bpe.encode_decode(empty, path, public_tokenizers.PATTERN)) == []
 
 
