@@ -3,8 +3,10 @@
 Paragraphs are lines.  One that holds a cue word is scored by multinomial logistic regression
 over hashed words and word pairs; its classes are licence families and "unknown".  Probabilities
 are calibrated by a temperature fitted on held-out texts, and a family needs ``LEAST`` of
-probability.  It must also be confirmed: enough of the paragraph's word triples, or of a
-template's, occur in both.  Scanning uses Spark's built-in functions only.
+probability.  It must also be confirmed: enough of the paragraph's word triples, or of one
+template's, occur in both; texts of one or two words count whole.  A paragraph is scored in
+overlapping windows of ``WINDOW`` words, so that notices inside long ones are seen, and confirmed
+as a whole.  Scanning uses Spark's built-in functions only.
 
 The model is small and trained on the driver from the fixed templates and counter-examples
 below, each varied ``VARIANTS`` times with a fixed seed; nothing is read from the corpus.
@@ -26,8 +28,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FEATURES, VARIANTS, HELD_OUT = 2048, 24, 0.25
+FEATURES, VARIANTS, HELD_OUT = 4096, 48, 0.25
 LEAST, SHARED = 0.6, 0.5
+WINDOW, AROUND = 24, 18
 CUE = r"(?i)licen[sc]e|copyright|permission|redistribut|warrant|public domain|creative ?commons|\bcc[ -]by|\bcc0"
 
 # Short notices of the families, as their publishers word them, and other texts.
@@ -40,6 +43,7 @@ TEMPLATES = {
     ),
     "mit": (
         "Released under the MIT License.",
+        "MIT License",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "SPDX-License-Identifier: MIT",
@@ -92,6 +96,16 @@ UNKNOWN = (
     "The general public was free to copy the notes of the meeting.",
     "Files may be used in compliance with the rules of the library.",
 )
+# Other licences that differ from a template by a word or two; never cut, which would make them equal.
+OTHERS = (
+    "Licensed under the GNU General Public License, version 2.",
+    "SPDX-License-Identifier: GPL-2.0-only",
+    "SPDX-License-Identifier: Zlib",
+    "Licensed under CC BY-SA 4.0.",
+    "Licensed under CC BY-ND 4.0.",
+    "Licensed under the Apache License, Version 1.1.",
+    "Released under the terms of the agreement between the authors and the publisher.",
+)
 
 
 class Model(NamedTuple):
@@ -112,13 +126,16 @@ def _features(words: list[str]) -> list[int]:
 
 
 def _varied(text: str, rng: np.random.Generator) -> list[str]:
-    """The words of a text cut at one end, with some left out, and ordinary words around it."""
+    """The words of a text cut at one end, with some left out, and other words on both sides."""
     words = _words(text)
-    keep = max(3, int(len(words) * rng.uniform(0.6, 1)))
+    keep = len(words) if text in OTHERS else max(3, int(len(words) * rng.uniform(0.6, 1)))
     first = int(rng.integers(0, len(words) - keep + 1)) if len(words) > keep else 0
-    words = [w for w in words[first : first + keep] if rng.random() > 0.05]
-    other = _words(UNKNOWN[int(rng.integers(len(UNKNOWN)))])[: int(rng.integers(0, 4))]
-    return other + words if rng.random() < 0.5 else words + other
+    words = [w for w in words[first : first + keep] if text in OTHERS or rng.random() > 0.05]
+    # ordinary and invented words, as many as a window holds besides
+    other = [w for k in rng.integers(len(UNKNOWN), size=2) for w in _words(UNKNOWN[k])]
+    other = [f"w{rng.integers(10**6)}" if rng.random() < 0.5 else w for w in other[: int(rng.integers(0, AROUND))]]
+    at = int(rng.integers(0, len(other) + 1))
+    return other[:at] + words + other[at:]
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -127,21 +144,21 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def trained(steps: int = 300, rate: float = 2.0, ridge: float = 1e-4, seed: int = 11) -> Model:
+def trained(steps: int = 600, rate: float = 2.0, ridge: float = 1e-4, seed: int = 11) -> Model:
     rng = np.random.default_rng(seed)
     families = ["unknown", *TEMPLATES]
-    texts = [(0, t) for t in UNKNOWN] + [(families.index(f), t) for f, ts in TEMPLATES.items() for t in ts]
+    texts = [(0, t) for t in (*UNKNOWN, *OTHERS)] + [(families.index(f), t) for f, ts in TEMPLATES.items() for t in ts]
     rows = [(c, _words(t)) for c, t in texts] + [(c, _varied(t, rng)) for c, t in texts for _ in range(VARIANTS)]
     x, y = np.zeros((len(rows), FEATURES)), np.array([c for c, _ in rows])
     for i, (_, words) in enumerate(rows):
         x[i, _features(words)] = 1 / np.sqrt(max(len(words), 1))
     held = rng.random(len(rows)) < HELD_OUT
     held[: len(texts)] = False
-    hot = np.eye(len(families))[y]
+    hot, seen = np.eye(len(families))[y][~held], x[~held]
     w, b = np.zeros((FEATURES, len(families))), np.zeros(len(families))
     for _ in range(steps):
-        error = (_softmax(x[~held] @ w + b) - hot[~held]) / (~held).sum()
-        w -= rate * len(families) * (x[~held].T @ error + ridge * w)
+        error = (_softmax(seen @ w + b) - hot) / len(seen)
+        w -= rate * len(families) * (seen.T @ error + ridge * w)
         b -= rate * error.sum(0)
     scores = x[held] @ w + b
 
@@ -166,12 +183,25 @@ def _grams(words: Column, n: int) -> Column:
     )
 
 
+def _triples(words: list[str]) -> list[str]:
+    """The word triples of a text, or all of a shorter one."""
+    return sorted({" ".join(words[i : i + 3]) for i in range(max(len(words) - 2, 1))})
+
+
+def _windows(words: Column) -> Column:
+    """Windows of WINDOW words that overlap by half; all of a shorter text."""
+    step = WINDOW // 2
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - step, F.lit(1)), F.lit(step)), lambda i: F.slice(words, i, WINDOW))
+
+
 def _scored(paragraph: Column, model: Model) -> Column:
-    """(probability, family, confirmed) of one paragraph."""
+    """(confirmed, probability, family) of one paragraph: of its best confirmed window, or else its best one."""
     weights = _literal(np.round(model.weights, 6).tolist(), "array<array<double>>")
     bias = _literal(model.bias.tolist(), "array<double>")
-    triples = [sorted({" ".join(w[i : i + 3]) for t in ts for w in [_words(t)] for i in range(len(w) - 2)}) for ts in TEMPLATES.values()]
-    known = _literal([[], *triples], "array<array<string>>")
+    templates = [[_triples(_words(t)) for t in ts] for ts in TEMPLATES.values()]
+    every = _literal([[], *templates], "array<array<array<string>>>")
+    known = _literal([[], *(sorted({g for t in ts for g in t}) for ts in templates)], "array<array<string>>")
+    names = _literal(model.families, "array<string>")
 
     def judge(words: Column) -> Column:
         hashed = F.array_distinct(F.transform(F.array_union(words, _grams(words, 2)), lambda g: (F.crc32(g) % FEATURES).cast("int")))
@@ -182,17 +212,37 @@ def _scored(paragraph: Column, model: Model) -> Column:
             return _let(scores, lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s))))
 
         def verdict(p: Column) -> Column:
-            at = (F.array_position(p, F.array_max(p)) - 1).cast("int")
-            own = _grams(words, 3)
-            shared = F.size(F.array_intersect(own, F.get(known, at)))
-            confirmed = (at > 0) & (shared > 0) & (shared >= SHARED * F.size(F.array_distinct(own)))
             probability = F.array_max(p) / F.aggregate(p, F.lit(0.0), lambda s, x: s + x)
-            names = _literal(model.families, "array<string>")
-            return F.struct(probability.alias("probability"), F.get(names, at).alias("family"), (confirmed & (probability >= LEAST)).alias("confirmed"))
+            return F.struct(probability.alias("probability"), (F.array_position(p, F.array_max(p)) - 1).cast("int").alias("at"))
 
         return _let(_let(hashed, probabilities), verdict)
 
-    return _let(F.filter(F.split(F.lower(paragraph), "[^a-z0-9]+"), lambda w: w != ""), judge)
+    def shares(own: Column, at: Column) -> Column:
+        enough = F.size(F.array_intersect(own, F.get(known, at))) >= SHARED * F.size(own)
+        return enough | F.exists(F.get(every, at), lambda t: F.size(F.array_intersect(t, own)) >= SHARED * F.size(t))
+
+    def whole(words: Column) -> Column:
+        def best(judged: Column) -> Column:
+            def confirmed(own: Column) -> Column:
+                return F.array_max(
+                    F.transform(
+                        judged,
+                        lambda j: F.struct(
+                            ((j["at"] > 0) & (j["probability"] >= LEAST) & shares(own, j["at"])).alias("confirmed"),
+                            j["probability"].alias("probability"),
+                            F.get(names, j["at"]).alias("family"),
+                        ),
+                    )
+                )
+
+            triples = F.when(F.size(words) < 3, F.array(F.array_join(words, " "))).otherwise(F.array_distinct(_grams(words, 3)))
+            likely = F.exists(judged, lambda j: (j["at"] > 0) & (j["probability"] >= LEAST))
+            # no triples are made of paragraphs that have nothing to confirm
+            return _let(F.when(likely, triples).otherwise(F.array(F.lit(""))), confirmed)
+
+        return _let(F.transform(_windows(words), judge), best)
+
+    return _let(F.filter(F.split(F.lower(paragraph), "[^a-z0-9]+"), lambda w: w != ""), whole)
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -132,6 +132,33 @@ def test_licences(spark, empty):
     assert rows(licences.scan(empty)) == []
 
 
+MIT_TEXT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+    "so, subject to the following conditions:"
+)
+
+
+def families(spark, texts):
+    got = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [r.family for r in sorted(got, key=lambda r: r.doc_id)]
+
+
+def test_licences_in_long_paragraphs_and_names_alone(spark):
+    words = " ".join(f"w{i}" for i in range(300))
+    texts = {
+        MIT_TEXT: "mit",
+        "We thank all of our readers; the whole text of this book is released under the MIT License and may be reused.": "mit",
+        f"{words} Licensed under the Apache License, Version 2.0. {words}": "apache-2.0",
+        "MIT License": "mit",
+        "Licensed under CC BY-SA 4.0.": "unknown",
+        "Licensed under the GNU General Public License, version 2.": "unknown",
+        f"{words} a license {words}": "unknown",
+    }
+    assert families(spark, list(texts)) == list(texts.values())
+
+
 def similar(texts, size, percent):
     sets = {}
     for i, t in texts:
