@@ -1,7 +1,9 @@
 """Licence scans: a paragraph classifier over word n-grams, confirmed by templates.
 
-Paragraphs are lines.  One that holds a cue word is scored by multinomial logistic regression
-over hashed words and word pairs; its classes are licence families and "unknown".  Probabilities
+Paragraphs are separated by blank lines; line ends inside one count as spaces.  One that holds a
+cue word is scored by multinomial logistic regression over hashed words and word pairs; the cue
+words meet every word triple of every template, so no other paragraph can be confirmed.  The
+classes are licence families and "unknown".  Probabilities
 are calibrated by a temperature fitted on held-out texts, and a family needs ``LEAST`` of
 probability.  It must also be confirmed: enough of the paragraph's word triples, or of one
 template's, occur in both; texts of one or two words count whole.  A paragraph is scored in
@@ -21,6 +23,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections import Counter
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -28,10 +31,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FEATURES, VARIANTS, HELD_OUT = 4096, 48, 0.25
+FEATURES, VARIANTS, NAMED, HELD_OUT = 4096, 48, 4, 0.25
 LEAST, SHARED = 0.6, 0.5
 WINDOW, AROUND = 24, 18
-CUE = r"(?i)licen[sc]e|copyright|permission|redistribut|warrant|public domain|creative ?commons|\bcc[ -]by|\bcc0"
+MENTION = r"(?i)licen[sc]|lizen[zs]|copyright|permission|redistribut|warrant|public domain|creative ?commons|\bcc[ -]by|\bcc0"
 
 # Short notices of the families, as their publishers word them, and other texts.
 TEMPLATES = {
@@ -79,6 +82,26 @@ TEMPLATES = {
         "SPDX-License-Identifier: CC-BY-4.0",
     ),
 }
+# Names of the families, and how notices in the languages of documents lead to them.
+NAMES = {
+    "apache-2.0": ("Apache 2.0", "Apache-2.0", "Apache License 2.0"),
+    "mit": ("MIT",),
+    "gpl-3.0": ("GPLv3", "GPL v3", "GPL 3.0", "GNU GPL v3", "GNU GPLv3", "GNU General Public License v3"),
+    "lgpl": ("LGPL", "LGPLv3", "LGPL 2.1", "GNU LGPL"),
+    "bsd": ("BSD", "BSD 3-Clause", "BSD 2-Clause"),
+    "mpl-2.0": ("MPL 2.0", "MPLv2", "Mozilla Public License 2.0"),
+    "cc-by-nc-4.0": ("CC BY-NC 4.0", "Creative Commons BY-NC 4.0"),
+    "cc-by-4.0": ("CC BY 4.0", "Creative Commons BY 4.0"),
+}
+# Every word triple of these holds a word of the name.
+LEADS = (
+    "under the {}", "under the {} license", "under the {} licence", "licensed under {}", "released under {}", "distributed under {}",
+    "unter der {}", "unter der {} Lizenz", "lizenziert unter {}", "veröffentlicht unter {}",
+    "sous la {}", "sous licence {}", "sous la licence {}", "publié sous {}", "distribué sous {}",
+    "bajo la {}", "bajo licencia {}", "bajo la licencia {}", "publicado bajo {}", "distribuido bajo {}",
+    "{} License", "{} Licence", "{} Lizenz", "licence {}", "licencia {}",
+)
+COMMON = frozenset("a an and any are as at be by for free from in is it may not of on or out that the this to with without you your file use part under unter der sous la bajo mit".split())
 UNKNOWN = (
     "All rights reserved. No part of this publication may be reproduced without the prior permission of the publisher.",
     "Copyright of the photographs remains with their authors.",
@@ -96,7 +119,7 @@ UNKNOWN = (
     "The general public was free to copy the notes of the meeting.",
     "Files may be used in compliance with the rules of the library.",
 )
-# Other licences that differ from a template by a word or two; never cut, which would make them equal.
+# Other licences, which differ from a template by a word or two, and other uses of its words; never cut, which could make them equal.
 OTHERS = (
     "Licensed under the GNU General Public License, version 2.",
     "SPDX-License-Identifier: GPL-2.0-only",
@@ -105,6 +128,14 @@ OTHERS = (
     "Licensed under CC BY-ND 4.0.",
     "Licensed under the Apache License, Version 1.1.",
     "Released under the terms of the agreement between the authors and the publisher.",
+    "Distributed under GPLv2.",
+    "Lizenziert unter CC BY-SA 4.0.",
+    "Publié sous licence CC BY-SA 4.0.",
+    "Publicado bajo la licencia CC BY-ND 4.0.",
+    "Die Lizenz des Senders wurde unter der neuen Leitung verlängert.",
+    "Elle a perdu la licence de la station et la permission de publier sous la marque.",
+    "La licencia de conducir fue renovada bajo la ley nueva.",
+    "He studied at MIT under the direction of a professor and left for the Apache reservation.",
 )
 
 
@@ -117,7 +148,12 @@ class Model(NamedTuple):
 
 
 def _words(text: str) -> list[str]:
-    return re.findall(r"[a-z0-9]+", text.lower())
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def _templates() -> dict[str, list[str]]:
+    """Notices and names of each family."""
+    return {f: [*ts, *(lead.format(n) for n in NAMES[f] for lead in LEADS), *(n for n in NAMES[f] if re.search("[0-9]", n))] for f, ts in TEMPLATES.items()}
 
 
 def _features(words: list[str]) -> list[int]:
@@ -125,12 +161,12 @@ def _features(words: list[str]) -> list[int]:
     return sorted({zlib.crc32(g.encode()) % FEATURES for g in grams})
 
 
-def _varied(text: str, rng: np.random.Generator) -> list[str]:
-    """The words of a text cut at one end, with some left out, and other words on both sides."""
+def _varied(text: str, cut: bool, rng: np.random.Generator) -> list[str]:
+    """The words of a text, perhaps cut at one end and with some left out, and other words on both sides."""
     words = _words(text)
-    keep = len(words) if text in OTHERS else max(3, int(len(words) * rng.uniform(0.6, 1)))
+    keep = max(3, int(len(words) * rng.uniform(0.6, 1))) if cut else len(words)
     first = int(rng.integers(0, len(words) - keep + 1)) if len(words) > keep else 0
-    words = [w for w in words[first : first + keep] if text in OTHERS or rng.random() > 0.05]
+    words = [w for w in words[first : first + keep] if not cut or rng.random() > 0.05]
     # ordinary and invented words, as many as a window holds besides
     other = [w for k in rng.integers(len(UNKNOWN), size=2) for w in _words(UNKNOWN[k])]
     other = [f"w{rng.integers(10**6)}" if rng.random() < 0.5 else w for w in other[: int(rng.integers(0, AROUND))]]
@@ -148,14 +184,17 @@ def trained(steps: int = 600, rate: float = 2.0, ridge: float = 1e-4, seed: int
     rng = np.random.default_rng(seed)
     families = ["unknown", *TEMPLATES]
     texts = [(0, t) for t in (*UNKNOWN, *OTHERS)] + [(families.index(f), t) for f, ts in TEMPLATES.items() for t in ts]
-    rows = [(c, _words(t)) for c, t in texts] + [(c, _varied(t, rng)) for c, t in texts for _ in range(VARIANTS)]
-    x, y = np.zeros((len(rows), FEATURES)), np.array([c for c, _ in rows])
+    named = [(families.index(f), t) for f, ts in _templates().items() for t in ts if t not in TEMPLATES[f]]
+    varied = [(c, t, t not in OTHERS) for c, t in texts for _ in range(VARIANTS)] + [(c, t, False) for c, t in named for _ in range(NAMED)]
+    texts += named
+    rows = [(c, _words(t)) for c, t in texts] + [(c, _varied(t, cut, rng)) for c, t, cut in varied]
+    x, y = np.zeros((len(rows), FEATURES), np.float32), np.array([c for c, _ in rows])
     for i, (_, words) in enumerate(rows):
         x[i, _features(words)] = 1 / np.sqrt(max(len(words), 1))
     held = rng.random(len(rows)) < HELD_OUT
     held[: len(texts)] = False
-    hot, seen = np.eye(len(families))[y][~held], x[~held]
-    w, b = np.zeros((FEATURES, len(families))), np.zeros(len(families))
+    hot, seen = np.eye(len(families), dtype=np.float32)[y][~held], x[~held]
+    w, b = np.zeros((FEATURES, len(families)), np.float32), np.zeros(len(families), np.float32)
     for _ in range(steps):
         error = (_softmax(seen @ w + b) - hot) / len(seen)
         w -= rate * len(families) * (seen.T @ error + ridge * w)
@@ -166,7 +205,7 @@ def trained(steps: int = 600, rate: float = 2.0, ridge: float = 1e-4, seed: int
         return float(-np.log(_softmax(scores / t)[np.arange(held.sum()), y[held]] + 1e-12).mean())
 
     temperature = min(np.geomspace(0.05, 5, 60).tolist(), key=loss)
-    return Model(families, w.T, b, temperature, float((scores.argmax(1) == y[held]).mean()))
+    return Model(families, w.T.astype(float), b.astype(float), temperature, float((scores.argmax(1) == y[held]).mean()))
 
 
 def _literal(value, kind: str) -> Column:
@@ -188,6 +227,25 @@ def _triples(words: list[str]) -> list[str]:
     return sorted({" ".join(words[i : i + 3]) for i in range(max(len(words) - 2, 1))})
 
 
+@lru_cache(maxsize=1)
+def _cues() -> tuple[list[str], list[str]]:
+    """Words that meet the triples of the templates, the most frequent first, and the triples of common words and numbers only."""
+    left = {g for ts in _templates().values() for t in ts for g in _triples(_words(t))}
+    phrases = {g for g in left if all(w in COMMON or w.isdigit() for w in g.split(" "))}
+    left, cues = [set(g.split(" ")) for g in left - phrases], []
+    while left:
+        times = Counter(w for g in left for w in g if not (w in COMMON or w.isdigit()))
+        cues.append(min(times, key=lambda w: (-times[w], w)))
+        left = [g for g in left if cues[-1] not in g]
+    return cues, sorted(phrases)
+
+
+def _cued(words: Column) -> Column:
+    """Whether the words hold a cue; so do all that share a triple with a template."""
+    cues, phrases = _cues()
+    return F.arrays_overlap(words, _literal(cues, "array<string>")) | F.rlike(F.array_join(words, " "), F.lit(rf"(?<!\S)(?:{'|'.join(phrases)})(?!\S)"))
+
+
 def _windows(words: Column) -> Column:
     """Windows of WINDOW words that overlap by half; all of a shorter text."""
     step = WINDOW // 2
@@ -198,7 +256,7 @@ def _scored(paragraph: Column, model: Model) -> Column:
     """(confirmed, probability, family) of one paragraph: of its best confirmed window, or else its best one."""
     weights = _literal(np.round(model.weights, 6).tolist(), "array<array<double>>")
     bias = _literal(model.bias.tolist(), "array<double>")
-    templates = [[_triples(_words(t)) for t in ts] for ts in TEMPLATES.values()]
+    templates = [[_triples(_words(t)) for t in ts] for ts in _templates().values()]
     every = _literal([[], *templates], "array<array<array<string>>>")
     known = _literal([[], *(sorted({g for t in ts for g in t}) for ts in templates)], "array<array<string>>")
     names = _literal(model.families, "array<string>")
@@ -240,9 +298,12 @@ def _scored(paragraph: Column, model: Model) -> Column:
             # no triples are made of paragraphs that have nothing to confirm
             return _let(F.when(likely, triples).otherwise(F.array(F.lit(""))), confirmed)
 
-        return _let(F.transform(_windows(words), judge), best)
+        # a paragraph that only mentions licences has no window to judge
+        unknown = F.struct(F.lit(False).alias("confirmed"), F.lit(None).cast("double").alias("probability"), F.lit("unknown").alias("family"))
+        return F.coalesce(_let(F.transform(F.filter(_windows(words), _cued), judge), best), unknown)
 
-    return _let(F.filter(F.split(F.lower(paragraph), "[^a-z0-9]+"), lambda w: w != ""), whole)
+    words = F.array_remove(F.split(F.lower(paragraph), r"[^\p{L}\p{N}]+"), "")
+    return _let(words, lambda w: F.when(_cued(w) | F.rlike(paragraph, F.lit(MENTION)), whole(w)))
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -252,8 +313,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     """
     model = trained()
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    lines = F.filter(F.split(text, "\n", -1), lambda line: F.rlike(line, F.lit(CUE)))
-    scored = docs.select(F.col(id_column).alias("doc_id"), F.transform(lines, lambda line: _scored(line, model)).alias("scored"))
+    paragraphs = F.transform(F.split(text, r"\n\s*\n", -1), lambda paragraph: _scored(paragraph, model))
+    scored = docs.select(F.col(id_column).alias("doc_id"), F.filter(paragraphs, lambda s: s.isNotNull()).alias("scored"))
     sure = scored.withColumn("best", F.array_max(F.filter("scored", lambda s: s["confirmed"])))
     family = F.coalesce("best.family", F.when(F.size("scored") > 0, "unknown").otherwise("none"))
     return sure.select(

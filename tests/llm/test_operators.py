@@ -159,6 +159,29 @@ def test_licences_in_long_paragraphs_and_names_alone(spark):
     assert families(spark, list(texts)) == list(texts.values())
 
 
+def test_licences_in_other_languages_names_and_wrapped_lines(spark):
+    texts = {
+        "Veröffentlicht unter der MIT-Lizenz.": "mit",
+        "Publicado bajo la licencia MIT.": "mit",
+        "Publié sous licence CC BY 4.0.": "cc-by-4.0",
+        "Distributed under GPLv3.": "gpl-3.0",
+        "Apache-2.0": "apache-2.0",
+        "one\n\nThis Source Code Form is\nsubject to the terms of the Mozilla\nPublic License, v. 2.0.\n\ntwo": "mpl-2.0",
+        "This program is free software: you can\nredistribute it and/or modify it under the terms\nof the GNU General Public License as published by\n"
+        "the Free Software Foundation, either version 3 of\nthe License, or (at your option) any later version.": "gpl-3.0",
+        "Sie kam mit dem Hund unter der neuen Brücke an.": "none",
+        "Die Lizenz des Senders lief ab.": "unknown",
+    }
+    assert families(spark, list(texts)) == list(texts.values())
+
+
+def test_licence_cues_meet_every_triple():
+    cues, phrases = licences._cues()
+    for templates in licences._templates().values():
+        for triple in (g for t in templates for g in licences._triples(licences._words(t))):
+            assert triple in phrases or set(triple.split(" ")) & set(cues)
+
+
 def similar(texts, size, percent):
     sets = {}
     for i, t in texts:
