@@ -3,9 +3,10 @@
 The standard library's streaming parser turns a page into lines, one for each block of text, and
 leaves out what marked-up elements say is not text of the page (menus, forms, scripts, comments
 and so on).  Each line has a text-to-tag ratio.  Ratios are smoothed by a Gaussian, and lines at
-or above a share of the mean are content.  Such lines choose the region, the innermost
-sectioning element that holds most of their text; all of its lines are the main text, so short
-paragraphs between long ones are kept.
+or above a share of the mean are content.  Such lines choose the region: the innermost
+article or main element that holds most of their text, or else the innermost section with nearly
+all of it and with the h1.  All lines of the region are main text, so short paragraphs between
+long ones are kept, and so is other content outside it (with an article: in other articles).
 
 Null or empty html gives an empty text.  Pages are handled one by one: repeated or null ids give
 a row each; extra columns are ignored; an empty table gives no rows.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 #: Lines to either side that a line's ratio is smoothed over, and the share of the mean ratio
 #: from which a line counts as content.
 SPREAD, SHARE = 1.0, 0.5
+#: Share of the content that the region of a page without article or main holds.
+NEARLY = 0.9
 
 # Elements of the HTML standard by the part they play.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,7 +39,8 @@ BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header "
     "hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-SECTIONS = frozenset("article main section body div td blockquote".split())
+MAIN = frozenset("article main".split())
+SECTIONS = frozenset("article main section body div td blockquote h1".split())
 CLOSED_BY = {
     **dict.fromkeys("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main nav ol p pre section table ul".split(), {"p"}),
     "li": {"li", "p"},
@@ -159,27 +163,42 @@ def smoothed(values: np.ndarray, spread: float = SPREAD) -> np.ndarray:
     return np.convolve(values, weights, "full")[reach : reach + len(values)] / inside
 
 
+def _ratios(lines: list[tuple[str, int, tuple[int, ...]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Length and smoothed ratio of each line."""
+    sizes = np.fromiter((len(text) for text, _, _ in lines), float, len(lines))
+    return sizes, smoothed(sizes / np.fromiter((n for _, n, _ in lines), float, len(lines)))
+
+
+def _held(lines: list[tuple[str, int, tuple[int, ...]]], sizes: np.ndarray, chosen: np.ndarray) -> dict[int, float]:
+    """Length of the chosen lines in each numbered element."""
+    held: dict[int, float] = {}
+    for (_, _, path), size, choice in zip(lines, sizes, chosen):
+        if choice:
+            for number in path:
+                held[number] = held.get(number, 0.0) + size
+    return held
+
+
 def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html or "")
     lines = parser.finish()
     if not lines:
         return ""
-    sizes = np.fromiter((len(text) for text, _, _ in lines), float, len(lines))
-    tags = np.fromiter((n for _, n, _ in lines), float, len(lines))
-    ratios = smoothed(sizes / tags)
+    sizes, ratios = _ratios(lines)
     content = ratios >= SHARE * ratios.mean()
-    held: dict[int, float] = {}
-    for (_, _, path), size, chosen in zip(lines, sizes, content):
-        if chosen:
-            for section in path:
-                held[section] = held.get(section, 0.0) + size
-    most = max(held.values())
-    # the deepest section with more than half of the content, an article or main element if there
-    # is one; sections are numbered from the top
-    large = [section for section, size in held.items() if 2 * size > most]
-    region = max([s for s in large if parser.kinds[s] in ("article", "main")] or large)
-    return "\n\n".join(text for text, _, path in lines if region in path)
+    held = _held(lines, sizes, content)
+    # an article or main element with more than half of the content, the deepest one, and other articles
+    # with content; elements are numbered from the top
+    regions = [n for n, size in held.items() if 2 * size > held[0] and parser.kinds[n] in MAIN]
+    if regions:
+        kept = {max(regions)} | {n for n in held if parser.kinds[n] == "article"}
+        return "\n\n".join(text for text, _, path in lines if not kept.isdisjoint(path))
+    # or else the deepest section with nearly all of the content and an h1 if there is one, and all other content
+    titled = {n for _, _, path in lines if any(parser.kinds[m] == "h1" for m in path) for n in path}
+    large = [n for n, size in held.items() if size >= NEARLY * held[0] and parser.kinds[n] not in ("h1", "blockquote")]
+    region = max([n for n in large if not titled or n in titled])
+    return "\n\n".join(text for (text, _, path), chosen in zip(lines, content) if chosen or region in path)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

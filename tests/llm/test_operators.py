@@ -277,6 +277,22 @@ def test_pages(spark):
     assert rows(pages.extract(df.limit(0))) == []
 
 
+LINE = "A sentence of the page that goes on for a while, with many words in it. "
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<div id=wrap><h1>T</h1><div><p>{LINE * 4}</div><div><p>{LINE * 6}</div></div>", ["T", LINE * 4, LINE * 6]),
+        (f"<nav><a>x</a></nav><div><h1>T</h1><p>by</p><div><p>{LINE}<p>{LINE * 2}</div></div><footer>f</footer>", ["T", "by", LINE, LINE * 2]),
+        (f"<div><h1>T</h1><p>{LINE}</p><blockquote>{LINE * 9}</blockquote><p>end</p></div>", ["T", LINE, LINE * 9, "end"]),
+        (f"<main><article><p>{LINE * 3}</article><article><p>{LINE * 2}</article></main>", [LINE * 3, LINE * 2]),
+    ],
+)
+def test_regions_of_pages(html, want):
+    assert pages.main_text(f"<body>{html}") == "\n\n".join(w.strip() for w in want)
+
+
 def test_byte_bpe(docs, empty):
     path = tokenizer_file("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
