@@ -1,8 +1,9 @@
 """Main text of web pages: parser events, text-to-tag ratios per line, smoothing and a threshold.
 
-The standard library's streaming parser turns a page into lines, one for each block of text, and
-leaves out what marked-up elements say is not text of the page (menus, forms, scripts, comments
-and so on).  Each line has a text-to-tag ratio.  Ratios are smoothed by a Gaussian, and lines at
+The standard library's streaming parser turns a page into lines, one for each block of text,
+without scripts, controls and the like.  Elements that by tag, role or a whole class token are not
+text of the page (menus, forms, comments and so on) are doubtful: they are left out unless they
+hold the page's only article, main or h1, or most of its text of high ratio.  Each line has a text-to-tag ratio.  Ratios are smoothed by a Gaussian, and lines at
 or above a share of the mean are content.  Such lines choose the region: the innermost
 article or main element that holds most of their text, or else the innermost section with nearly
 all of it and with the h1.  All lines of the region are main text, so short paragraphs between
@@ -32,15 +33,18 @@ NEARLY = 0.9
 # Elements of the HTML standard by the part they play.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset(
-    "script style noscript template svg math iframe object canvas audio video map head title nav footer aside form button "
-    "select textarea input label fieldset dialog menu datalist".split()
+    "script style noscript template svg math iframe object canvas audio video map head title button select textarea input label "
+    "datalist".split()
 )
+DOUBTFUL = frozenset("nav footer aside form fieldset dialog menu".split())
+LINKS = frozenset("nav footer dialog menu".split())
+HEAD = frozenset("base link meta noscript script style template title".split())
+MAIN = frozenset("article main".split())
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header "
     "hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-MAIN = frozenset("article main".split())
-SECTIONS = frozenset("article main section body div td blockquote h1".split())
+NUMBERED = frozenset("article main section body div td blockquote h1".split())
 CLOSED_BY = {
     **dict.fromkeys("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main nav ol p pre section table ul".split(), {"p"}),
     "li": {"li", "p"},
@@ -52,24 +56,25 @@ CLOSED_BY = {
 }
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookies?\w*|consent\w*|notices?|alerts?|popups?|modal|overlay|"
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookies?\w*|consent\w*|notices?|alerts?|popups?|modal|overlay|"
     r"newsletter|subscribe|subscription|side-?bar\w*|menus?|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|top-?bar|"
     r"comments?|comment-?list|disqus\w*|replies|respond|discussion|related|share|sharing|social|toolbar|pagination|pager|widget\w*|"
-    r"login|signup|search)(?=$|[\s_-])",
+    r"login|signup|search)",
     re.I,
 )
 _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, path of section numbers) for each block of text outside skipped elements."""
+    """Collects (text, tags, path of element numbers) for each block of text outside skipped elements."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, skipped, section
+        self.stack: list[tuple[str, bool, bool]] = []  # tag, skipped, numbered
         self.path: list[int] = [0]
         self.kinds = {0: "html"}
+        self.doubtful: set[int] = set()
         self.parts: list[str] = []
         self.tags, self.skips, self.numbers = 0, 0, 0
 
@@ -81,29 +86,31 @@ class Lines(HTMLParser):
             self.parts = []
         self.tags = 0
 
-    def is_skipped(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in SKIPPED:
+    def is_doubtful(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        if tag in DOUBTFUL:
             return True
-        if tag == "header" and not any(t in ("article", "main") for t, _, _ in self.stack):
+        if tag == "header" and not any(t in MAIN for t, _, _ in self.stack):
             return True
         if tag in ("html", "body", "article", "main"):
             return False
         for name, value in attrs:
-            if name in ("class", "id") and value and NAMED.search(value):
+            if name in ("class", "id") and value and any(map(NAMED.fullmatch, value.split())):
                 return True
             if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
         return False
 
     def pop(self) -> None:
-        tag, skipped, section = self.stack.pop()
-        if tag in BLOCKS and not self.skips:
+        tag, skipped, numbered = self.stack.pop()
+        if (tag in BLOCKS or numbered) and not self.skips:
             self.end_line()
         self.skips -= skipped
-        if section:
+        if numbered:
             self.path.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.stack and self.stack[-1][0] == "head" and tag not in HEAD:
+            self.pop()
         closes = CLOSED_BY.get(tag)
         if closes:
             # an open paragraph or item ends here, with the inline elements inside it
@@ -112,7 +119,7 @@ class Lines(HTMLParser):
                 if name in closes:
                     while len(self.stack) > i:
                         self.pop()
-                elif name in BLOCKS or name in SKIPPED:
+                elif name in BLOCKS or name in SKIPPED or name in DOUBTFUL:
                     break
         self.tags += 1
         if tag in VOID:
@@ -121,29 +128,37 @@ class Lines(HTMLParser):
             elif tag == "hr" and not self.skips:
                 self.end_line()
             return
-        skipped = self.is_skipped(tag, attrs)
-        if (tag in BLOCKS or skipped) and not self.skips:
+        skipped = tag in SKIPPED
+        doubtful = not skipped and self.is_doubtful(tag, attrs)
+        if (tag in BLOCKS or skipped or doubtful) and not self.skips:
             self.end_line()
-        section = tag in SECTIONS
-        if section:
+        numbered = tag in NUMBERED or doubtful
+        if numbered:
             self.numbers += 1
             self.kinds[self.numbers] = tag
             self.path.append(self.numbers)
+            if doubtful:
+                self.doubtful.add(self.numbers)
         self.skips += skipped
-        self.stack.append((tag, skipped, section))
+        self.stack.append((tag, skipped, numbered))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        block = tag in BLOCKS or tag in DOUBTFUL
+        depth = len(self.path) - 1
         for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
+            name, skipped, numbered = self.stack[i]
+            if name == tag:
                 while len(self.stack) > i:
                     self.pop()
                 return
-            if self.stack[i][1]:  # a stray end tag does not close a skipped element around it
+            # blocks close what is open in them; the end of an inline element outside does not close a left-out one
+            if not block and (skipped or numbered and self.path[depth] in self.doubtful):
                 return
+            depth -= numbered
 
     def handle_data(self, data: str) -> None:
         if not self.skips:
@@ -179,10 +194,32 @@ def _held(lines: list[tuple[str, int, tuple[int, ...]]], sizes: np.ndarray, chos
     return held
 
 
+def left_out(parser: Lines, lines: list[tuple[str, int, tuple[int, ...]]]) -> set[int]:
+    """Doubtful elements without the page's only article, main or h1 and without most of its text of high ratio."""
+    out = set(parser.doubtful)
+    marked = False
+    for kinds in (MAIN, frozenset(["h1"])):
+        paths = [path for _, _, path in lines if any(parser.kinds[n] in kinds for n in path)]
+        outside = any(parser.doubtful.isdisjoint(path[: next(i for i, n in enumerate(path) if parser.kinds[n] in kinds)]) for path in paths)
+        marked |= outside and kinds is MAIN
+        for path in () if outside else paths:
+            last = max(i for i, n in enumerate(path) if parser.kinds[n] in kinds)
+            out.difference_update(path[:last])
+    if not marked:
+        sizes, ratios = _ratios(lines)
+        high = ratios >= (sizes * ratios).sum() / sizes.sum() * (1 - 1e-9)
+        held = _held(lines, sizes, high)
+        out -= {n for n in out if 2 * held.get(n, 0) > held[0] and parser.kinds[n] not in LINKS}
+    return out
+
+
 def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html or "")
     lines = parser.finish()
+    if parser.doubtful and lines:
+        out = left_out(parser, lines)
+        lines = [line for line in lines if out.isdisjoint(line[2])]
     if not lines:
         return ""
     sizes, ratios = _ratios(lines)

@@ -293,6 +293,23 @@ def test_regions_of_pages(html, want):
     assert pages.main_text(f"<body>{html}") == "\n\n".join(w.strip() for w in want)
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<div class=content-sidebar-wrap><article class=no-sidebar><div class=entry-header><h1>T</h1></div><p>{LINE}</article></div>", ["T", LINE]),
+        (f"<div class=elementor-widget-container><p>{LINE}</p></div><div class=sidebar>s</div>", [LINE]),
+        (f"<form><div><h1>T</h1><p>{LINE}</div><label>l</label></form>", ["T", LINE]),
+        (f"<form><p>{LINE}</p><p>{LINE}</p></form><div class=footer>f</div>", [LINE, LINE]),
+        (f"<article><p>{LINE}</p><div class=ad>x</article><article><p>rest {LINE}</article>", [LINE, f"rest {LINE}"]),
+        (f"<article><p>{LINE}</p></article><div class=comments><p>{LINE * 5}</div><aside><article>{LINE * 3}</article></aside>", [LINE]),
+        ("<div class=nav>" + "<li><a href=x>link name</a></li>" * 50 + "</div><p>short text of the page</p>", ["short text of the page"]),
+        (f"<article><p>a <b>b<span class=ad>x</b>y</span> c</p><p>{LINE}</article>", ["a b", "c", LINE]),
+    ],
+)
+def test_doubtful_elements_of_pages(html, want):
+    assert pages.main_text(f"<html><head><title>x</title><body>{html}") == "\n\n".join(w.strip() for w in want)
+
+
 def test_byte_bpe(docs, empty):
     path = tokenizer_file("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
