@@ -31,11 +31,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more.
 
-    The document with the group's least id stays; of rows equal in id and text one stays.  Rows
-    without an id stay if all their group is without.
+    The row with the group's least id stays, rows without ids last; of several such rows the one
+    with the least hash of its text, and of rows equal in id and text one.
     """
-    kept = neardup.near_duplicates(docs, size=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = neardup.representatives(docs, size=5, percent=80).select(F.col("doc_id").alias("kept_id"), "text_hash")
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("text_hash"))
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

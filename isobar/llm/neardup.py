@@ -101,18 +101,19 @@ def _prints(size: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     chunk["doc_id"],
+                    chunk["text_hash"],
                     pa.array(map(len, sets), pa.int64()),
                     pa.array([blake2b(s.tobytes(), digest_size=16).digest() if f else None for s, f in zip(sets, full)], pa.binary()),
                     pa.array([r.tobytes() if f else None for r, f in zip(short, full)], pa.binary()),
                     pa.ListArray.from_arrays(np.arange(0, len(sets) * BANDS + 1, BANDS, np.int32), pa.array(keys.reshape(-1))),
                 ],
-                names=["doc_id", "n_shingles", "digest", "signature", "bands"],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "signature", "bands"],
             )
 
     return make
 
 
-PRINTS = "doc_id long, n_shingles long, digest binary, signature binary, bands array<long>"
+PRINTS = "doc_id long, text_hash long, n_shingles long, digest binary, signature binary, bands array<long>"
 
 
 def least_matches(similarity: float, miss: float = MISS) -> np.ndarray:
@@ -317,6 +318,11 @@ def components(links: DataFrame) -> DataFrame:
     return found.select("node", F.col("to").alias("component"))
 
 
+def _row() -> Column:
+    """What names a row and its text, ordered by id, those without one last."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+
+
 class _Search:
     """The steps for one table of texts."""
 
@@ -325,7 +331,7 @@ class _Search:
         self.least = least_matches(percent / 100)
         self.prints = materialise(texts.mapInArrow(_prints(size), PRINTS))
         classes = self.prints.where("digest is not null").groupBy("digest").agg(
-            F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature"), F.first("bands").alias("bands")
+            F.min(_row()).alias("first"), F.min("signature").alias("signature"), F.first("bands").alias("bands")
         )
         self.classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()))
         members = self.classes.select("node", F.posexplode("bands").alias("band", "key"))
@@ -337,9 +343,10 @@ class _Search:
 
         The wanted classes grow with the corpus, so the join is planned for many at any size.
         """
-        wanted = materialise(nodes.join(self.classes.select("node", "doc_id", "digest"), "node"))
-        texts = self.texts.withColumnRenamed("doc_id", "own_id").hint("merge")
-        found = texts.join(wanted, F.col("own_id").eqNullSafe(F.col("doc_id"))).select("node", "digest", "text")
+        wanted = materialise(nodes.join(self.classes.select("node", "first", "digest"), "node"))
+        texts = self.texts.hint("merge")
+        same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+        found = texts.join(wanted, same).select("node", "digest", "text")
         return materialise(found.mapInArrow(_sets(self.size), "node long, hashes binary").dropDuplicates(["node"]))
 
     def star_pairs(self) -> DataFrame:
@@ -378,19 +385,36 @@ class _Search:
         return components(first.union(second))
 
 
+def _named(docs: DataFrame, size: int, percent: int, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """The prints of all rows, and per class: digest, component and the first row of the class."""
+    text = F.col(text_column).cast("string")
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    search = _Search(texts, size, percent)
+    classes = search.classes.select("node", "digest", "first")
+    named = classes.join(search.labels(), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return search.prints, materialise(named)
+
+
+def representatives(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, text_hash) of one row of each component, and of the rows without words.
+
+    It is the row of least id, rows without ids last, and of least ``xxhash64`` of the text.
+    """
+    prints, named = _named(docs, size, percent, id_column, text_column)
+    first = named.groupBy("component").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+    return first.union(prints.where("digest is null").select("doc_id", "text_hash").distinct())
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id and kept (it names its component).
 
     Sets are the distinct shingles of ``size`` words in lower case (A-Z); two documents are
     linked if at least ``percent`` of the union of their sets is shared.
     """
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    search = _Search(texts, size, percent)
-    classes = search.classes.select("node", "digest", F.col("doc_id").alias("least_id"))
-    named = materialise(classes.join(search.labels(), "node", "left").withColumn("component", F.coalesce("component", "node")))
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    prints, named = _named(docs, size, percent, id_column, text_column)
+    least = named.groupBy("component").agg(F.min("first.doc_id").alias("component_id"))
     of_class = named.join(least, "component").select("digest", "component_id")
-    rows = search.prints.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
+    rows = prints.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))

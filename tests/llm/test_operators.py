@@ -211,6 +211,20 @@ def test_near_duplicates_with_a_large_group(spark, empty):
     assert rows(neardup.near_duplicates(empty)) == []
 
 
+def test_near_dedup_keeps_one_row_of_each_group_whatever_its_ids(spark):
+    def text(name, changed=None):
+        return " ".join(f"{name}{i}" if i != changed else "other" for i in range(90))
+
+    rows_ = [
+        (1, text("a")), (None, text("a", 0)), (7, text("a", 89)), (7, text("c")), (None, text("u")), (None, text("v")),
+        (None, text("b")), (None, text("b", 0)), (None, text("b", 89)), (None, text("b")), (8, text("d")), (8, text("d", 0)), (None, ""),
+    ]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows_], "doc_id long, text string, extra int").repartition(3)
+    got = [(r.doc_id, r.text.split(" ")[5:6]) for r in corpus_pipeline.near_dedup(spark, df, SMALL).collect()]
+    want = [(1, ["a5"]), (7, ["c5"]), (None, ["u5"]), (None, ["v5"]), (None, ["b5"]), (8, ["d5"]), (None, [])]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_pruning_bound():
     least = neardup.least_matches(0.8, 1e-6)
     assert (np.diff(least) >= 0).all() and 0.6 * neardup.HASHES < least[-1] < 0.75 * neardup.HASHES
