@@ -89,7 +89,66 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(component, s.d
 FROM s LEFT JOIN class ON class.s = s.s LEFT JOIN found USING (c)
 """
 
+SEARCH = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS row FROM documents
+),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+s AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+m AS (SELECT row, doc_id, 100 - 50 + ((50 * CAST(len(w) AS BIGINT) * n_docs) // n_terms) AS m FROM d, s WHERE len(w) > 0),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY row, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, s GROUP BY term
+),
+added AS (SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS x FROM tf JOIN m USING (row) JOIN weight USING (term)),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(x) AS BIGINT) AS score FROM added JOIN q USING (term) JOIN m USING (row) GROUP BY item_id, row, doc_id
+)
+SELECT * FROM (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+) WHERE rank <= 50
+"""
+
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size),
+f AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE size > 1),
+cuts AS (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM c),
+scores AS (
+  SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, CAST((2000000 * a::HUGEINT) // (x.f + y.f) AS BIGINT) AS score FROM cuts
+  JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[1:k], ' ') JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+sub AS (
+  SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, a, m, unnest(generate_series(1, size - m + 1)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < size)
+),
+covering AS (SELECT lang, phrase, max(a) AS longer FROM sub GROUP BY lang, phrase),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+  FROM best LEFT JOIN covering USING (lang, phrase) WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
+    "op11_ranked_search": SEARCH,
+    "op13_collocations": PHRASES,
     "op2_top_k": TOP_K,
     "op3_substring_dedup": SUBSTRINGS,
     "op4_quality_rules": _rules(),

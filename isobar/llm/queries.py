@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isobar.workspace import shared_folder
 
-from . import bpe, licences, neardup, packed_ids, packing, pages, rules, substrings, tokens, topk
+from . import bpe, collocations, discriminant, lexical, licences, neardup, packed_ids, packing, pages, rules, substrings, tokens, topk
 from .encode import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,10 +68,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discriminant.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, most=2000)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_top_k, op3_substring_dedup, op4_quality_rules, op5_licence_scan, op6_near_duplicates,
-        op7_packed_ids, op8_best_fit_packing, op9_html_text, op10_byte_bpe,
+        op7_packed_ids, op8_best_fit_packing, op9_html_text, op10_byte_bpe, op11_ranked_search, op12_quality_classifier, op13_collocations,
     )
 }
