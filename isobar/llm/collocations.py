@@ -124,7 +124,7 @@ class _Block:
 
     def counted(self, at: np.ndarray, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The first place of each distinct phrase among ``at``, and how often it occurs, compared by words."""
-        order = np.argsort(prints, kind="stable")
+        order = np.argsort(prints)
         at, prints = at[order], prints[order]
         new = np.diff(prints, prepend=np.uint64(1 << BITS)) != 0
         first = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
@@ -139,6 +139,26 @@ class _Block:
         return at[heads], np.diff(np.append(heads, len(at)))
 
 
+def _sorted(prints: np.ndarray) -> np.ndarray:
+    """The distinct fingerprints in order."""
+    ordered = np.sort(prints)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new]
+
+
+def _among(prints: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which fingerprints are in a sorted list; their upper bits alone rule most of them out."""
+    upper = np.uint64(BITS - 22)
+    maybe = np.zeros(1 << 22, bool)
+    maybe[listed >> upper] = True
+    found = maybe[prints >> upper]
+    at = np.flatnonzero(found)
+    place = np.minimum(np.searchsorted(listed, prints[at]), max(len(listed) - 1, 0))
+    found[at] = listed[place] == prints[at]
+    return found
+
+
 def _edges(distinct: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket's fingerprints begin and end among sorted ones."""
     limits = [(b << BITS) // buckets for b in range(buckets)] + [1 << BITS]
@@ -231,14 +251,14 @@ def _phrases(buckets: int):
                 langs = pa.array(block.langs, pa.string())
                 for size in range(1, MOST_WORDS + 1):
                     at, prints = block.grams(size)
-                    distinct = np.unique(prints)
+                    distinct = _sorted(prints)
                     edges = _edges(distinct, buckets)
                     often = np.zeros(len(distinct), bool)
                     for b in range(buckets):
                         mask = answers.get((size - 1) * buckets + b)
                         if mask is not None:
                             often[edges[b] : edges[b + 1]] = np.unpackbits(X.unpack(mask)[0], count=int(edges[b + 1] - edges[b]))
-                    wanted = often[np.searchsorted(distinct, prints)]
+                    wanted = _among(prints, distinct[often])
                     if not wanted.any():
                         continue
                     places, times = block.counted(at[wanted], prints[wanted], size)
