@@ -45,6 +45,8 @@ BLOCK_BYTES = 8 << 20
 #: Fingerprints of one bucket, on average and at most, and their bits.
 ENTRIES = 4 << 20
 BITS = 48
+#: Lists into which a language's phrases are dealt for the first ranking step.
+LISTS = 64
 BLOCK = "block long, langs array<string>, words array<long>, payload binary"
 SENT = "bucket int, block long, payload binary"
 ANSWER = "block long, first int, answer binary"
@@ -347,6 +349,10 @@ def collocations(
     kept = best.join(covering, ["lang", "phrase"], "left").filter(
         F.col("longer").isNull() | (100 * _wide("longer") < covered_percent * _wide("a"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= most)
+    order = [F.desc("cut.score"), F.desc("a"), F.asc("phrase")]
+    ranked = kept.withColumn("list", F.pmod(F.xxhash64("phrase"), F.lit(LISTS)))
+    for keys in (["lang", "list"], ["lang"]):
+        # one language may hold nearly all phrases: its lists are cut before they meet
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
+        ranked = ranked.withColumn("rank", place).filter(F.col("rank") <= most)
     return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "cut.l", "cut.r", "n", F.col("cut.score").alias("score"))
