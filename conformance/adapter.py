@@ -18,6 +18,7 @@ from isobar.operators import bronze
 from isobar.operators.bronze import newest_per_key
 from isobar.operators.silver import clean
 from isobar.schemas import PROVIDER_B_FIELDS, RAW_KEY, SILVER_SCHEMA, conform
+from isobar.plans import jobs
 from isobar.sources.landing import read_provider_a, read_provider_b
 from isobar.sources.logs import read_logs
 from isobar.sources.sinks import rebalanced
@@ -99,18 +100,24 @@ _FOLDERS: dict[tuple[str, str, str], str] = {}
 _FRAMES: dict[tuple[SparkSession, str, str], DataFrame] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None],
-            load: Callable[[str], DataFrame]) -> DataFrame:
-    """A table written once per application to the shared folder and read from there."""
+def _folder(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """A folder in the shared one, written once per application."""
     application = spark.sparkContext.applicationId
     key = (application, sf_dir, name)
     if key not in _FOLDERS:
         folder = f"{shared_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
         write(folder)
         _FOLDERS[key] = folder
+    return _FOLDERS[key]
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None],
+            load: Callable[[str], DataFrame]) -> DataFrame:
+    """A table written once per application to the shared folder and read from there."""
+    folder = _folder(spark, sf_dir, name, write)
     frame = (spark, sf_dir, name)
     if frame not in _FRAMES:
-        _FRAMES[frame] = load(_FOLDERS[key])
+        _FRAMES[frame] = load(folder)
     return _FRAMES[frame]
 
 
@@ -153,55 +160,75 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def landed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Provider A's rows landed as JSON lines and read back through the file source."""
+def _one_value_a_file(lines: DataFrame, folder: str) -> None:
+    """Each row's JSON text as a file of its own, as a provider's answer is landed."""
+    lines.write.option("maxRecordsPerFile", 1).mode("append").text(folder)
+
+
+def landed_folder_a(spark: SparkSession, sf_dir: str) -> str:
+    """Provider A's rows as landed: those of the third to fifth line numbers as arrays of a station each, others as lines."""
 
     def write(folder: str) -> None:
         rows = raw_rows(spark, sf_dir).filter(F.col("source") == "aemet")
-        provider_a_text(rows).write.json(folder)
+        arrays = F.col("l_linenumber").between(3, 5) & (F.substring_index("station", "#", -1).try_cast("int") < 40)
+        provider_a_text(rows.filter(~F.coalesce(arrays, F.lit(False)))).write.json(folder)
+        texts = provider_a_text(rows.filter(arrays))
+        record = F.to_json(F.struct(*texts.columns))
+        # pretty-printed, one record over several lines
+        pretty = F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.replace(record, F.lit(',"'), F.lit(',\n "'))), ",\n"), F.lit("\n]"))
+        _one_value_a_file(texts.groupBy("station").agg(pretty.alias("value")).select("value"), folder)
+
+    return _folder(spark, sf_dir, "provider-a", write)
 
-    return _stored(spark, sf_dir, "provider-a", write, lambda f: read_provider_a(spark, f, multi_line=False))
+
+def landed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provider A's rows, read back through the file source."""
+    landed_folder_a(spark, sf_dir)  # writes it
+    return _stored(spark, sf_dir, "provider-a", lambda _: None, lambda f: read_provider_a(spark, f))
+
+
+def _landed_b(rows: DataFrame) -> DataFrame:
+    """The records of provider B as JSON text; every fiftieth part's row has a pressure that is no number."""
+    pressure = F.when(F.col("l_partkey") % 50 == 0, "n/a").otherwise(F.col("pres").cast("string"))
+    fields = [F.col(c) if c != "pres" else pressure.alias("pres") for c in PROVIDER_B_FIELDS]
+    return rows.select(F.to_json(F.struct(F.array(F.struct(*fields)).alias("data"), "station")).alias("value"), "l_partkey")
 
 
 def landed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Provider B's rows landed as one ``{"data": [...]}`` line per record and read back.
+    """Provider B's rows landed as one ``{"data": [...]}`` line per record and read back."""
 
-    Every fiftieth part's row carries a pressure that is no number.
-    """
+    def write(folder: str) -> None:
+        _landed_b(raw_rows(spark, sf_dir).filter(F.col("source") == "meteostat")).select("value").write.text(folder)
+
+    return _stored(spark, sf_dir, "provider-b", write, lambda f: read_provider_b(spark, f))
+
+
+def landed_folder_b_cut(spark: SparkSession, sf_dir: str) -> str:
+    """The same, with every fiftieth part's record cut off on its way."""
 
     def write(folder: str) -> None:
-        rows = raw_rows(spark, sf_dir).filter(F.col("source") == "meteostat")
-        pressure = F.when(F.col("l_partkey") % 50 == 0, "n/a").otherwise(F.col("pres").cast("string"))
-        fields = [F.col(c) if c != "pres" else pressure.alias("pres") for c in PROVIDER_B_FIELDS]
-        rows.select(F.array(F.struct(*fields)).alias("data"), "station").write.json(folder)
+        landed = _landed_b(raw_rows(spark, sf_dir).filter(F.col("source") == "meteostat"))
+        cut = F.when(F.col("l_partkey") % 50 == 7, F.left("value", F.lit(40))).otherwise(F.col("value"))
+        landed.select(cut.alias("value")).write.text(folder)
 
-    return _stored(spark, sf_dir, "provider-b", write, lambda f: read_provider_b(spark, f, multi_line=False))
+    return _folder(spark, sf_dir, "provider-b-cut", write)
 
 
-def staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both providers' landed rows staged for a load, stored.
+def known_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The providers' station map; suppliers 3 and 4 are in neither's."""
+    skipped = read(spark, sf_dir, "supplier").filter(F.col("s_suppkey").isin(3, 4)).select(F.col("s_name").alias("station"))
+    known = station_places(spark, sf_dir).join(skipped, "station", "left_anti")
+    known = bronze.union_all([known.withColumn("source", F.lit(s)) for s in ("aemet", "meteostat")])
+    return _stored(spark, sf_dir, "stations", lambda f: known.write.parquet(f), spark.read.parquet)
 
-    Suppliers 3 and 4 are in no provider's station map, and every fiftieth part's record of
-    provider B was cut off on its way.
-    """
 
-    def write_cut(folder: str) -> None:
-        rows = raw_rows(spark, sf_dir).filter(F.col("source") == "meteostat")
-        pressure = F.when(F.col("l_partkey") % 50 == 0, "n/a").otherwise(F.col("pres").cast("string"))
-        fields = [F.col(c) if c != "pres" else pressure.alias("pres") for c in PROVIDER_B_FIELDS]
-        line = F.to_json(F.struct(F.array(F.struct(*fields)).alias("data"), "station"))
-        cut = F.when(F.col("l_partkey") % 50 == 7, F.left(line, F.lit(40))).otherwise(line)
-        rows.select(cut.alias("value")).write.text(folder)
+def staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both providers' landed files as the job stages them, stored."""
 
     def write(folder: str) -> None:
-        known = station_places(spark, sf_dir)
-        skipped = read(spark, sf_dir, "supplier").filter(F.col("s_suppkey").isin(3, 4)).select(F.col("s_name").alias("station"))
-        known = known.join(skipped, "station", "left_anti")
-        known = bronze.union_all([known.withColumn("source", F.lit(s)) for s in ("aemet", "meteostat")])
-        stations = _stored(spark, sf_dir, "stations", lambda f: known.write.parquet(f), spark.read.parquet)
-        landed = _stored(spark, sf_dir, "provider-b-cut", write_cut, lambda f: read_provider_b(spark, f, multi_line=False))
-        a = bronze.staged(bronze.judge_provider_a(landed_a(spark, sf_dir)), "aemet", stations)
-        b = bronze.staged(bronze.judge_provider_b(landed), "meteostat", stations)
+        known = known_stations(spark, sf_dir)
+        a = jobs.stage(spark, "aemet", landed_folder_a(spark, sf_dir), known)
+        b = jobs.stage(spark, "meteostat", landed_folder_b_cut(spark, sf_dir), known)
         bronze.union_all([a, b]).write.parquet(folder)
 
     return _stored(spark, sf_dir, "staged", write, spark.read.parquet)

@@ -169,38 +169,45 @@ def newest_per_key(rows: DataFrame, order: list[Column], keys: list[str] = RAW_K
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def merge(existing: DataFrame, incoming: DataFrame, keys: list[str] = RAW_KEY) -> DataFrame:
+    """One row per key of both loads, the incoming row winning (K4).
+
+    Two incoming rows with one key are decided by their values, so a repeated run gives the same
+    table.
+    """
+    both = existing.withColumn("_load", F.lit(0)).unionByName(incoming.withColumn("_load", F.lit(1)), allowMissingColumns=True)
+    rest = [c for c in both.columns if c not in keys and c != "_load"]
+    order = [F.desc("_load"), *[F.asc_nulls_last(c) for c in rest]]
+    return newest_per_key(both, order, keys).drop("_load")
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str] = RAW_KEY) -> DataFrame:
     """Rows of both loads, the incoming row winning on equal keys (K4).
 
     ``date`` is one of the keys, so only months that occur in ``incoming`` can change:
-    the rest of ``existing`` is passed on without a shuffle.  Two incoming rows with one
-    key are decided by their values, so a repeated run gives the same table.  Both sides
-    are read twice: pass stored tables.
+    the rest of ``existing`` is passed on without a shuffle.  Both sides are read twice: pass
+    stored tables.  Stored versions go by month folders instead (``sources.rawstore``).
     """
     month = F.coalesce(F.trunc("date", "month"), F.lit("0001-01-01").cast("date"))
     # a list of calendar months, short for any history
     touched = F.array_contains(incoming.agg(F.collect_set(month)).scalar(), month)
-    both = (
-        existing.filter(touched)
-        .withColumn("_load", F.lit(0))
-        .unionByName(incoming.withColumn("_load", F.lit(1)), allowMissingColumns=True)
-    )
-    rest = [c for c in both.columns if c not in keys and c != "_load"]
-    order = [F.desc("_load"), *[F.asc_nulls_last(c) for c in rest]]
-    merged = newest_per_key(both, order, keys).drop("_load")
-    return existing.filter(~touched).unionByName(merged, allowMissingColumns=True)
+    return existing.filter(~touched).unionByName(merge(existing.filter(touched), incoming, keys), allowMissingColumns=True)
 
 
-def attach_city_coordinates(rows: DataFrame, cities: DataFrame) -> DataFrame:
-    """Replace lat/lon by the city's; rows of unknown cities get NULL.
+def city_places(cities: DataFrame) -> DataFrame:
+    """city, lat and lon, one row a city.
 
     Of entries with one name the first counts: the smallest ``pos`` if ``cities`` has that
     column, else the smallest position on the map.
     """
     place = F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
     order = F.struct("pos", place) if "pos" in cities.columns else place
-    lookup = cities.groupBy(F.col("name").alias("city")).agg(F.min_by(place, order).alias("place")).select("city", "place.*")
-    return rows.drop("lat", "lon").join(lookup, "city", "left")
+    return cities.groupBy(F.col("name").alias("city")).agg(F.min_by(place, order).alias("place")).select("city", "place.*")
+
+
+def attach_city_coordinates(rows: DataFrame, cities: DataFrame) -> DataFrame:
+    """Replace lat/lon by the city's (see ``city_places``); rows of unknown cities get NULL."""
+    return rows.drop("lat", "lon").join(city_places(cities), "city", "left")
 
 
 def station_coordinates(inventory: DataFrame) -> DataFrame:

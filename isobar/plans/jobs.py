@@ -10,12 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.bronze import (
-    accepted, attach_city_coordinates, city_report, judge_provider_a, judge_provider_b, load_report, rejects, staged,
-    union_all, upsert,
+    accepted, city_report, judge_provider_a, judge_provider_b, load_report, rejects, staged, union_all,
 )
 from ..operators.silver import clean, snapshot
 from ..schemas import SILVER_SCHEMA, conform
-from ..sources import catalog, sinks
+from ..sources import catalog, rawstore, sinks
 from ..sources.landing import read_provider_a, read_provider_b
 from ..workspace import materialise
 from .gold import FROM_MONTHS, GOLD_TABLES, MONTHLY, station_months
@@ -52,8 +51,14 @@ def _store(spark: SparkSession, build: Callable[[], DataFrame], name: str, parti
     return step
 
 
+def stage(spark: SparkSession, source: str, folder: str, stations: DataFrame) -> DataFrame:
+    """Every record landed in a source's folder, typed, with the reason of those that cannot be loaded."""
+    reader, judge = PROVIDERS[source]
+    return staged(judge(reader(spark, folder)), source, stations)
+
+
 def load_bronze(spark: SparkSession, landing: dict[str, str], cities: DataFrame, stations: DataFrame) -> DataFrame:
-    """Stage all sources, upsert into the newest raw version, publish with coordinates (G1, K3).
+    """Stage all sources, merge them into the months they hold, show the new version (G1, K3, K4).
 
     ``landing`` maps a source to its folder; ``stations`` has station, city, region and, if
     providers number their stations apart, source.  Each source is parsed once, into a staging
@@ -63,31 +68,28 @@ def load_bronze(spark: SparkSession, landing: dict[str, str], cities: DataFrame,
     for every row that was read, and ``load_cities`` for the cities the load reached.
     """
     stations = materialise(stations)
-    existing_version = catalog.newest_raw_version(spark)
+    base = catalog.newest_raw_version(spark)
     version = sinks.new_raw_version()
     staging = version + catalog.STAGING_SUFFIX
 
-    def stage(source: str) -> DataFrame:
-        reader, judge = PROVIDERS[source]
-        return staged(judge(reader(spark, landing[source])), source, stations)
+    def stored(source: str) -> Callable[[], int]:
+        def step() -> int:
+            sinks.write_table(stage(spark, source, landing[source], stations), f"{staging}.{source}")
+            return spark.table(f"{staging}.{source}").count()
+
+        return step
 
-    report = run_steps(
-        spark, {source: _store(spark, lambda s=source: stage(s), f"{staging}.{source}") for source in landing}
-    )
+    report = run_steps(spark, {source: stored(source) for source in landing})
 
     def publish() -> int:
         sources = sorted(catalog.tables(spark, staging))
         if not sources:
             raise ValueError("no source could be read")
         landed = union_all([spark.table(f"{staging}.{source}") for source in sources])
-        incoming = accepted(landed)
-        existing = spark.table(f"{existing_version}.{catalog.RAW_TABLE}") if existing_version else incoming.limit(0)
-        sinks.write_raw_version(upsert(existing, incoming), version)
-        raw = spark.table(f"{version}.{catalog.RAW_TABLE}")
-        published = f"{catalog.RAW_DATABASE}.{catalog.RAW_TABLE}"
-        rows = _store(spark, lambda: attach_city_coordinates(raw, cities), published)()
         for name, table in ((REJECTS_TABLE, rejects), (REPORT_TABLE, load_report), (CITIES_TABLE, city_report)):
-            sinks.replace_table(table(landed), f"{version}.{name}")
+            sinks.write_table(table(landed), f"{version}.{name}")
+        rawstore.store_load(accepted(landed), version, base)
+        rows = rawstore.publish(spark, version, cities)
         sinks.drop_layers(spark, [staging])
         return rows
 
@@ -128,9 +130,10 @@ def build_gold(spark: SparkSession) -> DataFrame:
 
 
 def clean_layers(spark: SparkSession) -> list[str]:
-    """Drop this library's databases, load versions included (K8)."""
+    """Drop this library's databases, load versions and their month folders included (K8)."""
     versions = [d for d in catalog.databases(spark) if d.startswith(catalog.VERSION_PREFIX)]
-    return sinks.drop_layers(spark, [catalog.RAW_DATABASE, "silver", "gold", "snapshots", *versions])
+    layers = [catalog.RAW_DATABASE, "silver", "gold", "snapshots", *versions, catalog.STORE_DATABASE]
+    return sinks.drop_layers(spark, layers)
 
 
 def run(spark: SparkSession, layers: list[str], landing: dict[str, str] | None = None,

@@ -1,6 +1,7 @@
 """Databases and tables of the session catalogue: S5-S9, D5.
 
-Raw loads are versioned: each load writes a database ``weather_raw_<yyyyMMddHHmmss>``.
+Raw loads are versioned: each load writes a database ``weather_raw_<yyyyMMddHHmmss>``.  Refreshed
+tables are views of the newest of their stored versions, ``<table>__stored_<yyyyMMddHHmmss>``.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from ..schemas import RAW_SCHEMA
 RAW_DATABASE = "weather_raw"
 RAW_TABLE = "weather_data"
 VERSION_PREFIX = "weather_raw_"
-STAGING_SUFFIX = "_staging"
+STAGING_SUFFIX, UNFINISHED_SUFFIX = "_staging", "__unfinished"
+STORE_DATABASE = "raw_months"
+MONTHS_TABLE, PLACES_TABLE = "load_months", "load_places"
+STORED_MARK = "__stored_"
 
 # The short keys under which the serving layer knows its tables.
 SERVING_TABLES = {
@@ -45,20 +49,45 @@ def databases(spark: SparkSession) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases()]
 
 
-def tables(spark: SparkSession, database: str) -> list[str]:
+def _listed(spark: SparkSession, database: str) -> list[str]:
     if database not in databases(spark):
         return []
     return [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
 
 
+def tables(spark: SparkSession, database: str) -> list[str]:
+    """Tables and views by the names that readers use: without stored versions and unfinished ones."""
+    return [t for t in _listed(spark, database) if STORED_MARK not in t and not t.endswith(UNFINISHED_SUFFIX)]
+
+
+def stored_versions(spark: SparkSession, database: str, table: str) -> list[str]:
+    """The stored versions of a refreshed table, oldest first."""
+    return sorted(t for t in _listed(spark, database) if t.startswith(f"{table}{STORED_MARK}"))
+
+
+def shown_version(spark: SparkSession, name: str) -> str | None:
+    """The stored version that a refreshed table shows."""
+    database, table = name.split(".")
+    if table not in _listed(spark, database):
+        return None
+    text = spark.sql(f"SHOW CREATE TABLE `{database}`.`{table}`").first()[0]
+    return next((v for v in reversed(stored_versions(spark, database, table)) if f"`{v}`" in text or f".{v}" in text), None)
+
+
+def raw_versions(spark: SparkSession) -> list[str]:
+    """Finished load versions, oldest first; staging areas and loads without their table are none."""
+    named = sorted(d for d in databases(spark) if d.startswith(VERSION_PREFIX) and not d.endswith(STAGING_SUFFIX))
+    return [d for d in named if RAW_TABLE in tables(spark, d)]
+
+
 def newest_raw_version(spark: SparkSession) -> str | None:
-    """Highest-named load version that is not a staging area."""
-    versions = [
-        name
-        for name in databases(spark)
-        if name.startswith(VERSION_PREFIX) and not name.endswith(STAGING_SUFFIX)
-    ]
-    return max(versions, default=None)
+    """Highest-named finished load version."""
+    return max(raw_versions(spark), default=None)
+
+
+def loaded_rows(spark: SparkSession, version: str) -> int:
+    """Rows of a load version, from its manifest."""
+    return int(spark.table(f"{version}.{MONTHS_TABLE}").agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0])
 
 
 def raw_observations(spark: SparkSession) -> DataFrame:

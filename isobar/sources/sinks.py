@@ -11,32 +11,55 @@ from ..functions.expressions import city_slug
 from . import catalog
 
 
-def replace_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
-    """Full refresh of ``database.table``, creating the database when absent (K1, K2)."""
+def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
+    """A new table ``database.table``, creating the database when absent (K2)."""
     database = name.split(".")[0]
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    writer = rebalanced(df, partition_by).write.mode("overwrite").format("parquet")
+    writer = rebalanced(df, partition_by).write.format("parquet")
     (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
 
 
+def replace_table(df: DataFrame, name: str, partition_by: str | None = None) -> str:
+    """Full refresh of ``database.table`` (K1, K2); the name of the version that now stands for it.
+
+    The rows are written as a table of their own, and only when all are there the name, a view, is
+    exchanged in one step.  A build that fails leaves the old rows readable.  The version before
+    stays for readers that have begun; older ones, and unfinished ones, are dropped.
+    """
+    spark = df.sparkSession
+    database, table = name.split(".")
+    older = catalog.stored_versions(spark, database, table)
+    version = f"{table}{catalog.STORED_MARK}{_stamp()}"
+    write_table(df, f"{database}.{version}", partition_by)
+    before = catalog.shown_version(spark, name)
+    show_as(spark, name, f"SELECT * FROM `{database}`.`{version}`")
+    for old in older:
+        if old != before:
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}`")
+    return version
+
+
+def show_as(spark: SparkSession, name: str, query: str) -> None:
+    """Let the view ``database.table`` show ``query`` from now on; a plain table of that name goes."""
+    database, table = name.split(".")
+    quoted = f"`{database}`.`{table}`"
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {quoted}")
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted} AS {query}")
+
+
 def rebalanced(df: DataFrame, partition_by: str | None) -> DataFrame:
     """Even out files per partition value before the write; big values are split, small joined."""
     return df.hint("rebalance", partition_by) if partition_by else df
 
 
-def new_raw_version() -> str:
-    """Name of a load version; later loads get higher names."""
-    return catalog.VERSION_PREFIX + datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+def _stamp() -> str:
+    return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
 
 
-def write_raw_version(df: DataFrame, version: str | None = None) -> str:
-    """Write a load as a new version; the version being read is never overwritten (K4)."""
-    spark = df.sparkSession
-    version = version or new_raw_version()
-    if version in catalog.databases(spark):
-        raise ValueError(f"load version {version} exists already")
-    replace_table(df, f"{version}.{catalog.RAW_TABLE}")
-    return version
+def new_raw_version() -> str:
+    """Name of a load version; later loads get higher names."""
+    return catalog.VERSION_PREFIX + _stamp()
 
 
 def write_by_city(df: DataFrame, path: str) -> None:

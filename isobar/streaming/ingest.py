@@ -1,7 +1,7 @@
-"""Incremental ingest: new landing files -> typed rows -> upserted raw version.
+"""Incremental ingest: new landing files -> typed rows -> merged raw version.
 
 The steps are the batch ones; only the trigger differs.  A repeated micro-batch gives
-the same table, since the upsert is idempotent and each batch writes its own version.
+the same table, since the merge is idempotent and each batch writes its own version.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.bronze import accepted, judge_provider_a, rejects, staged, upsert
+from ..operators.bronze import accepted, judge_provider_a, rejects, staged
 from ..plans.jobs import REJECTS_TABLE
 from ..schemas import PROVIDER_A_SCHEMA
-from ..sources import catalog, sinks
+from ..sources import catalog, rawstore, sinks
 from ..sources.landing import with_station
 from ..workspace import materialise
 
@@ -26,18 +26,16 @@ def provider_a_stream(spark: SparkSession, folder: str, stations: DataFrame) ->
 
 
 def store_batch(rows: DataFrame, batch_id: int) -> None:
-    """Upsert one micro-batch into the newest raw version, as a new version (K4).
+    """Merge one micro-batch into the months it holds, as a new version (K4).
 
-    The batch is stored first, as the upsert reads it twice; rows that cannot be loaded are
-    stored beside the version.
+    The batch is stored first, as it is read twice; rows that cannot be loaded are stored beside
+    the version.
     """
     spark = rows.sparkSession
     stored = materialise(rows)
-    incoming = accepted(stored)
-    newest = catalog.newest_raw_version(spark)
-    existing = spark.table(f"{newest}.{catalog.RAW_TABLE}") if newest else incoming.limit(0)
-    version = sinks.write_raw_version(upsert(existing, incoming))
-    sinks.replace_table(rejects(stored), f"{version}.{REJECTS_TABLE}")
+    version = sinks.new_raw_version()
+    sinks.write_table(rejects(stored), f"{version}.{REJECTS_TABLE}")
+    rawstore.store_load(accepted(stored), version, catalog.newest_raw_version(spark))
 
 
 def ingest(stream: DataFrame, checkpoint: str) -> StreamingQuery:

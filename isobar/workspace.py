@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     folder = folder or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="isobar-")
         context.setCheckpointDir(folder)

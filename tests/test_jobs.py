@@ -1,12 +1,16 @@
 import json
+from datetime import date
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from isobar.__main__ import nearest_of_cities
+from isobar.operators import bronze
 from isobar.plans import jobs
 from isobar.plans.gold import GOLD_TABLES
 from isobar.schemas import GOLD_SCHEMAS, SILVER_SCHEMA
-from isobar.sources import catalog, sinks
+from isobar.sources import catalog, rawstore, sinks
 from isobar.sources.config import load_settings
 from isobar.streaming import ingest
 
@@ -177,18 +181,144 @@ def test_raw_tables_are_found(spark, clean_catalog):
     assert catalog.raw_observations(spark).count() == 1
 
 
+def days(spark, rows):
+    """rows: (month, day, city, tavg)"""
+    df = spark.createDataFrame(
+        [(date(2021, m, d) if m else None, c, "aemet", float(t)) for m, d, c, t in rows], "date date, city string, source string, tavg double"
+    )
+    return bronze.typed(df)
+
+
 def test_versions(spark, clean_catalog):
-    df = spark.createDataFrame([(1,)], "x int")
     assert catalog.newest_raw_version(spark) is None
-    for name in ("weather_raw_20240101", "weather_raw_20240301", "weather_raw_20240501_staging"):
-        sinks.write_raw_version(df, name)
+    for name in ("weather_raw_20240101", "weather_raw_20240301"):
+        rawstore.store_load(days(spark, [(1, 1, "A", 1)]), name)
+    for unfinished in ("weather_raw_20240501_staging", "weather_raw_20240601"):
+        spark.sql(f"CREATE DATABASE {unfinished}")
     assert catalog.newest_raw_version(spark) == "weather_raw_20240301"
     with pytest.raises(ValueError):
-        sinks.write_raw_version(df, "weather_raw_20240301")
+        rawstore.store_load(days(spark, [(1, 1, "A", 1)]), "weather_raw_20240301")
     with pytest.raises(ValueError):
         sinks.drop_layers(spark, ["default"])
 
 
+def held(spark, version):
+    rows = spark.table(f"{version}.weather_data").collect()
+    return sorted(((r.date.month, r.date.day) if r.date else (0, 0), r.city, r.tavg) for r in rows)
+
+
+def test_a_load_reads_and_writes_only_its_months(spark, clean_catalog, monkeypatch):
+    first = [(m, d, c, m) for m in (1, 2, 7) for d in (1, 2) for c in "AB"] + [(0, 0, "A", 0)]
+    one = rawstore.store_load(days(spark, first), "weather_raw_1")
+    read = []
+    whole = rawstore.merge
+    monkeypatch.setattr(rawstore, "merge", lambda old, new: read.extend(old.inputFiles()) or whole(old, new))
+    two = rawstore.store_load(days(spark, [(2, 2, "A", 20), (2, 3, "A", 30)]), "weather_raw_2", one)
+    assert read and all(f"{one}/month=2021-02/" in f for f in read)
+    listed = {r.month: (r.written_by, r.row_count) for r in rawstore.manifest(spark, two).collect()}
+    assert listed == {"2021-01": (one, 4), "2021-02": (two, 5), "2021-07": (one, 4), "none": (one, 1)}
+    root = rawstore._folder(spark, two).removeprefix("file:")
+    assert sorted(p.name for p in Path(root).iterdir() if p.is_dir()) == ["month=2021-02"]
+    assert held(spark, two) == sorted(
+        [((m, d), c, float(m)) for m in (1, 2, 7) for d in (1, 2) for c in "AB" if (m, d, c) != (2, 2, "A")]
+        + [((0, 0), "A", 0.0), ((2, 2), "A", 20.0), ((2, 3), "A", 30.0)]
+    )
+    assert len(held(spark, one)) == 13 and (2, 3) not in {k for k, *_ in held(spark, one)}
+    assert catalog.loaded_rows(spark, two) == 14
+    # rows without a date are a month of their own; the same load again changes nothing
+    again = rawstore.store_load(days(spark, [(2, 2, "A", 20), (2, 3, "A", 30)]), "weather_raw_3", two)
+    assert held(spark, again) == held(spark, two)
+    nothing = rawstore.store_load(days(spark, []).limit(0), "weather_raw_4", again)
+    assert held(spark, nothing) == held(spark, two)
+    assert spark.table(f"{two}.weather_data").filter("month = '2021-07'").inputFiles()[0].count(f"{one}/month=2021-07") == 1
+    for old in (one, again):
+        spark.sql(f"DROP DATABASE {old} CASCADE")
+    assert held(spark, two) == held(spark, nothing)
+    assert [r.tail for r in rawstore.unused_folders(spark).collect()] == ["/weather_raw_1/month=2021-02"]
+
+
+def test_a_merge_equals_the_upsert(spark, clean_catalog):
+    old = days(spark, [(m, d, c, m + d) for m in (1, 2, 3) for d in (1, 2, 3) for c in "AB"])
+    new = days(spark, [(2, d, c, 50 + d) for d in (3, 4) for c in "BC"] + [(4, 1, "A", 1), (4, 1, "A", 2)])
+    version = rawstore.store_load(new, None, rawstore.store_load(old))
+    want = bronze.upsert(old, new).collect()
+    assert held(spark, version) == sorted(((r.date.month, r.date.day), r.city, r.tavg) for r in want)
+
+
+def test_publishing_writes_no_second_copy(spark, tmp_path, stations, clean_catalog):
+    land_a(tmp_path, "A1", [(1, 1), (7, 1)], 10)
+    jobs.load_bronze(spark, {"aemet": str(tmp_path / "provider=a")}, load_settings(spark).cities, stations)
+    assert spark.catalog.getTable("weather_raw.weather_data").tableType == "VIEW"
+    version = catalog.newest_raw_version(spark)
+    shown = spark.table("weather_raw.weather_data")
+    assert all("/raw_months.db/" in f or f"/{version}.db/load_places" in f for f in shown.inputFiles())
+    assert [(str(r.date), r.lat, r.lon) for r in shown.orderBy("date").collect()] == [
+        ("2021-01-01", 37.3886, -5.9823), ("2021-07-01", 37.3886, -5.9823),
+    ]
+
+
+def test_a_failed_build_leaves_the_old_rows(spark, clean_catalog):
+    good = spark.createDataFrame([(1, "2021"), (2, "2022")], "x int, year string")
+    sinks.replace_table(good, "gold.numbers", "year")
+    broken = good.withColumn("x", F.when(F.col("x") == 1, F.col("x")).otherwise(F.raise_error("broken").cast("int")))
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace_table(broken, "gold.numbers", "year")
+    assert sorted(r.x for r in spark.table("gold.numbers").collect()) == [1, 2]
+    reader = spark.table("gold.numbers")
+    sinks.replace_table(good.filter("x = 1"), "gold.numbers", "year")
+    assert [r.x for r in spark.table("gold.numbers").collect()] == [1]
+    assert sorted(r.x for r in reader.collect()) == [1, 2]  # a reader of the version before goes on
+    for n in (3, 4):
+        sinks.replace_table(good.filter(f"x < {n - 2}"), "gold.numbers", "year")
+    assert len(catalog.stored_versions(spark, "gold", "numbers")) == 2
+    assert catalog.tables(spark, "gold") == ["numbers"]
+    # a plain table of the name, as older releases wrote, is taken over
+    good.write.saveAsTable("gold.plain")
+    sinks.replace_table(good, "gold.plain")
+    assert spark.table("gold.plain").count() == 2
+
+
+def test_a_table_may_be_rebuilt_from_itself(spark, clean_catalog):
+    sinks.replace_table(spark.range(3), "gold.self")
+    sinks.replace_table(spark.table("gold.self").selectExpr("id + 1 as id"), "gold.self")
+    assert sorted(r.id for r in spark.table("gold.self").collect()) == [1, 2, 3]
+
+
+def test_every_record_of_mixed_formats_is_loaded(spark, tmp_path, clean_catalog):
+    stations = spark.createDataFrame(STATIONS + [("C3", "Vic", "Cataluña")], "station string, city string, region string")
+    land_a(tmp_path, "A1", [(1, d) for d in range(1, 6)], 10)
+    a = tmp_path / "provider=a" / "station=A1"
+    lines = [json.dumps({"fecha": f"2021-02-{d:02d}", "tmed": f"{d},5"}) for d in range(1, 8)]
+    (a / "lines.json").write_text("\n".join(lines))
+    (a / "more.jsonl").write_text("\n".join(x.replace("-02-", "-03-") for x in lines) + "\n\n")
+    (a / "cut.json").write_text("\n".join([lines[0].replace("-02-", "-04-"), lines[1][:15], lines[2].replace("-02-", "-04-")]))
+    land_b(tmp_path, "B2", [(1, d) for d in range(1, 4)], 5.0)
+    b = tmp_path / "provider=b"
+    one = [{"data": [{"date": f"2021-05-{d:02d}", "tavg": d}], "station": "C3"} for d in range(1, 10)]
+    (b / "lines.json").write_text("\n".join(map(json.dumps, one)))
+    (b / "station=C3").mkdir()
+    (b / "station=C3" / "array.json").write_text(json.dumps([{"data": [{"date": f"2021-06-{d:02d}"}]} for d in (1, 2)], indent=1))
+    report = jobs.load_bronze(spark, landing(tmp_path), load_settings(spark).cities, stations)
+    assert set(statuses(report).values()) == {"ok"}, report.collect()
+    version = catalog.newest_raw_version(spark)
+    found = {r.source: (r.read_rows, r.kept_rows, r.rejected_rows) for r in spark.table(f"{version}.load_report").collect()}
+    assert found == {"aemet": (5 + 7 + 7 + 3, 21, 1), "meteostat": (3 + 9 + 2, 14, 0)}
+    assert spark.table("weather_raw.weather_data").count() == 35 == catalog.loaded_rows(spark, version)
+    rejected = spark.table(f"{version}.load_rejects").collect()
+    assert [(r.reason, r.file.rsplit("/")[-1]) for r in rejected] == [("corrupt record", "cut.json")]
+
+
+def test_only_lines(spark, tmp_path, stations, clean_catalog):
+    folder = tmp_path / "provider=a" / "station=A1"
+    folder.mkdir(parents=True)
+    records = [json.dumps({"fecha": f"2021-01-{d:02d}", "tmed": "1,5"}) for d in range(1, 6)]
+    for name, ending in (("x.json", ""), ("y.ndjson", "\n")):
+        (folder / name).write_text("\n".join(records) + ending)
+        records = [r.replace("-01-", "-02-") for r in records]
+    jobs.load_bronze(spark, {"aemet": str(tmp_path / "provider=a")}, load_settings(spark).cities, stations)
+    assert spark.table("weather_raw.weather_data").count() == 10
+
+
 def test_file_sinks(spark, tmp_path):
     df = spark.createDataFrame([("San Roque", 1.5), ("Vic", 2.5), ("Córdoba", None)], "city string, tavg double")
     sinks.write_by_city(df, str(tmp_path / "by_city"))
