@@ -12,11 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isobar.functions.expressions import first_match
 from isobar.operators import bronze
 from isobar.operators.bronze import newest_per_key
-from isobar.operators.silver import clean
+from isobar.operators.silver import FILE_ORDER, clean, laid_out
 from isobar.schemas import PROVIDER_B_FIELDS, RAW_KEY, SILVER_SCHEMA, conform
 from isobar.plans import jobs
 from isobar.sources.landing import read_provider_a, read_provider_b
@@ -137,7 +138,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(folder: str) -> None:
         table = clean(raw(spark, sf_dir), as_of=F.lit("2025-01-01 00:00:00").cast("timestamp"))
-        rebalanced(table, "year").write.partitionBy("year").parquet(folder)
+        even = rebalanced(laid_out(table).drop("ym"), "year").sortWithinPartitions("year", *FILE_ORDER)
+        even.write.partitionBy("year").parquet(folder)
 
     def load(folder: str) -> DataFrame:
         return conform(spark.read.schema(SILVER_SCHEMA).parquet(folder), SILVER_SCHEMA)
@@ -145,6 +147,15 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "silver", write, load)
 
 
+def silver_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows with the folded city that the files are sorted by."""
+    silver(spark, sf_dir)  # writes them
+    schema = T.StructType([*SILVER_SCHEMA, T.StructField("city_key", T.StringType())])
+    return _stored(spark, sf_dir, "silver-files", lambda f: None, lambda f: spark.read.schema(schema).parquet(
+        _FOLDERS[spark.sparkContext.applicationId, sf_dir, "silver"]
+    ))
+
+
 def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """An older stored load (line numbers 1 to 3) and a newer one (from 4), each keyed."""
 

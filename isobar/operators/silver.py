@@ -39,6 +39,15 @@ def clean(raw: DataFrame, as_of: Column | None = None, check_ranges: bool = Fals
     return conform(named, SILVER_SCHEMA)
 
 
+def laid_out(silver: DataFrame) -> DataFrame:
+    """Silver with the columns that its files are cut and sorted by: ``city_key`` folds the city's case."""
+    return silver.withColumns({"city_key": F.lower("city"), "ym": F.date_format("date", "yyyy-MM")})
+
+
+#: How silver rows lie in a file.
+FILE_ORDER = ("city_key", "date")
+
+
 def snapshot(silver: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Silver with the moment it was copied (K7)."""
     return silver.withColumn("snapshot_timestamp", as_of if as_of is not None else F.current_timestamp())

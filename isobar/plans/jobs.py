@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ..operators.bronze import (
     accepted, city_report, judge_provider_a, judge_provider_b, load_report, rejects, staged, union_all,
 )
-from ..operators.silver import clean, snapshot
-from ..schemas import SILVER_SCHEMA, conform
-from ..sources import catalog, rawstore, sinks
+from ..operators.silver import FILE_ORDER, clean, laid_out, snapshot
+from ..schemas import GOLD_SCHEMAS, SILVER_SCHEMA, conform
+from ..sources import catalog, months, rawstore, sinks
 from ..sources.landing import read_provider_a, read_provider_b
+from ..sources.months import Layout
 from ..workspace import materialise
 from .gold import FROM_MONTHS, GOLD_TABLES, MONTHLY, station_months
 
@@ -23,6 +24,11 @@ REPORT = "name string, status string, row_count bigint, seconds double, error st
 LAYERS = ("bronze", "silver", "gold")
 SILVER_TABLE = "silver.weather_cleaned"
 SNAPSHOT_TABLE = "snapshots.weather_cleaned_snapshot"
+ALERTS_TABLE = "gold.weather_alerts"
+STATION_MONTHS_TABLE = "gold_parts.station_months"
+SILVER_LAYOUT = Layout("silver_months", {"year": "string"}, FILE_ORDER)
+STATION_MONTHS_LAYOUT = Layout("gold_months")
+ALERTS_LAYOUT = Layout("gold_months", {"year": "bigint"}, ("date",))
 REJECTS_TABLE, REPORT_TABLE, CITIES_TABLE = "load_rejects", "load_report", "load_cities"
 PROVIDERS = {
     "aemet": (read_provider_a, judge_provider_a),
@@ -97,9 +103,19 @@ def load_bronze(spark: SparkSession, landing: dict[str, str], cities: DataFrame,
 
 
 def build_silver(spark: SparkSession) -> DataFrame:
-    """Silver from the published raw tables, partitioned by year."""
-    build = lambda: clean(catalog.raw_observations(spark))
-    return run_steps(spark, {SILVER_TABLE: _store(spark, build, SILVER_TABLE, "year")})
+    """Silver from the published raw tables, by year and month; only months that a load changed are cleaned."""
+
+    def build() -> int:
+        upstream = rawstore.shown_months(spark)
+        if upstream is None:  # raw tables of another making: a full refresh
+            sinks.replace_table(clean(catalog.raw_observations(spark)), SILVER_TABLE, "year")
+            return spark.table(SILVER_TABLE).count()
+        raw = spark.table(f"{catalog.RAW_DATABASE}.{catalog.RAW_TABLE}")
+        rows = lambda made: laid_out(clean(raw.filter(F.col(months.MONTH).isin(made))))
+        shown = [*SILVER_SCHEMA.names, "city_key", months.MONTH]
+        return months.refresh(spark, SILVER_TABLE, SILVER_LAYOUT, upstream, rows, shown)
+
+    return run_steps(spark, {SILVER_TABLE: build})
 
 
 def silver_table(spark: SparkSession) -> DataFrame:
@@ -110,30 +126,52 @@ def silver_table(spark: SparkSession) -> DataFrame:
 def build_gold(spark: SparkSession) -> DataFrame:
     """All gold tables and the snapshot from the stored silver table.
 
-    Eight of the ten tables share one pass over silver through the station months.
+    Eight of the ten tables are summed up from the station months, a table of which only the months
+    that changed in silver are made anew; so it is with the alerts.
     """
+    silver = silver_table(spark)
+    listed = months.manifest(spark, SILVER_TABLE)
+    upstream = None if listed is None else listed.select(months.MONTH, F.col("folder").alias("made_from"))
+
+    def silver_of(made: list[str]) -> DataFrame:
+        # the table's own month column prunes the folders
+        return conform(spark.table(SILVER_TABLE).filter(F.col(months.MONTH).isin(made)), SILVER_SCHEMA)
 
     @lru_cache(maxsize=1)
-    def months() -> DataFrame:
-        return materialise(station_months(silver_table(spark)))
+    def station_months_table() -> DataFrame:
+        if upstream is None:
+            return materialise(station_months(silver))
+        month = F.concat_ws("-", "year", F.lpad(F.col("month").cast("string"), 2, "0"))
+        rows = lambda made: station_months(silver_of(made)).withColumn(months.MONTH, month)
+        months.refresh(spark, STATION_MONTHS_TABLE, STATION_MONTHS_LAYOUT, upstream, rows)
+        return spark.table(STATION_MONTHS_TABLE)
+
+    def alerts() -> int:
+        if upstream is None:
+            return _store(spark, lambda: GOLD_TABLES["weather_alerts"](silver), ALERTS_TABLE, "year")()
+        rows = lambda made: GOLD_TABLES["weather_alerts"](silver_of(made)).withColumn(
+            months.MONTH, F.date_format("date", "yyyy-MM")
+        )
+        return months.refresh(spark, ALERTS_TABLE, ALERTS_LAYOUT, upstream, rows, GOLD_SCHEMAS["weather_alerts"].names)
 
     def make(name: str) -> DataFrame:
         if name in FROM_MONTHS:
-            return GOLD_TABLES[name](months(), MONTHLY)
-        return GOLD_TABLES[name](silver_table(spark))
+            return GOLD_TABLES[name](station_months_table(), MONTHLY)
+        return GOLD_TABLES[name](silver)
 
-    steps = {
+    steps: dict[str, Callable[[], int]] = {
         f"gold.{name}": _store(spark, lambda name=name: make(name), f"gold.{name}") for name in GOLD_TABLES
     }
-    steps[SNAPSHOT_TABLE] = _store(spark, lambda: snapshot(silver_table(spark)), SNAPSHOT_TABLE)
+    steps[ALERTS_TABLE] = alerts
+    steps[SNAPSHOT_TABLE] = _store(spark, lambda: snapshot(silver), SNAPSHOT_TABLE, "year")
     return run_steps(spark, steps)
 
 
 def clean_layers(spark: SparkSession) -> list[str]:
     """Drop this library's databases, load versions and their month folders included (K8)."""
     versions = [d for d in catalog.databases(spark) if d.startswith(catalog.VERSION_PREFIX)]
-    layers = [catalog.RAW_DATABASE, "silver", "gold", "snapshots", *versions, catalog.STORE_DATABASE]
-    return sinks.drop_layers(spark, layers)
+    stores = [catalog.STORE_DATABASE, SILVER_LAYOUT.store, STATION_MONTHS_LAYOUT.store]
+    return sinks.drop_layers(spark, [catalog.RAW_DATABASE, "silver", "gold", "gold_parts", "snapshots", *versions, *stores])
 
 
 def run(spark: SparkSession, layers: list[str], landing: dict[str, str] | None = None,

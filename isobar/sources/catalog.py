@@ -19,8 +19,8 @@ RAW_TABLE = "weather_data"
 VERSION_PREFIX = "weather_raw_"
 STAGING_SUFFIX, UNFINISHED_SUFFIX = "_staging", "__unfinished"
 STORE_DATABASE = "raw_months"
-MONTHS_TABLE, PLACES_TABLE = "load_months", "load_places"
-STORED_MARK = "__stored_"
+PLACES_TABLE = "load_places"
+STORED_MARK, MONTHS_SUFFIX = "__stored_", "__months"
 
 # The short keys under which the serving layer knows its tables.
 SERVING_TABLES = {
@@ -56,22 +56,29 @@ def _listed(spark: SparkSession, database: str) -> list[str]:
 
 
 def tables(spark: SparkSession, database: str) -> list[str]:
-    """Tables and views by the names that readers use: without stored versions and unfinished ones."""
-    return [t for t in _listed(spark, database) if STORED_MARK not in t and not t.endswith(UNFINISHED_SUFFIX)]
+    """Tables and views by the names that readers use: without stored versions, manifests and unfinished tables."""
+    hidden = (UNFINISHED_SUFFIX, MONTHS_SUFFIX)
+    return [t for t in _listed(spark, database) if STORED_MARK not in t and not t.endswith(hidden)]
 
 
 def stored_versions(spark: SparkSession, database: str, table: str) -> list[str]:
     """The stored versions of a refreshed table, oldest first."""
-    return sorted(t for t in _listed(spark, database) if t.startswith(f"{table}{STORED_MARK}"))
+    named = (t for t in _listed(spark, database) if t.startswith(f"{table}{STORED_MARK}"))
+    return sorted(t for t in named if not t.endswith(MONTHS_SUFFIX))
+
+
+def definition(spark: SparkSession, view: str) -> str:
+    """The statement that makes a view; empty for tables."""
+    if not spark.catalog.tableExists(view) or spark.catalog.getTable(view).tableType != "VIEW":
+        return ""
+    return spark.sql(f"SHOW CREATE TABLE {view}").first()[0]
 
 
 def shown_version(spark: SparkSession, name: str) -> str | None:
     """The stored version that a refreshed table shows."""
     database, table = name.split(".")
-    if table not in _listed(spark, database):
-        return None
-    text = spark.sql(f"SHOW CREATE TABLE `{database}`.`{table}`").first()[0]
-    return next((v for v in reversed(stored_versions(spark, database, table)) if f"`{v}`" in text or f".{v}" in text), None)
+    text = definition(spark, name)
+    return next((v for v in reversed(stored_versions(spark, database, table)) if f"`{v}`" in text), None)
 
 
 def raw_versions(spark: SparkSession) -> list[str]:
@@ -85,11 +92,6 @@ def newest_raw_version(spark: SparkSession) -> str | None:
     return max(raw_versions(spark), default=None)
 
 
-def loaded_rows(spark: SparkSession, version: str) -> int:
-    """Rows of a load version, from its manifest."""
-    return int(spark.table(f"{version}.{MONTHS_TABLE}").agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0])
-
-
 def raw_observations(spark: SparkSession) -> DataFrame:
     """Union of the raw weather tables, else of all bronze tables, else empty."""
     raw = tables(spark, RAW_DATABASE)
@@ -123,10 +125,23 @@ def row_counts(named: dict[str, DataFrame]) -> DataFrame:
 
 
 def layer_row_counts(spark: SparkSession, database: str, fallback: str | None = None) -> DataFrame:
-    """Rows of every table of a layer, or of the fallback layer when the first is empty."""
+    """Rows of every table of a layer, or of the fallback layer when the first is empty.
+
+    Tables in month folders are counted by their manifests, others by their files' footers.
+    """
+    from . import months
+
     names = tables(spark, database)
     if not names and fallback:
         database, names = fallback, tables(spark, fallback)
     if not names:
         return spark.createDataFrame([], "table_name string, row_count bigint")
-    return row_counts({name: spark.table(f"{database}.{name}") for name in sorted(names)})
+
+    def counted(name: str) -> DataFrame:
+        listed = months.manifest(spark, f"{database}.{name}")
+        rows = spark.table(f"{database}.{name}").agg(F.count("*").alias("row_count")) if listed is None else listed.agg(
+            F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+        )
+        return rows.select(F.lit(name).alias("table_name"), "row_count")
+
+    return reduce(DataFrame.unionByName, [counted(name) for name in sorted(names)])

@@ -1,102 +1,54 @@
-"""Raw observations in month folders, and load versions that list them (K4).
-
-A load writes only the months it holds.  Its version is a table whose partitions point at month
-folders, those of its own and, for all other months, those of the versions before it; the version's
-manifest ``load_months`` says which and how many rows each holds.  Folders are never changed once
-they are listed, so older versions stay readable, and a load that fails leaves no version.
-
-The folders lie under the database ``raw_months``, apart from the versions, as several share them.
-"""
+"""Load versions of the raw table: databases that list month folders (K3, K4)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.bronze import merge
+from ..operators.bronze import city_places, merge
 from ..schemas import RAW_SCHEMA, conform
-from . import catalog, sinks
-
-MONTH, NO_MONTH = "month", "none"
-#: Partitions named in one statement.
-NAMED_AT_ONCE = 500
+from . import catalog, months, sinks
+from .months import MONTH, Layout
 
+LAYOUT = Layout(catalog.STORE_DATABASE)
 
-def month_of(date: str) -> Column:
-    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
 
-
-def _folder(spark: SparkSession, version: str) -> str:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{catalog.STORE_DATABASE}`")
-    return f"{spark.catalog.getDatabase(catalog.STORE_DATABASE).locationUri}/{version}"
+def _table(version: str) -> str:
+    return f"{version}.{catalog.RAW_TABLE}"
 
 
 def manifest(spark: SparkSession, version: str) -> DataFrame:
-    """month, folder, row_count and the version that wrote it, one row a month."""
-    return spark.table(f"{version}.{catalog.MONTHS_TABLE}")
-
-
-def months_in(rows: DataFrame) -> list[str]:
-    """The months that occur in ``rows``: calendar months, a short list for any history."""
-    return sorted(r[0] for r in rows.select(month_of("date").alias(MONTH)).distinct().collect())
+    """ym, folder, row_count and the version that wrote it, one row a month."""
+    return spark.table(months.manifest_of(_table(version)))
 
 
 def store_load(incoming: DataFrame, version: str | None = None, base: str | None = None) -> str:
     """Merge a load into the months it holds and register the result as a new version.
 
-    ``incoming`` is read twice: pass a stored table.  ``base`` is the version to go on from.  The
-    table itself is created last, so a version without it is an unfinished load.
+    ``incoming`` is read twice: pass a stored table.  ``base`` is the version to go on from; of it
+    only the months of the load are read.  A version without its table is an unfinished load.
     """
     spark = incoming.sparkSession
     version = version or sinks.new_raw_version()
     if catalog.RAW_TABLE in catalog.tables(spark, version):
         raise ValueError(f"load version {version} exists already")
     incoming = conform(incoming, RAW_SCHEMA)
-    touched = months_in(incoming)
-    folder = _folder(spark, version)
+    touched = months.months_in(incoming)
     existing = incoming.limit(0)
     if base:
         # the months are literals, so only their folders are listed and read
-        existing = conform(spark.table(f"{base}.{catalog.RAW_TABLE}").filter(F.col(MONTH).isin(touched)), RAW_SCHEMA)
-    merged = merge(existing, incoming).withColumn(MONTH, month_of("date"))
-    sinks.rebalanced(merged, MONTH).write.partitionBy(MONTH).parquet(folder)
-    schema = conform(merged, RAW_SCHEMA).schema.add(MONTH, "string")
-    written = spark.read.schema(schema).parquet(folder).groupBy(MONTH).agg(F.count("*").alias("row_count"))
-    listed = written.select(
-        MONTH, F.concat(F.lit(f"{folder}/{MONTH}="), MONTH).alias("folder"), "row_count", F.lit(version).alias("written_by")
-    )
-    if base:
-        listed = listed.unionByName(manifest(spark, base).filter(~F.col(MONTH).isin(touched)))
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{version}`")
-    listed.coalesce(1).write.saveAsTable(f"{version}.{catalog.MONTHS_TABLE}")
-    _register(spark, version, folder)
+        existing = conform(spark.table(_table(base)).filter(F.col(MONTH).isin(touched)), RAW_SCHEMA)
+    merged = conform(merge(existing, incoming), RAW_SCHEMA).withColumn(MONTH, months.month_of("date"))
+    months.add_version(merged, LAYOUT, _table(version), version, manifest(spark, base) if base else None, touched)
     return version
 
 
-def _register(spark: SparkSession, version: str, folder: str) -> None:
-    """The version's table over the folders of its manifest, made under another name until it is whole."""
-    name = f"`{version}`.`{catalog.RAW_TABLE}`"
-    unfinished = f"`{version}`.`{catalog.RAW_TABLE}{catalog.UNFINISHED_SUFFIX}`"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RAW_SCHEMA)
-    spark.sql(
-        f"CREATE TABLE {unfinished} ({columns}, `{MONTH}` string) USING parquet PARTITIONED BY (`{MONTH}`) LOCATION '{folder}'"
-    )
-    rows = manifest(spark, version).select(MONTH, "folder").orderBy(MONTH).collect()  # calendar months
-    for at in range(0, len(rows), NAMED_AT_ONCE):
-        parts = " ".join(f"PARTITION (`{MONTH}` = '{r[MONTH]}') LOCATION '{r.folder}'" for r in rows[at : at + NAMED_AT_ONCE])
-        spark.sql(f"ALTER TABLE {unfinished} ADD IF NOT EXISTS {parts}")
-    spark.sql(f"ALTER TABLE {unfinished} RENAME TO {name}")
-
-
 def publish(spark: SparkSession, version: str, cities: DataFrame) -> int:
     """Show a version as the raw table, with the cities' coordinates joined as it is read (K3); its rows.
 
     Only the small table of places is written; the view is exchanged in one step.
     """
-    from ..operators.bronze import city_places
-
-    places = f"{version}.{catalog.PLACES_TABLE}"
-    sinks.write_table(city_places(cities), places)
+    sinks.write_table(city_places(cities), f"{version}.{catalog.PLACES_TABLE}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{catalog.RAW_DATABASE}`")
     kept = ", ".join(f"r.`{f.name}`" for f in RAW_SCHEMA if f.name not in ("lat", "lon"))
     sinks.show_as(
@@ -104,18 +56,24 @@ def publish(spark: SparkSession, version: str, cities: DataFrame) -> int:
         f"SELECT {kept}, p.lat, p.lon, r.`{MONTH}` FROM `{version}`.`{catalog.RAW_TABLE}` r "
         f"LEFT JOIN `{version}`.`{catalog.PLACES_TABLE}` p ON r.city = p.city",
     )
-    return catalog.loaded_rows(spark, version)
+    return months.row_count(spark, _table(version))
+
+
+def shown_months(spark: SparkSession) -> DataFrame | None:
+    """(ym, made_from) of what the raw table shows: its folders and the places joined to them.
+
+    None if the raw table is anything but the view of one load version.
+    """
+    names = [t for t in catalog.tables(spark, catalog.RAW_DATABASE) if catalog.RAW_TABLE in t.lower()]
+    version = catalog.newest_raw_version(spark)
+    if names != [catalog.RAW_TABLE] or not version or catalog.PLACES_TABLE not in catalog.tables(spark, version):
+        return None
+    if f"`{version}`" not in catalog.definition(spark, f"{catalog.RAW_DATABASE}.{catalog.RAW_TABLE}"):
+        return None
+    places = spark.table(f"{version}.{catalog.PLACES_TABLE}").agg(F.bit_xor(F.xxhash64("city", "lat", "lon"))).first()[0]
+    return manifest(spark, version).select(MONTH, F.concat("folder", F.lit(f" with places {places}")).alias("made_from"))
 
 
 def unused_folders(spark: SparkSession) -> DataFrame:
     """Month folders that no version lists any more: what may be deleted once their versions are dropped."""
-    root = _folder(spark, "")
-    held = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(root).select(
-        F.regexp_extract("path", rf"(/[^/]+/{MONTH}=[^/]+)/[^/]+$", 1).alias("tail")
-    )
-    used = None
-    for version in catalog.raw_versions(spark):
-        own = manifest(spark, version).select(F.regexp_extract("folder", rf"(/[^/]+/{MONTH}=[^/]+)$", 1).alias("tail"))
-        used = own if used is None else used.unionByName(own)
-    held = held.filter("tail <> ''").distinct()
-    return held if used is None else held.join(used, "tail", "left_anti")
+    return months.unused_folders(spark, LAYOUT, [_table(v) for v in catalog.raw_versions(spark)])

@@ -29,13 +29,14 @@ def replace_table(df: DataFrame, name: str, partition_by: str | None = None) ->
     spark = df.sparkSession
     database, table = name.split(".")
     older = catalog.stored_versions(spark, database, table)
-    version = f"{table}{catalog.STORED_MARK}{_stamp()}"
+    version = stored_name(table)
     write_table(df, f"{database}.{version}", partition_by)
     before = catalog.shown_version(spark, name)
     show_as(spark, name, f"SELECT * FROM `{database}`.`{version}`")
     for old in older:
         if old != before:
             spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}`")
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}{catalog.MONTHS_SUFFIX}`")
     return version
 
 
@@ -57,6 +58,11 @@ def _stamp() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
 
 
+def stored_name(table: str) -> str:
+    """Name of a new stored version of a refreshed table; later ones get higher names."""
+    return f"{table}{catalog.STORED_MARK}{_stamp()}"
+
+
 def new_raw_version() -> str:
     """Name of a load version; later loads get higher names."""
     return catalog.VERSION_PREFIX + _stamp()

@@ -10,7 +10,7 @@ from isobar.operators import bronze
 from isobar.plans import jobs
 from isobar.plans.gold import GOLD_TABLES
 from isobar.schemas import GOLD_SCHEMAS, SILVER_SCHEMA
-from isobar.sources import catalog, rawstore, sinks
+from isobar.sources import catalog, months, rawstore, sinks
 from isobar.sources.config import load_settings
 from isobar.streaming import ingest
 
@@ -214,27 +214,27 @@ def test_a_load_reads_and_writes_only_its_months(spark, clean_catalog, monkeypat
     whole = rawstore.merge
     monkeypatch.setattr(rawstore, "merge", lambda old, new: read.extend(old.inputFiles()) or whole(old, new))
     two = rawstore.store_load(days(spark, [(2, 2, "A", 20), (2, 3, "A", 30)]), "weather_raw_2", one)
-    assert read and all(f"{one}/month=2021-02/" in f for f in read)
-    listed = {r.month: (r.written_by, r.row_count) for r in rawstore.manifest(spark, two).collect()}
+    assert read and all(f"{one}/ym=2021-02/" in f for f in read)
+    listed = {r.ym: (r.written_by, r.row_count) for r in rawstore.manifest(spark, two).collect()}
     assert listed == {"2021-01": (one, 4), "2021-02": (two, 5), "2021-07": (one, 4), "none": (one, 1)}
-    root = rawstore._folder(spark, two).removeprefix("file:")
-    assert sorted(p.name for p in Path(root).iterdir() if p.is_dir()) == ["month=2021-02"]
+    root = months.folder_of(spark, rawstore.LAYOUT, two).removeprefix("file:")
+    assert sorted(p.name for p in Path(root).iterdir() if p.is_dir()) == ["ym=2021-02"]
     assert held(spark, two) == sorted(
         [((m, d), c, float(m)) for m in (1, 2, 7) for d in (1, 2) for c in "AB" if (m, d, c) != (2, 2, "A")]
         + [((0, 0), "A", 0.0), ((2, 2), "A", 20.0), ((2, 3), "A", 30.0)]
     )
     assert len(held(spark, one)) == 13 and (2, 3) not in {k for k, *_ in held(spark, one)}
-    assert catalog.loaded_rows(spark, two) == 14
+    assert months.row_count(spark, f"{two}.weather_data") == 14
     # rows without a date are a month of their own; the same load again changes nothing
     again = rawstore.store_load(days(spark, [(2, 2, "A", 20), (2, 3, "A", 30)]), "weather_raw_3", two)
     assert held(spark, again) == held(spark, two)
     nothing = rawstore.store_load(days(spark, []).limit(0), "weather_raw_4", again)
     assert held(spark, nothing) == held(spark, two)
-    assert spark.table(f"{two}.weather_data").filter("month = '2021-07'").inputFiles()[0].count(f"{one}/month=2021-07") == 1
+    assert spark.table(f"{two}.weather_data").filter("ym = '2021-07'").inputFiles()[0].count(f"{one}/ym=2021-07") == 1
     for old in (one, again):
         spark.sql(f"DROP DATABASE {old} CASCADE")
     assert held(spark, two) == held(spark, nothing)
-    assert [r.tail for r in rawstore.unused_folders(spark).collect()] == ["/weather_raw_1/month=2021-02"]
+    assert [r.folder for r in rawstore.unused_folders(spark).collect()] == ["weather_raw_1/ym=2021-02"]
 
 
 def test_a_merge_equals_the_upsert(spark, clean_catalog):
@@ -303,11 +303,51 @@ def test_every_record_of_mixed_formats_is_loaded(spark, tmp_path, clean_catalog)
     version = catalog.newest_raw_version(spark)
     found = {r.source: (r.read_rows, r.kept_rows, r.rejected_rows) for r in spark.table(f"{version}.load_report").collect()}
     assert found == {"aemet": (5 + 7 + 7 + 3, 21, 1), "meteostat": (3 + 9 + 2, 14, 0)}
-    assert spark.table("weather_raw.weather_data").count() == 35 == catalog.loaded_rows(spark, version)
+    assert spark.table("weather_raw.weather_data").count() == 35 == months.row_count(spark, f"{version}.weather_data")
     rejected = spark.table(f"{version}.load_rejects").collect()
     assert [(r.reason, r.file.rsplit("/")[-1]) for r in rejected] == [("corrupt record", "cut.json")]
 
 
+def stored(spark, names):
+    return {n: sorted(map(repr, (tuple(r) for r in spark.table(f"gold.{n}").drop("ingestion_date").collect()))) for n in names}
+
+
+def test_a_load_refreshes_only_its_months(spark, tmp_path, stations, clean_catalog, monkeypatch):
+    cities = load_settings(spark).cities
+    land_a(tmp_path, "A1", [(m, d) for m in (1, 2, 7) for d in (1, 2, 3)], 10)
+    land_b(tmp_path, "B2", [(1, 1), (2, 1), (8, 1)], 35.0)
+    first = jobs.run(spark, ["bronze", "silver", "gold"], landing(tmp_path), cities, stations)
+    assert set(statuses(first).values()) == {"ok"}, first.filter("status <> 'ok'").collect()
+    land_a(tmp_path, "A1", [(2, 3), (2, 4), (9, 1)], 30, "later")
+    (tmp_path / "provider=a" / "station=A1" / "x.json").write_text("[]")
+    (tmp_path / "provider=b" / "station=B2" / "x.json").write_text('{"data": []}')
+    cleaned, summed = [], []
+    clean, sum_up = jobs.clean, jobs.station_months
+    monkeypatch.setattr(jobs, "clean", lambda raw: cleaned.extend(months.months_in(raw)) or clean(raw))
+    monkeypatch.setattr(jobs, "station_months", lambda silver: summed.extend(months.months_in(silver)) or sum_up(silver))
+    second = jobs.run(spark, ["bronze", "silver", "gold"], landing(tmp_path), cities, stations)
+    assert set(statuses(second).values()) == {"ok"}, second.filter("status <> 'ok'").collect()
+    assert cleaned == summed == ["2021-02", "2021-09"]
+    incremental = stored(spark, GOLD_TABLES)
+    silver = jobs.silver_table(spark)
+    assert silver.count() == 14 and months.row_count(spark, "silver.weather_cleaned") == 14
+    assert {r.table_name: r.row_count for r in catalog.layer_row_counts(spark, "gold").collect()} == {
+        n: spark.table(f"gold.{n}").count() for n in GOLD_TABLES
+    }
+    for name in GOLD_TABLES:
+        want = GOLD_TABLES[name](silver).drop("ingestion_date").collect()
+        assert incremental[name] == sorted(map(repr, (tuple(r) for r in want))), name
+    # nothing landed: nothing is made
+    jobs.build_silver(spark), jobs.build_gold(spark)
+    assert cleaned == summed == ["2021-02", "2021-09"]
+    # other coordinates change every month
+    moved = cities.withColumn("latitude", F.col("latitude") + 1)
+    jobs.run(spark, ["bronze", "silver"], landing(tmp_path), moved, stations)
+    assert len(cleaned) == 2 + 5 and {r.lat for r in jobs.silver_table(spark).filter("city = 'Vic'").collect()} == {42.9301}
+    folders = spark.table("silver.weather_cleaned").inputFiles()
+    assert all("year=2021/ym=2021-" in f for f in folders)
+
+
 def test_only_lines(spark, tmp_path, stations, clean_catalog):
     folder = tmp_path / "provider=a" / "station=A1"
     folder.mkdir(parents=True)
