@@ -325,6 +325,25 @@ def station_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def inventory_file(spark: SparkSession, sf_dir: str) -> str:
+    """The inventory landed as one JSON array, in the order of the suppliers."""
+
+    def write(folder: str) -> None:
+        entry = F.struct("pos", F.to_json(F.struct("indicativo", "latitud", "longitud")).alias("json"))
+        listed = F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["json"])
+        rows = station_inventory(spark, sf_dir)
+        rows.agg(F.concat(F.lit("["), F.array_join(listed, ",\n"), F.lit("]")).alias("value")).write.text(folder)
+
+    return _folder(spark, sf_dir, "inventory", write)
+
+
+def provider_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request for each raw row: those of a month arrive in the first twenty minutes of it, by their order."""
+    rows = raw_rows(spark, sf_dir)
+    second = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 1200
+    return rows.select("source", (F.date_trunc("month", "date") + F.make_dt_interval(secs=second)).cast("timestamp").alias("ts"))
+
+
 def provider_a_text(rows: DataFrame) -> DataFrame:
     """Raw rows as provider A would send them: text, decimal comma, ``Ip`` for no rain figure.
 

@@ -258,14 +258,22 @@ def answer(select: str, *needs: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({RELATIONS[n][1]})" for n in ordered) + "\n" + select
 
 
-def _histogram(column: str) -> str:
+def _city_lines(relation: str) -> str:
+    return answer(
+        f"""SELECT city, year, {r('AVG(avg_temp)', 6)} AS avg_temp FROM {relation}
+WHERE city IN (SELECT DISTINCT city FROM {relation} ORDER BY city LIMIT 5) GROUP BY city, year""",
+        relation,
+    )
+
+
+def _histogram(column: str, relation: str = "summary") -> str:
     width = f"(hi - lo) / {20}"
     return answer(
         f"""SELECT bin, {r(f'lo + bin * ({width})', 6)} AS bin_start, {r(f'lo + (bin + 1) * ({width})', 6)} AS bin_end,
   COUNT(*) AS "rows" FROM (SELECT lo, hi, CAST(LEAST(FLOOR(({column} - lo) / (hi - lo) * 20), 19) AS INTEGER) AS bin
-  FROM summary, (SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM summary) AS e WHERE {column} IS NOT NULL) AS b
+  FROM {relation}, (SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {relation}) AS e WHERE {column} IS NOT NULL) AS b
 GROUP BY bin, lo, hi""",
-        "summary",
+        relation,
     )
 
 
@@ -395,6 +403,14 @@ first_of AS (SELECT *, l_linenumber >= 4 AS incoming, ROW_NUMBER() OVER (PARTITI
   l_linenumber >= 4 ORDER BY {LOAD_ORDER}) AS n FROM raw_rows)
 SELECT {RAW_COLUMNS} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, city, source ORDER BY incoming DESC) AS k
   FROM first_of WHERE n = 1) AS x WHERE k = 1""",
+        "bronze_second_load": answer("", "raw_rows")
+        + f""",
+first_of AS (SELECT *, l_linenumber >= 4 AS incoming, ROW_NUMBER() OVER (PARTITION BY date, city, source,
+  l_linenumber >= 4 ORDER BY {LOAD_ORDER}) AS n FROM raw_rows)
+SELECT {RAW_COLUMNS} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, city, source ORDER BY incoming DESC) AS k
+  FROM first_of WHERE n = 1) AS x WHERE k = 1""",
+        "raw_rows_by_manifest": answer("SELECT strftime(date, '%Y-%m') AS ym, COUNT(*) AS row_count FROM raw GROUP BY 1", "raw"),
+        "station_inventory_file": answer(f"SELECT station, {r('lat', 6)} AS lat, {r('lon', 6)} AS lon FROM stations", "stations"),
         "bronze_coord_enrich": answer(
             """SELECT raw.* EXCLUDE (lat, lon), c.lat, c.lon FROM raw LEFT JOIN cities AS c ON raw.city = c.city""",
             "raw", "cities",
@@ -495,6 +511,18 @@ FROM (SELECT *, UNNEST(generate_series(0, CASE WHEN apart <= 6 THEN 0 ELSE apart
                 "min_precipitation": "wettest_summer", "max_precipitation": "driest_winter",
             }.items()
         },
+        "gold_season_quartiles": answer(
+            f"""SELECT city, {case(_SEASON_RULES, None)} AS season, QUANTILE_CONT(temp_avg_c, 0.75) AS temp_75th_percentile,
+  QUANTILE_CONT(temp_avg_c, 0.25) AS temp_25th_percentile FROM silver_m GROUP BY 1, 2""",
+            "silver_m",
+        ),
+        "gold_months_refreshed": answer("SELECT * FROM summary", "summary"),
+        "first_weather_alerts": answer(
+            "SELECT * FROM alerts ORDER BY date DESC NULLS LAST, alert_severity DESC NULLS LAST, city, station, source LIMIT 40", "alerts"
+        ),
+        "first_climate_comparison": answer(
+            "SELECT * FROM comparison ORDER BY region NULLS LAST, avg_temp_city DESC NULLS LAST, city, station LIMIT 40", "comparison"
+        ),
         "gold_min_precipitation": answer("SELECT * FROM wettest_summer", "wettest_summer"),
         "gold_max_precipitation": answer("SELECT * FROM driest_winter", "driest_winter"),
         # ---- serving
@@ -536,6 +564,15 @@ AND temp_max_c >= 30 AND source = 'meteostat'""",
             "SELECT * FROM alerts ORDER BY alert_severity DESC NULLS LAST, city, date, source LIMIT 500 OFFSET 9500",
             "alerts",
         ),
+        "page_each_order": answer(
+            " UNION ALL ".join(
+                f"(SELECT *, '{c}' AS sorted_by, {up} AS ascending FROM summary ORDER BY {c} {'ASC' if up else 'DESC'} NULLS LAST, "
+                "city, region, station, year, month LIMIT 3)"
+                for c in ("city", "year", "month", "avg_temp", "total_precip", "avg_humidity")
+                for up in (True, False)
+            ),
+            "summary",
+        ),
         "page_after_key": answer(
             """SELECT * FROM trends WHERE city > 'NATION_15' OR (city = 'NATION_15' AND year > '1998')
 ORDER BY city, year LIMIT 50""",
@@ -594,6 +631,43 @@ WHERE city IN (SELECT DISTINCT city FROM summary ORDER BY city LIMIT 5) GROUP BY
         "comparison_by_temp": answer("SELECT city, station, avg_temp_city FROM comparison", "comparison"),
         "comparison_by_precip": answer("SELECT city, station, total_precip_city FROM comparison", "comparison"),
         "comparison_scatter": answer("SELECT city, avg_temp_city, total_precip_city FROM comparison", "comparison"),
+        # ---- every chart of every topic
+        "topic_trends_temp_by_year": _mean("trends", "year", "avg_temp"),
+        "topic_trends_temp_histogram": _histogram("avg_temp", "trends"),
+        "topic_trends_temp_by_city_year": _city_lines("trends"),
+        "topic_temperature_temp_by_year": _mean("summary", "year", "avg_temp"),
+        "topic_temperature_temp_histogram": _histogram("avg_temp"),
+        "topic_temperature_temp_by_month": _mean("summary", "month", "avg_temp"),
+        "topic_temperature_temp_by_city_year": _city_lines("summary"),
+        "topic_precipitation_precip_by_year": answer(
+            f"SELECT year, {r('COALESCE(SUM(total_precip), 0)', 6)} AS total_precip FROM summary GROUP BY year", "summary"
+        ),
+        "topic_precipitation_precip_by_month": _mean("summary", "month", "total_precip"),
+        "topic_precipitation_rainy_periods_by_city": answer(
+            "SELECT city, COUNT(*) AS rainy_periods FROM summary WHERE total_precip > 0 GROUP BY city", "summary"
+        ),
+        "topic_precipitation_precip_histogram": _histogram("total_precip"),
+        "topic_seasonal_season_profile": _season_profile(),
+        "topic_seasonal_season_radar": _season_radar(),
+        "topic_alerts_alerts_by_level": _counts("alerts", "overall_alert"),
+        "topic_alerts_alerts_by_severity": _counts("alerts", "alert_severity"),
+        "topic_alerts_alerts_top_cities": answer(
+            'SELECT city, COUNT(*) AS "rows" FROM alerts GROUP BY city ORDER BY COUNT(*) DESC, city LIMIT 10', "alerts"
+        ),
+        "topic_alerts_alerts_by_month": answer(
+            "SELECT strftime(date, '%Y-%m') AS month_year, COUNT(*) AS alerts FROM alerts GROUP BY 1", "alerts"
+        ),
+        "topic_comparison_comparison_by_temp": answer(
+            f"SELECT city, station, {r('avg_temp_city', 6)} AS avg_temp_city FROM comparison", "comparison"
+        ),
+        "topic_comparison_comparison_by_precip": answer(
+            f"SELECT city, station, {r('total_precip_city', 6)} AS total_precip_city FROM comparison", "comparison"
+        ),
+        "topic_comparison_climate_class_counts": _counts("comparison", "climate_classification"),
+        "topic_comparison_comparison_scatter": answer(
+            f"SELECT city, {r('avg_temp_city', 6)} AS avg_temp_city, {r('total_precip_city', 6)} AS total_precip_city FROM comparison",
+            "comparison",
+        ),
         # ---- maps
         "map_temperature": _map(
             "summary",
@@ -694,6 +768,14 @@ WHERE city IN (SELECT city FROM missing) AND year IN (SELECT year FROM missing)
   COUNT(*) FILTER (WHERE trailing_requests > 2) AS over_cap FROM (SELECT *,
   CASE WHEN trailing_requests * 100.0e0 / 2 > 80 THEN 'high' WHEN trailing_requests * 100.0e0 / 2 > 60 THEN 'moderate'
   ELSE 'normal' END AS level FROM ({_TRAILING}) AS t) AS u GROUP BY source, level""",
+        "audit_usage_by_provider": answer("", "raw_rows")
+        + """,
+requests AS (SELECT source, date_trunc('month', date) + to_seconds((l_orderkey * 7 + l_linenumber) % 1200) AS ts FROM raw_rows),
+t AS (SELECT DISTINCT source, ts, COUNT(*) OVER (PARTITION BY source ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING
+  AND CURRENT ROW) AS trailing_requests, CASE source WHEN 'aemet' THEN 90 WHEN 'meteostat' THEN 25 END AS cap FROM requests)
+SELECT source, CASE WHEN trailing_requests * 100.0e0 / cap > 80 THEN 'high' WHEN trailing_requests * 100.0e0 / cap > 60 THEN 'moderate'
+  ELSE 'normal' END AS usage_level, COUNT(*) AS instants, COUNT(*) FILTER (WHERE trailing_requests > cap) AS over_cap,
+  MAX(trailing_requests) AS most FROM t GROUP BY 1, 2""",
         "audit_log_tags": f"""SELECT CAST(ts AS DATE) AS day, {_LOG_LEVEL} AS level, {_LOG_TAG} AS tag, COUNT(*) AS records,
   CAST(SUM(CAST(regexp_extract(props, '[0-9]+') AS BIGINT)) AS BIGINT) AS context_total FROM events
 GROUP BY 1, 2, 3""",

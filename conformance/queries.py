@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -15,8 +16,10 @@ from isobar.operators import bronze, paging, silver as silver_ops, trailing
 from isobar.operators.backfill import backfill_windows
 from isobar.operators.filters import Filters, apply_filters
 from isobar.operators.nearest import nearest_station
-from isobar.plans import charts, gold, maps, quality
-from isobar.sources import catalog
+from isobar.plans import charts, gold, jobs, maps, quality
+from isobar.sources import catalog, rawstore
+from isobar.sources.landing import read_station_inventory
+from isobar.sources.months import refresh
 from isobar.workspace import materialise
 
 from . import adapter as A
@@ -124,6 +127,23 @@ def _(spark, d):
     return bronze.rejects(A.staged_load(spark, d)).withColumn("has_record", F.col("record") != "").drop("file", "record")
 
 
+@query("bronze_second_load")
+def _(spark, d):
+    # two loads through the month store: the second is merged into the months it holds
+    first, second = A.two_loads(spark, d)
+    name = f"{catalog.VERSION_PREFIX}{uuid.uuid4().hex}"
+    base = rawstore.store_load(first, f"{name}_1")
+    return spark.table(f"{rawstore.store_load(second, f'{name}_2', base)}.{catalog.RAW_TABLE}").drop("ym")
+
+
+@query("raw_rows_by_manifest")
+def _(spark, d):
+    # rows a month, from the load's statistics instead of its rows
+    name = f"{catalog.VERSION_PREFIX}{uuid.uuid4().hex}"
+    listed = rawstore.manifest(spark, rawstore.store_load(A.raw(spark, d), name))
+    return listed.select("ym", "row_count")
+
+
 @query("bronze_job_report")
 def _(spark, d):
     return bronze.load_report(A.staged_load(spark, d))
@@ -144,6 +164,12 @@ def _(spark, d):
     return to6(bronze.station_coordinates(A.station_inventory(spark, d)).drop("pos"))
 
 
+@query("station_inventory_file")
+def _(spark, d):
+    # the inventory read from its file, as the job reads it
+    return to6(bronze.station_coordinates(read_station_inventory(spark, A.inventory_file(spark, d))).drop("pos"))
+
+
 @query("station_coord_lookup")
 def _(spark, d):
     return to6(bronze.attach_station_coordinates(A.raw(spark, d), A.station_inventory(spark, d)), "lat", "lon")
@@ -239,6 +265,38 @@ def _(spark, d):
     return to6(_from_months("seasonal_analysis")(spark, d), "temp_variability")
 
 
+@query("gold_season_quartiles")
+def _(spark, d):
+    # quartiles of a coarser key, from the counts of a station's months
+    counts = A.stored_frame(spark, d, "temperature-counts", lambda: gold.temperature_counts(A.silver(spark, d)))
+    return gold.season_quartiles(counts)
+
+
+@query("gold_months_refreshed")
+def _(spark, d):
+    # station months of all but the newest year, then brought up to date with the rest
+    silver_, name = A.silver(spark, d), f"gold_parts.refreshed_{uuid.uuid4().hex}"
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold_parts")
+    month = F.date_format("date", "yyyy-MM")
+    listed = materialise(silver_.groupBy(month.alias("ym")).agg(F.count("*").cast("string").alias("made_from")))
+
+    def rows(made):
+        own = F.concat_ws("-", "year", F.lpad(F.col("month").cast("string"), 2, "0"))
+        return gold.station_months(silver_.filter(month.isin(made))).withColumn("ym", own)
+
+    newest = listed.agg(F.max("ym")).scalar()
+    for upstream in (listed.filter(F.col("ym") < newest), listed):
+        refresh(spark, name, jobs.STATION_MONTHS_LAYOUT, upstream, rows)
+    return gold.city_yearly_summary(spark.table(name), gold.MONTHLY)
+
+
+def _ordered(name: str, build: Query) -> Query:
+    return lambda spark, d: gold.in_default_order(build(spark, d), name).limit(40)
+
+
+for _name, _build in (("weather_alerts", alerts), ("climate_comparison", comparison)):
+    QUERIES[f"first_{_name}"] = _ordered(_name, _build)
+
 # ---- serving reads ---------------------------------------------------------------------
 
 QUERIES["filter_options"] = lambda spark, d: charts.filter_options(summary(spark, d))
@@ -291,6 +349,18 @@ def _(spark, d):
     )
 
 
+@query("page_each_order")
+def _(spark, d):
+    # the first rows in each order that a reader may choose, both ways
+    table = summary(spark, d)
+    pages = [
+        paging.page(table, "summary", size=3, sort_by=c, ascending=up).withColumns({"sorted_by": F.lit(c), "ascending": F.lit(up)})
+        for c in paging.sort_columns("summary", table)
+        for up in (True, False)
+    ]
+    return bronze.union_all(pages)
+
+
 @query("page_after_key")
 def _(spark, d):
     return paging.page_after(trends(spark, d), "trends", {"city": "NATION_15", "year": "1998"})
@@ -306,7 +376,7 @@ QUERIES["table_display"] = lambda spark, d: paging.display(summary(spark, d))
 # ---- charts ----------------------------------------------------------------------------
 
 QUERIES["kpis"] = lambda spark, d: to6(charts.kpis(summary(spark, d)))
-QUERIES["kpis_alerts"] = lambda spark, d: charts.kpis(alerts(spark, d).drop("precip_mm"))
+QUERIES["kpis_alerts"] = lambda spark, d: charts.kpis(alerts(spark, d))
 QUERIES["city_overview"] = lambda spark, d: charts.city_overview(summary(spark, d))
 QUERIES["temp_by_year"] = lambda spark, d: to6(charts.mean_temperature_by(summary(spark, d), "year"))
 QUERIES["temp_by_month"] = lambda spark, d: to6(charts.mean_temperature_by(summary(spark, d), "month"))
@@ -324,6 +394,28 @@ def _(spark, d):
     return to6(charts.analyse("trends", lambda key: trends(spark, d))["temp_by_year"])
 
 
+TOPIC_TABLES: dict[str, Query] = {
+    "trends": trends, "summary": summary, "seasonal": seasonal, "alerts": alerts, "comparison": comparison
+}
+
+
+def _topic_chart(topic: str, chart: str) -> Query:
+    return lambda spark, d: to6(charts.analyse(topic, lambda key: TOPIC_TABLES[key](spark, d))[chart])
+
+
+# every chart of every topic, through the topic driver
+TOPIC_CHARTS = {
+    "trends": ("temp_by_year", "temp_histogram", "temp_by_city_year"),
+    "temperature": ("temp_by_year", "temp_histogram", "temp_by_month", "temp_by_city_year"),
+    "precipitation": ("precip_by_year", "precip_by_month", "rainy_periods_by_city", "precip_histogram"),
+    "seasonal": ("season_profile", "season_radar"),
+    "alerts": ("alerts_by_level", "alerts_by_severity", "alerts_top_cities", "alerts_by_month"),
+    "comparison": ("comparison_by_temp", "comparison_by_precip", "climate_class_counts", "comparison_scatter"),
+}
+for _topic, _charts in TOPIC_CHARTS.items():
+    for _chart in _charts:
+        QUERIES[f"topic_{_topic}_{_chart}"] = _topic_chart(_topic, _chart)
+
 QUERIES["season_profile"] = lambda spark, d: to6(charts.season_profile(seasonal(spark, d)))
 QUERIES["season_radar"] = lambda spark, d: to6(charts.season_radar(seasonal(spark, d)))
 QUERIES["alerts_by_level"] = lambda spark, d: charts.value_counts(alerts(spark, d), "overall_alert")
@@ -375,7 +467,7 @@ def _(spark, d):
     return bronze.union_all([quality.first_rows(silver(spark, d), source) for source in ("aemet", "meteostat")])
 
 
-QUERIES["dq_point_lookup"] = lambda spark, d: quality.point_lookup(silver(spark, d), "nation_7", 1998, 1)
+QUERIES["dq_point_lookup"] = lambda spark, d: quality.point_lookup(A.silver_files(spark, d), "nation_7", 1998, 1).drop("city_key", "ingestion_date")
 
 # ---- audit -----------------------------------------------------------------------------
 
@@ -395,6 +487,15 @@ def _(spark, d):
     )
 
 
+@query("audit_usage_by_provider")
+def _(spark, d):
+    # against the caps of the two providers
+    used = trailing.usage(A.provider_requests(spark, d), trailing.source_cap(F.col("source")))
+    return used.groupBy("source", "usage_level").agg(
+        F.count("*").alias("instants"), F.count_if("over_cap").alias("over_cap"), F.max("trailing_requests").alias("most")
+    )
+
+
 @query("audit_log_tags")
 def _(spark, d):
     records = A.log_records(spark, d)

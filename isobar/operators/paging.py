@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 
 from ..functions import values as V
 from .filters import Filters, apply_filters
-from .ranking import number_rows
+from .ranking import Order, rows_between, sorted_by
+
+#: The deepest row of a page that is read as a top-k.
+SHALLOW = 5000
 
 # --- Fixed values: sortable columns -----------------------------------------------------
 SORTABLE = ("city", "year", "month")
@@ -34,29 +37,29 @@ def sort_columns(table_key: str, df: DataFrame) -> list[str]:
     return [c for c in (*SORTABLE, *SORTABLE_EXTRA.get(table_key, ())) if c in df.columns]
 
 
-def page_order(table_key: str, df: DataFrame, sort_by: str | None, ascending: bool = True) -> list[Column]:
+def page_order(table_key: str, df: DataFrame, sort_by: str | None, ascending: bool = True) -> Order:
     if sort_by is not None and sort_by not in sort_columns(table_key, df):
         raise ValueError(f"{table_key} cannot be sorted by {sort_by!r}; use one of {sort_columns(table_key, df)}")
-    head = []
-    if sort_by is not None:
-        head = [F.asc_nulls_last(sort_by) if ascending else F.desc_nulls_last(sort_by)]
-    return head + [F.asc_nulls_last(k) for k in TABLE_KEYS[table_key] if k != sort_by]
+    head = [] if sort_by is None else [(sort_by, ascending)]
+    return head + [(k, True) for k in TABLE_KEYS[table_key] if k != sort_by]
 
 
 def page(df: DataFrame, table_key: str, number: int = 1, size: int = 50, filters: Filters | None = None,
          sort_by: str | None = None, ascending: bool = True) -> DataFrame:
     """Rows ``(number-1)*size .. number*size`` of the filtered, sorted table.
 
-    Rows are numbered in ranges, at the same cost for every page; ``page_after`` goes on from a
-    known row without numbering.
+    Pages down to ``SHALLOW`` rows are a top-k, which no task pays more for than that many rows.
+    Deeper ones read the sizes of ranges first and sort only the ranges that hold the page;
+    ``page_after`` goes on from a known row without either.
     """
     if number < 1 or size < 1:
         raise ValueError("page number and size start at 1")
     kept = apply_filters(df, filters)
     order = page_order(table_key, df, sort_by, ascending)
     skip = (number - 1) * size
-    numbered = number_rows(kept, order, "_position")
-    return numbered.filter(F.col("_position").between(skip + 1, skip + size)).drop("_position").orderBy(*order)
+    if skip + size <= SHALLOW:
+        return kept.orderBy(*sorted_by(order)).offset(skip).limit(size)
+    return rows_between(kept, order, skip + 1, skip + size)
 
 
 def page_after(df: DataFrame, table_key: str, last_key: dict, size: int = 50,

@@ -1,69 +1,136 @@
-"""Row positions over a whole table (W1, W2, pages).
+"""Row positions over a whole table (W1, W2, deep pages).
 
-A window without partitions would put the whole table into one task.  Rows are instead
-range-partitioned by the full order, numbered inside each range, and shifted by the sizes of
-the ranges before it.  Orders end with the table's key, so equal or missing values - even a
-third of all rows - are still spread over the ranges.  The session's shuffle partitions set
-the number of ranges, whatever the number of rows.
+A window without partitions would put the whole table into one task.  Rows are instead dealt to
+ranges of the full order, numbered inside each range, and shifted by the sizes of the ranges before
+it.  The bounds of the ranges are quantiles of a bounded sample, the rows with the least hashes, so
+the same rows give the same bounds; they are a scalar of the plan, and a row's range an expression.
+Building the plan runs and writes nothing.  Orders end with the table's key, so equal or missing
+values - even a third of all rows - are still spread over the ranges.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import materialise
+#: Ranges of a table, and rows sampled for their bounds.
+RANGES, SAMPLED = 32, 1024
 
+Order = list[tuple[str, bool]]  # (column, ascending); missing values last
 
-def number_rows(df: DataFrame, order: list[Column], position: str, group: str | None = None,
-                group_position: str | None = None, within: str | None = None) -> DataFrame:
+
+def sorted_by(order: Order) -> list[Column]:
+    return [F.asc_nulls_last(name) if up else F.desc_nulls_last(name) for name, up in order]
+
+
+def _before(a: Callable[[str], Column], b: Callable[[str], Column], order: Order) -> Column:
+    """Whether the row behind ``a`` comes before that behind ``b``."""
+    result = F.lit(False)
+    for name, up in reversed(order):
+        x, y = a(name), b(name)
+        less = F.when(x.isNull(), False).when(y.isNull(), True).otherwise(x < y if up else x > y)
+        result = F.when(x.eqNullSafe(y), result).otherwise(less)
+    return result
+
+
+def bounds(df: DataFrame, order: Order, within: tuple[str, list[str]] | None = None) -> Column:
+    """A scalar of the plan: bounds of the ranges, or a map of them by the values of ``within``."""
+    names = [name for name, _ in order]
+    apart, kinds = within or (None, [None])
+    columns = [*names, *([apart] if apart else [])]
+    few = df.select(*columns, F.xxhash64(*columns).alias("_hash")).orderBy("_hash", *columns).limit(SAMPLED * len(kinds))
+    sample = few.agg(F.collect_list(F.struct(*columns)).alias("rows"))
+
+    def compare(a: Column, b: Column) -> Column:
+        first = _before(lambda n: a[n], lambda n: b[n], order)
+        return F.when(first, -1).when(_before(lambda n: b[n], lambda n: a[n], order), 1).otherwise(0)
+
+    def quantiles(rows: Column) -> Column:
+        step = F.greatest(F.lit(1), F.floor(F.size(rows) / RANGES))
+        return F.filter(F.array_sort(rows, compare), lambda _, i: (i + 1) % step == 0)
+
+    if not apart:
+        return sample.select(quantiles(F.col("rows")).alias("bounds")).scalar()
+
+    def of(kind: str) -> Column:
+        return F.filter("rows", lambda r: r[apart] == kind)
+
+    lists = [quantiles(of(kind)) for kind in kinds]
+    return sample.select(F.map_from_arrays(F.array(*map(F.lit, kinds)), F.array(*lists)).alias("bounds")).scalar()
+
+
+def with_range(df: DataFrame, order: Order, within: tuple[str, list[str]] | None = None) -> DataFrame:
+    """``_range``, the number of a row's range from 0: how many bounds come before it."""
+    limits = bounds(df, order, within)
+    # a scalar of the plan has to be a column before a function of higher order may use it
+    held = df.withColumn("_limits", F.element_at(limits, F.col(within[0])) if within else limits)
+    number = F.size(F.filter("_limits", lambda b: _before(lambda n: b[n], F.col, order)))
+    return held.withColumn("_range", number).drop("_limits")
+
+
+def number_rows(df: DataFrame, order: Order, position: str, group: str | None = None,
+                group_position: str | None = None, within: tuple[str, list[str]] | None = None) -> DataFrame:
     """Add the 1-based position in ``order`` over all rows and, if asked, within ``group``.
 
-    With ``within``, rows are numbered apart for each value of that column.
+    With ``within`` (a column and its values), rows are numbered apart for each value.
     """
-    apart = [within] if within else []
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Range bounds come from a sample: the tagged rows are written once and read twice.
-    split = df.repartitionByRange(ranges, *apart, *order)
-    tagged = materialise(split.withColumn("_range", F.spark_partition_id()))
-    numbered = _positions(tagged, tagged, apart, order, position)
+    apart = [within[0]] if within else []
+    tagged = with_range(df, order, within)
+    keys = [*apart, "_range", *([group] if group else [])]
+    sizes = tagged.groupBy(*keys).agg(F.count("*").alias("_size"))
+    before = lambda *by: F.coalesce(F.sum("_size").over(Window.partitionBy(*by).orderBy("_range").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a few rows for each value of the group
+    shifts = sizes.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], before(*apart).alias("_shift"),
+        *([before(*apart, group).alias("_group_shift")] if group else []),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*sorted_by(order)))
+    placed = tagged.withColumn("_n", place(*apart, "_range"))
+    if group:
+        placed = placed.withColumn("_group_n", place(*apart, "_range", group))
+    found = placed.join(shifts, same).withColumn(position, (F.col("_n") + F.col("_shift")).cast("long"))
     if group:
-        numbered = _positions(numbered, tagged, [*apart, group], order, group_position)
-    return numbered.drop("_range")
+        found = found.withColumn(group_position, (F.col("_group_n") + F.col("_group_shift")).cast("long"))
+    return found.drop("_n", "_group_n", "_range", *shifts.columns)
 
 
-def _positions(rows: DataFrame, tagged: DataFrame, keys: list[str], order: list[Column], position: str) -> DataFrame:
-    """Number the rows of each range and key, and add the sizes of the key's earlier ranges."""
-    in_range = Window.partitionBy("_range", *keys).orderBy(*order)
-    sizes = tagged.groupBy("_range", *keys).agg(F.count("*").alias("_size"))
-    # one row per range and key
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(
-        *[F.col(k).alias(f"_k_{k}") for k in ("_range", *keys)], F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift")
-    )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in ("_range", *keys)])
-    joined = rows.withColumn("_n", F.row_number().over(in_range)).join(shifts, same)
-    return joined.withColumn(position, (F.col("_n") + F.col("_shift")).cast("long")).drop("_n", *shifts.columns)
+def rows_between(df: DataFrame, order: Order, first: int, last: int) -> DataFrame:
+    """Rows at the positions ``first`` to ``last``: only ranges that hold some of them are moved and sorted."""
+    tagged = with_range(df, order)
+    sizes = tagged.groupBy("_range").agg(F.count("*").alias("n"))
+    held = sizes.agg(F.collect_list(F.struct("_range", "n")).alias("held"))  # one entry for each range
+    # starts[r]: rows in the ranges before r; sampling may give twice the ranges
+    starts = held.select(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(2 * RANGES + 1)),
+            lambda r: F.aggregate(F.filter("held", lambda h: h["_range"] < r), F.lit(0).cast("long"), lambda a, h: a + h["n"]),
+        ).alias("starts")
+    ).scalar()
+    start, end = F.get(starts, F.col("_range")), F.get(starts, F.col("_range") + 1)
+    holding = tagged.withColumn("_start", start).filter((F.col("_start") < last) & (end >= first))
+    number = F.row_number().over(Window.partitionBy("_range").orderBy(*sorted_by(order))) + F.col("_start")
+    numbered = holding.withColumn("_position", number).filter(F.col("_position").between(first, last))
+    return numbered.drop("_position", "_range", "_start").orderBy(*sorted_by(order))
 
 
 def add_ranks(df: DataFrame, metrics: dict[str, str], keys: list[str], group: str) -> DataFrame:
     """``<name>_rank_overall`` and ``<name>_rank_in_<group>`` for each name -> metric, best first.
 
-    ``df`` is stored once.  All metrics are ranked together as narrow rows of key and value;
-    only the ranks are joined to the stored table.
+    All metrics are ranked together as narrow rows of key and value; only the ranks are joined.
     """
-    stored = materialise(df)
     named = dict.fromkeys([*keys, group])
     values = F.array(*[F.struct(F.lit(n).alias("_metric"), F.col(m).cast("double").alias("_value")) for n, m in metrics.items()])
-    narrow = stored.select(*named, F.inline(values))
-    order = [F.desc_nulls_last("_value"), *[F.asc_nulls_last(k) for k in keys]]
-    ranked = number_rows(narrow, order, "_overall", group, "_inside", within="_metric")
+    narrow = df.select(*named, F.inline(values))
+    order = [("_value", False), *[(k, True) for k in keys]]
+    ranked = number_rows(narrow, order, "_overall", group, "_inside", within=("_metric", list(metrics)))
     place = lambda name, column: F.max(F.when(F.col("_metric") == name, F.col(column)))
     ranks = ranked.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         *[place(n, "_overall").alias(f"{n}_rank_overall") for n in metrics],
         *[place(n, "_inside").alias(f"{n}_rank_in_{group}") for n in metrics],
     )
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    return stored.join(ranks, same).drop(*[f"_k_{k}" for k in keys])
+    return df.join(ranks, same).drop(*[f"_k_{k}" for k in keys])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions import values as V
+from ..operators.quantiles import quantiles, value_counts
 from ..operators.ranking import add_ranks
 from ..schemas import GOLD_SCHEMAS, conform
 
@@ -223,6 +224,17 @@ def seasonal_analysis(silver: DataFrame, use: Daily | Monthly = DAILY) -> DataFr
     return conform(finished, GOLD_SCHEMAS["seasonal_analysis"])
 
 
+def temperature_counts(silver: DataFrame) -> DataFrame:
+    """How often each mean temperature occurs in a station's month: quartiles of any coarser key add up from it."""
+    rows = DAILY.with_month(silver).withColumn("season", X.season(F.month("date")))
+    return value_counts(rows, [*STATION_MONTH, "season"], "temp_avg_c")
+
+
+def season_quartiles(counts: DataFrame, keys: tuple[str, ...] = ("city", "season")) -> DataFrame:
+    """Quartiles of the mean temperature for a coarser key than the month (A6), from ``temperature_counts``."""
+    return quantiles(counts, list(keys), "temp_avg_c", {"temp_75th_percentile": 0.75, "temp_25th_percentile": 0.25})
+
+
 def weather_alerts(silver: DataFrame) -> DataFrame:
     """The graded days: every day outside the unremarkable range."""
     tmax, tmin = F.col("temp_max_c"), F.col("temp_min_c")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -104,6 +105,16 @@ def first_rows(df: DataFrame, source: str, rows: int = SAMPLE_ROWS) -> DataFrame
 
 
 def point_lookup(df: DataFrame, city: str, year: int, month: int) -> DataFrame:
-    """Rows of one city in one month, city compared without case."""
-    at = F.month("date") if "date" in df.columns else F.col("month").cast("int")
-    return df.filter((F.lower("city") == city.lower()) & (F.col("year").cast("int") == year) & (at == month))
+    """Rows of one city in one month, city compared without case.
+
+    Both reach the files: the month as a range of dates, and the city where the table has the
+    folded ``city_key`` that stored silver is sorted by.
+    """
+    named = F.col("city_key") == city.lower() if "city_key" in df.columns else F.lower("city") == city.lower()
+    if "date" not in df.columns:
+        return df.filter(named & (F.col("year").cast("int") == year) & (F.col("month").cast("int") == month))
+    first, after = date(year, month, 1), date(year + month // 12, month % 12 + 1, 1)
+    within = (F.col("date") >= F.lit(first)) & (F.col("date") < F.lit(after))
+    if "year" in df.columns:
+        within &= F.col("year").cast("int") == year  # prunes partitions
+    return df.filter(named & within)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from isobar.operators.ranking import add_ranks, number_rows
+from isobar.operators.quantiles import quantiles, value_counts
+from isobar.operators.ranking import add_ranks, number_rows, rows_between, sorted_by, with_range
 from isobar.plans import gold
 from isobar.schemas import GOLD_SCHEMAS
 
@@ -146,19 +147,40 @@ def test_range_ranks_equal_window_ranks(spark):
     assert ranged.count() == df.count()
 
 
-def test_many_ranges(spark):
+def test_numbers_in_groups(spark):
     df = _stations(spark)
-    order = [F.desc_nulls_last("m"), F.asc("city")]
-    usual = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "15")
-    try:
-        numbered = number_rows(df, order, "n", "region", "g")
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", usual)
-    assert [r.n for r in numbered.orderBy(*order).collect()] == list(range(1, 601))
+    order = [("m", False), ("city", True)]
+    numbered = number_rows(df, order, "n", "region", "g")
+    assert [r.n for r in numbered.orderBy(*sorted_by(order)).collect()] == list(range(1, 601))
     for region, size in [(r.region, r["count"]) for r in df.groupBy("region").count().collect()]:
-        inside = numbered.filter(F.col("region").eqNullSafe(region)).orderBy(*order).collect()
+        inside = numbered.filter(F.col("region").eqNullSafe(region)).orderBy(*sorted_by(order)).collect()
         assert [r.g for r in inside] == list(range(1, size + 1))
+    assert number_rows(df.limit(0), order, "n", "region", "g").count() == 0
+
+
+@pytest.mark.parametrize("order", [[("m", False), ("city", True)], [("region", False), ("m", True), ("city", False)]])
+def test_rows_between_positions(spark, order):
+    df = _stations(spark, 2000)
+    whole = [tuple(r) for r in df.orderBy(*sorted_by(order)).collect()]
+    for first, last in ((1, 10), (95, 905), (1990, 2100), (2001, 2100)):
+        assert [tuple(r) for r in rows_between(df, order, first, last).collect()] == whole[first - 1 : last]
+
+
+def test_ranges_are_even_and_ties_are_split(spark):
+    df = spark.range(20_000).selectExpr("id", "if(id % 3 = 0, 7.0, cast(id % 50 as double)) as m")
+    order = [("m", True), ("id", True)]
+    sizes = with_range(df, order).groupBy("_range").count().select("count").collect()
+    assert len(sizes) > 25 and max(r[0] for r in sizes) < 20_000 / 10
+
+
+def test_quantiles_from_counts(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), rng.choice("xy"), rng.choice([None, *[k / 4 for k in range(9)]])) for _ in range(500)] + [("c", "x", 1.0), ("d", "x", None)]
+    df = spark.createDataFrame(rows, "city string, part string, t double")
+    got = quantiles(value_counts(df, ["city", "part"], "t"), ["city"], "t", {"q": 0.75, "low": 0.1}).collect()
+    want = df.filter("t is not null").groupBy("city").agg(F.percentile("t", 0.75).alias("q"), F.percentile("t", 0.1).alias("low")).collect()
+    flat = lambda found: {(r.city, c): r[c] for r in found for c in ("q", "low")}
+    assert flat(got) == pytest.approx(flat(want)) and len(got) == 3
 
 
 def test_default_order(spark):

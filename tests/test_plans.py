@@ -1,12 +1,15 @@
 """What the physical plans must and must not contain."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from conformance import adapter
 from isobar.operators import bronze, paging
 from isobar.operators.filters import Filters, apply_filters
 from isobar.operators.silver import clean
-from isobar.plans import gold
+from isobar.plans import gold, quality
+from isobar.workspace import shared_folder
 
 from rows import plan
 
@@ -45,14 +48,26 @@ def test_top_k(spark):
 
 def test_no_table_is_numbered_in_one_task(spark):
     silver = adapter.silver(spark, SMALL)
+    folder = Path(shared_folder(spark)) / spark.sparkContext.applicationId
+    before = set(folder.iterdir())
     compared = gold.climate_comparison(silver)
-    assert "SinglePartition" not in plan(compared)
+    alerts = gold.weather_alerts(silver)
+    deep = paging.page(alerts, "alerts", number=3, size=2000)
+    text = plan(compared) + plan(deep)
+    assert set(folder.iterdir()) == before  # neither is written to be planned
+    # the sampled rows and one row for each range are the only ones that meet in one task
+    main = text.split("Subqueries")[0]
+    assert "SinglePartition" not in main and "Subquery" in text
     stations = gold.station_profile(silver).count()
     assert compared.agg(F.max("heat_rank_overall")).first()[0] == stations
-    deep = paging.page(gold.weather_alerts(silver), "alerts", number=3)
-    assert deep.count() == 50
-    # the sizes of the ranges, one row each, are the only rows that meet in one task
-    assert plan(deep).count("Arguments: SinglePartition") == 1
+    assert deep.count() == max(0, min(2000, alerts.count() - 4000))
+    assert "TakeOrderedAndProject" in plan(paging.page(alerts, "alerts", number=3))
+
+
+def test_a_point_lookup_reaches_the_files(spark):
+    text = plan(quality.point_lookup(adapter.silver_files(spark, SMALL), "Nation_7", 1998, 1))
+    assert "EqualTo(city_key,nation_7)" in text and "GreaterThanOrEqual(date,1998-01-01)" in text and "LessThan(date,1998-02-01)" in text
+    assert "PartitionFilters: [isnotnull(year" in text
 
 
 def test_filters_reach_the_files(spark):
