@@ -10,14 +10,14 @@ values - even a third of all rows - are still spread over the ranges.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Ranges of a table, and rows sampled for their bounds.
-RANGES, SAMPLED = 32, 1024
+RANGES, SAMPLED = 32, 2048
 
 Order = list[tuple[str, bool]]  # (column, ascending); missing values last
 
@@ -26,58 +26,60 @@ def sorted_by(order: Order) -> list[Column]:
     return [F.asc_nulls_last(name) if up else F.desc_nulls_last(name) for name, up in order]
 
 
-def _before(a: Callable[[str], Column], b: Callable[[str], Column], order: Order) -> Column:
-    """Whether the row behind ``a`` comes before that behind ``b``."""
-    result = F.lit(False)
-    for name, up in reversed(order):
-        x, y = a(name), b(name)
-        less = F.when(x.isNull(), False).when(y.isNull(), True).otherwise(x < y if up else x > y)
-        result = F.when(x.eqNullSafe(y), result).otherwise(less)
-    return result
+def _place(df: DataFrame, order: Order) -> Column:
+    """One value that compares as rows do in ``order``: rising for every column, missing values last."""
 
+    def rising(name: str, up: bool) -> Column:
+        column, kind = F.col(name), df.schema[name].dataType
+        if up:
+            return column
+        if isinstance(kind, T.StringType):
+            # the hexadecimal digits turned round, and an end that comes behind them all
+            return F.concat(F.translate(F.hex(column), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+        if isinstance(kind, T.DateType):
+            return -F.unix_date(column)
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return F.bitwise_not(F.unix_micros(column.cast("timestamp")))
+        return F.bitwise_not(column.cast("long")) if isinstance(kind, (T.IntegralType, T.BooleanType)) else -column
 
-def bounds(df: DataFrame, order: Order, within: tuple[str, list[str]] | None = None) -> Column:
-    """A scalar of the plan: bounds of the ranges, or a map of them by the values of ``within``."""
-    names = [name for name, _ in order]
-    apart, kinds = within or (None, [None])
-    columns = [*names, *([apart] if apart else [])]
-    few = df.select(*columns, F.xxhash64(*columns).alias("_hash")).orderBy("_hash", *columns).limit(SAMPLED * len(kinds))
-    sample = few.agg(F.collect_list(F.struct(*columns)).alias("rows"))
+    parts = [(F.col(n).isNull().alias(f"no{i}"), rising(n, up).alias(f"v{i}")) for i, (n, up) in enumerate(order)]
+    return F.struct(*[x for pair in parts for x in pair])
 
-    def compare(a: Column, b: Column) -> Column:
-        first = _before(lambda n: a[n], lambda n: b[n], order)
-        return F.when(first, -1).when(_before(lambda n: b[n], lambda n: a[n], order), 1).otherwise(0)
 
-    def quantiles(rows: Column) -> Column:
-        step = F.greatest(F.lit(1), F.floor(F.size(rows) / RANGES))
-        return F.filter(F.array_sort(rows, compare), lambda _, i: (i + 1) % step == 0)
-
-    if not apart:
-        return sample.select(quantiles(F.col("rows")).alias("bounds")).scalar()
-
-    def of(kind: str) -> Column:
-        return F.filter("rows", lambda r: r[apart] == kind)
+def with_range(df: DataFrame, order: Order, within: str | None = None) -> DataFrame:
+    """``_range``, the number of a row's range from 0: how many bounds come before it.
 
-    lists = [quantiles(of(kind)) for kind in kinds]
-    return sample.select(F.map_from_arrays(F.array(*map(F.lit, kinds)), F.array(*lists)).alias("bounds")).scalar()
+    The bounds are a scalar of the plan, evenly spaced among the sampled rows; with ``within`` (a
+    column of few values) they are apart for each of its values.
+    """
+    placed = df.withColumn("_place", _place(df, order))
+    apart = F.col(within) if within else F.lit("")
+    listed = placed.select(apart.alias("kind"), F.col("_place").alias("place"))
+    few = listed.withColumn("hash", F.xxhash64("kind", "place")).orderBy("hash", "kind", "place").limit(SAMPLED)
 
+    def spaced(rows: Column) -> Column:
+        step = F.greatest(F.lit(1), F.floor(F.size(rows) / RANGES))
+        return F.filter(rows, lambda _, i: (i + 1) % step == 0)
 
-def with_range(df: DataFrame, order: Order, within: tuple[str, list[str]] | None = None) -> DataFrame:
-    """``_range``, the number of a row's range from 0: how many bounds come before it."""
-    limits = bounds(df, order, within)
+    sorted_ = few.agg(F.sort_array(F.collect_list(F.struct("kind", "place"))).alias("rows"))
+    by_kind = F.transform(
+        F.array_distinct(F.transform("rows", lambda r: r["kind"])),
+        lambda k: F.struct(k.alias("key"), spaced(F.transform(F.filter("rows", lambda r: r["kind"] == k), lambda r: r["place"])).alias("value")),
+    )
+    limits = sorted_.select(F.map_from_entries(by_kind).alias("limits")).scalar()
     # a scalar of the plan has to be a column before a function of higher order may use it
-    held = df.withColumn("_limits", F.element_at(limits, F.col(within[0])) if within else limits)
-    number = F.size(F.filter("_limits", lambda b: _before(lambda n: b[n], F.col, order)))
-    return held.withColumn("_range", number).drop("_limits")
+    held = placed.withColumn("_limits", F.try_element_at(limits, apart))
+    number = F.coalesce(F.size(F.filter("_limits", lambda b: b < F.col("_place"))), F.lit(0))
+    return held.withColumn("_range", F.greatest(number, F.lit(0))).drop("_limits", "_place")
 
 
 def number_rows(df: DataFrame, order: Order, position: str, group: str | None = None,
-                group_position: str | None = None, within: tuple[str, list[str]] | None = None) -> DataFrame:
+                group_position: str | None = None, within: str | None = None) -> DataFrame:
     """Add the 1-based position in ``order`` over all rows and, if asked, within ``group``.
 
-    With ``within`` (a column and its values), rows are numbered apart for each value.
+    With ``within``, a column of few values, rows are numbered apart for each of them.
     """
-    apart = [within[0]] if within else []
+    apart = [within] if within else []
     tagged = with_range(df, order, within)
     keys = [*apart, "_range", *([group] if group else [])]
     sizes = tagged.groupBy(*keys).agg(F.count("*").alias("_size"))
@@ -126,7 +128,7 @@ def add_ranks(df: DataFrame, metrics: dict[str, str], keys: list[str], group: st
     values = F.array(*[F.struct(F.lit(n).alias("_metric"), F.col(m).cast("double").alias("_value")) for n, m in metrics.items()])
     narrow = df.select(*named, F.inline(values))
     order = [("_value", False), *[(k, True) for k in keys]]
-    ranked = number_rows(narrow, order, "_overall", group, "_inside", within=("_metric", list(metrics)))
+    ranked = number_rows(narrow, order, "_overall", group, "_inside", within="_metric")
     place = lambda name, column: F.max(F.when(F.col("_metric") == name, F.col(column)))
     ranks = ranked.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         *[place(n, "_overall").alias(f"{n}_rank_overall") for n in metrics],
