@@ -26,6 +26,8 @@ from isobar.workspace import shared_folder
 from . import text as X
 
 BLOCK_BYTES = 16 << 20
+#: Bytes of the table for each bucket of words, and what counts as no known size.
+BUCKET_BYTES, UNKNOWN_BYTES = 32 << 20, 1 << 60
 BLOCK = "block long, doc_ids array<long>, n_bytes array<long>, body binary, buckets array<struct<bucket: int, first: int, words: binary>>"
 _PART = pa.struct([("bucket", pa.int32()), ("first", pa.int32()), ("words", pa.binary())])
 _BLOCK_ARROW = pa.schema(
@@ -82,9 +84,11 @@ def blocks_of(
     """One row per block: its documents, what ``body`` packs of their words, and its words by bucket."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or 2 * partitions
+    # by the size that the plan's statistics give, if they know one
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    buckets = buckets or max(2 * partitions, size // BUCKET_BYTES if size < UNKNOWN_BYTES else 0)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    made = texts.mapInArrow(_make(cut, body, buckets, block_bytes), BLOCK)
+    made = texts.mapInArrow(X.tidy(_make(cut, body, buckets, block_bytes)), BLOCK)
     name = f"blocks_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
     made.write.bucketBy(partitions, "block").option("path", path).saveAsTable(name)

@@ -6,7 +6,11 @@ functions merge its bytes, looking ranks up in a map that is a literal of the pl
 back to the blocks, and decoding puts the binary pieces of a document's ids together.
 
 A byte is written as the character of the same number (ISO-8859-1), so a piece is a short
-string.  The rank map is cut into cells by crc32, as Spark searches a map from end to end.
+string.  The rank map is cut into cells by crc32, as Spark searches a map from end to end; it stands
+in the plan once.
+
+A step of the fold rebuilds its lists, so a word costs the square of its length.  Words of more
+than ``LONG`` bytes, such as text without blanks, are merged in Python with a priority queue.
 
 Null texts are empty; rows with null or repeated ids are handled one by one; extra columns are
 ignored; an empty table gives no rows.
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 import zlib
 from collections.abc import Iterator
@@ -32,8 +37,9 @@ from . import text as X
 #: Smaller than elsewhere, for the lists of words that Python holds.
 BLOCK_BYTES = 4 << 20
 CELLS = 1 << 15
-#: Words that Spark holds in one row; a bucket has as many rows as it needs.
-ROW_WORDS = 4096
+#: Words, and lists that blocks ask for, that one row holds; a bucket has as many rows as it needs.
+ROW_WORDS, ROW_ASKS = 4096, 64
+LONG = 256
 NO_RANK = 2**31 - 1
 #: What the pattern calls white space (Unicode's White_Space), for an engine that has a wider \s.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -50,7 +56,7 @@ def _literal(value, kind: str) -> Column:
 
 
 class Ranks:
-    """The rank table as literals of a plan."""
+    """The rank table as a literal of a plan."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         cells: list[dict[str, int]] = [{} for _ in range(CELLS)]
@@ -59,55 +65,85 @@ class Ranks:
             cells[zlib.crc32(name.encode()) % CELLS][name] = rank
         self.cells = _literal(cells, "array<map<string,int>>")
 
-    def of(self, piece: Column) -> Column:
-        cell = F.get(self.cells, (F.crc32(piece) % CELLS).cast("int"))
-        return F.coalesce(F.try_element_at(cell, piece), F.lit(NO_RANK))
+    def encode_all(self, words: str) -> Column:
+        """The ids of each word of an array."""
+        return _let(self.cells, lambda cells: F.transform(words, lambda word: _encoded(cells, word)))
 
-    def encode(self, word: Column) -> Column:
-        """Ids of a word that is written as ISO-8859-1 characters.
 
-        The state lists the pieces, and the rank of each with the next one put together.  A step
-        merges the leftmost pair of lowest rank and looks up the two ranks that change; a word
-        of n bytes needs n - 1 steps at most.
-        """
+def _rank(cells: Column, piece: Column) -> Column:
+    cell = F.get(cells, (F.crc32(piece) % CELLS).cast("int"))
+    return F.coalesce(F.try_element_at(cell, piece), F.lit(NO_RANK))
 
-        def state(pieces: Column, ranks: Column) -> Column:
-            return F.struct(pieces.alias("pieces"), ranks.alias("ranks"))
 
-        def merge(pieces: Column, ranks: Column, at: Column) -> Column:
-            """``at``: where the pair begins, from 1."""
+def _encoded(cells: Column, word: Column) -> Column:
+    """Ids of a word that is written as ISO-8859-1 characters.
 
-            def with_piece(new: Column) -> Column:
-                size = F.size(pieces)
-                shorter = F.transform(
-                    F.slice(pieces, 1, size - 1), lambda x, i: F.when(i < at - 1, x).when(i == at - 1, new).otherwise(F.get(pieces, i + 1))
-                )
-                reranked = F.transform(
-                    F.slice(ranks, 1, size - 2),
-                    lambda x, i: F.when(i < at - 2, x)
-                    .when(i == at - 2, self.of(F.concat(F.get(pieces, i), new)))
-                    .when(i == at - 1, self.of(F.concat(new, F.get(pieces, at + 1))))
-                    .otherwise(F.get(ranks, i + 1)),
-                )
-                return state(shorter, reranked)
+    The state lists the pieces, and the rank of each with the next one put together.  A step
+    merges the leftmost pair of lowest rank and looks up the two ranks that change; a word
+    of n bytes needs n - 1 steps at most.
+    """
+
+    def state(pieces: Column, ranks: Column) -> Column:
+        return F.struct(pieces.alias("pieces"), ranks.alias("ranks"))
 
-            return _let(F.concat(F.get(pieces, at - 1), F.get(pieces, at)), with_piece)
+    def merge(pieces: Column, ranks: Column, at: Column) -> Column:
+        """``at``: where the pair begins, from 1."""
 
-        def step(now: Column, _: Column) -> Column:
-            def with_least(least: Column) -> Column:
-                place = F.array_position(now["ranks"], least).cast("int")
-                return F.when(least < NO_RANK, _let(place, lambda at: merge(now["pieces"], now["ranks"], at))).otherwise(now)
+        def with_piece(new: Column) -> Column:
+            size = F.size(pieces)
+            shorter = F.transform(
+                F.slice(pieces, 1, size - 1), lambda x, i: F.when(i < at - 1, x).when(i == at - 1, new).otherwise(F.get(pieces, i + 1))
+            )
+            reranked = F.transform(
+                F.slice(ranks, 1, size - 2),
+                lambda x, i: F.when(i < at - 2, x)
+                .when(i == at - 2, _rank(cells, F.concat(F.get(pieces, i), new)))
+                .when(i == at - 1, _rank(cells, F.concat(new, F.get(pieces, at + 1))))
+                .otherwise(F.get(ranks, i + 1)),
+            )
+            return state(shorter, reranked)
+
+        return _let(F.concat(F.get(pieces, at - 1), F.get(pieces, at)), with_piece)
 
-            return _let(F.array_min(now["ranks"]), with_least)
+    def step(now: Column, _: Column) -> Column:
+        def with_least(least: Column) -> Column:
+            place = F.array_position(now["ranks"], least).cast("int")
+            return F.when(least < NO_RANK, _let(place, lambda at: merge(now["pieces"], now["ranks"], at))).otherwise(now)
 
-        def folded(letters: Column) -> Column:
-            following = F.slice(letters, 2, F.size(letters))
-            ranks = F.transform(following, lambda b, i: self.of(F.concat(F.get(letters, i), b)))
-            return F.aggregate(following, state(letters, ranks), step, lambda end: F.transform(end["pieces"], self.of))
+        return _let(F.array_min(now["ranks"]), with_least)
 
-        whole = self.of(word)
+    def folded(letters: Column) -> Column:
+        following = F.slice(letters, 2, F.size(letters))
+        ranks = F.transform(following, lambda b, i: _rank(cells, F.concat(F.get(letters, i), b)))
+        return F.aggregate(following, state(letters, ranks), step, lambda end: F.transform(end["pieces"], lambda p: _rank(cells, p)))
+
+    def merged(whole: Column) -> Column:
         return F.when(whole < NO_RANK, F.array(whole)).otherwise(_let(F.split(word, ""), folded))
 
+    # a long word is left empty
+    return F.when(word == "", F.array().cast("array<int>")).otherwise(_let(_rank(cells, word), merged))
+
+
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word, the leftmost pair of lowest rank first, in about n log n steps."""
+    if word in ranks:
+        return [ranks[word]]
+    n = len(word)
+    end, before, begins = list(range(1, n + 1)), list(range(-1, n)), [True] * n
+    waiting = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
+    heapq.heapify(waiting)
+    while waiting:
+        _, i, e = heapq.heappop(waiting)
+        middle = end[i]
+        if not begins[i] or middle >= n or end[middle] != e:
+            continue  # one of the two was merged since
+        begins[middle], end[i], before[e] = False, e, i
+        if e < n and (r := ranks.get(word[i : end[e]])) is not None:
+            heapq.heappush(waiting, (r, i, end[e]))
+        if i and (r := ranks.get(word[before[i] : e])) is not None:
+            heapq.heappush(waiting, (r, before[i], e))
+    return [ranks[word[i : end[i]]] for i in range(n) if begins[i]]
+
 
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once."""
@@ -162,56 +198,83 @@ def _words_of(body: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 _ASKED = pa.list_(pa.struct([("block", pa.int64()), ("first", pa.int32()), ("places", pa.binary())]))
+DISTINCT = "words array<string>, long array<binary>, asked array<struct<block: long, first: int, places: binary>>, last boolean"
 
 
 def _distinct(row_words: int):
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A bucket's distinct words in rows of ``row_words``; the last says which of all each block asked for."""
+        """A bucket's distinct words in rows, and then which of them each block asked for, also in rows.
+
+        Long words are left empty among the words and stand beside them, in their order.
+        """
         bucket, known, asked = None, {}, []
 
-        def close() -> pa.RecordBatch:
-            listed = [w.decode("latin-1") for w in known]
+        def close() -> Iterator[pa.RecordBatch]:
+            listed = list(known)
             parts = [listed[i : i + row_words] for i in range(0, len(listed), row_words)]
-            asks = [None] * (len(parts) - 1) + [asked]
-            return pa.RecordBatch.from_arrays([pa.array(parts, pa.list_(pa.string())), pa.array(asks, _ASKED)], names=["words", "asked"])
+            asks = [asked[i : i + ROW_ASKS] for i in range(0, len(asked), ROW_ASKS)]
+            for part in parts:
+                words = ["" if len(w) > LONG else w.decode("latin-1") for w in part]
+                yield row(words, [w for w in part if len(w) > LONG], [], False)
+            for i, part in enumerate(asks):
+                yield row([], [], part, i == len(asks) - 1)
+
+        def row(words: list[str], long: list[bytes], part: list[dict], last: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([words], pa.list_(pa.string())), pa.array([long], pa.list_(pa.binary())), pa.array([part], _ASKED), pa.array([last])],
+                names=["words", "long", "asked", "last"],
+            )
 
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] != bucket:
-                    if known:
-                        yield close()
-                    bucket, known, asked = row["bucket"], {}, []
-                listed = X.parted(*X.unpack(row["words"]))
+            for given in batch.to_pylist():
+                if given["bucket"] != bucket:
+                    yield from close()
+                    bucket, known, asked = given["bucket"], {}, []
+                listed = X.parted(*X.unpack(given["words"]))
                 places = np.fromiter((known.setdefault(w, len(known)) for w in listed), np.int64, len(listed))
-                asked.append({"block": row["block"], "first": row["first"], "places": X.pack(X.narrow(places))})
-        if known:
-            yield close()
+                asked.append({"block": given["block"], "first": given["first"], "places": X.pack(X.narrow(places))})
+        yield from close()
 
     return distinct
 
 
-def _routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each block's answer: the ids of the words it asked for; rows come in the order of ``_distinct``."""
-    parts = []
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            ids = row["ids"].flatten()
-            parts.append((ids.flatten().to_numpy().astype(np.uint32), np.diff(ids.offsets.to_numpy()).astype(np.int64)))
-            asked = row["asked"].to_pylist()[0]
-            if asked is None:
-                continue
-            flat, counts = (np.concatenate(each) for each in zip(*parts))
-            starts, out = np.cumsum(counts) - counts, []
-            parts = []
-            for x in asked:
-                places = X.unpack(x["places"])[0]
-                own = flat[X.gather(starts[places], counts[places])]
-                answer = X.pack(X.narrow(counts[places]), (own & 255).astype(np.uint8), X.narrow(own >> 8))
-                out.append({"block": x["block"], "first": x["first"], "answer": answer})
-            yield pa.RecordBatch.from_pylist(
-                out, schema=pa.schema([("block", pa.int64()), ("first", pa.int32()), ("answer", pa.binary())])
-            )
+def _routed(ranks: dict[bytes, int]):
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each block's answer: the ids of the words it asked for; rows come in the order of ``_distinct``."""
+        parts, whole = [], None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                lists = row["ids"].flatten()
+                if len(lists):
+                    counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+                    ids = lists.flatten().to_numpy().astype(np.uint32)
+                    long = [np.array(merge_long(w.as_py(), ranks), np.uint32) for w in row["long"].flatten()]
+                    if long:
+                        at = np.flatnonzero(counts == 0)
+                        ids = np.insert(ids, np.repeat(np.cumsum(counts)[at], [len(x) for x in long]), np.concatenate(long))
+                        counts[at] = [len(x) for x in long]
+                    parts.append((ids, counts))
+                asked = row["asked"].to_pylist()[0]
+                if not asked:
+                    continue
+                if whole is None:
+                    flat, counts = (np.concatenate(each) for each in zip(*parts))
+                    whole = flat, counts, np.cumsum(counts) - counts
+                flat, counts, starts = whole
+                out = []
+                for x in asked:
+                    places = X.unpack(x["places"])[0]
+                    own = flat[X.gather(starts[places], counts[places])]
+                    answer = X.pack(X.narrow(counts[places]), (own & 255).astype(np.uint8), X.narrow(own >> 8))
+                    out.append({"block": x["block"], "first": x["first"], "answer": answer})
+                if row["last"][0].as_py():
+                    parts, whole = [], None
+                yield pa.RecordBatch.from_pylist(
+                    out, schema=pa.schema([("block", pa.int64()), ("first", pa.int32()), ("answer", pa.binary())])
+                )
+
+    return routed
 
 
 def _documents(piece_of: dict[int, bytes]):
@@ -257,11 +320,11 @@ def encode_decode(
 ) -> DataFrame:
     """Per row: doc_id, n_tokens, and digests of the ids and of the bytes decoded from them."""
     ranks = read_ranks(ranks_path)
-    table = Ranks(ranks)
     blocks = B.blocks_of(docs, id_column, text_column, _cut(pattern), _sequence, block_bytes, buckets)
-    distinct = B.by_bucket(blocks).mapInArrow(_distinct(row_words), "words array<string>, asked array<struct<block: long, first: int, places: binary>>")
-    encoded = distinct.select("asked", F.transform("words", table.encode).alias("ids"))
-    answers = encoded.mapInArrow(_routed, "block long, first int, answer binary")
+    distinct = B.by_bucket(blocks).mapInArrow(X.tidy(_distinct(row_words)), DISTINCT)
+    encoded = distinct.select("asked", "long", "last", Ranks(ranks).encode_all("words").alias("ids"))
+    answers = encoded.mapInArrow(X.tidy(_routed(ranks)), "block long, first int, answer binary")
     return B.answered(blocks, answers, "doc_ids", "body").mapInArrow(
-        _documents({rank: piece for piece, rank in ranks.items()}), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        X.tidy(_documents({rank: piece for piece, rank in ranks.items()})),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )

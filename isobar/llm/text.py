@@ -7,7 +7,8 @@ cutting bytes there is the same as cutting characters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +27,22 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` over a task's batches, whose freed memory goes back to the system at the end.
+
+    A worker outlives its task and waits for another; what it keeps adds up beside its neighbours'.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+
+    return run
+
+
 class Words(NamedTuple):
     """Words of many texts: ``vocabulary[codes[bounds[d]:bounds[d + 1]]]`` are those of text d."""
 

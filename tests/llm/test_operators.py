@@ -339,6 +339,22 @@ def test_byte_bpe(docs, empty):
     assert rows(bpe.encode_decode(empty, path, public_tokenizers.PATTERN)) == []
 
 
+def test_long_words_are_merged_as_short_ones(spark):
+    path = tokenizer_file("byte_bpe_50k.tiktoken")
+    ranks = bpe.read_ranks(path)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(4)
+    letters = "".join(rng.choice(list("etaoinshrdlu"), 50_000))
+    for word in ("a", "hello", "aaaaaaa" * 9, letters[:300], "é中" * 40):
+        assert bpe.merge_long(word.encode(), ranks) == own.encode_ordinary(word)
+    texts = [(1, letters), (2, f"short {letters[:20_000]} {'中文' * 3000} words " + letters[:256] + " " + letters[:257]), (3, "a" * 9000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in bpe.encode_decode(df, path, public_tokenizers.PATTERN, buckets=2, row_words=3).collect()}
+    for i, t in texts:
+        ids = own.encode_ordinary(t)
+        assert got[i] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
