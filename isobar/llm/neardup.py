@@ -329,7 +329,7 @@ class _Search:
     def __init__(self, texts: DataFrame, size: int, percent: int) -> None:
         self.texts, self.size, self.percent = texts, size, percent
         self.least = least_matches(percent / 100)
-        self.prints = materialise(texts.mapInArrow(_prints(size), PRINTS))
+        self.prints = materialise(texts.mapInArrow(X.tidy(_prints(size)), PRINTS))
         classes = self.prints.where("digest is not null").groupBy("digest").agg(
             F.min(_row()).alias("first"), F.min("signature").alias("signature"), F.first("bands").alias("bands")
         )
@@ -347,7 +347,7 @@ class _Search:
         texts = self.texts.hint("merge")
         same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
         found = texts.join(wanted, same).select("node", "digest", "text")
-        return materialise(found.mapInArrow(_sets(self.size), "node long, hashes binary").dropDuplicates(["node"]))
+        return materialise(found.mapInArrow(X.tidy(_sets(self.size)), "node long, hashes binary").dropDuplicates(["node"]))
 
     def star_pairs(self) -> DataFrame:
         """Each member of a band's group with the group's centre.
@@ -362,13 +362,13 @@ class _Search:
         pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         sig_a, sig_b = (self.classes.select(F.col("node").alias(c), F.col("signature").alias(f"sig_{c}")) for c in "ab")
         both = pairs.join(sig_a, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b")
-        return both.mapInArrow(_pruned(self.least), "a long, b long")
+        return both.mapInArrow(X.tidy(_pruned(self.least)), "a long, b long")
 
     def met(self, members: DataFrame, labels: DataFrame, group: list[str], known: DataFrame, percent: int | None) -> DataFrame:
         """Links between members of one group that ``labels`` has in different components."""
         named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         rows = tiled(named, group).join(known, "node").repartition("tile").sortWithinPartitions("tile")
-        return materialise(rows.mapInArrow(_tile_links(self.least, percent), "a long, b long"))
+        return materialise(rows.mapInArrow(X.tidy(_tile_links(self.least, percent)), "a long, b long"))
 
     def labels(self) -> DataFrame:
         """Candidates first: pairs that no step drops connect nodes to clusters.  Then each
@@ -380,7 +380,7 @@ class _Search:
         sets = self.sets(clusters.select("node"))
         a, b = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"set_{c}")) for c in "ab")
         full = star.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-        first = materialise(full.mapInArrow(_confirmed(self.percent), "a long, b long"))
+        first = materialise(full.mapInArrow(X.tidy(_confirmed(self.percent)), "a long, b long"))
         second = self.met(clusters, components(first), ["cluster"], sets.join(signatures, "node"), self.percent)
         return components(first.union(second))
 

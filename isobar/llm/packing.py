@@ -2,11 +2,14 @@
 
 A configuration is a multiset of lengths that fits one sequence.  Only the histogram of piece
 lengths reaches the driver, at most ``capacity`` numbers for any corpus.  There the program is
-solved by multiplicative weights: each round prices the lengths (those covered less than others
-weigh more), finds the best configuration by knapsack dynamic programming, and takes as much of
-it as the uncovered lengths allow.  The amounts are rounded down, and what rounding leaves goes
-best fit, longest first, into sequences of its own, again by length and not by piece.  The plan is
-a list of configurations with multiplicities; its size depends on ``capacity`` alone.
+solved by multiplicative weights.  Each round prices all open lengths; one knapsack table by
+dynamic programming gives, for every length, the dearest configuration that it is the longest of.
+Those whose price comes within ``WITHIN`` of the dearest get a share of what is left, ``SHARE`` of a
+length's pieces at most in a round, and lengths covered ahead of the others then become cheaper.
+Amounts are rounded down; what rounding leaves, and what no good configuration took, goes best fit,
+longest first, by length and not by piece.  Should best fit of all pieces need fewer sequences, its
+plan counts.  The plan is a list of configurations with multiplicities; its size depends on
+``capacity`` alone.
 
 Pieces learn their sequence from their rank among the pieces of equal length.  Ranks come from
 counts per task, so a length that a third of all pieces share is still numbered by all tasks.
@@ -33,64 +36,89 @@ from . import text as X
 from .encode import Encoder
 from .packed_ids import crc32
 
-#: Rounds of the multiplicative weights, and lengths priced in one round.
-ROUNDS, PRICED = 4000, 160
-#: How fast the price of a covered length falls.
-RATE = 1.0
-#: How much dearer, at first, a piece of full length is than one of none.
-SHORT = 1.0
+#: Rounds of the multiplicative weights, and the part of a length's pieces that one round may use.
+ROUNDS, SHARE = 80, 0.06
+#: How fast the price of a length falls that is covered ahead of the others.
+RATE = 0.0005
+#: How far below the dearest configuration others of a round may be.
+WITHIN = 0.003
 
 Plan = list[tuple[tuple[tuple[int, int], ...], int]]  # ((length, times), ..), sequences
 
 
-def knapsack(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> list[tuple[int, int]]:
-    """(index, times) of the best multiset: each length at most ``most`` times, in all at most ``capacity``."""
-    best, steps = np.zeros(capacity + 1), []
+def _table(weights: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
+    """taken[i, c]: whether the best choice among the first i + 1 items with room c takes item i."""
+    best, trial = np.zeros(capacity + 1), np.empty(capacity + 1)
+    taken = np.zeros((len(weights), capacity + 1), bool)
+    for i, (weight, value) in enumerate(zip(weights.tolist(), values.tolist())):
+        with_it, without = trial[: capacity + 1 - weight], best[weight:]
+        np.add(best[: capacity + 1 - weight], value, out=with_it)
+        np.greater(with_it, without, out=taken[i, weight:])
+        np.maximum(without, with_it, out=without)
+    return taken
+
+
+def configurations(lengths: np.ndarray, prices: np.ndarray, most: np.ndarray, capacity: int) -> tuple[list[dict[int, int]], np.ndarray]:
+    """For each length (ascending) the dearest configuration it is the longest of, as index -> times, and their prices.
+
+    Each length is taken ``most`` times at most.
+    """
+    n = len(lengths)
+    of, times = [], []
     for i, length in enumerate(lengths.tolist()):
-        left, times = int(min(most[i], capacity // length)), 1
+        left, step = int(min(most[i], capacity // length)) - 1, 1  # one stands for the longest itself
         while left > 0:
-            times = min(times, left)
-            weight = times * length
-            if weight <= capacity:
-                with_it = best[:-weight] + times * values[i]
-                taken = np.zeros(capacity + 1, bool)
-                taken[weight:] = with_it > best[weight:]
-                best[weight:] = np.where(taken[weight:], with_it, best[weight:])
-                steps.append((i, times, weight, taken))
-            left, times = left - times, times * 2
-    room, chosen = capacity, Counter()
-    for i, times, weight, taken in reversed(steps):
-        if taken[room]:
-            chosen[i] += times
-            room -= weight
-    return sorted(chosen.items())
-
-
-def solve(counts: np.ndarray, capacity: int, rounds: int = ROUNDS, seed: int = 7) -> dict[tuple, float]:
+            step = min(step, left)
+            of.append(i)
+            times.append(step)
+            left, step = left - step, step * 2
+    # the longest pieces have no second copy: a length needs an item of its own to be a filler
+    singles = [i for i in range(n) if most[i] < 2 or 2 * lengths[i] > capacity]
+    of, times = np.array(of + singles, np.int64), np.array(times + [1] * len(singles), np.int64)
+    order = np.argsort(of, kind="stable")
+    of, times = of[order], times[order]
+    weights = lengths[of] * times
+    taken = _table(weights, prices[of] * times, capacity)
+    room = capacity - lengths
+    chosen: list[dict[int, int]] = [{i: 1} for i in range(n)]
+    total = prices.astype(float).copy()
+    for item in range(len(of) - 1, -1, -1):
+        first = int(of[item])
+        own = first if most[first] > 1 else first + 1  # a single piece cannot be its own filler
+        hit = np.flatnonzero(taken[item, room[own:]]) + own
+        if len(hit):
+            room[hit] -= weights[item]
+            total[hit] += prices[first] * times[item]
+            for seed in hit.tolist():
+                chosen[seed][first] = chosen[seed].get(first, 0) + int(times[item])
+    return chosen, total
+
+
+def solve(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple, float]:
     """Fractional amounts of configurations that together use no length beyond its count."""
-    rng = np.random.default_rng(seed)
     lengths = np.flatnonzero(counts)
     have = counts[lengths].astype(float)
-    # short pieces start a little cheaper: they fit anywhere and are worth keeping for the end
-    left, weight, amounts = have.copy(), 1 + SHORT * lengths / capacity, defaultdict(float)
+    left, weight, amounts = have.copy(), np.ones(len(lengths)), defaultdict(float)
     for _ in range(rounds):
         open_ = np.flatnonzero(left >= 1)
         if not len(open_):
             break
-        if len(open_) > PRICED:
-            # long pieces need the others to fill up, so the dearest are always priced
-            dear = open_[np.argsort(-(weight * left * lengths)[open_], kind="stable")]
-            some = rng.choice(dear[PRICED // 2 :], PRICED - PRICED // 2, replace=False)
-            open_ = np.sort(np.concatenate([dear[: PRICED // 2], some]))
-        value = weight[open_] * lengths[open_] / capacity
-        chosen = knapsack(lengths[open_], value, np.floor(left[open_]), capacity)
-        index = open_[[i for i, _ in chosen]]
-        times = np.array([n for _, n in chosen])
-        step = float((left[index] / times).min())
-        amounts[tuple(zip(lengths[index].tolist(), times.tolist()))] += step
-        left[index] = np.maximum(left[index] - step * times, 0)
-        weight[index] *= np.exp(-RATE * step * times / have[index])
-        weight /= weight.max()
+        own = lengths[open_]
+        chosen, total = configurations(own, weight[open_] * own / capacity, np.floor(left[open_]), capacity)
+        least = (1 - WITHIN) * total.max()
+        budget = np.minimum(np.maximum(SHARE * have[open_], 1), left[open_]).tolist()
+        before = np.array(budget)
+        for seed in range(len(own) - 1, -1, -1):  # the longest pieces choose first
+            if total[seed] < least:
+                continue
+            step = min(budget[i] / times for i, times in chosen[seed].items())
+            if step > 0:
+                for i, times in chosen[seed].items():
+                    budget[i] -= step * times
+                amounts[tuple((int(own[i]), times) for i, times in sorted(chosen[seed].items()))] += step
+        left[open_] = np.maximum(left[open_] - before + np.array(budget), 0)
+        covered = 1 - left / have
+        weight *= np.exp(-RATE * (covered - covered.mean()))
     return amounts
 
 
@@ -125,24 +153,16 @@ def best_fit(counts: np.ndarray, capacity: int) -> Plan:
 
 def plan(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> Plan:
     """Configurations and numbers of sequences that hold each length exactly ``counts`` times."""
-    left, out = counts.astype(np.int64).copy(), []
-    amounts = solve(counts, capacity, rounds)
-    room = {config: capacity - sum(length * times for length, times in config) for config in amounts}
-    # the last rounds get what is left and waste more; best fit does better with it
-    sizes = sorted((room[config], amount) for config, amount in amounts.items())
-    half, usual = sum(amount for _, amount in sizes) / 2, 0
-    for wasted, amount in sizes:
-        half, usual = half - amount, wasted
-        if half <= 0:
-            break
-    for config, amount in amounts.items():
-        many = int(amount + 1e-9) if room[config] <= usual else 0
-        many = min([many, *(int(left[length]) // times for length, times in config)])
+    counts = counts.astype(np.int64)
+    left, out = counts.copy(), []
+    for config, amount in solve(counts, capacity, rounds).items():
+        many = min([int(amount + 1e-9), *(int(left[length]) // times for length, times in config)])
         if many:
             out.append((config, many))
             for length, times in config:
                 left[length] -= many * times
-    return out + best_fit(left, capacity)
+    out += best_fit(left, capacity)
+    return min(out, best_fit(counts, capacity), key=lambda found: sum(many for _, many in found))
 
 
 def _pieces(tokenizer: str, end_id: int, capacity: int):
@@ -224,7 +244,7 @@ def pack_documents(
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     pieces = materialise(
         texts.mapInArrow(
-            _pieces(tokenizer, end_id, capacity),
+            X.tidy(_pieces(tokenizer, end_id, capacity)),
             "doc_id long, piece long, start long, length long, ids_crc32 long, task long, number long",
         )
     )
@@ -237,6 +257,6 @@ def pack_documents(
     )
     numbered = pieces.join(bases, ["length", "task"]).withColumn("number", F.col("number") + F.col("base"))
     return numbered.mapInArrow(
-        _places(plan(histogram, capacity, rounds), capacity),
+        X.tidy(_places(plan(histogram, capacity, rounds), capacity)),
         "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long",
     )

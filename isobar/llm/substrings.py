@@ -83,7 +83,7 @@ def frequent_grams(texts: DataFrame, most: int) -> np.ndarray:
     A chunk leaves out grams below 1 / most of its own, so a gram's sum falls short by at most
     that share of all grams.
     """
-    counted = texts.select("text").mapInArrow(_frequent(1 / most), "gram long, times long")
+    counted = texts.select("text").mapInArrow(X.tidy(_frequent(1 / most)), "gram long, times long")
     counts = materialise(counted.groupBy("gram").agg(F.sum("times").alias("times")))
     total = counts.where("gram = -1").select("times").first()  # all grams
     least = (total[0] if total else 0) / most
@@ -304,10 +304,10 @@ def repeated_spans(texts: DataFrame, window: int, partitions: int) -> DataFrame:
     """Per document (doc_id, text_hash): spans of ``count`` repeated windows from word ``start`` on."""
     frequent = frequent_grams(texts, max(1, FREQUENT * partitions))
     return (
-        texts.mapInArrow(_super_kmers(window, BUCKETS * partitions, frequent), _PACKED)
+        texts.mapInArrow(X.tidy(_super_kmers(window, BUCKETS * partitions, frequent)), _PACKED)
         .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_judged(window), MARK)
+        .mapInArrow(X.tidy(_judged(window)), MARK)
     )
 
 
@@ -362,7 +362,7 @@ def removals(docs: DataFrame, window: int = 20, id_column: str = "doc_id", text_
     names, types = ["n_words", "n_removed", "kept_sha256"], [pa.int64(), pa.int64(), pa.string()]
     found = _with_spans(docs, window, id_column, text_column).select("doc_id", "text", "spans")
     return found.mapInArrow(
-        _cleaned(window, _digest, names, types, ["doc_id"]), "doc_id long, n_words long, n_removed long, kept_sha256 string"
+        X.tidy(_cleaned(window, _digest, names, types, ["doc_id"])), "doc_id long, n_words long, n_removed long, kept_sha256 string"
     )
 
 
@@ -373,6 +373,6 @@ def without_repeats(docs: DataFrame, window: int = 20, id_column: str = "doc_id"
     carried = ["doc_id", "text", *(f"carried_{i}" for i in range(len(others)))]
     types = dict(found.dtypes)
     schema = ", ".join(f"{c} {types[c]}" for c in carried) + ", shorter string"
-    out = found.select(*carried, "spans").mapInArrow(_cleaned(window, _text, ["shorter"], [pa.string()], carried), schema)
+    out = found.select(*carried, "spans").mapInArrow(X.tidy(_cleaned(window, _text, ["shorter"], [pa.string()], carried)), schema)
     back = {id_column: F.col("doc_id"), text_column: F.coalesce("shorter", "text")} | {c: F.col(f"carried_{i}") for i, c in enumerate(others)}
     return out.select(*(back[c].alias(c) for c in docs.columns))

@@ -269,18 +269,81 @@ def test_packing(docs, empty):
     assert rows(packing.pack_documents(empty, path, end_id=0)) == []
 
 
-def test_packing_is_near_the_bound():
-    counts = np.random.default_rng(1).integers(0, 40, 513)
-    counts[0] = 0
-    used = np.zeros(513, np.int64)
-    plan = packing.plan(counts, 512)
-    for config, many in plan:
+def packed(counts, capacity):
+    """The number of sequences of a plan that is checked for holding each length as often as it occurs."""
+    found, used = packing.plan(counts, capacity), np.zeros(capacity + 1, np.int64)
+    for config, many in found:
+        assert sum(length * times for length, times in config) <= capacity
         for length, times in config:
             used[length] += times * many
     assert (used == counts).all()
+    return sum(many for _, many in found)
+
+
+def bound(counts, capacity):
     # neither the tokens nor the pieces longer than half a sequence fit in fewer
-    bound = max(-(-int((counts * np.arange(513)).sum()) // 512), int(counts[257:].sum()))
-    assert sum(m for _, m in plan) <= bound * 1.002 + 1
+    return max(-(-int((counts * np.arange(capacity + 1)).sum()) // capacity), int(counts[capacity // 2 + 1 :].sum()))
+
+
+def test_packing_is_near_the_bound():
+    counts = np.random.default_rng(1).integers(0, 40, 513)
+    counts[0] = 0
+    assert packed(counts, 512) <= bound(counts, 512) * 1.002 + 1
+
+
+def test_packing_saves_sequences_where_best_fit_wastes_room():
+    counts = np.zeros(513, np.int64)
+    np.add.at(counts, np.random.default_rng(0).integers(125, 350, 50_000), 1)
+    plain = sum(many for _, many in packing.best_fit(counts, 512))
+    assert bound(counts, 512) <= packed(counts, 512) < plain
+
+
+@pytest.mark.parametrize("counts", [{}, {7: 1}, {7: 1000}, {64: 3}, {33: 5, 31: 5}, {33: 9, 20: 4, 11: 30, 1: 3}])
+def test_packing_of_few_lengths(counts):
+    histogram = np.zeros(65, np.int64)
+    for length, n in counts.items():
+        histogram[length] = n
+    assert packed(histogram, 64) <= sum(many for _, many in packing.best_fit(histogram, 64))
+
+
+@pytest.mark.parametrize("times", [1, 200])
+def test_packing_of_documents_needs_no_more_sequences_than_best_fit(spark, times):
+    path = tokenizer_file("word_bpe_49k.json")
+    sizes = tokens.token_counts(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), path).collect()
+    histogram = np.zeros(2049, np.int64)
+    for r in sizes:
+        histogram[2048] += (r.n_tokens + 1) // 2048
+        histogram[(r.n_tokens + 1) % 2048] += 1
+    histogram[0] = 0
+    histogram *= times
+    plain = sum(many for _, many in packing.best_fit(histogram, 2048))
+    assert bound(histogram, 2048) <= packed(histogram, 2048) <= plain
+
+
+def test_the_program_uses_no_length_beyond_its_count():
+    counts = np.random.default_rng(5).integers(0, 300, 257)
+    counts[0] = 0
+    used = np.zeros(257)
+    for config, amount in packing.solve(counts, 256).items():
+        assert sum(length * times for length, times in config) <= 256
+        for length, times in config:
+            used[length] += amount * times
+    assert (used <= counts + 1e-6).all() and used.sum() > 0.5 * counts.sum()
+
+
+def test_configurations_are_the_dearest():
+    rng = np.random.default_rng(6)
+    lengths, prices, most = np.array([3, 4, 7, 9, 10]), rng.random(5), np.array([1, 5, 2, 1, 3])
+    chosen, total = packing.configurations(lengths, prices, most, 22)
+    for i in range(5):
+        options = [
+            sum(prices[j] * t for j, t in enumerate(times)) + prices[i]
+            for times in np.ndindex(*[min(most[j] - (j == i), 22) + 1 if j <= i else 1 for j in range(5)])
+            if sum(lengths[j] * t for j, t in enumerate(times)) + lengths[i] <= 22
+        ]
+        assert total[i] == pytest.approx(max(options))
+        assert sum(prices[j] * t for j, t in chosen[i].items()) == pytest.approx(total[i])
+        assert all(t <= most[j] for j, t in chosen[i].items()) and sum(lengths[j] * t for j, t in chosen[i].items()) <= 22
 
 
 def test_pages(spark):
