@@ -32,20 +32,31 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more.
 
     The row with the group's least id stays, rows without ids last; of several such rows the one
-    with the least hash of its text, and of rows equal in id and text one.
+    with the least hash of its text, and of rows equal in id and text one.  Null texts and texts
+    without words are like no other: one row of each id and text stays.  Further columns pass,
+    whatever their names; an empty table gives no rows.
     """
-    kept = neardup.representatives(docs, size=5, percent=80).select(F.col("doc_id").alias("kept_id"), "text_hash")
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("text_hash"))
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = neardup.representatives(docs, size=5, percent=80)
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & F.xxhash64("d.text").eqNullSafe(F.col("k.text_hash"))
+    return docs.alias("d").join(kept.alias("k"), same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated passages of 20 words; no row is dropped, n_chars follows the text."""
-    return substrings.without_repeats(docs, window=20).withColumn("n_chars", F.length("text").cast("long"))
+    """Texts without repeated passages of 20 words; no row is dropped, n_chars follows the text.
+
+    Of rows with one id and text none counts as a repeat of the other.  Null texts stay null; further
+    columns pass; an empty table gives no rows.
+    """
+    shorter = substrings.without_repeats(docs, window=20)
+    return shorter.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else shorter
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2048 tokens and their places in sequences."""
+    """Pieces of at most 2048 tokens and their places in sequences.
+
+    Null texts are empty and hold the end id only; rows with null or repeated ids are packed one by
+    one; further columns are left out; an empty table gives no rows.
+    """
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
