@@ -4,6 +4,7 @@ import base64
 import hashlib
 import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -387,6 +388,40 @@ def test_doubtful_elements_of_pages(html, want):
     assert pages.main_text(f"<html><head><title>x</title><body>{html}") == "\n\n".join(w.strip() for w in want)
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        # inside an article
+        (f"<article><h1>T</h1><p>{LINE}</p><div class=ad-slot>x</div><p>{LINE * 2}</p><div class=related-posts><a>r</a></div>"
+         f"<section id=comments-area><p>{LINE}</p></section></article>", ["T", LINE, LINE * 2]),
+        (f"<article><div class=entry-header><h2>T</h2></div><p>{LINE}</p><div class='post-share-buttons'>s</div><div class=adContainer>x</div></article>",
+         ["T", LINE]),
+        (f"<article><div class='text-block list'><p>{LINE}</p></div><div class=news-item>{LINE}</div><p class=no-ads>{LINE}</p></article>", [LINE, LINE, LINE]),
+        # on a page without article
+        (f"<div class=site-header>s</div><div class=cookie-banner>c</div><div id=wrap><h1>T</h1><p>{LINE * 5}</p><div class=share-buttons>s</div>"
+         f"</div><div class=comment-section><p>{LINE}</p></div><div class=site-footer>f</div>", ["T", LINE * 5]),
+        (f"<div class=content-sidebar-wrap><div class=widget-container><h1>T</h1><p>{LINE}</p></div><div class=mainSidebar>s</div></div>", ["T", LINE]),
+        (f"<body class='has-sidebar no-nav'><div class=sidebar_container><h1>T</h1><p>{LINE}</p></div><div class='comments-wrapper'>c</div>", ["T", LINE]),
+        (f"<div class=newsletter_signup>n</div><div><p>{LINE}</p><p>{LINE}</p></div><div class=top-bar>t</div>", [LINE, LINE]),
+    ],
+)
+def test_names_of_elements(html, want):
+    assert pages.main_text(f"<html><head><title>x</title><body>{html}") == "\n\n".join(w.strip() for w in want)
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 100_000, "<b>" * 50_000 + "<p>x" * 20_000, "<div class=ad>" * 50_000 + "x" + "</i>" * 50_000, "<li><p>x" * 50_000])
+def test_deep_pages_take_no_longer_than_long_ones(page):
+    started = time.monotonic()
+    pages.main_text(page)
+    assert time.monotonic() - started < 10
+
+
+def test_repeated_pages(spark):
+    rows_ = [(1, "u", f"<article><p>{LINE}</article>")] * 3 + [(None, None, None)] * 2
+    got = pages.extract(spark.createDataFrame(rows_, "page_id long, url string, html string")).collect()
+    assert sorted((r.n_chars for r in got)) == [0, 0] + [len(LINE.strip())] * 3
+
+
 def test_byte_bpe(docs, empty):
     path = tokenizer_file("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
