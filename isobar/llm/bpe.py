@@ -35,7 +35,7 @@ from . import blocks as B
 from . import text as X
 
 #: Smaller than elsewhere, for the lists of words that Python holds.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 CELLS = 1 << 15
 #: Words, and lists that blocks ask for, that one row holds; a bucket has as many rows as it needs.
 ROW_WORDS, ROW_ASKS = 4096, 64

@@ -58,7 +58,8 @@ m AS (
     len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
     len([x for x in w if lower(x) IN ({stops})]) AS n_stop_words,
-    len([x for x in w if regexp_matches(x, '^\\p{{Lu}}{{2,}}.*!!$')]) AS n_shouted
+    CAST(length(t) - length(regexp_replace(t, '\\p{{Lu}}+', '', 'g')) AS BIGINT) AS n_upper,
+    CAST(length(t) - length(replace(t, '!', '')) AS BIGINT) AS n_exclaims
   FROM l LEFT JOIN repeated USING (doc_id)
 ),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)

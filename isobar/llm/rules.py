@@ -4,6 +4,9 @@ Counts of words, symbols, lines and repeated phrases are columns made of built-i
 table of thresholds on their ratios is compiled into one expression.  No user functions and no
 shuffle; each document is judged alone, whole.
 
+The stop words are those of four languages (English, German, French, Spanish): long texts in others
+hold too few and fail.  For other languages pass ``rules`` without that one, or with more words.
+
 Null text and text without words have all counts 0 and fail.  Null or repeated ids are judged row
 by row; extra columns are ignored; an empty table gives no rows.
 """
@@ -50,7 +53,8 @@ RULES = (
     Rule("word length", "word_chars", "n_words", 2.0, 12.0),
     Rule("symbols", "n_symbols", "n_words", most=0.1),
     Rule("stop words", "n_stop_words", "n_words", least=0.02),
-    Rule("shouted words", "n_shouted", "n_words", most=0.3),
+    Rule("upper case", "n_upper", "word_chars", most=0.4),
+    Rule("exclamations", "n_exclaims", "n_words", most=0.5),
     Rule("repeated lines", "n_dup_lines", "n_lines", most=0.5),
 )
 
@@ -70,7 +74,8 @@ def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words("_words").alias("n_repeat_words"),
         F.size(F.filter("_words", lambda w: F.lower(w).isin(stops))).cast("long").alias("n_stop_words"),
-        F.size(F.filter("_words", lambda w: F.rlike(w, F.lit(r"^\p{Lu}{2,}.*!!$")))).cast("long").alias("n_shouted"),
+        (F.length("_text") - F.length(F.regexp_replace("_text", r"\p{Lu}+", ""))).cast("long").alias("n_upper"),
+        (F.length("_text") - F.length(F.translate("_text", "!", ""))).cast("long").alias("n_exclaims"),
     )
 
 

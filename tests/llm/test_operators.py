@@ -119,6 +119,19 @@ def test_rules(docs, empty):
     assert not got[2].kept and rows(rules.judged(empty)) == []
 
 
+def test_shouting_of_any_shape_is_rejected(spark):
+    words = "the rain and the wind of that long day went over it".split()
+    base = [f"{w}{i}x" if k % 3 else w for i in range(8) for k, w in enumerate(words)]
+    texts = {
+        "clean": " ".join(base), "titles": " ".join(w.title() for w in base), "shouted": " ".join(w.upper() for w in base),
+        "one mark": " ".join(w + "!" for w in base), "some marks": " ".join(w + "!" * (i % 5 == 0) for i, w in enumerate(base)),
+        "accents": " ".join(w.replace("a", "\xe4").upper() for w in base),
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    kept = {r.doc_id for r in rules.judged(df).where("kept").collect()}
+    assert kept == {"clean", "titles", "some marks"}
+
+
 def test_rules_keep_labelled_documents(spark):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet").join(rules.judged(spark.read.parquet(f"{SMALL}/documents.parquet")), "doc_id")
     assert labels.where("quality = 0 and kept").count() == 0
