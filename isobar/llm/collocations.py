@@ -283,15 +283,15 @@ def phrase_counts(docs: DataFrame, least: int, lang_column: str, text_column: st
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # bucketed, so that only the answers move when they are joined
-    texts.mapInArrow(_make, BLOCK).write.bucketBy(partitions, "block").option("path", path).saveAsTable(name)
+    texts.mapInArrow(X.tidy(_make), BLOCK).write.bucketBy(partitions, "block").option("path", path).saveAsTable(name)
     blocks = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
     words = blocks.select(F.inline(F.arrays_zip("langs", "words"))).groupBy(F.col("langs").alias("lang")).agg(F.sum("words").alias("n"))
     total = blocks.agg(F.sum(F.aggregate("words", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
     buckets = max(1, math.ceil(total / ENTRIES))
-    sent = blocks.select("block", "langs", "payload").mapInArrow(_sent(buckets), SENT)
-    answers = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answered(least), ANSWER)
-    found = B.answered(blocks, answers, "langs", "payload").mapInArrow(_phrases(buckets), PHRASE)
+    sent = blocks.select("block", "langs", "payload").mapInArrow(X.tidy(_sent(buckets)), SENT)
+    answers = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(X.tidy(_answered(least)), ANSWER)
+    found = B.answered(blocks, answers, "langs", "payload").mapInArrow(X.tidy(_phrases(buckets)), PHRASE)
     counted = found.groupBy("lang", "phrase", "size").agg(F.sum("times").alias("f")).filter(F.col("f") >= least)
     return materialise(counted), words
 

@@ -196,6 +196,71 @@ def test_licence_cues_meet_every_triple():
             assert triple in phrases or set(triple.split(" ")) & set(cues)
 
 
+def plainly_judged(paragraph):
+    """What the scan should say of one paragraph, by plain lists and numpy."""
+    model, (cues, phrases) = licences.trained(), licences._cues()
+    words = re.findall(r"[^\W_]+", paragraph.lower())
+    cued = lambda ws: bool(set(ws) & set(cues)) or any(f" {p} " in f" {' '.join(ws)} " for p in phrases)
+    if not cued(words) and not re.search(licences.MENTION, paragraph):
+        return None
+    step, judged = licences.WINDOW // 2, []
+    for first in range(0, max(len(words) - step, 1), step):
+        own = words[first : first + licences.WINDOW]
+        if not cued(own):
+            continue
+        scores = np.array(model.bias) + np.round(model.weights, 6)[:, licences._features(own)].sum(1) / max(len(own), 1) ** 0.5
+        e = np.exp((scores - scores.max()) / model.temperature)
+        judged.append((int(e.argmax()), float(e.max() / e.sum())))
+    triples = set(licences._triples(words))
+    out = []
+    for at, probability in judged:
+        templates = [set(licences._triples(licences._words(t))) for t in list(licences._templates().values())[at - 1]] if at else []
+        shared = at and (
+            len(triples & set().union(*templates)) >= licences.SHARED * len(triples)
+            or any(len(t & triples) >= licences.SHARED * len(t) for t in templates)
+        )
+        out.append((bool(shared and probability >= licences.LEAST), probability, model.families[at]))
+    return max(out, default=(False, None, "unknown"))
+
+
+def test_licence_scores_equal_numpy(spark):
+    rng = np.random.default_rng(8)
+    notices = [t for ts in licences._templates().values() for t in ts] + list(licences.UNKNOWN)
+    texts = []
+    for _ in range(250):
+        parts = [notices[rng.integers(len(notices))] for _ in range(rng.integers(1, 3))]
+        words = [w for p in parts for w in p.split() if rng.random() > 0.1]
+        for _ in range(rng.integers(0, 40)):
+            words.insert(int(rng.integers(0, len(words) + 1)), f"w{rng.integers(1000)}")
+        texts.append(" ".join(words))
+    got = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    for r in got:
+        want = plainly_judged(texts[r.doc_id])
+        assert (r.n_scored, r.n_confirmed) == (int(want is not None), int(want is not None and want[0]))
+        assert r.family == ("none" if want is None else want[2] if want[0] else "unknown")
+        assert r.probability is None or abs(r.probability - want[1]) < 1e-6
+    assert sum(r.n_confirmed for r in got) > 60
+
+
+def test_licence_recall_and_precision_on_documents(spark):
+    # the notices that the documents hold, by their names; every other family or none is wrong
+    names = {"mit": r"the MIT License", "apache-2.0": r"the Apache License, Version 2", "gpl-3.0": r"GNU General Public License, version 3"}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    want = {i: {f for f, n in names.items() if re.search(n, t)} for i, t in texts.items()}
+    found = {r.doc_id: r.family for r in licences.scan(docs).collect()}
+    named = [i for i, fs in want.items() if fs]
+    assert len(named) > 10 and all(found[i] in want[i] for i in named)
+    assert all(f not in names for i, f in found.items() if not want[i])
+
+
+def test_licences_of_odd_rows(spark):
+    rows_ = [(None, "MIT License", 1, "x"), (7, "MIT License", 1, "x"), (7, "plain", 1, "x"), (8, "w " * 60_000 + "\n\nMIT License", 1, "x"), (None, None, 1, "x")]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, family int, scored string")
+    got = sorted(((r.doc_id, r.family) for r in licences.scan(df).collect()), key=repr)
+    assert got == sorted([(None, "mit"), (7, "mit"), (7, "none"), (8, "mit"), (None, "none")], key=repr)
+
+
 def similar(texts, size, percent):
     sets = {}
     for i, t in texts:
