@@ -1,12 +1,53 @@
 """SQL answers for the registered queries, for DuckDB over the same Parquet tables.
 
-Doubles are rounded through DECIMAL, which agrees with Spark's half-up rounding.  Label
-and threshold lists come from the fixed values; the logic around them is written anew.
+Doubles are rounded through DECIMAL, which agrees with Spark's half-up rounding.  Nothing here
+comes from the library: a wrong threshold or label there gives other rows than these.
 """
 
 from __future__ import annotations
 
-from isobar.functions import values as V
+
+# --- Fixed values: labels, thresholds and colours -----------------------------------------
+class V:
+    SEASON_MONTHS = {"Invierno": (12, 1, 2), "Primavera": (3, 4, 5), "Verano": (6, 7, 8), "Otoño": (9, 10, 11)}
+    NORMAL, YELLOW, ORANGE, RED = "Normal", "ALERTA AMARILLA", "ALERTA NARANJA", "ALERTA ROJA"
+    HEAT_ALERTS = (
+        (40, "ALERTA ROJA - Temperatura Extremadamente Alta"), (35, "ALERTA ROJA - Temperatura Muy Alta"),
+        (30, "ALERTA NARANJA - Temperatura Alta"), (25, "ALERTA AMARILLA - Temperatura Elevada"),
+    )
+    COLD_ALERTS = (
+        (-10, "ALERTA ROJA - Temperatura Extremadamente Baja"), (-5, "ALERTA NARANJA - Temperatura Baja"),
+        (0, "ALERTA AMARILLA - Temperatura Fría"),
+    )
+    PRECIPITATION_ALERTS = (
+        (100, "ALERTA ROJA - Precipitación Extremadamente Alta"), (50, "ALERTA NARANJA - Precipitación Alta"),
+        (25, "ALERTA AMARILLA - Precipitación Moderada"),
+    )
+    HUMID_ABOVE, DRY_BELOW = 95, 20
+    HUMID_ALERT, DRY_ALERT = "ALERTA AMARILLA - Humedad Muy Alta", "ALERTA AMARILLA - Humedad Muy Baja"
+    # label, severity, maximum above, minimum below, precipitation above
+    ALERT_GRADES = (("ALERTA ROJA", 5, 40, -10, 100), ("ALERTA NARANJA", 4, 35, -5, 50), ("ALERTA AMARILLA", 3, 30, 0, 25))
+    WARM_ABOVE, MINOR_SEVERITY, NO_SEVERITY = 25, 2, 1
+    # label, mean temperature above, total precipitation below
+    CLIMATE_CLASSES = (
+        ("Clima Mediterráneo Seco", 20, 500), ("Clima Mediterráneo", 18, 800), ("Clima Templado", 15, 1000), ("Clima Fresco", 10, None),
+    )
+    COLDEST_CLASS = "Clima Frío"
+    # score, temperature, precipitation, humidity
+    COMFORT_BANDS = (
+        (100, (15, 25), (300, 800), (40, 70)), (80, (10, 30), (200, 1000), (30, 80)), (60, (5, 35), (100, 1200), (20, 90)),
+    )
+    LOWEST_COMFORT = 40
+    HOT_DAY_ABOVE, COLD_DAY_BELOW, RAINY_DAY_ABOVE, WINDY_DAY_ABOVE, HUMID_DAY_ABOVE = 30, 0, 10, 30, 80
+    MISSING_COLOR, HOTTEST_COLOR, WETTEST_COLOR = "gray", "red", "red"
+    TEMPERATURE_COLORS = ((10, "blue"), (20, "green"), (30, "orange"))
+    PRECIPITATION_COLORS = ((50, "yellow"), (100, "orange"))
+    ALERT_COLORS = {"Normal": "green", "ALERTA AMARILLA": "yellow", "ALERTA NARANJA": "orange", "ALERTA ROJA": "red"}
+    CLIMATE_COLORS = {
+        "Clima Mediterráneo Seco": "red", "Clima Mediterráneo": "orange", "Clima Templado": "green", "Clima Fresco": "blue",
+        "Clima Frío": "purple",
+    }
+
 
 LOAD_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 RAW_COLUMNS = (
