@@ -547,3 +547,14 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id: len(re.findall(WORD, r.text)) for r in frame.collect()} == {i: left for i, (_, left) in cleaned.items()}
     packed = corpus_pipeline.STAGES[3][1](spark, frame, SMALL)
     assert {r.doc_id for r in packed.collect()} == set(cleaned)
+
+
+def test_pipeline_stages_bear_odd_rows_and_names(spark):
+    good = " ".join(f"the w{i} of" for i in range(60))
+    texts = [(1, good), (2, good + " more"), (None, None), (3, ""), (4, None), (None, good.replace("w", "v"))]
+    df = spark.createDataFrame([(i, t, 1, 2, "x", 5) for i, t in texts], "doc_id long, text string, text_hash long, kept_id long, d string, n_chars long")
+    left = {"quality_rules": 3, "near_dedup": 5, "substring_dedup": 6, "best_fit_packing": 6}
+    for _, stage in corpus_pipeline.STAGES:
+        got = stage(spark, df, SMALL)
+        assert got.count() == left[stage.__name__] and stage(spark, df.limit(0), SMALL).count() == 0
+        assert stage is corpus_pipeline.best_fit_packing or got.columns == df.columns
