@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import xxhash
 from tokenizers import Tokenizer
@@ -10,6 +12,8 @@ from . import text as X
 
 #: Pieces whose ids a worker remembers (about 30 bytes each); beyond it the memory starts anew.
 REMEMBERED = 2_000_000
+#: New pieces encoded in one call; what the library makes of a piece takes far more room than its ids.
+AT_ONCE = 20_000
 
 
 class Encoder:
@@ -39,32 +43,45 @@ class Encoder:
         return cls._made[key]
 
     def forget(self) -> None:
-        self.keys = np.zeros((0, 2), np.uint64)  # sorted by the first half
+        self.keys = np.zeros(0, np.uint64)  # first half of each key, sorted
+        self.others = np.zeros(0, np.uint64)  # second half
         self.at = np.zeros(0, np.uint32)  # place of each key in starts
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each piece, and the ids one after another."""
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for first in range(0, len(pieces), AT_ONCE):
+            texts = [piece.decode() for piece in pieces[first : first + AT_ONCE]]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        return np.concatenate(sizes), np.concatenate(ids)
+
     def numbers(self, vocabulary: list[bytes]) -> np.ndarray:
         """The place of each piece in ``starts``; new pieces are encoded."""
         if len(self.at) > self.remembered:
             self.forget()
-        keys = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, vocabulary)), "<u8").reshape(-1, 2)
-        found = np.searchsorted(self.keys[:, 0], keys[:, 0])
+        halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, vocabulary)), "<u8").reshape(-1, 2)
+        keys, others = halves[:, 0].copy(), halves[:, 1].copy()
+        order = np.argsort(keys)  # neighbouring searches touch neighbouring keys
+        found = np.empty(len(keys), np.int64)
+        found[order] = np.searchsorted(self.keys, keys[order])
         inside = np.minimum(found, max(len(self.at) - 1, 0))
-        new = ~(self.keys[inside] == keys).all(1) if len(self.at) else np.ones(len(keys), bool)
+        new = (self.keys[inside] != keys) | (self.others[inside] != others) if len(self.at) else np.ones(len(keys), bool)
         out = np.zeros(len(keys), np.int64)
         out[~new] = self.at[inside[~new]]
         fresh = np.flatnonzero(new)
         if len(fresh):
-            pieces = [vocabulary[i].decode() for i in fresh.tolist()]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            sizes, ids = self._encoded([vocabulary[i] for i in fresh.tolist()])
             out[fresh] = np.arange(len(fresh)) + len(self.starts) - 1
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))])
-            order = fresh[np.argsort(keys[fresh, 0])]
-            places = np.searchsorted(self.keys[:, 0], keys[order, 0])
-            self.keys = np.insert(self.keys, places, keys[order], axis=0)
+            self.ids = np.concatenate([self.ids, ids])
+            order = order[new[order]]
+            places = found[order]
+            self.keys = np.insert(self.keys, places, keys[order])
+            self.others = np.insert(self.others, places, others[order])
             self.at = np.insert(self.at, places, out[order].astype(np.uint32))
         return out
 

@@ -7,6 +7,8 @@ and ``sizes`` list the documents of the block; ``first`` is the block's place in
 shards follow each other in ascending order of doc_id.
 
 A null doc_id comes first; documents that share a doc_id are ordered by a hash of their text.
+An id that many rows share, or none at all, takes as many shards as its share of the rows asks
+for, each a range of that hash; only rows equal in id and text stay in one.
 Null texts are empty and hold the end id only; extra columns are ignored; an empty table gives
 a store without rows.
 """
@@ -67,14 +69,27 @@ def unpack_ids(payload: bytes, bits: int, first: int, count: int) -> np.ndarray:
     return np.packbits(each, axis=1, bitorder="little").reshape(-1).view("<u4")
 
 
-def _encoded(tokenizer: str, end_id: int, bits: int, bounds: list[int]):
+def _shards(ids: np.ndarray, null: np.ndarray, hashes: np.ndarray, bounds: np.ndarray, without_id: int) -> np.ndarray:
+    """The shard of each document.  The first ``without_id`` are for null ids; the others end at ``bounds``.
+
+    An id that is several bounds has the shards that end there, in ranges of the text's hash.
+    """
+    first = np.searchsorted(bounds, ids, "left")
+    own = np.searchsorted(bounds, ids, "right") - first
+    first, own = np.where(null, 0, first + without_id), np.where(null, without_id, own).astype(np.uint64)
+    rising = (hashes.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)
+    return (first + (rising * own >> np.uint64(32)).astype(np.int64)).astype(np.int32)
+
+
+def _encoded(tokenizer: str, end_id: int, bits: int, bounds: list[int], without_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, edges = Encoder.of(tokenizer, False), np.array(bounds, np.int64)
         for chunk in X.chunks(batches, "text", ENCODED_BYTES):
             ids, ends = encoder.encode(*X.flat(chunk["text"]))
             packed = [pack_ids(np.append(ids[a:b], end_id), bits) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            shards = np.searchsorted(edges, chunk["doc_id"].fill_null(0).to_numpy(), "left").astype(np.int32)
-            shards[chunk["doc_id"].is_null().to_numpy(zero_copy_only=False)] = 0
+            null = chunk["doc_id"].is_null().to_numpy(zero_copy_only=False)
+            numbers, hashes = chunk["doc_id"].fill_null(0).to_numpy(), chunk["text_hash"].to_numpy()
+            shards = _shards(numbers, null, hashes, edges, without_id)
             sizes = np.diff(ends) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shards), chunk["doc_id"], chunk["text_hash"], pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
@@ -133,16 +148,19 @@ def write_ids(
     bits = width(max(vocabulary_size, end_id + 1))
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     shares = [i / shards for i in range(1, shards)] or [0.5]
-    bounds = texts.agg(F.percentile_approx("doc_id", shares, 20 * shards)).first()[0] or []
-    bounds = sorted(set(bounds)) if shards > 1 else []
+    bounds, rows, with_id = texts.agg(
+        F.percentile_approx("doc_id", shares, 20 * shards), F.count("*"), F.count("doc_id")
+    ).first()
+    bounds = sorted(bounds or []) if shards > 1 else []
+    without_id = -(-shards * (rows - with_id) // max(rows, 1))
     (
         texts.withColumn("text_hash", F.xxhash64("text"))
         .mapInArrow(
-            _encoded(tokenizer, end_id, bits, bounds), "shard int, doc_id long, text_hash long, size long, packed binary"
+            X.tidy(_encoded(tokenizer, end_id, bits, bounds, without_id)), "shard int, doc_id long, text_hash long, size long, packed binary"
         )
-        .repartitionById(shards, F.col("shard"))
+        .repartitionById(shards + without_id, F.col("shard"))
         .sortWithinPartitions("shard", "doc_id", "text_hash")
-        .mapInArrow(_blocks(bits, block_ids), STORE)
+        .mapInArrow(X.tidy(_blocks(bits, block_ids)), STORE)
         .write.parquet(path)
     )
 
@@ -173,7 +191,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     base = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
         "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
     )
-    return blocks.join(F.broadcast(base), "shard").mapInArrow(_documents, "doc_id long, start long, n_tokens long, ids binary")
+    return blocks.join(F.broadcast(base), "shard").mapInArrow(X.tidy(_documents), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def checksums(documents: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def words(data: np.ndarray, places: np.ndarray) -> Words:
     codes, with_blanks = distinct(data, starts, len(data))
     trimmed = pc.ascii_rtrim(with_blanks, characters=BLANKS).dictionary_encode()
     codes = trimmed.indices.to_numpy()[codes]
-    return Words(codes, [w.encode() for w in trimmed.dictionary.to_pylist()], bounds)
+    return Words(codes, trimmed.dictionary.cast(pa.large_binary()).to_pylist(), bounds)
 
 
 def segments(data: np.ndarray, places: np.ndarray) -> Words:
@@ -123,7 +123,7 @@ def segments(data: np.ndarray, places: np.ndarray) -> Words:
     wide |= (three == 0xE3) & (two == 0x80) & (one == 0x80)
     starts = starts[~wide | np.isin(starts, heads)]
     codes, vocabulary = distinct(data, starts, len(data))
-    return Words(codes, [w.encode() for w in vocabulary.to_pylist()], np.searchsorted(starts, places))
+    return Words(codes, vocabulary.cast(pa.large_binary()).to_pylist(), np.searchsorted(starts, places))
 
 
 def lower(data: np.ndarray) -> np.ndarray:

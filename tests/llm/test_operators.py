@@ -330,6 +330,26 @@ def test_packed_ids(spark, docs, empty, tmp_path):
     assert rows(packed_ids.read_ids(spark, str(tmp_path / "none"))) == []
 
 
+def test_packed_ids_of_hot_and_missing_ids(spark, tmp_path):
+    """A third of the rows share one id and a third have none: no shard holds most of either."""
+    path = tokenizer_file("byte_bpe_50k.json")
+    ids = [None] * 200 + [7] * 200 + list(range(200))
+    texts = [(i, f"text number {n}") for n, i in enumerate(ids)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    packed_ids.write_ids(docs, str(tmp_path / "ids"), path, 50_257, 2, shards=16)
+    found = packed_ids.read_ids(spark, str(tmp_path / "ids")).collect()
+    tokenizer = Tokenizer.from_file(path)
+    encoded = {i: sorted(tuple(tokenizer.encode(t, add_special_tokens=False).ids) + (2,) for j, t in texts if j == i) for i in ids}
+    kept = {}
+    for row in sorted(found, key=lambda r: r.start):
+        kept.setdefault(row.doc_id, []).append(tuple(np.frombuffer(row.ids, "<u4").tolist()))
+    assert list(kept) == [None, *range(200)] and {i: sorted(x) for i, x in kept.items()} == encoded
+    found.sort(key=lambda r: r.start)
+    assert [r.start for r in found] == np.cumsum([0, *(r.n_tokens for r in found)])[:-1].tolist()
+    listed = spark.read.parquet(str(tmp_path / "ids")).selectExpr("shard", "explode(doc_ids) AS doc_id")
+    assert max(r["count"] for r in listed.groupBy("shard").count().collect()) <= 100
+
+
 def test_packing(docs, empty):
     path = tokenizer_file("word_bpe_49k.json")
     got = packing.pack_documents(docs, path, end_id=0, capacity=64).collect()
