@@ -54,22 +54,25 @@ def with_range(df: DataFrame, order: Order, within: str | None = None) -> DataFr
     """
     placed = df.withColumn("_place", _place(df, order))
     apart = F.col(within) if within else F.lit("")
-    listed = placed.select(apart.alias("kind"), F.col("_place").alias("place"))
-    few = listed.withColumn("hash", F.xxhash64("kind", "place")).orderBy("hash", "kind", "place").limit(SAMPLED)
+    few = placed.select(apart.alias("kind"), F.col("_place").alias("place")).withColumn("hash", F.xxhash64("kind", "place")).orderBy("hash", "kind", "place").limit(SAMPLED)
 
     def spaced(rows: Column) -> Column:
         step = F.greatest(F.lit(1), F.floor(F.size(rows) / RANGES))
         return F.filter(rows, lambda _, i: (i + 1) % step == 0)
 
     sorted_ = few.agg(F.sort_array(F.collect_list(F.struct("kind", "place"))).alias("rows"))
-    by_kind = F.transform(
-        F.array_distinct(F.transform("rows", lambda r: r["kind"])),
-        lambda k: F.struct(k.alias("key"), spaced(F.transform(F.filter("rows", lambda r: r["kind"] == k), lambda r: r["place"])).alias("value")),
+    of_kind = lambda k: F.transform(F.filter("rows", lambda r: r["kind"] == k), lambda r: r["place"])
+    listed = F.transform(
+        F.array_distinct(F.transform("rows", lambda r: r["kind"])), lambda k: F.struct(k.alias("key"), of_kind(k).alias("places"))
     )
+    # a step of its own, so that a kind's list is made once and not for each of its rows
+    by_kind = F.transform(listed, lambda x: F.struct(x["key"].alias("key"), spaced(x["places"]).alias("value")))
     limits = sorted_.select(F.map_from_entries(by_kind).alias("limits")).scalar()
     # a scalar of the plan has to be a column before a function of higher order may use it
     held = placed.withColumn("_limits", F.try_element_at(limits, apart))
-    number = F.coalesce(F.size(F.filter("_limits", lambda b: b < F.col("_place"))), F.lit(0))
+    # the place as a variable: made once for a row and not for each bound
+    before = F.transform(F.array("_place"), lambda p: F.size(F.filter("_limits", lambda b: b < p)))
+    number = F.coalesce(F.get(before, F.lit(0)), F.lit(0))
     return held.withColumn("_range", F.greatest(number, F.lit(0))).drop("_limits", "_place")
 
 
@@ -122,17 +125,25 @@ def rows_between(df: DataFrame, order: Order, first: int, last: int) -> DataFram
 def add_ranks(df: DataFrame, metrics: dict[str, str], keys: list[str], group: str) -> DataFrame:
     """``<name>_rank_overall`` and ``<name>_rank_in_<group>`` for each name -> metric, best first.
 
-    All metrics are ranked together as narrow rows of key and value; only the ranks are joined.
+    ``keys`` name a row.  All metrics are ranked together as rows of key and value, the first of
+    which bears the whole row, so that ``df`` is worked out once and not joined to its ranks.
     """
     named = dict.fromkeys([*keys, group])
-    values = F.array(*[F.struct(F.lit(n).alias("_metric"), F.col(m).cast("double").alias("_value")) for n, m in metrics.items()])
-    narrow = df.select(*named, F.inline(values))
+    whole = F.struct(*df.columns)
+    absent = F.lit(None).cast(df.select(whole.alias("_row")).schema["_row"].dataType)
+    values = F.array(
+        *[
+            F.struct(F.lit(n).alias("_metric"), F.col(m).cast("double").alias("_value"), (absent if i else whole).alias("_row"))
+            for i, (n, m) in enumerate(metrics.items())
+        ]
+    )
     order = [("_value", False), *[(k, True) for k in keys]]
-    ranked = number_rows(narrow, order, "_overall", group, "_inside", within="_metric")
+    ranked = number_rows(df.select(*named, F.inline(values)), order, "_overall", group, "_inside", within="_metric")
     place = lambda name, column: F.max(F.when(F.col("_metric") == name, F.col(column)))
-    ranks = ranked.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+    rows = ranked.groupBy(*keys).agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
         *[place(n, "_overall").alias(f"{n}_rank_overall") for n in metrics],
         *[place(n, "_inside").alias(f"{n}_rank_in_{group}") for n in metrics],
     )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    return df.join(ranks, same).drop(*[f"_k_{k}" for k in keys])
+    ranks = [f"{n}_rank_{kind}" for kind in ("overall", f"in_{group}") for n in metrics]
+    return rows.select("_row.*", *ranks)
