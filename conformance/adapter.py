@@ -229,7 +229,7 @@ def known_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The providers' station map; suppliers 3 and 4 are in neither's."""
     skipped = read(spark, sf_dir, "supplier").filter(F.col("s_suppkey").isin(3, 4)).select(F.col("s_name").alias("station"))
     known = station_places(spark, sf_dir).join(skipped, "station", "left_anti")
-    known = bronze.union_all([known.withColumn("source", F.lit(s)) for s in ("aemet", "meteostat")])
+    known = bronze.station_map(bronze.union_all([known.withColumn("source", F.lit(s)) for s in ("aemet", "meteostat")]))
     return _stored(spark, sf_dir, "stations", lambda f: known.write.parquet(f), spark.read.parquet)
 
 

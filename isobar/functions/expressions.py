@@ -35,9 +35,10 @@ def number_text(value: Column) -> Column:
     return F.when(plain, F.replace(value, F.lit(","), F.lit(".")).try_cast("double"))
 
 
-def is_bad_number(value: Column) -> Column:
-    """True where a text holds neither a number nor a "no value" text."""
-    return number_text(value).isNull() & value.isNotNull() & ~value.isin(*V.NO_VALUE_TEXTS)
+def is_bad_number(value: Column, parsed: Column | None = None) -> Column:
+    """True where a text holds neither a number nor a "no value" text; ``parsed``: its ``number_text``, if at hand."""
+    parsed = number_text(value) if parsed is None else parsed
+    return parsed.isNull() & value.isNotNull() & ~value.isin(*V.NO_VALUE_TEXTS)
 
 
 def iso_date(value: Column) -> Column:

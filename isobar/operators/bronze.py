@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,40 +34,48 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _judged(rows: DataFrame, date: Column, bad: Column, values: dict[str, Column], fields: list[str]) -> DataFrame:
-    """Typed rows in one pass, each with the reason it is rejected for and then its record as text."""
+def _judged(rows: DataFrame, date: Column, parsed: dict[str, Column], bad: Callable[[str], Column], fields: list[str]) -> DataFrame:
+    """Typed rows in one pass, each with the reason it is rejected for and then its record as text.
+
+    Values, reason and record are projections of their own: each is worked out once a row, and no
+    generated method grows past what the JVM compiles (8000 bytes of code).
+    """
     corrupt = F.col("corrupt") if "corrupt" in rows.columns else F.lit(None).cast("string")
+    passed = [c for c in rows.columns if c in ("station", "city", "region", "file")]
+    values = rows.select(
+        date.alias("_date"), *[v.alias(f"_{m}") for m, v in parsed.items()], *passed, corrupt.alias("_corrupt"),
+        F.struct(*fields).alias("_landed"),
+    )
+    wrong = reduce(lambda a, b: a | b, [F.coalesce(bad(m), F.lit(False)) for m in parsed])
     reason = (
-        F.when(corrupt.isNotNull(), CORRUPT).when(date.isNull(), BAD_DATE).when(F.coalesce(bad, F.lit(False)), BAD_NUMBER)
+        F.when(F.col("_corrupt").isNotNull(), CORRUPT).when(F.col("_date").isNull(), BAD_DATE).when(wrong, BAD_NUMBER)
     )
-    record = F.when(reason.isNotNull(), F.coalesce(corrupt, F.to_json(F.struct(*fields))))
-    passed = [c for c in rows.columns if c in ("station", "city", "region", "file")]
-    return rows.select(
-        date.alias("date"), *[v.alias(m) for m, v in values.items()], *passed,
-        reason.alias("reason"), record.alias("record"), F.struct(*fields).alias("_landed"),
+    reasoned = values.withColumn("reason", reason)
+    record = F.when(F.col("reason").isNotNull(), F.coalesce("_corrupt", F.to_json("_landed")))
+    return reasoned.select(
+        F.col("_date").alias("date"), *[F.col(f"_{m}").alias(m) for m in parsed], *passed,
+        "reason", record.alias("record"), "_landed",
     )
 
 
-def _any(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
-
-
 def judge_provider_a(rows: DataFrame) -> DataFrame:
     """Text rows of provider A as typed rows with ``reason`` and ``record`` of rejected ones.
 
     A row is rejected when its record, its date or any of its numbers does not parse.
     """
-    values = {measure: number_text(F.col(field)) for measure, field in PROVIDER_A_FIELDS.items()}
-    fields = list(PROVIDER_A_FIELDS.values())
-    return _judged(rows, iso_date(F.col("fecha")), _any([is_bad_number(F.col(c)) for c in fields]), values, ["fecha", *fields])
+    # one function over the list of texts: eight copies of it would be too much code for one method
+    numbers = rows.withColumn("_numbers", F.transform(F.array(*PROVIDER_A_FIELDS.values()), number_text))
+    values = {measure: F.col("_numbers")[at] for at, measure in enumerate(PROVIDER_A_FIELDS)}
+    bad = lambda m: is_bad_number(F.col("_landed")[PROVIDER_A_FIELDS[m]], F.col(f"_{m}"))
+    return _judged(numbers, iso_date(F.col("fecha")), values, bad, ["fecha", *PROVIDER_A_FIELDS.values()])
 
 
 def judge_provider_b(rows: DataFrame) -> DataFrame:
     """Rows of provider B checked one by one, as for provider A."""
     texts = {m: F.col(m).cast("string") for m in MEASURES if m in rows.columns}
     parsed = {m: t.try_cast("double") for m, t in texts.items()}
-    bad = _any([t.isNotNull() & parsed[m].isNull() for m, t in texts.items()])
-    return _judged(rows, iso_date(F.col("date").cast("string")), bad, parsed, ["date", *texts])
+    bad = lambda m: F.col("_landed")[m].isNotNull() & F.col(f"_{m}").isNull()
+    return _judged(rows, iso_date(F.col("date").cast("string")), parsed, bad, ["date", *texts])
 
 
 def _split(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,45 +94,61 @@ def normalise_provider_b(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _split(judge_provider_b(rows))
 
 
+def station_map(stations: DataFrame) -> DataFrame:
+    """The providers' station map, a repeated place once with its number of ``copies``.
+
+    Each entry of a station gives it its rows once more; counted, they need not be written out.
+    """
+    return stations.groupBy(*[c for c in ("station", "city", "region", "source") if c in stations.columns]).agg(
+        F.count("*").alias("copies")
+    )
+
+
 def with_lineage(rows: DataFrame, source: str, stations: DataFrame | None = None) -> DataFrame:
     """Tag rows with their source and, by station, their city and region.
 
     Rows of a station that ``stations`` lacks have no city: keep them out of the keyed tables
     (``staged``).  ``stations`` may have a column ``source``, as each provider has stations of
-    its own; null there means any.  A station of several cities gives each of them its rows.
-    Pass a stored table, so that its size decides whether the rows are shuffled at all.
+    its own; null there means any.  A station of several cities gives each of them its rows; of a
+    ``station_map`` the rows get ``copies``.  Pass a stored table, so that its size decides whether
+    the rows are shuffled at all.
     """
     tagged = rows.withColumn("source", F.lit(source))
     if stations is None:
         return tagged
     if "source" in stations.columns:
         stations = stations.filter(F.coalesce("source", F.lit(source)) == source)
-    return tagged.drop("city", "region").join(stations.select("station", "city", "region"), "station", "left")
+    places = [c for c in ("station", "city", "region", "copies") if c in stations.columns]
+    return tagged.drop("city", "region").join(stations.select(*places), "station", "left")
 
 
 def staged(judged: DataFrame, source: str, stations: DataFrame | None = None) -> DataFrame:
     """Every landed row of a source, typed, with the reason of those that cannot be loaded.
 
     Besides what the judging step rejects, these are the rows without a city: a city is part of
-    the key, and rows of all unknown stations would count as one city's.
+    the key, and rows of all unknown stations would count as one city's.  ``copies``: for how many
+    rows one stands, by the station map.
     """
     rows = with_lineage(judged.drop("_landed"), source, stations)
-    extra = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in ("file", "record")}
+    extra = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in ("file", "record", "copies")}
     rows = rows.withColumns(extra) if "city" in rows.columns else rows.withColumns({**extra, "city": F.lit(None).cast("string")})
     reason = F.coalesce("reason", F.when(F.col("city").isNull(), UNKNOWN_STATION)).alias("reason")
     record = F.coalesce("record", F.when(F.col("city").isNull(), F.to_json(F.struct("date", *MEASURES)))).alias("record")
-    clean = typed(rows.withColumns({m: F.lit(None).cast("double") for m in MEASURES if m not in rows.columns}), "file", "reason", "record")
-    return clean.withColumns({"reason": reason, "record": record})
+    clean = typed(rows.withColumns({m: F.lit(None).cast("double") for m in MEASURES if m not in rows.columns}), "file", "reason", "record", "copies")
+    copies = F.coalesce(F.col("copies").cast("long"), F.lit(1).cast("long"))
+    return clean.withColumns({"reason": reason, "record": record, "copies": copies})
 
 
 def accepted(rows: DataFrame) -> DataFrame:
-    """The staged rows that can be loaded."""
+    """The staged rows that can be loaded, copies once: they share a key, of which the merge keeps one row."""
     return conform(rows.filter(F.col("reason").isNull()), RAW_SCHEMA)
 
 
 def rejects(rows: DataFrame) -> DataFrame:
-    """The staged rows that cannot be loaded: source, station, file, reason and record."""
-    return rows.filter(F.col("reason").isNotNull()).select("source", "station", "file", "reason", "record")
+    """The staged rows that cannot be loaded, every copy: source, station, file, reason and record."""
+    columns = ["source", "station", "file", "reason", "record"]
+    every = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int"))).alias("copy")
+    return rows.filter(F.col("reason").isNotNull()).select(*columns, every).select(*columns)
 
 
 def load_report(rows: DataFrame) -> DataFrame:
@@ -131,7 +156,7 @@ def load_report(rows: DataFrame) -> DataFrame:
 
     Merged rows share date, city and source with a kept one.
     """
-    keyed = rows.groupBy("source", "date", "city", F.col("reason").alias("why")).agg(F.count("*").alias("n"))
+    keyed = rows.groupBy("source", "date", "city", F.col("reason").alias("why")).agg(F.sum("copies").alias("n"))
     loaded, unknown = F.col("why").isNull(), F.col("why").eqNullSafe(UNKNOWN_STATION)
     count = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
     return keyed.groupBy("source").agg(
@@ -147,7 +172,7 @@ def city_report(rows: DataFrame) -> DataFrame:
     """Loaded days of each source and city, for the count of cities a load reached."""
     loaded = rows.filter(F.col("reason").isNull())
     return loaded.groupBy("source", "city").agg(
-        F.count("*").alias("loaded_rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day")
+        F.sum("copies").alias("loaded_rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.bronze import (
-    accepted, city_report, judge_provider_a, judge_provider_b, load_report, rejects, staged, union_all,
+    accepted, city_report, judge_provider_a, judge_provider_b, load_report, rejects, staged, station_map, union_all,
 )
 from ..operators.silver import FILE_ORDER, clean, laid_out, snapshot
 from ..schemas import GOLD_SCHEMAS, SILVER_SCHEMA, conform
@@ -73,7 +73,7 @@ def load_bronze(spark: SparkSession, landing: dict[str, str], cities: DataFrame,
     Rows that cannot be loaded go to the version's ``load_rejects``; ``load_report`` accounts
     for every row that was read, and ``load_cities`` for the cities the load reached.
     """
-    stations = materialise(stations)
+    stations = materialise(station_map(stations))
     base = catalog.newest_raw_version(spark)
     version = sinks.new_raw_version()
     staging = version + catalog.STAGING_SUFFIX
@@ -81,7 +81,7 @@ def load_bronze(spark: SparkSession, landing: dict[str, str], cities: DataFrame,
     def stored(source: str) -> Callable[[], int]:
         def step() -> int:
             sinks.write_table(stage(spark, source, landing[source], stations), f"{staging}.{source}")
-            return spark.table(f"{staging}.{source}").count()
+            return spark.table(f"{staging}.{source}").agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
 
         return step
 

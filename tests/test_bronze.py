@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import date
 
 import pytest
@@ -151,6 +152,45 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert kept.filter("city = 'hot'").first().n == 2997
 
 
+def test_entries_of_a_station_are_counted_not_written_out(spark):
+    stations = spark.createDataFrame(
+        [("S1", "Vic", "Cataluña"), ("S1", "Vic", "Cataluña"), ("S2", "Vic", "Cataluña"), ("S2", "Sevilla", "Andalucia")],
+        "station string, city string, region string",
+    )
+    rows = spark.createDataFrame(
+        [("2021-01-01", "1,5", "S1"), ("2021-01-01", "x", "S1"), ("2021-01-01", "2", "S2"), ("2021-01-01", "2", None)],
+        "fecha string, tmed string, station string",
+    )
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in bronze.PROVIDER_A_FIELDS.values() if c != "tmed"})
+    judged = bronze.judge_provider_a(rows)
+    found, written = bronze.staged(judged, "aemet", bronze.station_map(stations)), bronze.staged(judged, "aemet", stations)
+    assert sorted((r.station or "", r.city or "", r.copies) for r in found.collect()) == [
+        ("", "", 1), ("S1", "Vic", 2), ("S1", "Vic", 2), ("S2", "Sevilla", 1), ("S2", "Vic", 1)
+    ]
+    assert written.count() == 7
+    # what is made of them is the same as if each copy were a row
+    for table in (bronze.rejects, bronze.load_report, bronze.city_report):
+        assert sorted(map(repr, table(found).collect())) == sorted(map(repr, table(written).collect()))
+    assert types(bronze.load_report(found)) == types(bronze.load_report(written))
+
+
+def test_judging_compiles(spark, tmp_path):
+    # the JVM leaves methods of more than 8000 bytes to its interpreter
+    (tmp_path / "x.jsonl").write_text("{}\n")
+    stations = spark.createDataFrame([("S1", "Vic", "Cataluña")], "station string, city string, region string")
+    package = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package")
+    for read, judge in ((read_provider_a, bronze.judge_provider_a), (read_provider_b, bronze.judge_provider_b)):
+        found = bronze.staged(judge(read(spark, str(tmp_path))), "aemet", stations)
+        before = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", False)
+        try:
+            text = package.codegenString(found.select("*")._jdf.queryExecution().executedPlan())
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", before)
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) < 8000, sizes
+
+
 def test_city_coordinates_replace_own(spark):
     settings = load_settings(spark)
     rows = spark.createDataFrame([("Vic", 1.0, 1.0), ("Nowhere", 1.0, 1.0)], "city string, lat double, lon double")

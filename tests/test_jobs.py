@@ -133,6 +133,19 @@ def test_no_row_is_lost_without_a_record(spark, tmp_path, clean_catalog):
     }
 
 
+def test_repeated_entries_of_the_station_map_are_staged_once(spark, tmp_path, stations, clean_catalog, monkeypatch):
+    land_a(tmp_path, "A1", [(1, 1), (1, 2)], 10)
+    land_b(tmp_path, "B2", [(1, 1), (1, 2), (1, 3)], 5.0)
+    staged = []
+    monkeypatch.setattr(jobs, "accepted", lambda rows: staged.append(rows.count()) or bronze.accepted(rows))
+    thrice = stations.union(stations).union(stations)
+    made = jobs.load_bronze(spark, landing(tmp_path), load_settings(spark).cities, thrice).collect()
+    assert staged == [5]
+    assert {r.name: r.row_count for r in made} == {"aemet": 6, "meteostat": 9, "weather_raw.weather_data": 5}
+    report = spark.table(f"{catalog.newest_raw_version(spark)}.load_report").collect()
+    assert {r.source: (r.read_rows, r.kept_rows, r.merged_rows) for r in report} == {"aemet": (6, 2, 4), "meteostat": (9, 3, 6)}
+
+
 def test_a_failing_source_is_reported_and_the_rest_loads(spark, tmp_path, stations, clean_catalog):
     land_a(tmp_path, "A1", [(1, 1)], 10)
     report = jobs.load_bronze(spark, landing(tmp_path), load_settings(spark).cities, stations)
