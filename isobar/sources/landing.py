@@ -72,21 +72,30 @@ def file_formats(spark: SparkSession, folder: str, form: Format, large: int | No
     if large is None:
         size = spark.conf.get("spark.sql.files.maxPartitionBytes")
         large = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size))
-    # order of rows: files are split at byte positions, and ids grow inside a split
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
     unnamed = _between_ends(spark, folder).filter(~F.col("_metadata.file_name").rlike(LINE_NAMES))
     piece = F.btrim("value", F.lit(" \t\r\n")).alias("piece")
     another = F.rlike("value", F.lit(r"(?:^|[^\[,:\s])\s*\n\s*\{|\]\s*\n\s*\[")).alias("another")
-    seen = unnamed.select(_file(), F.col("_metadata.file_size").alias("size"), piece, another, place.alias("place"))
-    looked = seen.groupBy("file").agg(
+    block = F.col("_metadata.file_block_start").alias("block")
+    seen = unnamed.select(
+        _file(), block, F.col("_metadata.file_size").alias("size"), piece, another, F.monotonically_increasing_id().alias("place")
+    )
+    # per split first, where ids grow with the rows, then the splits by their position in the file; characters
+    # are held as their codes, so that no piece is sorted
+    splits = seen.groupBy("file", "block").agg(
         F.max("size").alias("size"),
-        F.min_by(F.left("piece", F.lit(1)), F.when(F.col("piece") != "", F.col("place"))).alias("first"),
-        # nothing behind the last end, or the last character behind it
-        F.max_by(F.right("piece", F.lit(1)), "place").alias("last"),
+        F.min_by(F.ascii(F.left("piece", F.lit(1))), F.when(F.col("piece") != "", F.col("place"))).alias("first"),
+        # nothing (-1) behind the last end, or the last character behind it
+        F.max_by(F.when(F.col("piece") == "", -1).otherwise(F.ascii(F.right("piece", F.lit(1)))), "place").alias("last"),
         F.bool_or("another").alias("several"),
+    )
+    looked = splits.groupBy("file").agg(
+        F.max("size").alias("size"),
+        F.min_by("first", F.when(F.col("first").isNotNull(), F.col("block"))).alias("first"),
+        F.max_by("last", "block").alias("last"),
+        F.bool_or("several").alias("several"),
     ).filter(F.col("first").isNotNull())
-    one_value = F.col("first").isin("[", "{") & ~F.col("several")
-    closed = F.col("last").isin("]", "")
+    one_value = F.col("first").isin(ord("["), ord("{")) & ~F.col("several")
+    closed = F.col("last").isin(ord("]"), -1)
     kind = F.when(~one_value, LINES).when(closed & (F.col("size") > large), LARGE).otherwise(DOCUMENT)
     return looked.select("file", kind.alias("format"))
 

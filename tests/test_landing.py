@@ -7,6 +7,8 @@ import pytest
 
 from isobar.sources import landing
 
+from rows import plan
+
 
 def record(day):
     return {"fecha": f"2021-01-{day:02d}", "tmed": f"{day},5"}
@@ -100,3 +102,9 @@ def test_large_documents_are_read_in_splits(spark, tmp_path, put):
 
 def test_an_empty_folder_has_no_records(spark, tmp_path):
     assert landing.read_provider_a(spark, str(tmp_path)).count() == landing.read_provider_b(spark, str(tmp_path)).count() == 0
+
+
+def test_formats_are_told_without_sorting_the_pieces(spark, tmp_path, put):
+    put("a.json", json.dumps([record(1), record(2)]))
+    text = plan(landing.file_formats(spark, str(tmp_path), landing.PROVIDER_A))
+    assert "HashAggregate" in text and "SortAggregate" not in text
