@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from isobar.functions.expressions import first_match
 from isobar.operators import bronze
-from isobar.operators.bronze import newest_per_key
+from isobar.operators.bronze import KEY_PASSES, newest_per_key
 from isobar.operators.silver import FILE_ORDER, clean, laid_out
 from isobar.schemas import PROVIDER_B_FIELDS, RAW_KEY, SILVER_SCHEMA, conform
 from isobar.plans import jobs
@@ -91,10 +91,10 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deduplicated(spark: SparkSession, sf_dir: str, passes: int = 1) -> DataFrame:
     """One raw row per date, city and source: the first in load order."""
     order = [F.asc(c) for c in LOAD_ORDER]
-    return newest_per_key(raw_rows(spark, sf_dir), order, RAW_KEY).drop(*LOAD_ORDER)
+    return newest_per_key(raw_rows(spark, sf_dir), order, RAW_KEY, passes).drop(*LOAD_ORDER)
 
 
 _FOLDERS: dict[tuple[str, str, str], str] = {}
@@ -129,7 +129,7 @@ def stored_frame(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored raw table, as the bronze job leaves it."""
     return _stored(
-        spark, sf_dir, "raw", lambda folder: deduplicated(spark, sf_dir).write.parquet(folder), spark.read.parquet
+        spark, sf_dir, "raw", lambda folder: deduplicated(spark, sf_dir, KEY_PASSES).write.parquet(folder), spark.read.parquet
     )
 
 
@@ -162,7 +162,7 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     def write(part: Column) -> Callable[[str], None]:
         order = [F.asc(c) for c in LOAD_ORDER]
         rows = raw_rows(spark, sf_dir).filter(part)
-        return lambda folder: newest_per_key(rows, order).drop(*LOAD_ORDER).write.parquet(folder)
+        return lambda folder: newest_per_key(rows, order, passes=KEY_PASSES).drop(*LOAD_ORDER).write.parquet(folder)
 
     late = F.col("l_linenumber") >= 4
     return (

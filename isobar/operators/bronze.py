@@ -25,6 +25,9 @@ PROVIDER_A_FIELDS = {
 }
 
 
+#: Passes in which stored rows are cut to one a key.
+KEY_PASSES = 4
+
 #: Why a landed row is not loaded.
 CORRUPT, BAD_DATE, BAD_NUMBER, UNKNOWN_STATION = "corrupt record", "bad date", "bad number", "unknown station"
 
@@ -183,13 +186,20 @@ def typed(rows: DataFrame, *texts: str) -> DataFrame:
     return conform(rows, schema).withColumns(clean)
 
 
-def newest_per_key(rows: DataFrame, order: list[Column], keys: list[str] = RAW_KEY) -> DataFrame:
+def newest_per_key(rows: DataFrame, order: list[Column], keys: list[str] = RAW_KEY, passes: int = 1) -> DataFrame:
     """One row per key, the first in ``order``.
 
     The ``= 1`` filter lets Spark cut every map task's output to one row per key before
     the shuffle, so a key with very many copies stays cheap.  The hash in front of the keys
     changes nothing but the sort: most comparisons end at its eight bytes.
+
+    A map task sorts what it has read to cut it.  With ``passes`` it sorts one share of its split
+    at a time, dealt by the first key alone so that the share is chosen as the files are read;
+    ``rows`` are read once a pass: pass stored tables.
     """
+    if passes > 1:
+        share = F.pmod(F.xxhash64(keys[0]), F.lit(passes))
+        return union_all([newest_per_key(rows.filter(share == at), order, keys) for at in range(passes)])
     w = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
@@ -203,15 +213,15 @@ def merge(existing: DataFrame, incoming: DataFrame, keys: list[str] = RAW_KEY) -
     both = existing.withColumn("_load", F.lit(0)).unionByName(incoming.withColumn("_load", F.lit(1)), allowMissingColumns=True)
     rest = [c for c in both.columns if c not in keys and c != "_load"]
     order = [F.desc("_load"), *[F.asc_nulls_last(c) for c in rest]]
-    return newest_per_key(both, order, keys).drop("_load")
+    return newest_per_key(both, order, keys, KEY_PASSES).drop("_load")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str] = RAW_KEY) -> DataFrame:
     """Rows of both loads, the incoming row winning on equal keys (K4).
 
     ``date`` is one of the keys, so only months that occur in ``incoming`` can change:
-    the rest of ``existing`` is passed on without a shuffle.  Both sides are read twice: pass
-    stored tables.  Stored versions go by month folders instead (``sources.rawstore``).
+    the rest of ``existing`` is passed on without a shuffle.  Both sides are read several times:
+    pass stored tables.  Stored versions go by month folders instead (``sources.rawstore``).
     """
     month = F.coalesce(F.trunc("date", "month"), F.lit("0001-01-01").cast("date"))
     # a list of calendar months, short for any history

@@ -25,7 +25,7 @@ def manifest(spark: SparkSession, version: str) -> DataFrame:
 def store_load(incoming: DataFrame, version: str | None = None, base: str | None = None) -> str:
     """Merge a load into the months it holds and register the result as a new version.
 
-    ``incoming`` is read twice: pass a stored table.  ``base`` is the version to go on from; of it
+    ``incoming`` is read several times: pass a stored table.  ``base`` is the version to go on from; of it
     only the months of the load are read.  A version without its table is an unfinished load.
     """
     spark = incoming.sparkSession

@@ -13,7 +13,7 @@ from isobar.sources.config import load_settings
 from isobar.sources.landing import read_provider_a, read_provider_b, read_station_inventory
 from isobar.workspace import materialise, shared_folder
 
-from rows import types
+from rows import plan, types
 
 
 def raw(spark, rows):
@@ -152,6 +152,19 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert kept.filter("city = 'hot'").first().n == 2997
 
 
+def test_passes_keep_the_same_rows_and_sort_a_share_each(spark):
+    rows = spark.range(3000).selectExpr(
+        "if(id % 40 = 0, null, date_add(date'2021-01-01', int(id % 40))) as date",
+        "if(id % 3 = 0, null, concat('c', id % 7)) as city", "'aemet' as source", "id as n",
+    )
+    whole, parts = (bronze.newest_per_key(rows, [F.desc("n")], passes=p) for p in (1, 4))
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, parts.collect())) and whole.count() == parts.count() == 40 * 8
+    # the share is chosen by the first key alone, before the sort
+    stored = materialise(bronze.typed(rows.withColumn("tavg", F.col("n").cast("double"))))
+    text = plan(bronze.merge(stored.limit(0), stored))
+    assert text.count("pmod(xxhash64(date") >= bronze.KEY_PASSES and bronze.merge(stored.limit(0), stored).count() == 40 * 8
+
+
 def test_entries_of_a_station_are_counted_not_written_out(spark):
     stations = spark.createDataFrame(
         [("S1", "Vic", "Cataluña"), ("S1", "Vic", "Cataluña"), ("S2", "Vic", "Cataluña"), ("S2", "Sevilla", "Andalucia")],
